@@ -137,7 +137,7 @@ def plan_blocks(slim: DataFrame, weights: tuple[float, ...], cap: float, block_w
     return written(planned.select(F.col("source").alias("p_source"), "block", "blocks", "source_size", "target", "shards", "part", "fills"), "plan")
 
 
-def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3, block_words: int = 20_000, shard_words: int = 4_000_000, seed: int = 42, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3, block_words: int = 100_000, shard_words: int = 4_000_000, seed: int = 42, id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``docs`` with size, source_size, target and ``shards``: the output shard of each time the mix takes the document.
 
     Null texts have size 0; null sources are one source, last in order. Repeated rows are dealt
