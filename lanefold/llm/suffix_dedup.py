@@ -29,21 +29,26 @@ from pyspark.sql import functions as F
 from lanefold.llm._common import load, short_batches, text_key, written
 
 GRAM = 100
-CROWDED = 4000
-SHARD_BYTES = 4 << 20
+CROWDED = 2000
+SHARD_BYTES = 1 << 20
+#: Strings up to this length are sorted directly at the end of the recursion.
+DIRECT = 1 << 19
 RANGES = "array<struct<from:int,to:int>>"
 
 # --- suffix arrays --------------------------------------------------------------------------------
 
 
 def _doubling(t: np.ndarray) -> np.ndarray:
-    """Suffix array of a short string by doubling; the end of the recursion."""
-    n, rank, k = len(t), t.astype(np.int64), 1
+    """Suffix array of a string at the end of the recursion, by doubling ranks."""
+    n, k = len(t), 1
+    rank = np.unique(t, return_inverse=True)[1].astype(np.int64)
     while True:
-        after = np.full(n, -1, np.int64)
-        after[: max(n - k, 0)] = rank[k:]
-        order = np.lexsort((after, rank))
-        new = np.concatenate(([0], np.cumsum((np.diff(rank[order]) != 0) | (np.diff(after[order]) != 0))))
+        both = rank * (n + 1)
+        both[: n - k] += rank[k:] + 1
+        order = np.argsort(both, kind="stable")
+        both = both[order]
+        new = np.concatenate(([0], np.cumsum(both[1:] != both[:-1])))
+        rank = np.empty(n, np.int64)
         rank[order] = new
         if new[-1] == n - 1:
             return order
@@ -54,7 +59,8 @@ class _Induction:
     """Buckets of one string, and the two induced-sorting passes over them."""
 
     def __init__(self, t: np.ndarray, sigma: int):
-        self.t, self.sigma, n = t, sigma, len(t)
+        self.sigma, n = sigma, len(t)
+        self.t = t.astype(np.uint8 if sigma <= 256 else np.uint16)  # short keys sort by radix
         step = np.diff(t)
         at = np.where(step != 0, np.arange(n - 1), n)
         nearest = np.minimum.accumulate(at[::-1])[::-1]  # the next place where the symbol changes
@@ -70,15 +76,18 @@ class _Induction:
         key = self.t[j]
         order = np.argsort(key, kind="stable")
         key = key[order]
-        first = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1))
-        size = np.diff(np.append(first, len(key)))
-        within = np.arange(len(key)) - np.repeat(first, size)
-        sa[edge[key] + within if sign > 0 else edge[key] - 1 - within] = j[order]
-        edge[key[first]] += sign * size
+        size = np.bincount(key, minlength=self.sigma)
+        first = np.cumsum(size) - size
+        if sign > 0:
+            sa[(edge - first)[key] + np.arange(len(key))] = j[order]
+            edge += size
+        else:
+            sa[(edge - 1 + first)[key] - np.arange(len(key))] = j[order]
+            edge -= size
 
     def run(self, lms: np.ndarray) -> np.ndarray:
         """The order of all suffixes induced from ``lms`` in the order given."""
-        t, sa = self.t, np.full(len(self.t), -1, np.int64)
+        sa = np.full(len(self.t), -1, np.int64)
         tail = self.end.copy()
         self._put(sa, tail, lms[::-1], -1)
         head = self.start.copy()
@@ -109,14 +118,14 @@ class _Induction:
             j = j[self.small[j]]
             if len(j):
                 self._put(sa, tail, j, -1)
-        sa[0] = len(t) - 1  # the end mark is the smallest suffix
+        sa[0] = len(self.t) - 1  # the end mark is the smallest suffix
         return sa
 
 
 def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array of ``t``, whose last symbol 0 occurs nowhere else; symbols are below ``sigma``."""
     n = len(t)
-    if n <= 2048:
+    if n <= DIRECT:
         return _doubling(t)
     if sigma > 4096:  # large alphabets: two digits a symbol, which keeps the order of suffixes
         base = int(np.ceil(np.sqrt(sigma)))
@@ -189,8 +198,8 @@ def permuted_lcp(raw: np.ndarray, sa: np.ndarray, most: int) -> tuple[np.ndarray
 def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
     """For each part, the starts of its strings of ``length`` bytes that occur at another place of any part."""
     raw = np.frombuffer(b"\xff".join(parts), np.uint8)  # no UTF-8 text has this byte
-    t = np.append(raw.astype(np.int64) + 1, 0)
-    sa = suffix_array(t, 257)[1:]
+    dense = np.cumsum(np.bincount(raw, minlength=256) > 0)  # symbols in use, from 1; 0 ends the string
+    sa = suffix_array(np.append(dense[raw], 0), int(dense[-1]) + 1)[1:]
     phi, lcp = permuted_lcp(raw, sa, 4 * length)
     found = np.zeros(len(raw), bool)
     hit = np.flatnonzero(lcp >= length)
