@@ -79,7 +79,7 @@ def _block(n: Column) -> Column:
 
 
 #: Rounds in which the block where a target ends is filled up.
-ROUNDS = 4
+ROUNDS = 6
 
 
 def _taken(fills: Column) -> Column:
