@@ -257,12 +257,13 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **params)
     """The documents with one of each near-duplicate group kept: the smallest identifier, of repeated ones
     the smallest hash of the text, and one row where whole rows repeat. Columns stay as they are."""
     found = near_duplicates(docs, id=id, text=text, **params)
-    keep = found.filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_id")).distinct()
-    rows = docs.withColumn("_h", F.struct(*text_key(text)))
-    rows = rows.join(keep, rows[id].eqNullSafe(keep["_id"]), "left_semi")
-    first = rows.groupBy(F.col(id).alias("_id")).agg(F.min("_h").alias("_low"))
-    rows = rows.join(first, F.expr(f"`{id}` <=> _id and _h = _low"), "left_semi").drop("_h")
-    return rows.dropDuplicates([id, text])
+    first = found.filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_id")).distinct()
+    # What stays is decided on identifiers and hashes; the texts are shuffled once, for the last join.
+    slim = docs.select(F.col(id).alias("_id"), F.struct(*text_key(text)).alias("_h")).groupBy("_id", "_h").agg(F.count("*").alias("_n"))
+    slim = slim.join(first, slim["_id"].eqNullSafe(first["_id"]), "left_semi")
+    keep = written(slim.groupBy("_id").agg(F.min(F.struct("_h", "_n")).alias("low")).select("_id", "low._h", "low._n"), "kept")
+    rows = docs.join(keep, docs[id].eqNullSafe(keep["_id"]) & (F.struct(*text_key(text)) == keep["_h"]), "left_semi")
+    return rows.dropDuplicates([id, text]) if keep.filter("_n > 1").limit(1).count() else rows
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
