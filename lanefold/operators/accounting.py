@@ -66,10 +66,73 @@ def cost_per_sample(jobs: DataFrame) -> DataFrame:
     return shared.unionByName(both.filter("n = 0").select(F.lit("_UNATTRIBUTED").alias("sample"), F.lit(0.0).alias("direct_su"), F.round("rest", 2).alias("shared_su")))
 
 
-def advice(jobs: DataFrame, low: float = 50.0, high: float = 90.0) -> DataFrame:
-    """What to ask for next time, from the efficiencies."""
-    say = lambda c, name: F.when(F.col(c) < low, F.lit(f"lower {name}")).when(F.col(c) > high, F.lit(f"raise {name}"))
-    return jobs.withColumn("advice", F.array_join(F.array_compact(F.array(say("mem_eff", "memory"), say("cpu_eff", "cores"), say("wall_eff", "walltime"))), "; "))
+def _bands(c: Column, bands: tuple[tuple[float, str], ...], last: str | None = None) -> Column:
+    out = F.when(c.isNull(), F.lit(None))
+    for below, name in bands:
+        out = out.when(c < below, name)
+    return out.otherwise(last) if last else out
+
+
+def advice(jobs: DataFrame, spare: float = 1.5) -> DataFrame:
+    """Bands of memory, CPU and wall-time efficiency and, where a request was too large, what to ask for next time.
+
+    Memory is suggested in whole GB, wall time in hours, both with ``spare``. CPU isn't judged on GPU partitions.
+    """
+    mem, wall = F.col("mem_eff"), F.col("wall_eff")
+    cpu = F.when(~F.col("job_partition").contains("gpu"), F.col("cpu_eff"))
+    return jobs.withColumns({
+        "mem_band": _bands(mem, ((10, "very low"), (50, "low"), (98, "good")), "very high"), "mem_suggest_gb": F.when(mem < 50, F.floor(F.col("rss_gb") * spare + 0.999)),
+        "cpu_band": F.when(cpu <= 100, _bands(cpu, ((25, "low"), (50, "moderate"), (80, "good")), "very good")),
+        "wall_band": _bands(wall, ((30, "very low"), (60, "low"), (80, "moderate"), (100, "good"))), "wall_suggest_h": F.when(wall < 80, F.regexp_replace(F.format_number(F.col("elapsed_s") / 3600 * spare, 2), ",", "").cast("double")),
+    })
+
+
+#: States of jobs that have ended.
+FINISHED = r"^(COMPLETED|FAILED|CANCELLED|OUT_OF_MEM|TIMEOUT)"
+
+
+def roll_up(steps: DataFrame) -> DataFrame:
+    """One row a finished job: its own row and the largest memory of its steps.
+
+    ``steps`` has jobid (``123``, ``123.batch``), state, alloc_cpus, ave_rss and ntasks. Cores are half the allocated
+    CPUs; memory is the largest ave_rss times ntasks, null where no row has it. Jobs without a row of their own go.
+    """
+    own = ~F.col("jobid").contains(".")
+    t = steps.groupBy(F.split("jobid", r"\.")[0].alias("job_id")).agg(F.max(F.when(own, F.struct("state", "alloc_cpus"))).alias("p"), F.max(F.col("ave_rss") * F.coalesce("ntasks", F.lit(1))).alias("used_rss"))
+    return t.select("job_id", "p.state", F.floor(F.col("p.alloc_cpus") / 2).alias("cores"), "used_rss").filter(F.col("state").rlike(FINISHED))
+
+
+def with_metadata(jobs: DataFrame, meta: DataFrame) -> DataFrame:
+    """Jobs with process and tag of the first metadata row (by ord) of their identifier, ``UNKNOWN`` where there is none."""
+    first = meta.groupBy("job_id").agg(F.min(F.struct("ord", "process", "tag")).alias("m")).select("job_id", "m.process", "m.tag")
+    j = jobs.drop("process", "tag").join(first, "job_id", "left")
+    return j.withColumns({c: F.coalesce(c, F.lit("UNKNOWN")) for c in ("process", "tag")})
+
+
+def recompute_decision(state: DataFrame, unkeyed: str = "invalidate", stale: str = "rerun") -> DataFrame:
+    """``decision`` for each earlier result: fresh, skip, continue, or why it can't be used or was adopted.
+
+    ``state`` has present, stored_key, key, done, has_output and checkpoint. The keys are compared before completeness
+    is looked at, so a finished but outdated result is never reused. ``stale='fail'`` gives ``refused-stale``.
+    """
+    if unkeyed not in ("invalidate", "adopt") or stale not in ("rerun", "archive", "fail"):
+        raise ValueError(f"unknown policy {unkeyed!r} or {stale!r}")
+    c = F.col
+    whole = c("done") & c("has_output")
+    none = ~c("present")
+    old = F.coalesce("stored_key", F.lit("")) == ""
+    adopted = F.when(whole, "adopted-unkeyed-skip").when(c("checkpoint"), "adopted-unkeyed-continue").otherwise("invalidated-unkeyed-fresh")
+    return state.withColumn("decision", (
+        F.when(none, "fresh").when(old, adopted if unkeyed == "adopt" else F.lit("invalidated-unkeyed-fresh"))
+        .when(c("stored_key") != c("key"), "refused-stale" if stale == "fail" else "invalidated-stale-fresh")
+        .when(whole, "skip").when(c("checkpoint"), "continue").otherwise("fresh")
+    ))
+
+
+def merge_versions(versions: DataFrame) -> DataFrame:
+    """One version of each (grp, tool): that of the first file, files of the whole run before others, then by path."""
+    late = F.when(F.element_at(F.split("path", "/"), -1).startswith("software_versions"), 0).otherwise(1)
+    return versions.groupBy("grp", "tool").agg(F.min(F.struct(late.alias("late"), "path", "version"))["version"].alias("version"))
 
 
 def copy_audit(files: DataFrame, key: str = "sample") -> DataFrame:

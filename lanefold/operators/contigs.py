@@ -138,3 +138,25 @@ def contig_depth(alignments: DataFrame, contigs: DataFrame, min_mapq: int = 0) -
 def mapping_summary(alignments: DataFrame) -> DataFrame:
     flag = lambda bit: F.count_if(F.col("flag").bitwiseAND(bit) > 0)
     return alignments.agg(F.count("*").alias("total"), F.count_if(F.col("flag").bitwiseAND(4) == 0).alias("mapped"), flag(16).alias("reverse"), flag(256).alias("secondary"), F.avg("mapq").alias("mean_mapq"))
+
+
+#: Domain categories in the order of their report.
+DOMAINS = ("archaea", "bacteria", "organelle", "mitochondrion", "plastid", "prokarya")
+
+
+def domain_summary(classes: DataFrame, by: str = "sample") -> DataFrame:
+    """by, ord, category, num_contigs, bp of all six categories of each sample, 0 where absent.
+
+    ``line`` is a row of the classifier's report. A category counts wherever it stands as a whole word, so an
+    organelle contig counts under ``organelle`` and its kind; bases come from the first ``len=`` of the line.
+    """
+    bp = F.coalesce(F.nullif(F.regexp_extract("line", r"len=(\d+)", 1), F.lit("")).cast("long"), F.lit(0))
+    hit = lambda d: F.col("line").rlike(rf"\b{d}\b")
+    t = classes.groupBy(by).agg(F.array(*[F.struct(F.lit(d).alias("category"), F.count_if(hit(d)).alias("num_contigs"), F.coalesce(F.sum(F.when(hit(d), bp)), F.lit(0)).alias("bp")) for d in DOMAINS]).alias("xs"))
+    return t.select(by, F.posexplode("xs").alias("ord", "x")).select(by, "ord", "x.category", "x.num_contigs", "x.bp")
+
+
+def domain_removal(classes: DataFrame, by: str = "sample") -> DataFrame:
+    """Different contigs (the first word of a line) of any of the categories."""
+    t = classes.filter(F.col("line").rlike(rf"\b({'|'.join(DOMAINS)})\b"))
+    return t.select(by, F.split(F.trim("line"), r"\s+")[0].alias("contig")).distinct()

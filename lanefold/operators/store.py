@@ -54,3 +54,37 @@ def verify(expected: DataFrame, actual: DataFrame, keys: list[str], tolerance: d
     limit = F.create_map(*[x for c, t in tolerance.items() for x in (F.lit(c), F.lit(float(t)))])[F.col("field")]
     close = F.abs(F.col("expected") - F.col("actual")) <= F.greatest(limit, 1e-9 * F.greatest(F.abs("expected"), F.abs("actual")))
     return j.filter(~(F.coalesce(close, F.lit(False)) | (F.col("expected").isNull() & F.col("actual").isNull())))
+
+
+def overlay(fits: DataFrame, verdicts: DataFrame, depth: DataFrame, keys: list[str]) -> DataFrame:
+    """``fits`` with the columns of a verdict in their place, also by null, and then null columns filled from ``depth``."""
+    cols = [c for c in dict.fromkeys([*fits.columns, *verdicts.columns, *depth.columns]) if c not in keys]
+    j = fits.alias("f").join(verdicts.withColumn("_v", F.lit(True)).alias("v"), keys, "left").join(depth.alias("d"), keys, "left")
+
+    def one(c: str):
+        base = F.col(f"f.{c}") if c in fits.columns else F.lit(None)
+        if c in verdicts.columns:
+            base = F.when(F.col("v._v"), F.col(f"v.{c}")).otherwise(base)
+        return (F.coalesce(base, F.col(f"d.{c}")) if c in depth.columns else base).alias(c)
+
+    return j.select(*keys, *[one(c) for c in cols])
+
+
+def mixed_identities(parts: DataFrame, group: str, identity: list[str]) -> DataFrame:
+    """Groups whose rows don't share one identity, with how many they have; null is an identity too."""
+    return parts.groupBy(group).agg(F.size(F.collect_set(F.struct(*identity))).alias("identities")).filter("identities > 1")
+
+
+def partial_upsert(stored: DataFrame, new: DataFrame, keys: list[str], supplied: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``stored`` with the supplied columns of known keys replaced, and the new rows refused since nothing is stored for them."""
+    known = new.join(stored.select(*keys), keys, "left_semi")
+    return upsert(stored, known, keys, supplied), new.join(stored.select(*keys), keys, "left_anti")
+
+
+def backfill_summary(samples: DataFrame) -> DataFrame:
+    """One row: samples, valid, invalid, verified and mismatched; ``safe_to_rerun`` if no valid sample is mismatched."""
+    t = samples.agg(
+        F.count("*").alias("samples"), F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"), F.count_if(F.col("valid") & (F.col("mismatches") == 0)).alias("verified"),
+        F.count_if(F.col("valid") & (F.col("mismatches") > 0)).alias("mismatched"),
+    )
+    return t.withColumn("safe_to_rerun", F.col("mismatched") == 0)

@@ -73,3 +73,58 @@ def trigram_matches(left: DataFrame, right: DataFrame, least: float = 0.65) -> D
     pairs = pairs.dropDuplicates(["left_id", "right_id"])
     sim = F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))
     return pairs.withColumn("similarity", sim).filter(F.col("similarity") >= least).select("left_id", "right_id", "similarity")
+
+
+#: Qualifiers that name no species.
+OPEN_NOMENCLATURE = ("sp", "sp.", "spp", "spp.", "cf", "cf.", "aff", "aff.", "nr", "nr.")
+
+
+def candidates(name: Column) -> Column:
+    """Forms of a name to look up, the binomial (where the second word is one) before the genus; empty without words."""
+    words = F.filter(F.split(F.trim(name), r"\s+"), lambda w: w != "")
+    first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
+    both = F.when(second.rlike(r"^\p{L}+$") & ~F.lower(second).isin(*OPEN_NOMENCLATURE), F.concat_ws(" ", first, second))
+    return F.array_compact(F.array(both, first))
+
+
+def lineage_for_name(names: DataFrame, index: DataFrame, lineages: DataFrame) -> DataFrame:
+    """id, matched_name, taxid and the lineage of the first candidate of ``name`` that is unambiguous and has any; else no row."""
+    ranks = [c for c in lineages.columns if c != "taxid"]
+    forms = names.select("id", F.posexplode(candidates(F.col("name"))).alias("pos", "matched_name")).withColumn("key", F.lower("matched_name"))
+    hit = forms.join(index, "key").join(lineages.filter(F.coalesce(*ranks).isNotNull()), "taxid")
+    best = hit.groupBy("id").agg(F.min(F.struct("pos", "matched_name", "taxid", *ranks)).alias("b"))
+    return best.select("id", "b.matched_name", "b.taxid", *[f"b.{r}" for r in ranks])
+
+
+#: Tiers of a curated match in order of trust.
+TIERS = ("species_exact", "synonym_exact", "genus_exact", "family_exact", "order_exact", "family_fuzzy", "order_fuzzy")
+
+
+def curated_match(names: DataFrame, curated: DataFrame, least: float = 0.65) -> DataFrame:
+    """id, taxid, class, species, match_level of the best curated row of each name (id, raw, clean, genus); else no row.
+
+    The order is tier, similarity, taxid (null last), species. ``curated`` (taxid, class, species, synonym, genus,
+    family, order_name) is first reduced to its best row for each tier and key, so a frequent family joins one row; the
+    fuzzy tiers compare with the different family and order names only.
+    """
+    def keyed(tier: int, key: Column) -> DataFrame:
+        row = F.struct(F.col("taxid").isNull().alias("none"), "taxid", "species", "class")
+        t = curated.select(F.lit(tier).alias("tier"), key.alias("key"), row.alias("row")).filter("key is not null and key <> ''")
+        return t.groupBy("tier", "key").agg(F.min("row").alias("row"))
+
+    synonyms = F.explode(F.transform(F.split("synonym", ","), lambda s: F.lower(F.trim(s))))
+    exact = keyed(1, F.lower("species")).unionByName(keyed(2, synonyms)).unionByName(keyed(3, F.lower("genus"))).unionByName(keyed(4, F.lower("family"))).unionByName(keyed(5, F.lower("order_name")))
+    both = F.array_distinct(F.array_compact(F.array(F.lower("raw"), F.lower("clean"))))
+    asked = names.select("id", F.explode(both).alias("key")).crossJoin(F.broadcast(names.sparkSession.createDataFrame([(1,), (2,), (4,), (5,)], "tier int")))
+    asked = asked.unionByName(names.select("id", F.lower("genus").alias("key"), F.lit(3).alias("tier")))
+    found = asked.join(exact, ["tier", "key"]).select("id", "tier", F.lit(-1.0).alias("order"), "row")
+    words = names.select("clean").filter("clean is not null").distinct()
+    for tier, c in ((6, "family"), (7, "order_name")):
+        rows = keyed(tier, F.col(c))
+        near = trigram_matches(words.select(F.col("clean").alias("id"), F.col("clean").alias("name")), rows.select(F.col("key").alias("id"), F.col("key").alias("name")), least)
+        near = near.join(rows.select(F.col("key").alias("right_id"), "row"), "right_id")
+        near = near.groupBy("left_id").agg(F.min(F.struct((-F.col("similarity")).alias("order"), "row")).alias("b"))
+        found = found.unionByName(names.join(near, F.col("clean") == F.col("left_id")).select("id", F.lit(tier).alias("tier"), "b.order", "b.row"))
+    best = found.groupBy("id").agg(F.min(F.struct("tier", "order", "row")).alias("b"))
+    level = F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.col("b.tier"))
+    return best.select("id", "b.row.taxid", "b.row.class", "b.row.species", level.alias("match_level"))

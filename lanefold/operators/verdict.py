@@ -132,3 +132,51 @@ def recheck(verdicts: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
         "coverage_status": F.when(F.size("_flags") > 0, UNRELIABLE).otherwise(c("coverage_status")),
         "assembly_cross_check": F.when(F.coalesce("assembly_size", F.lit(0)) != 0, "done").otherwise("no_assembly_size"),
     }).drop("_flags", "_none")
+
+
+FIT_FIELDS = ("size_min", "size_max", "fit_all", "fit_full", "het_min", "het_max", "bias", "kmercov", "peak_cov")
+
+
+def apply_refit(verdicts: DataFrame, refits: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
+    """Verdicts with the fit, size, coverage, flags and grade of the refit that won; samples without one stay as they are.
+
+    ``refits`` has sample and the fields of a fit. Coverage before filtering is worked out from the bases after it and
+    the retention; a winning refit passes the same gate as any fit, so it isn't reliable by itself.
+    """
+    c = F.col
+    old = verdicts.withColumn("fit", F.lit("original"))
+    new = verdicts.drop(*FIT_FIELDS).join(refits.select("sample", *FIT_FIELDS), "sample").withColumn("assembly_size", F.lit(None).cast("long"))
+    size = F.greatest(F.coalesce("size_max", F.lit(0)), F.lit(0)).cast("double")
+    after = F.coalesce(F.try_divide(c("bases_after"), size), F.lit(0.0))
+    before = F.coalesce(F.try_divide(F.try_divide(c("bases_after"), c("retention_pct") / 100), size), F.lit(0.0))
+    new = new.withColumns({"flags": gate_flags(th), "estimated_genome_size": size.cast("long"), "coverage": after, "coverage_before": before, "fit": F.lit("reseeded")})
+    new = new.withColumns({"reliable": F.size("flags") == 0, "coverage_status": grade(c("coverage"), c("flags"))})
+    return old.join(refits.select("sample"), "sample", "left_anti").select(*old.columns).unionByName(new.select(*old.columns))
+
+
+#: Columns of the run's coverage table and what they show.
+TABLE = {
+    "sample": "Sample", "estimated_genome_size": "Genome Size (bp)", "coverage_before": "Coverage Before (x)", "coverage": "Coverage After (x)",
+    "retention_pct": "Data Retention (%)", "removed_pct": "Bases Removed (%)", "het_max": "Het. Max (%)", "fit_full": "Model Fit, Full Model (%)",
+    "fit_all": "K-mers Modelled, All (%)", "peak_cov": "K-mer Peak (x)", "reliable": "Size Est. OK", "coverage_status": "Status", "assembly_cross_check": "Assembly Cross-check",
+}
+
+
+def coverage_table(verdicts: DataFrame) -> DataFrame:
+    """The 13 display columns as text: sizes with thousands separators, measures with two decimals, ``NA`` for nothing."""
+    plain = ("sample", "reliable", "coverage_status", "assembly_cross_check")
+
+    def shown(c: str):
+        if c in plain:
+            return F.initcap(F.col(c).cast("string")) if c == "reliable" else F.col(c).cast("string")
+        return F.format_number(c, 0) if c == "estimated_genome_size" else F.regexp_replace(F.format_number(F.col(c).cast("double"), 2), ",", "")
+
+    na = lambda c: F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), "NA").otherwise(shown(c))
+    return verdicts.select(*[na(c).alias(c) for c in TABLE])
+
+
+def final_or_provisional(final: DataFrame, provisional_: DataFrame) -> DataFrame:
+    """The final verdict of each sample, else its provisional one."""
+    cols = provisional_.columns
+    rest = provisional_.join(final.select("sample"), "sample", "left_anti")
+    return final.select(*cols).unionByName(rest.select(*cols))

@@ -146,10 +146,36 @@ def k5_service_units(spark, sf_dir):
     return _costed(spark, sf_dir).select("job_id", "su")
 
 
-@query(with_domain("jobs", f"""WITH {_SU} SELECT job_id, array_to_string(list_filter([CASE WHEN mem_eff < 50 THEN 'lower memory' WHEN mem_eff > 90 THEN 'raise memory' END, CASE WHEN cpu_eff < 50 THEN 'lower cores' WHEN cpu_eff > 90 THEN 'raise cores' END,
-  CASE WHEN wall_eff < 50 THEN 'lower walltime' WHEN wall_eff > 90 THEN 'raise walltime' END], lambda x: x IS NOT NULL), '; ') AS advice FROM costed"""))
+@query(with_domain("jobs", f"""WITH {_SU} SELECT job_id, CASE WHEN mem_eff < 10 THEN 'very low' WHEN mem_eff < 50 THEN 'low' WHEN mem_eff < 98 THEN 'good' WHEN mem_eff IS NOT NULL THEN 'very high' END AS mem_band,
+CASE WHEN mem_eff < 50 THEN floor(rss_gb * 1.5::DOUBLE + 0.999::DOUBLE)::BIGINT END AS mem_suggest_gb,
+CASE WHEN contains(job_partition, 'gpu') OR cpu_eff > 100 THEN NULL WHEN cpu_eff < 25 THEN 'low' WHEN cpu_eff < 50 THEN 'moderate' WHEN cpu_eff < 80 THEN 'good' WHEN cpu_eff <= 100 THEN 'very good' END AS cpu_band,
+CASE WHEN wall_eff < 30 THEN 'very low' WHEN wall_eff < 60 THEN 'low' WHEN wall_eff < 80 THEN 'moderate' WHEN wall_eff < 100 THEN 'good' END AS wall_band,
+CASE WHEN wall_eff < 80 THEN printf('%.2f', elapsed_s / 3600 * 1.5::DOUBLE)::DOUBLE END AS wall_suggest_h FROM costed"""))
 def k6_advice(spark, sf_dir):
-    return A.advice(_costed(spark, sf_dir)).select("job_id", "advice")
+    return A.advice(_costed(spark, sf_dir)).select("job_id", "mem_band", "mem_suggest_gb", "cpu_band", "wall_band", "wall_suggest_h")
+
+
+@query(with_domain("steps", """SELECT p.jobid AS job_id, p.state, p.alloc_cpus // 2 AS cores, max(s.ave_rss * coalesce(s.ntasks, 1)) AS used_rss FROM steps p LEFT JOIN steps s ON split_part(s.jobid, '.', 1) = p.jobid
+WHERE NOT contains(p.jobid, '.') AND p.state <> 'RUNNING' GROUP BY p.jobid, p.state, p.alloc_cpus"""))
+def k3_roll_up(spark, sf_dir):
+    return A.roll_up(domain(spark, sf_dir, "steps"))
+
+
+@query(with_domain("jobs job_meta", """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ord) AS n FROM job_meta) x WHERE n = 1)
+SELECT jobs.job_id, coalesce(f.process, 'UNKNOWN') AS process, coalesce(f.tag, 'UNKNOWN') AS tag FROM jobs LEFT JOIN f ON f.job_id = jobs.job_id"""))
+def k11_job_metadata(spark, sf_dir):
+    return A.with_metadata(domain(spark, sf_dir, "jobs"), domain(spark, sf_dir, "job_meta")).select("job_id", "process", "tag")
+
+
+@query(with_domain("checkpoints", """SELECT id, CASE WHEN NOT present THEN 'fresh' WHEN coalesce(stored_key, '') = '' THEN CASE WHEN done AND has_output THEN 'adopted-unkeyed-skip' WHEN checkpoint THEN 'adopted-unkeyed-continue' ELSE 'invalidated-unkeyed-fresh' END
+WHEN stored_key <> key THEN 'invalidated-stale-fresh' WHEN done AND has_output THEN 'skip' WHEN checkpoint THEN 'continue' ELSE 'fresh' END AS decision FROM checkpoints"""))
+def k16_recompute_decision(spark, sf_dir):
+    return A.recompute_decision(domain(spark, sf_dir, "checkpoints"), unkeyed="adopt").select("id", "decision")
+
+
+@query(with_domain("tool_versions", """SELECT grp, tool, version FROM (SELECT *, row_number() OVER (PARTITION BY grp, tool ORDER BY CASE WHEN contains(path, '/software_versions') THEN 0 ELSE 1 END, path) AS n FROM tool_versions) x WHERE n = 1"""))
+def k17_merge_versions(spark, sf_dir):
+    return A.merge_versions(domain(spark, sf_dir, "tool_versions"))
 
 
 _Q = ", ".join(f"round(quantile_cont({c}, {q}), 6) AS {c}_{n}" for c in ("cpu_eff", "mem_eff", "wall_eff") for n, q in (("min", 0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1)))

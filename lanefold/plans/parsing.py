@@ -44,3 +44,55 @@ def a21_contig_depth(spark, sf_dir):
     line = F.concat_ws("\t", F.col("contig").cast("string"), F.lit("1"), F.col("length").cast("string"), F.lit("9"), F.lit("9"), F.lit("99.0"), F.col("meandepth").cast("string"), F.lit("30"), F.lit("60"))
     head = F.lit("#rname\tstartpos\tendpos\tnumreads\tcovbases\tcoverage\tmeandepth\tmeanbaseq\tmeanmapq\n")
     return R.contig_depth(t.groupBy("sample").agg(F.concat(head, F.array_join(F.collect_list(line), "\n")).alias("text")))
+
+
+_STR = lambda c: F.col(c).cast("string")
+
+
+@query(with_domain("fits", "SELECT sample, busco_complete::DOUBLE AS complete FROM fits"))
+def a13_completeness(spark, sf_dir):
+    pct = _STR("busco_complete")
+    direct = F.concat(F.lit('{"results": {"Complete percentage": '), pct, F.lit(', "one_line_summary": "C:1.0%[S:1.0%]"}}'))
+    line = F.concat(F.lit('{"results": {"one_line_summary": "C:'), pct, F.lit('.0%[S:1.0%,D:0.0%]"}}'))
+    return R.completeness(domain(spark, sf_dir, "fits").select("sample", F.when(F.col("sample") % 2 == 0, direct).otherwise(line).alias("text")))
+
+
+@query(with_domain("hits", """WITH r AS (SELECT query % 20 AS sample, subject % 7 AS c, q_start AS n, q_end AS bp FROM hits)
+SELECT sample, coalesce(sum(n) FILTER (c IN (0, 1)), 0)::BIGINT AS num_contigs_mitochondrion, coalesce(sum(bp) FILTER (c IN (0, 1)), 0)::BIGINT AS bp_mitochondrion, coalesce(sum(n) FILTER (c = 2), 0)::BIGINT AS num_contigs_plastid,
+coalesce(sum(bp) FILTER (c = 2), 0)::BIGINT AS bp_plastid, coalesce(sum(n) FILTER (c IN (3, 4)), 0)::BIGINT AS num_contigs_prokarya, coalesce(sum(bp) FILTER (c IN (3, 4)), 0)::BIGINT AS bp_prokarya FROM r GROUP BY sample"""))
+def a14_domain_report(spark, sf_dir):
+    names = F.array(*[F.lit(x) for x in ("Mitochondrion", " mito ", "chloroplast", "Bacteria", "prokarya", "archaea", "organelle")])
+    t = domain(spark, sf_dir, "hits").select((F.col("query") % 20).alias("sample"), F.get(names, (F.col("subject") % 7).cast("int")).alias("category"), F.format_number("q_start", 0).alias("num_contigs"), F.col("q_end").alias("bp"))
+    return R.domain_report(t)
+
+
+@query(with_domain("fits", "SELECT sample, CASE WHEN sample % 5 = 0 THEN NULL ELSE sample * 3 END AS num_contigs FROM fits"))
+def a16_short_contigs(spark, sf_dir):
+    some = F.concat(F.lit("contigs below 500 bp\nin all: "), (F.col("sample") * 3).cast("string"), F.lit("  \nlater 7\n"))
+    return R.short_contigs(domain(spark, sf_dir, "fits").select("sample", F.when(F.col("sample") % 5 == 0, "none here\n").otherwise(some).alias("text")))
+
+
+@query(with_domain("fits", """SELECT sample, CASE WHEN sample % 7 <> 0 THEN 'OG' || sample END AS og_id, CASE WHEN sample % 7 <> 0 THEN '240131' END AS seq_date, CASE WHEN sample % 7 <> 0 THEN '12' END AS unique_k_mers_assembly,
+CASE WHEN sample % 7 <> 0 THEN assembly_size::VARCHAR END AS k_mers_total, CASE WHEN sample % 7 <> 0 THEN '41.5' END AS qv, CASE WHEN sample % 7 <> 0 THEN '7e-05' END AS error FROM fits"""))
+def a17_quality_values(spark, sf_dir):
+    s, tail = _STR("sample"), F.concat(F.lit("\t12\t"), _STR("assembly_size"), F.lit("\t41.5\t7e-05\n"))
+    five = F.concat(F.lit("sample\tunique\ttotal\tqv\terror\nOG"), s, F.lit(".ilmn.240131"), tail)
+    six = F.concat(F.lit("OG"), s, F.lit("\t240131"), tail)
+    text = F.when(F.col("sample") % 7 == 0, F.concat(six, six)).when(F.col("sample") % 2 == 0, five).otherwise(six)
+    return R.quality_values(domain(spark, sf_dir, "fits").select("sample", text.alias("text")))
+
+
+@query(with_domain("fits", """SELECT sample, 10 + sample AS num_scaffolds, assembly_size AS total_scaffold_length, 5000 AS scaffold_n50, 90000 AS largest_scaffold, CASE WHEN sample % 3 = 0 THEN NULL ELSE 12 + sample END AS num_contigs, 4000 AS contig_n50,
+fit_all + 0.25::DOUBLE AS gc_pct FROM fits"""))
+def a18_contiguity(spark, sf_dir):
+    n = lambda d: (F.col("sample") + d).cast("string")
+    contigs = F.when(F.col("sample") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("# contigs: "), n(12), F.lit("\n")))
+    text = F.concat(F.lit("+++Assembly summary+++:\n# scaffolds: "), n(10), F.lit("\nTotal scaffold length: "), _STR("assembly_size"), F.lit("\nScaffold N50: 5000\nLargest scaffold: 90000\n"), contigs, F.lit("Contig N50: 4000\nGC content %: "), (F.col("fit_all") + 0.25).cast("string"))
+    return R.contiguity(domain(spark, sf_dir, "fits").select("sample", text.alias("text"))).withColumns({c: F.col(c).cast("bigint") for c in R.CONTIGUITY})
+
+
+@query(with_domain("fits", "SELECT sample, assembly_size AS sum_len FROM fits"))
+def a19_sequence_total(spark, sf_dir):
+    named = F.concat(F.lit("file\tsum_len\tnum_seqs\nx\t"), F.format_number("assembly_size", 0), F.lit("\t5\n"))
+    fifth = F.concat(F.lit("a\tb\tc\td\te\nx\tFASTA\tDNA\t5\t"), _STR("assembly_size"), F.lit("\t1\n"))
+    return R.sequence_total(domain(spark, sf_dir, "fits").select("sample", F.when(F.col("sample") % 2 == 0, named).otherwise(fifth).alias("text")))

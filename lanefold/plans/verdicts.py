@@ -122,3 +122,33 @@ def h10_report_lines(spark, sf_dir):
 @query(with_domain("fits", f"WITH {_PROV}, {_RECHECK} SELECT f AS flag, count(*) AS samples FROM (SELECT unnest(all_flags) AS f FROM final) x GROUP BY f"))
 def h9_flag_counts(spark, sf_dir):
     return _recheck(spark, sf_dir).select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("samples"))
+
+
+_APPLY = f"""swap AS (SELECT p.* REPLACE (CASE WHEN sample % 3 = 0 THEN CASE WHEN sample % 2 = 0 THEN NULL ELSE size_max + 1000000 END ELSE size_max END AS size_max, CASE WHEN sample % 3 = 0 THEN fit_full + 5 ELSE fit_full END AS fit_full,
+  CASE WHEN sample % 3 = 0 THEN 1.0::DOUBLE ELSE bias END AS bias) FROM prov p),
+swapped AS (SELECT *, {flags_sql("NULL")} AS f2, greatest(coalesce(size_max, 0), 0)::BIGINT AS s2 FROM swap),
+refitted AS (SELECT sample, CASE WHEN sample % 3 = 0 THEN 'reseeded' ELSE 'original' END AS fit, s2 AS estimated_genome_size, round(CASE WHEN s2 = 0 THEN 0 ELSE bases_after / s2 END, 6) AS coverage,
+  round(CASE WHEN s2 = 0 THEN 0 ELSE bases_before / s2 END, 6) AS coverage_before, array_to_string(f2, '; ') AS flags, len(f2) = 0 AS reliable FROM swapped)"""
+
+
+@query(with_domain("fits", f"WITH {_PROV}, {_APPLY} SELECT * FROM refitted"))
+def h7_apply_refit(spark, sf_dir):
+    v, s = V.provisional(domain(spark, sf_dir, "fits")), F.col("sample")
+    refits = v.filter(s % 3 == 0).withColumns({"size_max": F.when(s % 2 != 0, F.col("size_max") + 1000000), "fit_full": F.col("fit_full") + 5, "bias": F.lit(1.0)})
+    t = _joined(V.apply_refit(v, refits)).withColumns({c: F.round(c, 6) for c in ("coverage", "coverage_before")})
+    return t.select("sample", "fit", "estimated_genome_size", "coverage", "coverage_before", "flags", "reliable")
+
+
+@query(with_domain("fits", f"""WITH {_PROV}, {_RECHECK}, shown AS (SELECT *, estimated_genome_size <= 1 AS none FROM final)
+SELECT sample::VARCHAR AS sample, format('{{:,}}', CASE WHEN none THEN 0 ELSE estimated_genome_size END) AS estimated_genome_size, printf('%.2f', CASE WHEN none THEN 0 ELSE coverage_before END::DOUBLE) AS coverage_before,
+  printf('%.2f', CASE WHEN none THEN 0 ELSE coverage END::DOUBLE) AS coverage, printf('%.2f', retention_pct) AS retention_pct, printf('%.2f', 100 - retention_pct) AS removed_pct, coalesce(printf('%.2f', het_max), 'NA') AS het_max,
+  printf('%.2f', fit_full) AS fit_full, printf('%.2f', fit_all) AS fit_all, coalesce(printf('%.2f', peak_cov::DOUBLE), 'NA') AS peak_cov, CASE WHEN len(all_flags) = 0 THEN 'True' ELSE 'False' END AS reliable,
+  CASE WHEN len(all_flags) > 0 THEN 'UNRELIABLE_GENOME_SIZE_ESTIMATE' ELSE coverage_status END AS coverage_status, CASE WHEN coalesce(asm, 0) <> 0 THEN 'done' ELSE 'no_assembly_size' END AS assembly_cross_check FROM shown"""))
+def h9_coverage_table(spark, sf_dir):
+    return V.coverage_table(_recheck(spark, sf_dir).withColumn("removed_pct", 100 - F.col("retention_pct")))
+
+
+@query(with_domain("fits", f"""WITH {_PROV}, {_RECHECK} SELECT sample, CASE WHEN sample % 4 <> 0 AND len(all_flags) > 0 THEN 'UNRELIABLE_GENOME_SIZE_ESTIMATE' ELSE coverage_status END AS coverage_status FROM final"""))
+def h13_final_or_provisional(spark, sf_dir):
+    first, last = V.provisional(domain(spark, sf_dir, "fits")), _recheck(spark, sf_dir).filter("sample % 4 <> 0")
+    return V.final_or_provisional(last, first.select("sample", "coverage_status"))

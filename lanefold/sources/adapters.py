@@ -67,6 +67,26 @@ ADAPTERS = {
     "actions": """SELECT doc_id AS contig, CASE doc_id % 4 WHEN 0 THEN 'EXCLUDE' WHEN 1 THEN 'TRIM' ELSE 'REVIEW' END AS action,
           CASE WHEN doc_id % 4 = 1 THEN 1 + n_chars % 50 ELSE 1 END AS a_start, CASE WHEN doc_id % 4 = 1 THEN 40 + n_chars % 50 ELSE n_chars END AS a_end
         FROM {documents} WHERE doc_id % 5 < 2 AND n_chars > 100""",
+    "fastq_files": """SELECT concat('/in/OG', CAST(user_id % 200 AS VARCHAR), CASE event_id % 7 WHEN 0 THEN '.R1.fastq.gz' WHEN 1 THEN '.ilmn_R2.fq.gz'
+          WHEN 2 THEN concat('.a_R1_', CAST(event_id % 3 AS VARCHAR), '.fq') WHEN 3 THEN '.R2.fastq' WHEN 4 THEN '.R1.txt' ELSE '.plain.fq' END) AS path FROM {events}""",
+    "classes": """SELECT coalesce(source, '?') AS sample, concat('c', CAST(doc_id AS VARCHAR), ' len=', CAST(coalesce(n_chars, 0) AS VARCHAR), chr(9), CASE doc_id % 7 WHEN 0 THEN 'eukarya' WHEN 1 THEN concat('organelle', chr(9), 'mitochondrion')
+          WHEN 2 THEN 'bacteria' WHEN 3 THEN 'archaea' WHEN 4 THEN 'prokarya' WHEN 5 THEN concat('organelle', chr(9), 'plastid') ELSE 'notbacteria' END) AS line FROM {documents}""",
+    "curated": """SELECT CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_partkey END AS taxid, p_type AS class, concat(p_name, ' ', p_brand) AS species,
+          concat(p_brand, ', syn ', CAST(p_partkey % 50 AS VARCHAR)) AS synonym, split_part(p_name, ' ', 1) AS genus, concat(p_type, 'idae') AS family, concat(p_type, 'iformes') AS order_name FROM {part}""",
+    "asked": """SELECT id, raw, raw AS clean, split_part(raw, ' ', 1) AS genus FROM (SELECT c_custkey AS id, CASE c_custkey % 9 WHEN 0 THEN concat('COLD widget Brand#', CAST(c_custkey % 30 AS VARCHAR))
+          WHEN 1 THEN concat('syn ', CAST(c_custkey % 70 AS VARCHAR)) WHEN 2 THEN 'large unknowna' WHEN 3 THEN 'ECONOMYidae' WHEN 4 THEN 'promoiformes' WHEN 5 THEN 'ECONOMYida' WHEN 6 THEN 'PROMOiforme'
+          WHEN 7 THEN 'Zzz sp. x' ELSE 'zzz 3q' END AS raw FROM {customer}) a""",
+    "components": """SELECT user_id % 60 AS og_id, concat('2', CAST(event_id % 2 AS VARCHAR)) AS seq_date, event_type AS component, event_id % 4 <> 0 AS parsed,
+          concat('f', CAST(event_id AS VARCHAR), CASE WHEN event_id % 5 = 0 THEN '_reseeded_' ELSE '' END, CASE WHEN event_id % 3 = 0 THEN '.error.meta.' ELSE '.x.' END) AS name FROM {events}""",
+    "sequencing": """SELECT o_custkey AS og_id, concat('d', CAST(o_orderkey % 3 AS VARCHAR)) AS seq_date, o_orderkey AS sequencing_id, CASE WHEN o_orderkey % 4 = 0 THEN 'PacBio' ELSE 'Illumina' END AS technology,
+          CASE WHEN o_orderkey % 5 = 0 THEN 'hic' WHEN o_orderkey % 13 = 0 THEN NULL ELSE 'illumina' END AS library_type, CASE WHEN o_orderkey % 2 = 0 THEN 'NovaSeq' ELSE 'NextSeq' END AS instrument FROM {orders}""",
+    "drafts": """SELECT c_custkey AS og_id, concat('d', CAST(c_custkey % 3 AS VARCHAR)) AS seq_date, CASE c_custkey % 5 WHEN 0 THEN 'iSEQ' WHEN 1 THEN 'NEXT' ELSE 'NOVA' END AS mach FROM {customer}""",
+    "steps": """SELECT CAST(o_orderkey AS VARCHAR) AS jobid, CASE WHEN o_orderkey % 10 = 0 THEN 'RUNNING' WHEN o_orderkey % 3 = 0 THEN 'CANCELLED by 1' ELSE 'COMPLETED' END AS state, 2 + o_orderkey % 64 AS alloc_cpus, CAST(NULL AS BIGINT) AS ave_rss, CAST(NULL AS BIGINT) AS ntasks FROM {orders}
+        UNION ALL SELECT concat(CAST(l_orderkey AS VARCHAR), '.', CAST(l_linenumber AS VARCHAR)), 'COMPLETED', 2, l_partkey * 1000, CASE WHEN l_linenumber = 1 THEN NULL ELSE CAST(l_quantity AS BIGINT) END FROM {lineitem}""",
+    "job_meta": """SELECT o_orderkey % 5000 AS job_id, o_orderkey AS ord, concat('P', CAST(o_orderkey % 4 AS VARCHAR)) AS process, concat('T', CAST(o_custkey % 7 AS VARCHAR)) AS tag FROM {orders} WHERE o_orderkey % 3 <> 0""",
+    "checkpoints": """SELECT event_id AS id, event_id % 11 <> 0 AS present, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'old' ELSE 'k' END AS stored_key, 'k' AS key, event_id % 3 = 0 AS done,
+          event_id % 5 <> 0 AS has_output, event_id % 7 < 4 AS checkpoint FROM {events}""",
+    "tool_versions": """SELECT p_type AS grp, split_part(p_name, ' ', 2) AS tool, concat(CASE WHEN p_partkey % 20 = 3 THEN 'run/software_versions_' ELSE 'a/versions_' END, CAST(p_partkey AS VARCHAR)) AS path, CAST(p_size AS VARCHAR) AS version FROM {part}""",
 }
 _TABLE = re.compile(r"\{(\w+)\}")
 
