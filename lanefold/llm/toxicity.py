@@ -185,13 +185,14 @@ def learn(texts: list[str], toxic: list[int], surprise: float = 25.0, times: flo
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicField | None:
-    """Learns from about ``per_label`` documents of each label outside the held-out fold; null labels don't count.
+    """Learns from about ``per_label`` documents of each label outside the held-out fold; labels other than 0 and 1 don't count.
 
-    A document with several labels is toxic if any of them says so.
+    A document with several labels is toxic if any of them says so. Only the picked identifiers are broadcast, about
+    2 ``per_label`` of them, so texts aren't shuffled.
     """
     marks = labels.groupBy(F.col(id).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    picked = labelled_sample(marks, "y", per_label)
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).join(picked, "doc_id").select("doc_id", "text", "y")
+    picked = labelled_sample(marks.filter(F.col("y").isin(0, 1)), "y", per_label)
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
     found = sorted(((r["doc_id"], r["text"] or "", int(r["y"])) for r in rows.toLocalIterator()), key=lambda r: (r[0], r[1]))
     return learn([r[1] for r in found], [r[2] for r in found])
 
