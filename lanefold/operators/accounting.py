@@ -148,3 +148,10 @@ def fingerprint(files: DataFrame, key: str = "sample", version: str = "1", args:
     clean = " ".join(w for w in args.split() if not w.startswith(("-t=", "-m=", "--threads=", "--memory=")))
     lines = F.array_join(F.array_sort(F.collect_list(F.concat_ws("\t", "component", F.col("event_id").cast("string"), F.col("bytes").cast("string")))), "\n")
     return files.groupBy(key).agg(F.sha2(F.concat(F.lit(f"{version}\n{clean}\n"), lines), 256).alias("fingerprint"))
+
+
+def raw_audit(local: DataFrame, remote: DataFrame, key: str = "og_id") -> DataFrame:
+    """key, files and bytes of both sides (``files``, ``bytes``; null where a side lacks the key) and whether they agree."""
+    side = lambda df, n: df.groupBy(key).agg(F.sum("files").alias(f"{n}_files"), F.sum("bytes").alias(f"{n}_bytes"))
+    j = side(local, "local").join(side(remote, "remote"), key, "full")
+    return j.withColumn("agrees", F.coalesce((F.col("local_files") == F.col("remote_files")) & (F.col("local_bytes") == F.col("remote_bytes")), F.lit(False)))

@@ -120,3 +120,80 @@ def run_links(drafts: DataFrame, sequencing: DataFrame, instruments: dict[str, s
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("sequencing_id").isNotNull(), what))), ", ").alias("others"),
     )
     return t.withColumn("outcome", F.when(F.col("runs") != "", "linked").when(F.col("others") == "", "pending").otherwise("refused"))
+
+
+#: Tiers of a curated match that name the sample's own species, and those that are near misses.
+EXACT_LEVELS = ("species_exact", "synonym_exact")
+FUZZY_LEVELS = ("family_fuzzy", "order_fuzzy")
+
+
+def resolve(samples: DataFrame) -> DataFrame:
+    """``samples`` with taxid, class, source and rank_used in place of what the curated table and the taxonomy say.
+
+    Needs match_level, db_taxid, db_class (curated; null without a match) and tax_taxid, tax_class, tax_rank (all null
+    without one). An exact match with both values stands alone. Otherwise the curated class stays, unless the match
+    is fuzzy and the taxonomy knows the name, and the taxid is the taxonomy's where it has one, since a relative's
+    number isn't the sample's. ``source`` is db, db+taxdump, taxdump or unresolved.
+    """
+    level, has = F.coalesce("match_level", F.lit("")), F.coalesce("tax_taxid", "tax_class", "tax_rank").isNotNull()
+    exact = level.isin(*EXACT_LEVELS)
+    db_class = F.nullif("db_class", F.lit(""))
+    alone = exact & F.col("db_taxid").isNotNull() & db_class.isNotNull()
+    trusted = (level != "") & ~(level.isin(*FUZZY_LEVELS) & has)
+    own = exact & F.col("db_taxid").isNotNull()
+    taxid = F.when(trusted & own, F.col("db_taxid")).when(trusted, F.coalesce("tax_taxid", "db_taxid")).otherwise(F.col("tax_taxid"))
+    class_ = F.when(trusted, F.coalesce(db_class, F.nullif("tax_class", F.lit("")))).otherwise(F.nullif("tax_class", F.lit("")))
+    used = F.when(alone, False).when(trusted, (db_class.isNull() & F.coalesce(F.col("tax_class") != "", F.lit(False))) | (~own & F.col("tax_taxid").isNotNull())).otherwise(has)
+    source = F.when(taxid.isNull() | class_.isNull(), "unresolved").when(trusted & used, "db+taxdump").when(trusted, "db").otherwise("taxdump")
+    t = samples.select("*", taxid.alias("_t"), class_.alias("_c"), source.alias("_s"), F.when(used, F.coalesce("tax_rank", F.lit(""))).otherwise("").alias("_r"))
+    kept = [c for c in samples.columns if c not in ("db_taxid", "db_class", "tax_taxid", "tax_class", "tax_rank", "taxid", "class", "source", "rank_used")]
+    return t.select(*kept, F.col("_t").alias("taxid"), F.col("_c").alias("class"), F.col("_s").alias("source"), F.col("_r").alias("rank_used"))
+
+
+def build_sheet(pairs: DataFrame, resolved: DataFrame, run: str) -> DataFrame:
+    """One sheet row for each pair of files (og_id, r1, r2); what isn't resolved is ``unknown``. The date is the second part of ``run``."""
+    date = run.split("_")[1] if run.count("_") else ""
+    r = resolved.select("og_id", "nominal_species_id", F.col("taxid").cast("string").alias("taxid"), "class")
+    known = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("unknown"))
+    return pairs.join(r, "og_id", "left").select(
+        F.col("og_id").alias("sample"), F.lit(run).alias("run"), F.lit(date).alias("date"), F.concat("og_id", F.lit(f".ilmn.{date}")).alias("prefix"),
+        known("nominal_species_id").alias("nom_species_id"), known("taxid").alias("taxon_id"), known("class").alias("class"), F.col("r1").alias("fastq_1"), F.col("r2").alias("fastq_2"),
+    )
+
+
+def split_batch(wanted: DataFrame, files: DataFrame, first: tuple[str, ...], one: tuple[str, ...], status: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``wanted`` (og_id, seq_date) with a path for every component, and the others with the reason they are skipped.
+
+    ``files`` has og_id, seq_date, component and path. A component of ``one`` must have exactly one distinct path, one of ``first`` takes
+    the smallest. ``status`` (og_id, seq_date, status) must be ``ok`` for a row that has all.
+    """
+    keys = ["og_id", "seq_date"]
+    path = lambda c: F.when(F.col("component") == c, F.col("path"))
+    got = [F.when(F.lit(c in first) | (F.count_distinct(path(c)) == 1), F.min(path(c))).alias(c) for c in (*one, *first)]
+    t = wanted.select(*keys).join(files.groupBy(*keys).agg(*got), keys, "left")
+    t = t.join(status.groupBy(*keys).agg(F.min(F.coalesce(F.col("status") == "ok", F.lit(False))).alias("_ok")), keys, "left")
+    absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in (*one, *first)]))
+    reason = F.when(F.size(absent) > 0, F.concat(F.lit("missing or ambiguous: "), F.array_join(absent, " "))).when(~F.coalesce("_ok", F.lit(False)), "depth status is not ok")
+    t = t.withColumn("reason", reason)
+    return t.filter("reason is null").select(*keys, *one, *first), t.filter("reason is not null").select(*keys, "reason")
+
+
+def bundle(files: DataFrame, samples: DataFrame, shared: list[str]) -> DataFrame:
+    """sample and its sorted files with the ``shared`` ones behind; files of unknown samples and samples without files are left out."""
+    own = files.join(samples.select("sample").distinct(), "sample", "left_semi").groupBy("sample").agg(F.array_sort(F.collect_list("path")).alias("own"))
+    return own.select("sample", F.concat("own", F.array(*map(F.lit, shared)).cast("array<string>")).alias("files"))
+
+
+def collapse_parameters(rows: DataFrame, order: dict[str, int], run: str = "") -> DataFrame:
+    """position, tool, params, notes and samples: equal rows counted once samples and run are replaced by placeholders.
+
+    Tools stand by ``order`` (others at 999) and then by name.
+    """
+
+    def hide(c: str) -> Column:
+        without = F.regexp_replace(F.coalesce(c, F.lit("")), "OG[0-9]+", "<sample>")
+        return F.replace(without, F.lit(run), F.lit("<run>")) if run else without
+
+    t = rows.groupBy("tool", hide("params").alias("params"), hide("notes").alias("notes")).agg(F.count("*").alias("samples"))
+    rank = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])[F.col("tool")] if order else F.lit(None).cast("int")
+    return t.select(F.coalesce(rank, F.lit(999)).alias("position"), "tool", "params", "notes", "samples").orderBy("position", F.lower("tool"), "params", "notes")

@@ -88,3 +88,17 @@ def backfill_summary(samples: DataFrame) -> DataFrame:
         F.count_if(F.col("valid") & (F.col("mismatches") > 0)).alias("mismatched"),
     )
     return t.withColumn("safe_to_rerun", F.col("mismatched") == 0)
+
+
+def all_or_nothing(rows: DataFrame, error: str = "error") -> DataFrame:
+    """``rows`` without their error column, or an error that counts the rows which have one: nothing is written then."""
+    n = rows.filter(F.col(error).isNotNull()).count()
+    if n:
+        raise ValueError(f"{n} rows are not valid; nothing is applied")
+    return rows.drop(error)
+
+
+def merge_records(parts: list[DataFrame], group: str, identity: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Records of all ``parts`` joined on group and identity, and the groups whose parts don't share one identity."""
+    keys = [group, *identity]
+    return keyed_join(keys, *parts), mixed_identities(reduce(DataFrame.unionByName, [p.select(*keys) for p in parts]), group, identity)

@@ -18,4 +18,4 @@ def query(sql: str | None = None):
     return add
 
 
-from lanefold.plans import assembly, audits, parsing, samples, sequencing, streams, verdicts  # noqa: E402, F401  they register themselves
+from lanefold.plans import assembly, audits, parsing, records, samples, sequencing, streams, verdicts  # noqa: E402, F401  they register themselves
