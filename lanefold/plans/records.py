@@ -72,8 +72,8 @@ def _fastp_files(spark, sf_dir):
     return domain(spark, sf_dir, "fits").select(F.concat(F.lit("/f/OG"), _S("sample"), F.lit(".ilmn.NOVA_250131_AD.fastp.json")).alias("name"), js.alias("text"))
 
 
-@query(with_domain("fits", """SELECT 'OG' || sample AS og_id, '250131' AS seq_date, 'NOVA' AS mach, 'AD' AS initial, coalesce(peak_cov, 0) AS passed_filter_reads, 3 AS too_many_n_reads, 0 AS too_long_reads, CASE WHEN sample % 10 > 0 THEN bases_before END AS raw_total_reads,
-bases_after AS total_bases, 0.5 AS gc_content, CASE WHEN sample % 10 = 0 OR peak_cov IS NULL THEN 'missing ' || concat_ws(', ', CASE WHEN sample % 10 = 0 THEN 'before_filtering.total_reads, after_filtering.total_reads' END, CASE WHEN peak_cov IS NULL THEN 'passed_filter_reads' END) END AS error FROM fits"""))
+@query(with_domain("fits", """SELECT 'OG' || sample AS og_id, '250131' AS seq_date, 'NOVA' AS mach, 'AD' AS initial, coalesce(peak_cov, 0) AS passed_filter_reads, 3::BIGINT AS too_many_n_reads, 0::BIGINT AS too_long_reads, CASE WHEN sample % 10 > 0 THEN bases_before END AS raw_total_reads,
+bases_after AS total_bases, 0.5::DOUBLE AS gc_content, CASE WHEN sample % 10 = 0 OR peak_cov IS NULL THEN 'missing ' || concat_ws(', ', CASE WHEN sample % 10 = 0 THEN 'before_filtering.total_reads, after_filtering.total_reads' END, CASE WHEN peak_cov IS NULL THEN 'passed_filter_reads' END) END AS error FROM fits"""))
 def a10_fastp(spark, sf_dir):
     return R.fastp(_fastp_files(spark, sf_dir)).select("og_id", "seq_date", "mach", "initial", "passed_filter_reads", "too_many_n_reads", "too_long_reads", "raw_total_reads", "total_bases", "gc_content", "error")
 
@@ -123,7 +123,7 @@ def a22_tax_names(spark, sf_dir):
     return H.tax_names(domain(spark, sf_dir, "tax_nodes").select(F.concat(F.concat_ws("\t|\t", _S("taxid"), F.col("name"), F.lit(""), kind), F.lit("\t|")).alias("value")))
 
 
-@query(with_domain("tax_nodes", "SELECT taxid, name, CASE rank WHEN 'clade' THEN 0 WHEN 'class' THEN 1 WHEN 'order' THEN 2 WHEN 'family' THEN 3 ELSE 4 END AS depth, taxid * 2 AS clade_reads, substr(rank, 1, 1) AS rank_code FROM tax_nodes"))
+@query(with_domain("tax_nodes", "SELECT taxid, name, CASE rank WHEN 'clade' THEN 0 WHEN 'class' THEN 1 WHEN 'order' THEN 2 WHEN 'family' THEN 3 ELSE 4 END::BIGINT AS depth, taxid * 2 AS clade_reads, substr(rank, 1, 1) AS rank_code FROM tax_nodes"))
 def a23_clade_report(spark, sf_dir):
     level = F.when(F.col("rank") == "clade", 0).when(F.col("rank") == "class", 1).when(F.col("rank") == "order", 2).when(F.col("rank") == "family", 3).otherwise(4)
     line = F.concat_ws("\t", F.lit(" 1.50"), (F.col("taxid") * 2).cast("string"), F.lit("1"), F.substring("rank", 1, 1), _S("taxid"), F.concat(F.repeat(F.lit("  "), level), F.col("name")))

@@ -91,8 +91,8 @@ ADAPTERS = {
           CASE WHEN c_custkey % 17 = 0 THEN 'bad run' ELSE 'NOVA_250131_AD' END AS run, CASE WHEN c_custkey % 11 = 0 THEN 'Jan' ELSE '250131' END AS date, concat('p', CAST(c_custkey AS VARCHAR)) AS prefix, c_name AS nom_species_id,
           CASE c_custkey % 7 WHEN 0 THEN 'unknown' WHEN 1 THEN 'x' WHEN 2 THEN NULL ELSE '77' END AS taxon_id, c_mktsegment AS class, concat('/in/', CAST(c_custkey AS VARCHAR), '.R1.fq.gz') AS fastq_1,
           concat('/in/', CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 19 = 0 THEN '_2.fq.gz' ELSE '.R2.fastq.gz' END) AS fastq_2 FROM {customer}""",
-    "draft_files": """SELECT concat('OG', CAST(user_id % 60 AS VARCHAR)) AS og_id, CASE WHEN event_id % 2 = 0 THEN '250131' ELSE '250214' END AS seq_date, CASE event_id % 4 WHEN 0 THEN 'fastp' WHEN 1 THEN 'busco' WHEN 2 THEN 'hist' ELSE 'depth' END AS component,
-          concat('/d/OG', CAST(user_id % 60 AS VARCHAR), CASE WHEN event_id % 5 = 0 THEN '.ilmn.NOVA_250131_AD.' ELSE '.ilmn.250214.' END, CASE event_id % 4 WHEN 0 THEN 'fastp.json' WHEN 1 THEN 'full_table.tsv' WHEN 2 THEN 'meryl.hist' ELSE 'other' END) AS path FROM {events}""",
+    "draft_files": """SELECT concat('OG', CAST(user_id % 60 AS VARCHAR)) AS og_id, CASE WHEN event_id % 3 = 0 THEN '250131' ELSE '250214' END AS seq_date, CASE event_id % 4 WHEN 0 THEN 'fastp' WHEN 1 THEN 'busco' WHEN 2 THEN 'hist' ELSE 'depth' END AS component,
+          concat('/d/OG', CAST(user_id % 60 AS VARCHAR), CASE WHEN event_id % 5 = 0 AND user_id % 3 = 0 THEN '.ilmn.NOVA_250131_AD.' ELSE '.ilmn.250214.' END, CASE event_id % 4 WHEN 0 THEN 'fastp.json' WHEN 1 THEN 'full_table.tsv' WHEN 2 THEN 'meryl.hist' ELSE 'other' END) AS path FROM {events}""",
     "matches": """SELECT concat('OG', CAST(c_custkey AS VARCHAR)) AS og_id, c_name AS nominal_species_id, CASE c_custkey % 6 WHEN 0 THEN 'species_exact' WHEN 1 THEN 'synonym_exact' WHEN 2 THEN 'genus_exact' WHEN 3 THEN 'family_fuzzy' WHEN 4 THEN 'order_fuzzy' END AS match_level,
           CASE WHEN c_custkey % 6 < 5 AND c_custkey % 5 > 1 THEN c_custkey * 10 END AS db_taxid, CASE WHEN c_custkey % 6 < 5 AND c_custkey % 7 > 1 THEN 'dbclass' END AS db_class,
           CASE WHEN c_custkey % 4 > 0 THEN c_custkey * 100 END AS tax_taxid, CASE WHEN c_custkey % 4 > 1 THEN 'taxclass' END AS tax_class, CASE WHEN c_custkey % 4 > 0 THEN 'genus' END AS tax_rank FROM {customer}""",
