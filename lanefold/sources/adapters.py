@@ -1,7 +1,8 @@
 """Domain tables derived from the driver's tables.
 
 Each is one SELECT that Spark and DuckDB both understand, so a query and its oracle start from equal rows.
-``{G}`` stands for the flag that makes DuckDB's regexp_replace global.
+``{G}`` stands for the flag that makes DuckDB's regexp_replace global, ``{EACH}(a, b))`` for a row for each number from a to b.
+``reads`` holds the whole text of a document in pieces of 400 letters, whose halves are the mates; read_id is doc_id and the piece's number.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ ADAPTERS = {
         SELECT source AS sample, doc_id AS contig,
           CASE WHEN doc_id % 97 = 0 THEN concat(substr(s, 1, 50), 'NNNNNNNN', substr(s, 51)) ELSE s END AS seq
         FROM (SELECT source, doc_id, {_SEQ} AS s FROM {{documents}}) a) b WHERE length(seq) > 0""",
-    "reads": f"""SELECT source AS sample, doc_id AS read_id, mate, substr(s, 1 + (mate - 1) * 200, 200) AS seq,
-          translate(substr(s, 1 + (mate - 1) * 200, 200), 'ACGT', 'I5#A') AS qual
-        FROM (SELECT source, doc_id, {_SEQ} AS s FROM {{documents}}) a CROSS JOIN (SELECT 1 AS mate UNION ALL SELECT 2 AS mate) m
-        WHERE length(substr(s, 1 + (mate - 1) * 200, 200)) > 0""",
+    "reads": f"""SELECT sample, read_id, mate, substr(piece, 1 + (mate - 1) * 200, 200) AS seq, translate(substr(piece, 1 + (mate - 1) * 200, 200), 'ACGT', 'I5#A') AS qual
+        FROM (SELECT sample, doc_id * 1000000 + i AS read_id, substr(s, CAST(1 + i * 400 AS INT), 400) AS piece
+          FROM (SELECT source AS sample, doc_id, s, {{EACH}}(0, CAST(floor((length(s) - 1) / 400) AS BIGINT))) AS i
+            FROM (SELECT source, doc_id, {_SEQ} AS s FROM {{documents}}) a WHERE length(s) > 0) b) c CROSS JOIN (SELECT 1 AS mate UNION ALL SELECT 2 AS mate) m
+        WHERE length(substr(piece, 1 + (mate - 1) * 200, 200)) > 0""",
     "alignments": """SELECT l_suppkey AS contig, (l_orderkey * 7 + l_linenumber * 13) % 5000 AS a_start,
           (l_orderkey * 7 + l_linenumber * 13) % 5000 + CAST(l_quantity AS BIGINT) AS a_end, l_linenumber * 8 AS mapq,
           CASE WHEN l_returnflag = 'R' THEN 256 WHEN l_returnflag = 'A' THEN 0 ELSE 16 END AS flag FROM {lineitem}""",
@@ -102,13 +104,14 @@ _TABLE = re.compile(r"\{(\w+)\}")
 
 def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One domain table."""
-    sql = ADAPTERS[name].replace("{G}", "")
+    sql = ADAPTERS[name].replace("{G}", "").replace("{EACH}", "explode(sequence")
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_TABLE.findall(sql))}
     return spark.sql(sql.replace("VARCHAR", "STRING"), **tables)
 
 
 def with_domain(names: str, sql: str) -> str:
     """``sql`` for DuckDB with the named domain tables in front."""
-    parts = [f"{n} AS ({_TABLE.sub(lambda m: m[1], ADAPTERS[n].replace('{G}', ', ' + repr('g')))})" for n in names.split()]
+    duck = {n: ADAPTERS[n].replace("{G}", ", 'g'").replace("{EACH}", "unnest(generate_series") for n in names.split()}
+    parts = [f"{n} AS ({_TABLE.sub(lambda m: m[1], t)})" for n, t in duck.items()]
     sql = sql.strip()
     return "WITH " + ", ".join(parts) + (", " + sql[5:] if sql.upper().startswith("WITH ") else " " + sql)
