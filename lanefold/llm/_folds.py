@@ -14,9 +14,10 @@ def held_out(id: str = "doc_id") -> Column:
 def labelled_sample(rows: DataFrame, label: str, per_label: int, id: str = "doc_id") -> DataFrame:
     """About ``per_label`` rows of each label outside the held-out fold, chosen by a hash of the identifier.
 
-    Labels with fewer rows give all. Only identifiers and labels are counted; the bound is on rows.
+    Labels with fewer rows give all, however many labels there are. Only identifiers and labels are counted; the bound is
+    on rows. The counts are broadcast, as joins by label would shuffle texts; callers collect more than a row a label anyway.
     """
     rows = rows.filter(F.col(label).isNotNull() & F.col(id).isNotNull() & ~held_out(id))
     n = rows.groupBy(F.col(label).alias("_l")).agg(F.count("*").alias("_n"))
     share = F.pmod(F.xxhash64(F.lit(5), F.col(id)), F.lit(1 << 30)) / float(1 << 30)
-    return rows.join(F.broadcast(n.orderBy(F.col("_n").desc()).limit(1000)), F.col(label) == F.col("_l")).filter(share * F.col("_n") < per_label).drop("_l", "_n")
+    return rows.join(F.broadcast(n), F.col(label) == F.col("_l")).filter(share * F.col("_n") < per_label).drop("_l", "_n")

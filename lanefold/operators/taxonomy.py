@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,22 +18,33 @@ def clean_species(name: Column) -> Column:
     return F.array_join(F.slice(words, 1, 2), " ")
 
 
-def closure(nodes: DataFrame, most_levels: int = 64) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    """Written below ``spark.checkpoint.dir``, or a temporary folder on one machine, and read back."""
+    base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "lanefold-shared")
+    path = f"{base.rstrip('/')}/closure-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def closure(nodes: DataFrame) -> DataFrame:
     """taxid, ancestor, depth for every node and itself (0), by doubling: paths of up to 2**n steps after n joins.
 
-    A root's missing or dangling parent ends a path.
+    A root's missing or dangling parent ends a path; joins go on until no path grows. Raises ValueError on a cycle
+    of several nodes: one of them comes back to itself. Each round is written, so that plans don't double too.
     """
     links = nodes.select("taxid", F.col("parent").alias("up")).join(nodes.select(F.col("taxid").alias("up")), "up", "left_semi").filter("up <> taxid")
     reach = nodes.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("depth"))
-    jump, step = links.select("taxid", "up"), 1
-    while step < most_levels:
-        far = reach.join(jump.withColumnRenamed("taxid", "mid"), F.col("ancestor") == F.col("mid")).select(reach["taxid"], F.col("up").alias("ancestor"), (F.col("depth") + step).alias("depth"))
+    jump, step = _written(links.select("taxid", "up")), 1
+    while True:
+        far = reach.join(jump.withColumnRenamed("taxid", "mid"), F.col("ancestor") == F.col("mid"))
+        far = _written(far.select(reach["taxid"], F.col("up").alias("ancestor"), (F.col("depth") + step).alias("depth")))
         if far.isEmpty():
-            break
+            return reach
+        if not far.filter("taxid = ancestor").isEmpty():
+            raise ValueError("the parents of the taxonomy form a cycle")
         reach = reach.unionByName(far)
-        jump = jump.alias("a").join(jump.alias("b"), F.expr("a.up = b.taxid")).select("a.taxid", "b.up")
+        jump = _written(jump.alias("a").join(jump.alias("b"), F.expr("a.up = b.taxid")).select("a.taxid", "b.up"))
         step *= 2
-    return reach
 
 
 def in_clade(closed: DataFrame, clade: int) -> DataFrame:
