@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanefold.functions.sequences import count_of, reverse_complement
@@ -75,18 +75,30 @@ def seq_stats(contigs: DataFrame) -> DataFrame:
     )
 
 
-def nstar(lengths: DataFrame, fractions: tuple[int, ...] = (10, 20, 30, 40, 50, 60, 70, 80, 90, 100), expected: int | None = None) -> DataFrame:
+def nstar(lengths: DataFrame, fractions: tuple[int, ...] = (10, 20, 30, 40, 50, 60, 70, 80, 90, 100), sizes: DataFrame | None = None) -> DataFrame:
     """sample, pct, n (length at which the running sum crosses pct % of the total), l (contigs needed), aun.
 
-    ``expected`` takes the place of the total where it is positive; a percentage never reached has nulls.
+    ``sizes`` (sample, expected) puts a sample's expected size in the place of its total where that is positive (NG*);
+    a percentage never reached has nulls. Contigs are counted by length first, so the window runs over a sample's
+    different lengths, not its contigs; null lengths are left out, a sample of empty contigs has a null aun.
     """
-    w = Window.partitionBy("sample").orderBy(F.col("length").desc(), "contig")
-    every = Window.partitionBy("sample")
-    total = F.sum("length").over(every) if not expected or expected <= 0 else F.lit(expected)
-    t = lengths.select("sample", "length", F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"), F.row_number().over(w).alias("rank"), total.alias("total"))
-    aun = (F.sum(F.col("length") * F.col("length")) / F.first("total")).alias("aun")
-    cols = [F.struct(F.lit(p).alias("pct"), F.max(F.when(F.col("run") * 100 >= F.col("total") * p, F.col("length"))).alias("n"), F.min(F.when(F.col("run") * 100 >= F.col("total") * p, F.col("rank"))).alias("l")) for p in fractions]
-    return t.groupBy("sample").agg(F.array(*cols).alias("xs"), aun).select("sample", "aun", F.explode("xs").alias("x")).select("sample", "x.pct", "x.n", "x.l", "aun")
+    size = F.col("length").cast("long")
+    t = lengths.filter("length IS NOT NULL").groupBy("sample", size.alias("length")).agg(F.count("*").alias("k"))
+    totals = t.groupBy("sample").agg(F.sum(F.col("length") * F.col("k")).alias("total"), F.sum(F.col("length").cast("double") * F.col("length") * F.col("k")).alias("squares"))
+    if sizes is not None:
+        totals = totals.join(sizes.select("sample", "expected"), "sample", "left").withColumn("total", F.when(F.col("expected") > 0, F.col("expected").cast("long")).otherwise(F.col("total")))
+    w = Window.partitionBy("sample").orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    t = t.select("sample", "length", "k", F.sum(F.col("length") * F.col("k")).over(w).alias("run"), F.sum("k").over(w).alias("rank")).join(totals, "sample")
+    before = F.col("run") - F.col("length") * F.col("k")
+
+    def crossing(p: int) -> Column:
+        """The largest length that reaches the share, and the contigs up to the one that does."""
+        lacking = F.col("total") * p - before * 100
+        more = F.greatest(F.ceil(F.try_divide(lacking, F.col("length") * 100)), F.lit(1))
+        return F.max(F.when(F.col("run") * 100 >= F.col("total") * p, F.struct("length", (F.col("rank") - F.col("k") + more).alias("l"))))
+
+    t = t.groupBy("sample").agg(F.array(*[F.struct(F.lit(p).alias("pct"), crossing(p).alias("at")) for p in fractions]).alias("xs"), F.first(F.try_divide("squares", "total")).alias("aun"))
+    return t.select("sample", "aun", F.explode("xs").alias("x")).select("sample", "x.pct", F.col("x.at.length").alias("n"), F.col("x.at.l").alias("l"), "aun")
 
 
 def split_scaffolds(contigs: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def f1_seq_stats(spark, sf_dir):
 
 
 _NSTAR = """, r AS (SELECT sample, length, sum(length) OVER w AS run, row_number() OVER w AS rank, sum(length) OVER (PARTITION BY sample) AS total FROM {t} WINDOW w AS (PARTITION BY sample ORDER BY length DESC, contig{more} ROWS UNBOUNDED PRECEDING)),
-a AS (SELECT sample, sum(length * length) / any_value(total) AS aun FROM r GROUP BY sample)
+a AS (SELECT sample, sum(length::DOUBLE * length) / any_value(total) AS aun FROM r GROUP BY sample)
 SELECT r.sample, p AS pct, max(length) FILTER (run * 100 >= total * p) AS n, min(rank) FILTER (run * 100 >= total * p) AS l, any_value(aun) AS aun
 FROM r JOIN a ON a.sample = r.sample, (VALUES (10), (20), (30), (40), (50), (60), (70), (80), (90), (100)) x(p) GROUP BY r.sample, p"""
 
@@ -75,6 +75,13 @@ def f2_nstar(spark, sf_dir):
     return C.nstar(domain(spark, sf_dir, "contigs"))
 
 
+@query(with_domain("contigs", "WITH one AS (SELECT 1)" + _NSTAR.format(t="contigs", more="").replace("sum(length) OVER (PARTITION BY sample) AS total", "CASE WHEN length(sample) % 3 = 0 THEN sum(length) OVER (PARTITION BY sample) ELSE 150000 * length(sample) END AS total")))
+def f2_ngstar(spark, sf_dir):
+    contigs = domain(spark, sf_dir, "contigs")
+    sizes = contigs.select("sample").distinct().withColumn("expected", F.when(F.length("sample") % 3 > 0, F.length("sample") * 150_000))
+    return C.nstar(contigs, sizes=sizes)
+
+
 @query(with_domain("contigs", "WITH parts AS (SELECT sample, contig, unnest(string_split_regex(seq, 'N+')) AS seq FROM contigs), p AS (SELECT *, length(seq) AS length FROM parts WHERE seq <> '') " + _STATS.format(t="p")))
 def f3_scaffold_parts(spark, sf_dir):
     return C.seq_stats(C.split_scaffolds(domain(spark, sf_dir, "contigs")))
