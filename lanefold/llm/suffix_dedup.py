@@ -11,8 +11,8 @@ equal windows have equal anchors at equal places. Neighbouring windows of one an
    classified, leftmost-smaller substrings are sorted by a first induction, named, and sorted
    recursively; the order of all suffixes is induced from theirs in linear time. Induction is done by
    bucket with numpy. Permuted common prefixes give each window's longest match with another one.
-3. Anchors with more than ``CROWDED`` different segments are too large for one array: their
-   windows are compared by 128-bit hashes, spread over all tasks. Results are the same.
+3. An anchor whose different segments exceed ``ANCHOR_BYTES`` is too large for one array: its segments
+   are cut by longer anchors (250, 325, ... bytes) and counted and searched in the same way.
 4. The repeated windows are sent back to the texts that hold the segments, and bytes are cut there.
 """
 
@@ -29,38 +29,22 @@ from pyspark.sql import functions as F
 from lanefold.llm._common import load, short_batches, text_key, written
 
 GRAM = 100
-CROWDED = 2000
 SHARD_BYTES = 1 << 20
-#: Strings up to this length are sorted directly at the end of the recursion.
-DIRECT = 1 << 19
+#: An anchor whose different segments have more bytes is split by longer substrings.
+ANCHOR_BYTES = 2 << 20
+#: Symbols beyond which a reduced string is written with two digits a symbol, as induction goes bucket by bucket.
+WIDE = 1024
 RANGES = "array<struct<from:int,to:int>>"
 
 # --- suffix arrays --------------------------------------------------------------------------------
 
 
-def _doubling(t: np.ndarray) -> np.ndarray:
-    """Suffix array of a string at the end of the recursion, by doubling ranks."""
-    n, k = len(t), 1
-    rank = np.unique(t, return_inverse=True)[1].astype(np.int64)
-    while True:
-        both = rank * (n + 1)
-        both[: n - k] += rank[k:] + 1
-        order = np.argsort(both, kind="stable")
-        both = both[order]
-        new = np.concatenate(([0], np.cumsum(both[1:] != both[:-1])))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1:
-            return order
-        k *= 2
-
-
 class _Induction:
     """Buckets of one string, and the two induced-sorting passes over them."""
 
     def __init__(self, t: np.ndarray, sigma: int):
         self.sigma, n = sigma, len(t)
-        self.t = t.astype(np.uint8 if sigma <= 256 else np.uint16)  # short keys sort by radix
+        self.t = t.astype(np.uint8 if sigma <= 256 else np.uint16 if sigma <= 1 << 16 else np.uint32)  # short keys sort by radix
         step = np.diff(t)
         at = np.where(step != 0, np.arange(n - 1), n)
         nearest = np.minimum.accumulate(at[::-1])[::-1]  # the next place where the symbol changes
@@ -122,19 +106,31 @@ class _Induction:
         return sa
 
 
-def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
-    """Suffix array of ``t``, whose last symbol 0 occurs nowhere else; symbols are below ``sigma``."""
-    n = len(t)
-    if n <= DIRECT:
-        return _doubling(t)
-    if sigma > 4096:  # large alphabets: two digits a symbol, which keeps the order of suffixes
-        base = int(np.ceil(np.sqrt(sigma)))
-        digits = np.empty(2 * n - 1, np.int64)
+def _digits(t: np.ndarray, sigma: int) -> tuple[np.ndarray, int, _Induction] | None:
+    """Two digits a symbol, which keeps the order of suffixes; None if no base leaves few enough smaller substrings."""
+    root = int(np.ceil(np.sqrt(sigma)))
+    for base in (root, root + root // 3, root - root // 4, root * 2):
+        digits = np.empty(2 * len(t) - 1, np.int64)
         digits[0::2], digits[1::2] = t // base + 1, (t % base + 1)[:-1]
         digits[-1] = 0
-        sa = suffix_array(digits, base + 2)
+        work = _Induction(digits, max(base, -(-sigma // base)) + 2)
+        if len(work.lms) <= 0.8 * len(t):
+            return digits, work.sigma, work
+    return None
+
+
+def suffix_array(t: np.ndarray, sigma: int, work: _Induction | None = None) -> np.ndarray:
+    """Suffix array of ``t``, whose last symbol 0 occurs nowhere else; symbols are below ``sigma``.
+
+    The recursion ends where all leftmost-smaller substrings differ; every level is shorter than the one before.
+    """
+    n = len(t)
+    if n == 1:
+        return np.zeros(1, np.int64)
+    if work is None and sigma > WIDE and (split := _digits(t, sigma)):
+        sa = suffix_array(*split)
         return sa[sa % 2 == 0] // 2
-    work = _Induction(t, sigma)
+    work = work or _Induction(t, sigma)
     lms = work.lms
     sa = work.run(lms)
     is_lms = np.zeros(n, bool)
@@ -144,12 +140,7 @@ def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     stop = np.zeros(n, np.int64)
     stop[lms[:-1]], stop[lms[-1]] = lms[1:], n - 1
     size = stop[order] - order + 1
-    salt = np.random.default_rng(7).integers(1, 1 << 63, sigma, np.uint64)
-    base, back = _powers(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(salt[t] * back[:n], out=sums[1:])
-    h = (sums[order + size] - sums[order]) * base[order]
-    new = np.concatenate(([0], np.cumsum((np.diff(size) != 0) | (h[1:] != h[:-1]))))
+    new = np.concatenate(([0], np.cumsum(~_equal_neighbours(t, order, size))))
     if new[-1] < len(order) - 1:
         name = np.zeros(n, np.int64)
         name[order] = new
@@ -157,6 +148,19 @@ def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     return work.run(order)
 
 
+def _equal_neighbours(t: np.ndarray, order: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the substring of ``size`` symbols at each place of ``order`` is the same as at the place before it."""
+    same = size[1:] == size[:-1]
+    todo, k = np.flatnonzero(same), 0
+    while len(todo):
+        ok = t[order[todo + 1] + k] == t[order[todo] + k]
+        same[todo[~ok]] = False
+        k += 1
+        todo = todo[ok]
+        todo = todo[size[todo] > k]
+    return same
+
+
 _POWERS: list[np.ndarray] = []
 
 
@@ -218,8 +222,8 @@ _SALT = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
 _LOW = np.uint64(24)
 
 
-def segments(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """first window, number of windows, anchor and content hash (signed) of the segments of one text."""
+def segments(raw: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """first window, number of windows, anchor (of ``gram`` bytes) and content hash (signed) of the segments of one text."""
     n = len(raw)
     if n < length:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
@@ -227,11 +231,11 @@ def segments(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     base, back = _powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_SALT[data] * back[:n], out=sums[1:])
-    h = (sums[GRAM:] - sums[:-GRAM]) * base[: n - GRAM + 1]
+    h = (sums[gram:] - sums[:-gram]) * base[: n - gram + 1]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
-    w, m = length - GRAM + 1, n - length + 1
+    w, m = length - gram + 1, n - length + 1
     mask = np.uint64((1 << 24) - 1)
     first, count, anchor = [], [], []
     # pieces keep places within 24 bits
@@ -327,20 +331,50 @@ def shard_ranges(data: DataFrame, length: int) -> DataFrame:
     return rows.groupBy("shard").applyInArrow(run, f"key long, seg long, ranges {RANGES}").filter("size(ranges) > 0")
 
 
-def crowded_ranges(data: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many segments, by hashes of their windows."""
+def _small_and_large(data: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Segments of anchors with at most ``ANCHOR_BYTES`` of different ones, and of the others."""
+    size = data.groupBy("key").agg(F.sum(F.octet_length("data")).alias("size")).filter(F.col("size") > ANCHOR_BYTES).select("key")
+    large = written(size, "large-anchors")
+    return data.join(large, "key", "left_anti"), data.join(large, "key", "left_semi")
+
+
+def longer_anchors(data: DataFrame, length: int, gram: int) -> DataFrame:
+    """key, seg, ranges of segments whose anchor has too many for one array: each is cut into segments by anchors of
+    ``gram`` bytes, which are counted and searched in the same way. Anchors of ``length`` bytes are whole windows, so
+    equal ones have been counted and none is left to search."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, s, d in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "data")), strict=True):
-                view = memoryview(d)
-                hashes = [xxhash.xxh3_128_digest(view[i : i + length]) for i in range(len(d) - length + 1)]
-                n = len(hashes)
-                yield _batch([[k] * n, [s] * n, list(range(n)), hashes], [pa.int64(), pa.int64(), pa.int32(), pa.binary()], ["key", "seg", "at", "h"])
+                first, count, key, seg = segments(d, length, gram)
+                n = len(first)
+                parts = [d[i : i + c + length - 1] for i, c in zip(first.tolist(), count.tolist(), strict=True)]
+                kinds = [*[pa.int64()] * 2, pa.int32(), pa.int32(), *[pa.int64()] * 2, pa.binary()]
+                yield _batch([np.full(n, k), np.full(n, s), first.astype(np.int32), count.astype(np.int32), key, seg, parts], kinds, ["of_key", "of_seg", "at", "windows", "key", "seg", "data"])
+
+    found = written(data.select("key", "seg", "data").mapInArrow(run, "of_key long, of_seg long, at int, windows int, key long, seg long, data binary"), "inner-segments")
+    by_content = written(found.groupBy("key", "seg").agg(F.count("*").alias("n")), "inner-contents")
+    whole = by_content.filter("n > 1").select("key", "seg", F.lit(None).cast(RANGES).alias("ranges"))
+    several = by_content.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("key")
+    one = written(found.join(several, "key", "left_semi").groupBy("key", "seg").agg(F.first("data").alias("data")), "inner-data")
+    single = by_content.filter("n = 1").select("key", "seg")
+    inner = whole.unionByName(searched(one, length, gram).join(single, ["key", "seg"], "left_semi"))
+    hit = found.drop("data").join(inner, ["key", "seg"])
+    every = F.array(F.struct(F.lit(0).alias("from"), (F.col("windows") - 1).alias("to")))
+    moved = F.transform(F.coalesce("ranges", every), lambda r: F.struct((r["from"] + F.col("at")).alias("from"), (r["to"] + F.col("at")).alias("to")))
+    out = hit.select(F.col("of_key").alias("key"), F.col("of_seg").alias("seg"), moved.alias("ranges"))
+    return out.groupBy("key", "seg").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+
 
-    seen = written(data.mapInArrow(run, "key long, seg long, at int, h binary"), "windows")
-    more = seen.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
-    return seen.join(more, "h").groupBy("key", "seg").agg(F.transform(F.array_sort(F.collect_list("at")), lambda x: F.struct(x.alias("from"), x.alias("to"))).alias("ranges"))
+def searched(data: DataFrame, length: int, gram: int) -> DataFrame:
+    """key, seg, ranges of different segments (key, seg, data) by suffix arrays, crowded anchors by longer ones first."""
+    if gram >= length:
+        return shard_ranges(data.limit(0), length)
+    small, large = _small_and_large(data)
+    found = shard_ranges(small, length)
+    if large.limit(1).count():
+        found = found.unionByName(longer_anchors(large, length, gram + max(1, (length - gram + 1) // 2)))
+    return found
 
 
 def repeated_segments(docs: DataFrame, length: int, text: str) -> tuple[DataFrame, DataFrame]:
@@ -351,12 +385,10 @@ def repeated_segments(docs: DataFrame, length: int, text: str) -> tuple[DataFram
     many = by_content.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     whole = by_content.filter("n > 1").select("key", "seg", F.lit(None).cast(RANGES).alias("ranges"))
     # Segments that occur twice need no search themselves, but others are compared with them.
-    wanted = by_content.join(many, "key").select("one.t1", "one.t2", "key", "seg", "n", "kinds")
-    data = written(fetch_segments(docs, wanted, length, text).join(wanted.select("key", "seg", "n", "kinds"), ["key", "seg"]), "segment-data")
-    found = shard_ranges(data.filter(F.col("kinds") <= CROWDED).select("key", "seg", "data"), length)
-    crowded = crowded_ranges(data.filter(F.col("kinds") > CROWDED).select("key", "seg", "data"), length)
+    wanted = by_content.join(many, "key").select("one.t1", "one.t2", "key", "seg")
+    data = written(fetch_segments(docs, wanted, length, text), "segment-data")
     single = by_content.filter("n = 1").select("key", "seg")
-    parts = found.unionByName(crowded).join(single, ["key", "seg"], "left_semi")
+    parts = searched(data, length, GRAM).join(single, ["key", "seg"], "left_semi")
     return seen, written(whole.unionByName(parts), "repeated")
 
 

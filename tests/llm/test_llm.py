@@ -80,9 +80,9 @@ def brute_dedup(raws, n):
     return out
 
 
-@pytest.mark.parametrize("crowded", [2000, 2])
-def test_suffix_dedup(spark, monkeypatch, crowded):
-    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+@pytest.mark.parametrize("most", [suffix_dedup.ANCHOR_BYTES, 1000])
+def test_suffix_dedup(spark, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "ANCHOR_BYTES", most)
     rng = np.random.default_rng(3)
     word = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
     shared = word(500)
@@ -93,14 +93,18 @@ def test_suffix_dedup(spark, monkeypatch, crowded):
     assert suffix_dedup.cut_repeats(docs(spark, texts).limit(0)).collect() == []
 
 
-def test_suffix_array_recursion(monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "DIRECT", 16)
+def test_suffix_array():
     rng = np.random.default_rng(1)
-    for sigma in (2, 3, 30):
-        t = np.append(rng.integers(1, sigma, 3000), 0)
-        t[1000:1500] = t[:500]
-        b = bytes(t.astype(np.uint8))
-        assert suffix_dedup.suffix_array(t, sigma).tolist() == sorted(range(len(t)), key=lambda k: b[k:])
+    for n, sigma in ((1, 2), (2, 2), (5, 2), (40, 3), (3000, 2), (3000, 3), (3000, 30), (6000, 3000)):
+        t = rng.integers(1, sigma, n)
+        t[n // 3 : n // 2] = t[: n // 2 - n // 3]
+        t = np.append(t, 0)
+        b = t.astype(">u4").tobytes()
+        assert suffix_dedup.suffix_array(t, sigma).tolist() == sorted(range(len(t)), key=lambda k: b[4 * k :])
+    rising = np.append(np.tile(np.arange(1, 3001), 2), 0)
+    b = rising.astype(">u4").tobytes()
+    assert suffix_dedup.suffix_array(rising, 3001).tolist() == sorted(range(len(rising)), key=lambda k: b[4 * k :])
+    assert suffix_dedup.suffix_array(np.array([1] * 500 + [0]), 2).tolist() == list(range(500, -1, -1))
 
 
 def test_chat_format(spark):
