@@ -2,21 +2,25 @@
 
 A fingerprint is cut into ``segments`` around a ring. If two fingerprints differ in at most ``radius``
 bits, some segment starts a chain such that the first l segments of it differ in at most
-l * radius / segments bits in sum, for every l. Chains are used for as long as that budget stays
-below two bits: the first segments must be equal, and of the next ones one may differ, so either half
-of these is equal. Each (start, equal segments) is a key of an equi-join; pairs that share a key then
-pass the whole chain and the Hamming check, vectorised inside tasks. With 9 segments and radius 4 a key
-has three segments, 21 bits, of which every fingerprint has 18.
+l * radius / segments bits in sum, for every l. So the first segments of a chain (budget below one)
+are equal, the next ones up to a budget below two differ once at most, those up to a budget below three
+twice with them, and so on. Each of these stretches is cut in half: of the first i stretches at least i
+halves are equal, for every i. Every (start, equal segments) that this allows is a key of an equi-join;
+pairs that share a key then pass the whole chain, segment by segment, which ends with the Hamming check
+itself. With 9 segments and radius 4, keys of one, two or three stretches have 21, 28 or 35 bits, and a
+fingerprint has 18, 45 or 126 of them: how many stretches are used follows from the number of
+different fingerprints, so that keys stay short at any size. Results don't depend on it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanefold.llm._common import load, short_batches, text_key, written
@@ -73,27 +77,44 @@ def fingerprints(docs: DataFrame, words: int = 4, text: str = "text", keep: list
     return rows.mapInArrow(run, schema)
 
 
-def ring(radius: int, segments: int) -> tuple[list[tuple[int, int]], list[tuple[int, list[int]]]]:
+def ring(radius: int, segments: int, depth: int = 1) -> tuple[list[tuple[int, int]], list[tuple[int, list[int]]]]:
     """Bit ranges (shift, width) of the segments, and (start, equal segments) of each key.
 
-    The first ``free`` segments of a chain have a budget below one difference, so they are equal; up to
-    ``wide`` the budget is below two, so of two halves of the segments between, one is equal.
+    The first ``free`` segments of a chain have a budget below one difference, so they are equal; the i-th
+    stretch after them ends where the budget reaches i + 1. ``depth`` stretches are used, as many as there are.
     """
     if not 0 <= radius < segments <= 64:
         raise ValueError("radius must be below the number of segments, and that at most 64")
     edges = [64 * k // segments for k in range(segments + 1)]
     ranges = [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
-    free = max(n for n in range(1, segments + 1) if n * radius < segments)
-    wide = max(n for n in range(1, segments + 1) if n * radius < 2 * segments)
+    ends = [max(n for n in range(1, segments + 1) if n * radius < (i + 1) * segments) for i in range(min(depth, max(radius - 1, 0)) + 1)]
+    stretches = []
+    for a, b in zip(ends, ends[1:], strict=False):
+        if b - a < 2:
+            break
+        half = (a + b) // 2
+        stretches.append((range(a, half), range(half, b)))
+    halves = [(i, h) for i, two in enumerate(stretches) for h in two]
+    enough = lambda pick: all(sum(i <= k for i, _ in pick) > k for k in range(len(stretches)))
+    picks = [p for p in combinations(halves, len(stretches)) if enough(p)]
     keys = []
     for s in range(segments if radius else 1):
-        chain = [(s + k) % segments for k in range(wide)]
-        half = (free + wide) // 2
-        ends = [chain[free:half], chain[half:]] if wide - free > 1 else [[]]
-        keys += [(s, chain[:free] + e) for e in ends]
+        for pick in picks:
+            keys.append((s, [(s + k) % segments for k in [*range(ends[0]), *(k for _, h in pick for k in h)]]))
     return ranges, keys
 
 
+def depth_for(n: int, radius: int, segments: int) -> int:
+    """The number of stretches with the least work for ``n`` fingerprints: rows of keys, and pairs that meet in them at a
+    hundredth of a row each."""
+
+    def work(depth: int) -> float:
+        ranges, keys = ring(radius, segments, depth)
+        return sum(1 + 0.01 * n / 2.0 ** sum(ranges[k][1] for k in at) for _, at in keys)
+
+    return min(range(1, max(radius, 2)), key=work)
+
+
 def chain_ok(diff: np.ndarray, start: np.ndarray, radius: int, ranges: list[tuple[int, int]]) -> np.ndarray:
     """Which differences stay within the budget of every chain length from their ``start``; all round the
     ring that is the Hamming check itself, so pairs are pruned segment by segment."""
@@ -111,8 +132,8 @@ def chain_ok(diff: np.ndarray, start: np.ndarray, radius: int, ranges: list[tupl
     return out
 
 
-def spanning_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span the components of "differ in at most ``radius`` bits", found breadth first.
+def spanning_links(fps: np.ndarray, linked) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the components of the relation ``linked`` (of differences), found breadth first.
 
     Each fingerprint is compared with those not reached yet, so a group of near copies costs one pass.
     """
@@ -121,7 +142,7 @@ def spanning_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             k = queue.pop()
-            near = np.bitwise_count(fps[rest] ^ fps[k]) <= radius
+            near = linked(fps[rest] ^ fps[k])
             if near.any():
                 hit = rest[near]
                 a.append(np.full(len(hit), k))
@@ -132,35 +153,34 @@ def spanning_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray
 
 
 EDGES = "a long, b long, key long, block binary"
-FEW = 24
+#: Runs up to this length are compared together for all keys, longer ones key by key; both pass the same chain.
+SHORT_RUN = 24
 
 
 def _links_in(key: np.ndarray, fp: np.ndarray, starts: np.ndarray, radius: int, ranges: list) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the runs of equal ``key``; short runs of all keys at once, long ones one by one."""
+    """Links within the runs of equal ``key`` that pass the chain from the key's start."""
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.append(first, len(key)))
     a, b = [], []
-    few = np.repeat(size <= FEW, size)
-    for d in range(1, min(FEW, len(key))):
-        at = np.flatnonzero((key[d:] == key[:-d]) & few[d:])
+    short = np.repeat(size <= SHORT_RUN, size)
+    for d in range(1, min(SHORT_RUN, len(key))):
+        at = np.flatnonzero((key[d:] == key[:-d]) & short[d:])
         if not len(at):
             break
         at = at[chain_ok(fp[at] ^ fp[at + d], starts[at], radius, ranges)]
         a.append(fp[at])
         b.append(fp[at + d])
-    for k in np.flatnonzero(size > FEW):
-        mine = fp[first[k] : first[k] + size[k]]
-        x, y = spanning_links(mine, radius)
+    for k in np.flatnonzero(size > SHORT_RUN):
+        mine, start = fp[first[k] : first[k] + size[k]], starts[first[k]]
+        x, y = spanning_links(mine, lambda diff, s=start: chain_ok(diff, np.full(len(diff), s), radius, ranges))
         a.append(mine[x])
         b.append(mine[y])
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.uint64),) * 2
 
 
-def _edges(batches: Iterator[pa.RecordBatch], radius: int, segments: int) -> Iterator[pa.RecordBatch]:
-    """Links of a stream that is sorted by key; members of a key beyond BLOCK also leave as blocks."""
-    ranges, keys = ring(radius, segments)
-    start_of = np.array([s for s, _ in keys])
-    kinds = len(keys)
+def _edges(batches: Iterator[pa.RecordBatch], radius: int, ranges: list, start_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Links of a stream that is sorted by key; of a key beyond BLOCK members, links within blocks, and the blocks."""
+    kinds = len(start_of)
 
     def out(a, b, key=None, block=None) -> pa.RecordBatch:
         cols = [pa.array(np.asarray(x, np.uint64).view(np.int64)) for x in (a, b)] + [pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.binary())]
@@ -197,12 +217,10 @@ def _edges(batches: Iterator[pa.RecordBatch], radius: int, segments: int) -> Ite
         yield links(key, fp)
 
 
-def hamming_links(fps: DataFrame, radius: int = 4, segments: int = 9) -> DataFrame:
-    """a and b: links that connect the distinct values of ``fp`` exactly as all pairs within ``radius`` do."""
-    spark = fps.sparkSession
-    ranges, keys = ring(radius, segments)
+def _keyed(rows: DataFrame, ranges: list, keys: list, starts: bool) -> DataFrame:
+    """fp and key of every key of a fingerprint (of its column ``start`` only, if ``starts``)."""
 
-    def key_of(n: int, at: list[int]):
+    def key_of(n: int, at: list[int]) -> Column:
         """The bits of the equal segments side by side (far below 64), and the kind of key as remainder."""
         out = F.lit(0).cast("long")
         for seg in at:
@@ -210,30 +228,59 @@ def hamming_links(fps: DataFrame, radius: int = 4, segments: int = 9) -> DataFra
             out = F.shiftleft(out, width).bitwiseOR(F.shiftrightunsigned(F.col("fp"), shift).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1)))
         return out * len(keys) + n
 
-    rows = fps.select("fp").filter("fp is not null").distinct()
-    rows = rows.select("fp", F.explode(F.array(*[key_of(n, at) for n, (_, at) in enumerate(keys)])).alias("key"))
-    rows = rows.repartition("key").sortWithinPartitions("key", "fp")
-    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(conf, "10000")
-    spark.conf.set(conf, "50000")
-    try:
-        found = written(rows.mapInArrow(lambda it: _edges(it, radius, segments), EDGES), "links")
-        blocks = found.filter("block is not null").select("key", "block", F.xxhash64("block").alias("h"))
-        pairs = blocks.alias("x").join(blocks.alias("y"), F.expr("x.key = y.key and x.h < y.h")).select(F.col("x.block").alias("x"), F.col("y.block").alias("y"))
-        pairs = pairs.repartition(F.xxhash64("x", "y"))
-
-        def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    fp = np.frombuffer(row["x"] + row["y"], np.uint64)
-                    a, b = spanning_links(fp, radius)
-                    yield pa.RecordBatch.from_arrays([pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], names=["a", "b"])
-
-        more = written(pairs.mapInArrow(across, "a long, b long"), "links") if blocks.limit(1).count() else None
-    finally:
-        spark.conf.set(conf, was)
-    edges = found.filter("block is null").select("a", "b")
-    return edges if more is None else edges.unionByName(more)
+    every = [key_of(n, at) if not starts else F.when(F.col("start") == s, key_of(n, at)) for n, (s, at) in enumerate(keys)]
+    return rows.select("fp", F.explode(F.array_compact(F.array(*every)) if starts else F.array(*every)).alias("key"))
+
+
+def _hot_members(found: DataFrame, start_of: np.ndarray) -> DataFrame:
+    """fp and start of the members of crowded keys."""
+    kinds, starts = len(start_of), start_of.tolist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, block in zip(batch.column("key").to_pylist(), batch.column("block").to_pylist(), strict=True):
+                fp = np.frombuffer(block, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(fp), pa.array(np.full(len(fp), starts[k % kinds], np.int32))], names=["fp", "start"])
+
+    return found.filter("block IS NOT NULL").select("key", "block").mapInArrow(run, "fp long, start int").distinct()
+
+
+def hamming_links(fps: DataFrame, radius: int = 4, segments: int = 9, depth: int | None = None) -> DataFrame:
+    """a and b: links that connect the distinct values of ``fp`` exactly as all pairs within ``radius`` do.
+
+    Keys with more than ``BLOCK`` members are cut again by the keys of all stretches from their start. What is
+    crowded even then (over ``BLOCK`` fingerprints that agree in more than half their bits) is compared block by
+    block. Null fingerprints are left out; an empty table gives an empty one.
+    """
+    spark = fps.sparkSession
+    rows = written(fps.select("fp").filter("fp is not null").distinct(), "distinct")
+    deepest = max(radius - 1, 1)
+    depth = depth_for(rows.count(), radius, segments) if depth is None else depth
+    edges, starts = None, False
+    while True:
+        ranges, keys = ring(radius, segments, depth)
+        start_of = np.array([s for s, _ in keys])
+        keyed = _keyed(rows, ranges, keys, starts).repartition("key").sortWithinPartitions("key", "fp")
+        found = written(keyed.mapInArrow(lambda it, r=ranges, s=start_of: _edges(it, radius, r, s), EDGES), "links")
+        part = found.filter("block IS NULL").select("a", "b")
+        edges = part if edges is None else edges.unionByName(part)
+        if not found.filter("block IS NOT NULL").limit(1).count():
+            return edges
+        if depth >= deepest:
+            break
+        rows, starts, depth = written(_hot_members(found, start_of), "hot"), True, deepest
+    blocks = found.filter("block IS NOT NULL").select("key", "block", F.xxhash64("block").alias("h"))
+    pairs = blocks.alias("x").join(blocks.alias("y"), F.expr("x.key = y.key and x.h < y.h")).select(F.col("x.block").alias("x"), F.col("y.block").alias("y"))
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                fp = np.frombuffer(x + y, np.uint64)
+                a, b = spanning_links(fp, lambda diff: np.bitwise_count(diff) <= radius)
+                yield pa.RecordBatch.from_arrays([pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], names=["a", "b"])
+
+    short_batches(spark)
+    return edges.unionByName(written(pairs.repartition(F.xxhash64("x", "y")).mapInArrow(across, "a long, b long"), "links"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, segments: int = 9, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -247,9 +294,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, segments:
     marked = written(fingerprints(docs.select(id, text), words, text, [id]), "fingerprints")
     roots = components(hamming_links(marked, radius, segments))
     each = marked.groupBy("fp").agg(F.min(id).alias("low"))
-    each = each.join(roots, each["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = each.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = each.join(lows, "root").select("fp", "component_id")
+    each = written(each.join(roots, each["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "classes")
+    # Both sides of the joins are tables of their own, so that a large component or many blank texts can be dealt to several tasks.
+    lows = written(each.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
+    of = written(each.join(lows, "root").select("fp", "component_id"), "components")
     return marked.join(of, "fp").select(id, "fp", "component_id")
 
 

@@ -214,14 +214,15 @@ def test_simhash(spark):
     assert simhash.near_duplicates(docs(spark, texts).limit(0)).collect() == []
 
 
-def test_hamming_links_are_complete(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 50)
+@pytest.mark.parametrize(("depth", "block"), [(None, simhash.BLOCK), (1, 50), (2, 30), (3, 20)])
+def test_hamming_links_are_complete(spark, monkeypatch, depth, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     rng = np.random.default_rng(6)
     fps = rng.integers(0, 1 << 63, 300, np.uint64)
     near = np.concatenate([fps[:40] ^ np.uint64(1 << int(b)) for b in range(0, 40, 3)] + [np.uint64(7) ^ (np.uint64(1) << np.arange(60, dtype=np.uint64))])
     every = np.unique(np.concatenate((fps, near)))
     df = spark.createDataFrame([(int(x),) for x in every.view(np.int64)], "fp long")
-    root = {r["node"]: r["root"] for r in components(simhash.hamming_links(df)).collect()}
+    root = {r["node"]: r["root"] for r in components(simhash.hamming_links(df, depth=depth)).collect()}
     low = {int(x): int(x) for x in every.view(np.int64)}
     link = np.bitwise_count(every[:, None] ^ every[None]) <= 4
     label = np.arange(len(every))
@@ -233,6 +234,21 @@ def test_hamming_links_are_complete(spark, monkeypatch):
     assert all(len(v) == 1 for v in group.values()) and len(group) == len({min(v) for v in group.values()})
 
 
+def test_every_near_pair_shares_a_key():
+    rng = np.random.default_rng(2)
+    sizes = {d: [len(simhash.ring(4, 9, d)[1]), min(sum(simhash.ring(4, 9, d)[0][k][1] for k in at) for _, at in simhash.ring(4, 9, d)[1])] for d in (1, 2, 3)}
+    assert sizes == {1: [18, 21], 2: [45, 28], 3: [126, 35]}
+    assert [simhash.depth_for(n, 4, 9) for n in (10, 10**6, 10**9, 10**11)] == [1, 1, 2, 3]
+    for radius, segments in ((4, 9), (3, 10), (1, 4), (0, 3), (7, 16)):
+        for depth in range(1, max(radius, 2)):
+            ranges, keys = simhash.ring(radius, segments, depth)
+            for _ in range(300):
+                diff = sum(1 << int(b) for b in rng.choice(64, radius, replace=False))
+                ok = {s for s in range(segments) if simhash.chain_ok(np.array([diff], np.uint64), np.array([s]), radius, ranges)[0]}
+                clean = {k for k, (a, w) in enumerate(ranges) if not diff >> a & (1 << w) - 1}
+                assert any(s in ok and set(at) <= clean for s, at in keys)
+
+
 def test_components_chain(spark):
     df = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7), (None, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(df).collect()}
