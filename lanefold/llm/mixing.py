@@ -9,14 +9,18 @@ hypergeometric draw of the node's counts, so all counts stay exact and no shard
 randomness. A shard takes the next blocks of each source's permuted sequence, as many as it was
 dealt, so the shards' draws are disjoint, and shuffles its documents locally.
 
-Planned on the driver: one row a source and its counts by shard. Everything that grows with the
-documents stays in DataFrames; blocks grow in size with the corpus, so there are at most
-``MOST_BLOCKS`` of them and one more for each source.
+The driver sees one row a source: its name and number of draws. The tree is split in tasks, one for
+each subtree, which walks down from the root by the same seeded draws; it gives a range of draws for
+each (source, shard), and draws and blocks meet by a join. Blocks grow in size with the corpus, so
+there are at most ``MOST_BLOCKS`` of them and one more for each source; shards are no smaller than blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +28,9 @@ from lanefold.llm._common import load, written
 
 #: Fixed value: a word of the contract.
 WORD = r"[^\x20\x09-\x0D]+"
-MOST_BLOCKS = 65_536
+MOST_BLOCKS = 1 << 20
+#: Levels of the tree that every task walks down; below them a task has a subtree of its own.
+TOP_LEVELS = 8
 NAMES = ("_size", "_h", "_block")
 
 
@@ -50,24 +56,52 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) ->
     return t.withColumn("target", F.least("cap", F.max("level").over(every) * F.col("w"))).select("source", "source_size", "target")
 
 
-def split_counts(counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """A (shards, sources) table whose columns sum to ``counts`` and whose rows differ by one draw at most."""
-    out = np.zeros((shards, len(counts)), np.int64)
-
-    def node(lo: int, hi: int, held: np.ndarray) -> None:
+def halve(held: np.ndarray, lo: int, hi: int, seed: int) -> np.ndarray:
+    """What the left half of the shards lo to hi gets of the counts ``held``: a multivariate hypergeometric draw."""
+    total = int(held.sum())
+    room = total * ((lo + hi) // 2 - lo) // (hi - lo)
+    return np.random.default_rng([seed, lo, hi]).multivariate_hypergeometric(held, room, method="marginals") if total else held
+
+
+def subtree(counts: np.ndarray, shards: int, seed: int, path: int, levels: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """shard, first draw and number of draws of each source, for the shards below the node that the bits of ``path`` lead to."""
+    lo, hi, held, before = 0, shards, np.asarray(counts, np.int64), np.zeros(len(counts), np.int64)
+    for level in range(levels):
+        right = path >> (levels - 1 - level) & 1
+        if hi - lo == 1:  # a leaf above this level belongs to the leftmost path below it
+            if right:
+                return
+            continue
+        left = halve(held, lo, hi, seed)
+        if right:
+            before, held, lo = before + left, held - left, (lo + hi) // 2
+        else:
+            held, hi = left, (lo + hi) // 2
+    todo = [(lo, hi, held, before)]
+    while todo:
+        lo, hi, held, before = todo.pop()
         if hi - lo == 1:
-            out[lo] = held
-            return
-        mid = (lo + hi) // 2
-        total = int(held.sum())
-        room = total * (mid - lo) // (hi - lo)
-        rng = np.random.default_rng([seed, lo, hi])
-        left = rng.multivariate_hypergeometric(held, room, method="marginals") if total else held
-        node(lo, mid, left)
-        node(mid, hi, held - left)
+            yield lo, before, held
+            continue
+        left = halve(held, lo, hi, seed)
+        todo += [((lo + hi) // 2, hi, held - left, before + left), (lo, (lo + hi) // 2, left, before)]
+
+
+def split_draws(spark: SparkSession, counts: list[int], shards: int, seed: int) -> DataFrame:
+    """k, shard, draw: the shard of every draw of the k-th source; shards' numbers of draws differ by the tree's depth at most."""
+    levels = min(TOP_LEVELS, max(shards - 1, 0).bit_length())
+    held = np.asarray(counts, np.int64)
 
-    node(0, shards, np.asarray(counts, np.int64))
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("id").to_pylist():
+                for shard, first, n in subtree(held, shards, seed, path, levels):
+                    k = np.flatnonzero(n)
+                    cols = [pa.array(k), pa.array(np.full(len(k), shard)), pa.array(first[k]), pa.array(first[k] + n[k] - 1)]
+                    yield pa.RecordBatch.from_arrays(cols, names=["k", "shard", "first", "last"])
+
+    ranges = spark.range(0, 1 << levels, 1, 1 << max(0, levels - 3)).mapInArrow(run, "k long, shard long, first long, last long")
+    return ranges.select("k", F.col("shard").cast("int").alias("shard"), F.explode(F.sequence("first", "last")).alias("draw"))
 
 
 def _marked(docs: DataFrame, seed: int, id: str, text: str) -> DataFrame:
@@ -78,10 +112,6 @@ def _block(n: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(1), "_h"), n)
 
 
-#: Rounds in which the block where a target ends is filled up.
-ROUNDS = 6
-
-
 def _taken(fills: Column) -> Column:
     """Whether any round of filling takes the document: it fits what was left, and comes by hash no later than the last that did."""
     return F.exists(fills, lambda f: (F.col("_size") <= f["left"]) & (F.col("_h") <= f["cut"]))
@@ -111,7 +141,8 @@ def plan_blocks(slim: DataFrame, weights: tuple[float, ...], cap: float, block_w
     # again those of the others that fit into what is left.
     ends = sums.filter("left is not null").select(F.col("source").alias("s"), F.col("block").alias("b"), "left", F.array().cast("array<struct<left:double,cut:bigint>>").alias("fills"))
     inside = written(rows.join(ends.select("s", "b"), F.expr("source <=> s and block = b")).select("s", "_size", "_h"), "ends")
-    for _ in range(ROUNDS):
+    filled = None
+    while True:
         ends = ends.withColumnRenamed("s", "e")
         open_ = inside.join(ends, F.expr("s <=> e")).filter((F.col("_size") <= F.col("left")) & ~_taken(F.col("fills")))
         upto = F.sum("_size").over(Window.partitionBy("s").orderBy("_h"))
@@ -121,19 +152,24 @@ def plan_blocks(slim: DataFrame, weights: tuple[float, ...], cap: float, block_w
             F.when(F.col("cut").isNotNull(), F.array_append("fills", F.struct("left", "cut"))).otherwise(F.col("fills")).alias("fills"),
         )
         ends = written(ends, "ends")
+        now = ends.agg(F.sum(F.size("fills"))).first()[0]
+        if now == filled:  # in no source does any other document fit
+            break
+        filled = now
     planned = sums.drop("left").join(ends.select("s", "b", "fills"), F.expr("source <=> s and block = b and size(fills) > 0"), "left").drop("s", "b")
     planned = planned.withColumn("draws", F.col("passes") + F.when(F.col("whole") | F.col("fills").isNotNull(), 1).otherwise(0))
-    counts = planned.groupBy("source").agg(F.sum("draws").alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()
-    shards = max(1, -(-int(total) // shard_words))
-    table = np.cumsum(split_counts(np.array([r["n"] for r in counts], np.int64), shards, seed), 0) if counts else np.zeros((1, 0), np.int64)
-    bounds = spark.createDataFrame([(r["source"], table[:, k].tolist()) for k, r in enumerate(counts)], "s string, bounds array<long>")
-    planned = planned.join(bounds, F.expr("source <=> s"), "left").drop("s")
-    # Draw j of a source is block j mod blocks of pass j div blocks; it goes to the shard whose range holds j.
-    shard_of = lambda j: F.size(F.filter("bounds", lambda x: x <= j))
-    n_whole = F.col("passes") + F.when(F.col("whole"), 1).otherwise(0)
-    shards_col = F.when(n_whole > 0, F.transform(F.sequence(F.lit(0).cast("long"), n_whole - 1), lambda p: shard_of(p * F.col("blocks") + F.col("block")))).otherwise(F.array().cast("array<int>"))
-    planned = planned.withColumn("shards", shards_col)
-    planned = planned.withColumn("part", F.when(F.col("fills").isNotNull(), shard_of(F.col("passes") * F.col("blocks") + F.col("block"))))
+    planned = written(planned, "draws")
+    counts = planned.groupBy("source").agg(F.sum("draws").alias("n"), F.first("blocks").alias("blocks")).orderBy(F.col("source").asc_nulls_last()).collect()
+    shards = max(1, -(-int(total) // max(shard_words, step)))
+    numbered = spark.createDataFrame([(k, r["source"], r["blocks"]) for k, r in enumerate(counts)], "k long, s string, n long")
+    # Draw j of a source is block j mod n of pass j div n; the last pass ends with the partly taken block.
+    drawn = split_draws(spark, [r["n"] for r in counts], shards, seed).join(numbered, "k")
+    drawn = drawn.groupBy("s", F.pmod("draw", "n").alias("b")).agg(F.array_sort(F.collect_list(F.struct("draw", "shard"))).alias("drawn"))
+    planned = planned.join(drawn, F.expr("source <=> s and block = b"), "left").drop("s", "b")
+    all_shards = F.coalesce(F.transform("drawn", lambda d: d["shard"]), F.array().cast("array<int>"))
+    partly = F.col("fills").isNotNull()
+    planned = planned.withColumn("shards", F.when(partly, F.slice(all_shards, 1, F.greatest(F.size(all_shards) - 1, F.lit(0)))).otherwise(all_shards))
+    planned = planned.withColumn("part", F.when(partly, F.get(all_shards, F.size(all_shards) - 1)))
     return written(planned.select(F.col("source").alias("p_source"), "block", "blocks", "source_size", "target", "shards", "part", "fills"), "plan")
 
 

@@ -156,10 +156,17 @@ def test_mix(spark):
     assert mixing.plan_mix(df.limit(0)).collect() == []
 
 
-def test_split_counts_are_exact():
-    counts = np.array([100, 0, 7, 33])
-    table = mixing.split_counts(counts, 6, 1)
-    assert (table.sum(0) == counts).all() and np.ptp(table.sum(1)) <= 2 and (table >= 0).all()
+def test_split_draws_are_exact(spark):
+    counts = [100, 0, 7, 33]
+    for shards in (1, 2, 6, 300):
+        rows = mixing.split_draws(spark, counts, shards, 1).collect()
+        assert sorted((r["k"], r["draw"]) for r in rows) == [(k, j) for k, n in enumerate(counts) for j in range(n)]
+        size = Counter(r["shard"] for r in rows)
+        assert set(size) <= set(range(shards)) and max(size.values()) - min(size[s] for s in range(shards)) <= 2
+        by_draw = {k: [r["shard"] for r in sorted(rows, key=lambda r: r["draw"]) if r["k"] == k] for k in range(4)}
+        assert all(x == sorted(x) for x in by_draw.values())
+    whole = {s: n.tolist() for s, _, n in mixing.subtree(np.array(counts), 6, 1, 0, 0)}
+    assert whole == {s: n.tolist() for p in range(8) for s, _, n in mixing.subtree(np.array(counts), 6, 1, p, 3)}
 
 
 def scalar_ima(block):
