@@ -5,9 +5,12 @@
    represented by its rarest words; the corpus positions of those words are the index, one row for
    each word and text, stored as Parquet.
 3. Postings meet the items on the word. A posting at position p of a word that stands at place o of an
-   item votes for the alignment p - o; alignments where all chosen words of a window meet are
-   candidates: the offset-adjusted lists are intersected from the rarest words on.
-4. Candidate windows are compared word by word with their texts.
+   item votes for the alignment p - o of item and text. Alignments of a single vote end there; the others
+   meet the windows on (item, place of its first chosen word), and are candidates where all chosen words
+   of the window have voted: the offset-adjusted lists are intersected from the rarest words on.
+4. Candidate windows are compared with the words of their texts by a 128-bit hash of the window.
+
+``near_matches`` finds, from the same index, chosen words of a window that are near each other in a text.
 
 Items are taken in blocks of a bounded number of words, so what is sent to the tasks is bounded
 whatever the size of the test set; each further block is a further pass over the corpus.
@@ -20,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,22 +104,17 @@ def build_index(docs: DataFrame, terms: dict[bytes, int], text: str = "text") ->
     return written(rows, "postings")
 
 
-def proximity(index: DataFrame, first: int, second: int, within: int) -> DataFrame:
-    """t1, t2, p, q: every pair of places of two indexed words that are at most ``within`` words apart."""
-    a = index.filter(F.col("term") == first).select("t1", "t2", F.explode("positions").alias("p"))
-    b = index.filter(F.col("term") == second).select("t1", "t2", F.explode("positions").alias("q"))
-    # places meet in equal or neighbouring cells of ``within`` words
-    a = a.withColumn("cell", F.floor(F.col("p") / max(within, 1)))
-    b = b.withColumn("cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("q") / max(within, 1)) + d)))
-    return a.join(b, ["t1", "t2", "cell"]).filter(F.abs(F.col("p") - F.col("q")) <= within).select("t1", "t2", "p", "q").distinct()
+def _digest(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
 
 
-def phrase_candidates(docs: DataFrame, items: list[tuple[str, list[bytes]]], window: int, anchors: int, text: str) -> DataFrame:
-    """t1, t2, item, words, shift and places: alignments at which the rarest words of some windows all meet."""
+def indexed_windows(docs: DataFrame, items: list[tuple[str, list[bytes]]], window: int, anchors: int, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The index of the chosen words; their places in the items (item_no, place, term, alone: a window needs no other word);
+    and the windows: item_no, item, place, n words, digest, need (places of the chosen words) and first (of them)."""
     spark = docs.sparkSession
     vocabulary = {w: k for k, w in enumerate(dict.fromkeys(w for _, ws in items for w in ws))}
     freq = count_terms(docs, vocabulary, text)
-    rows, chosen = [], set()
+    rows, chosen = [], {}
     for n, (item, ws) in enumerate(items):
         ids = [vocabulary[w] for w in ws]
         for place, length in windows_of(len(ws), window):
@@ -123,17 +122,44 @@ def phrase_candidates(docs: DataFrame, items: list[tuple[str, list[bytes]]], win
             if freq.get(ids[order[0]], 0) == 0:
                 continue  # a word that the corpus doesn't have
             need = sorted(order[:anchors])
-            rows.append((n, place, need))
-            chosen.update((n, o, ids[o]) for o in need)
-    index = build_index(docs, {w: k for w, k in vocabulary.items() if k in {c[2] for c in chosen}}, text)
-    spots = spark.createDataFrame([(n, o, k) for n, o, k in sorted(chosen)], "item_no long, place int, term long")
-    windows = spark.createDataFrame(rows, "item_no long, place int, need array<int>")
-    named = spark.createDataFrame([(n, i, b" ".join(ws)) for n, (i, ws) in enumerate(items)], "item_no long, item string, words binary")
-    votes = index.join(spots, "term").select("item_no", "t1", "t2", "place", F.explode("positions").alias("p"))
-    met = votes.groupBy("item_no", "t1", "t2", (F.col("p") - F.col("place")).alias("shift")).agg(F.collect_set("place").alias("met"))
-    found = met.join(windows, "item_no").filter((F.col("shift") + F.col("place") >= 0) & (F.size(F.array_except("need", "met")) == 0))
-    found = found.groupBy("item_no", "t1", "t2", "shift").agg(F.collect_set("place").alias("places"))
-    return found.join(named, "item_no").select("t1", "t2", "item", "words", "shift", "places")
+            rows.append((n, item, place, length, _digest(ws[place : place + length]), need, need[0]))
+            for o in need:
+                chosen[n, o, ids[o]] = chosen.get((n, o, ids[o]), False) or len(need) == 1
+    used = {k for _, _, k in chosen}
+    index = build_index(docs, {w: k for w, k in vocabulary.items() if k in used}, text)
+    spots = spark.createDataFrame([(*at, alone) for at, alone in chosen.items()], "item_no long, place int, term long, alone boolean")
+    return index, spots, spark.createDataFrame(rows, "item_no long, item string, place int, n int, digest binary, need array<int>, first int")
+
+
+def phrase_candidates(docs: DataFrame, items: list[tuple[str, list[bytes]]], window: int, anchors: int, text: str) -> DataFrame:
+    """t1, t2, item, at (position in the text, 0 or more), n and digest of windows whose rarest words all stand where they should."""
+    index, spots, windows = indexed_windows(docs, items, window, anchors, text)
+    votes = index.join(spots, "term").select("item_no", "t1", "t2", "place", "alone", F.explode("positions").alias("p"))
+    met = votes.groupBy("item_no", "t1", "t2", (F.col("p") - F.col("place")).alias("shift")).agg(F.collect_set("place").alias("met"), F.max("alone").alias("alone"))
+    met = met.filter((F.size("met") > 1) | F.col("alone"))
+    # Windows meet alignments at one place, so an item costs its alignments what they match, not all its windows.
+    found = met.withColumn("first", F.explode("met")).join(windows, ["item_no", "first"])
+    found = found.filter((F.col("shift") + F.col("place") >= 0) & (F.size(F.array_except("need", "met")) == 0))
+    return found.select("t1", "t2", "item", (F.col("shift") + F.col("place")).alias("at"), "n", "digest")
+
+
+def near_matches(docs: DataFrame, items: DataFrame, within: int = 5, window: int = 10, block_words: int = 2_000_000, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """t1, t2 (see ``text_key``), item, place, p, q: where the two rarest words of an item's window lie at most ``within`` words
+    apart in a text, in any order. Windows of one word, and of two equal ones, have none; an empty table gives an empty one."""
+    out = docs.sparkSession.createDataFrame([], "t1 long, t2 long, item string, place int, p int, q int")
+    for block in item_blocks(items, block_words, item_id, item_text):
+        index, spots, windows = indexed_windows(docs, block, window, 2, text)
+        pairs = windows.filter(F.size("need") == 2).select("item_no", "item", "place", F.col("need")[0].alias("o1"), F.col("need")[1].alias("o2"))
+        term = lambda o, name, s=spots: s.select("item_no", F.col("place").alias(o), F.col("term").alias(name))
+        pairs = pairs.join(term("o1", "k1"), ["item_no", "o1"]).join(term("o2", "k2"), ["item_no", "o2"]).filter("k1 <> k2").select("item", "place", "k1", "k2")
+        asked = written(pairs.select("k1", "k2").distinct(), "pairs")
+        cell = max(within, 1)
+        a = index.join(asked, F.col("term") == F.col("k1")).select("k1", "k2", "t1", "t2", F.explode("positions").alias("p")).withColumn("cell", F.floor(F.col("p") / cell))
+        b = index.join(asked, F.col("term") == F.col("k2")).select("k1", "k2", "t1", "t2", F.explode("positions").alias("q"))
+        b = b.withColumn("cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("q") / cell) + d)))
+        near = a.join(b, ["k1", "k2", "t1", "t2", "cell"]).filter(F.abs(F.col("p") - F.col("q")) <= within).select("k1", "k2", "t1", "t2", "p", "q").distinct()
+        out = out.unionByName(written(near.join(pairs, ["k1", "k2"]).select("t1", "t2", "item", "place", "p", "q").distinct(), "near"))
+    return out
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, anchors: int = 2, block_words: int = 2_000_000, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -153,8 +179,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, anchors:
         part = written(phrase_candidates(docs, block, window, anchors, text), "candidates")
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = spark.createDataFrame([], "t1 long, t2 long, item string, words binary, shift int, places array<int>")
-    per_text = found.groupBy("t1", "t2").agg(F.collect_list(F.struct("item", "words", "shift", "places")).alias("_found"))
+        found = spark.createDataFrame([], "t1 long, t2 long, item string, at int, n int, digest binary")
+    per_text = found.groupBy("t1", "t2").agg(F.collect_set(F.struct("item", "at", "n", "digest")).alias("_found"))
     rows = kept.withColumns({"_t1": text_key(text)[0], "_t2": text_key(text)[1]})
     rows = rows.join(per_text, F.expr("_t1 = t1 and _t2 = t2"), "left").select(*kept.columns, "_found")
     schema = kept.withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "spans": F.array().cast("array<struct<start:int,end:int>>")}).schema
@@ -168,13 +194,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, anchors:
                 ws = words_of(t)
                 hit, whose = np.zeros(len(ws) + 1, np.int64), set()
                 for c in cands or ():
-                    item = c["words"].split(b" ")
-                    for place in c["places"]:
-                        a, n = c["shift"] + place, min(window, len(item))
-                        if ws[a : a + n] == item[place : place + n]:
-                            hit[a] += 1
-                            hit[a + n] -= 1
-                            whose.add(c["item"])
+                    a, n = c["at"], c["n"]
+                    if a + n <= len(ws) and _digest(ws[a : a + n]) == c["digest"]:
+                        hit[a] += 1
+                        hit[a + n] -= 1
+                        whose.add(c["item"])
                 covered = (np.cumsum(hit) > 0).astype(np.int8)
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], covered))))
                 spans = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)]

@@ -287,8 +287,18 @@ def test_contamination(spark, block):
         assert (got[n]["n_words"], got[n]["n_hit"], got[n]["items"]) == (len(w), len(hit), sorted(found))
         assert sum(s["end"] - s["start"] for s in got[n]["spans"]) == len(hit)
     assert decontaminate.contamination(docs(spark, texts), bench.limit(0), block_words=block).filter("n_hit > 0").count() == 0
-    index = decontaminate.build_index(docs(spark, ["a b c a", "b"]), {b"a": 0, b"c": 1})
-    assert sorted((r["p"], r["q"]) for r in decontaminate.proximity(index, 0, 1, 1).collect()) == [(3, 2)]
+
+
+def test_near_matches(spark):
+    texts = ["rare x other y", "other a b c d e f rare", "x other rare", None, "rare", "other"]
+    bench = spark.createDataFrame([(1, "rare common other"), (2, "x"), (3, None)], "item_id long, text string")
+    df = docs(spark, texts + ["common"] * 9)
+    from lanefold.llm._common import text_key
+
+    named = {(r["t1"], r["t2"]): r["text"] for r in df.select("text", *text_key()).collect()}
+    got = sorted((named[r["t1"], r["t2"]], r["item"], r["place"], r["p"], r["q"]) for r in decontaminate.near_matches(df, bench, within=2).collect())
+    assert got == [("rare x other y", "1", 0, 0, 2), ("x other rare", "1", 0, 2, 1)]
+    assert decontaminate.near_matches(df, bench.limit(0)).collect() == []
 
 
 def test_language(spark):
