@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -13,6 +14,26 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 512
 
 
+def byte_level_spec(path: str) -> dict:
+    """The tokenizer file as a dict, if texts fall apart at its byte-level pattern; raises ValueError otherwise.
+
+    Asked for are byte-level BPE with the pattern, no normalizer, no prefix space, and added tokens that take no
+    white space or word borders with them. Any other file would give wrong ids or counts.
+    """
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    odd = [name for name, bad in (
+        ("pre-tokenizer", pre.get("type") != "ByteLevel" or pre.get("add_prefix_space", True) or not pre.get("use_regex", True)),
+        ("normalizer", spec.get("normalizer") is not None),
+        ("model", model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))),
+        ("added tokens", any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized"))),
+    ) if bad]
+    if odd:
+        raise ValueError(f"{path}: not a plain byte-level BPE file ({', '.join(odd)})")
+    return spec
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One input table."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -28,17 +49,25 @@ def short_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the one that driver and executors share.
 
-    It is the folder named by ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a local temporary folder stands in.
+    It is the folder named by ``spark.checkpoint.dir``. Where that is unset a local temporary folder stands in on a
+    local master (tests on one machine); on a cluster, whose machines wouldn't see it, this raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "lanefold-shared")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = os.path.join(tempfile.gettempdir(), "lanefold-shared")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The folder is the job's own scratch; whoever names ``spark.checkpoint.dir`` clears it after the job, since results
+    may still be read from it lazily.
+    """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, short_batches
+from lanefold.llm._common import load, short_batches, written
 
 #: Format tags of WAVE files.
 TAGS = {"pcm": 1, "alaw": 6, "mulaw": 7, "ima": 17}
@@ -216,8 +216,8 @@ def store_texts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
 
 def op6_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stores every text as telephony samples, decodes the files and describes bytes and sound."""
-    found = decode_media(store_texts(load(spark, sf_dir, "documents")))
+    """Stores every text as telephony samples, decodes the stored files and describes bytes and sound."""
+    found = decode_media(written(store_texts(load(spark, sf_dir, "documents")), "media", compression="zstd"))
     a = F.col("audio")
     feature = F.format_string("%s %d Hz n=%d rms=%.3f peak=%d zc=%d pcm=%s", a["codec"], a["rate"], a["n_samples"], a["rms"], a["peak"], a["crossings"], F.sha2(a["pcm"], 256))
     size = F.octet_length(a["data"])

@@ -40,11 +40,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, shared_dir, short_batches
+from lanefold.llm._common import byte_level_spec, load, shared_dir, short_batches
 
 MAGIC = b"SSTSHRD1"
 FOOTER = struct.Struct("<QQQQQQI8s")
 BLOCK_BYTES = 128 << 10
+#: A shard ends after this many bytes, whatever the number of partitions; its keys and index are held in memory.
+SHARD_BYTES = 256 << 20
+READ_ROWS = 4096
 BITS_PER_KEY, HASHES = 10, 7
 
 # --- encoding -------------------------------------------------------------------------------------
@@ -67,6 +70,7 @@ class UnitEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        byte_level_spec(path)  # units are only right for such a file
         self.tok, self.most = Tokenizer.from_file(path), (most_units, most_ids)
         self._clear()
 
@@ -266,17 +270,18 @@ def open_shard(path: str) -> ShardReader:
 
 # --- on Spark -------------------------------------------------------------------------------------
 
-MANIFEST = "shard int, path string, n_docs long, n_tokens long, first_id long, last_id long, bytes long"
+MANIFEST = "shard long, path string, n_docs long, n_tokens long, first_id long, last_id long, bytes long"
 
 
-def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode whole texts and write them as shards in ascending key order; returns the manifest, one row a shard.
 
     Null identifiers come first, ties are ordered by a hash of the text and the text; repeated rows are
     all written; a null or empty text has only the end id; an empty table gives an empty manifest;
-    other columns are ignored. One range shuffle carries the texts; a task streams its rows into one
-    file under a name of its own attempt, and only the attempts that Spark commits get into the
-    manifest, so lost executors leave at most unused files behind.
+    other columns are ignored. One range shuffle carries the texts; a task streams its rows into files of about
+    ``shard_bytes`` under names of its own attempt, and only the attempts that Spark commits get into the
+    manifest, so lost executors leave at most unused files behind. ``shard`` orders the files: the partition, then
+    the file in it.
     """
     short_batches(docs.sparkSession)
     t = F.coalesce(F.col(text), F.lit(""))
@@ -285,30 +290,41 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
     rows = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select("k", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, writer = encoder(tokenizer_path), None
+        enc, writer, part, n = encoder(tokenizer_path), None, TaskContext.get().partitionId(), 0
         end = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
         fs, root = pafs.FileSystem.from_uri(out_dir)
-        shard = TaskContext.get().partitionId()
-        name = f"part-{shard:06d}-{uuid.uuid4().hex}.sst"
+        attempt = uuid.uuid4().hex
+
+        def close() -> pa.RecordBatch:
+            size = writer.close()
+            out.close()
+            row = [part << 24 | n, f"{out_dir}/{name}", len(writer.keys), writer.tokens, first, id_of(writer.last), size]
+            types = [pa.int64(), pa.string(), *[pa.int64()] * 5]
+            return pa.RecordBatch.from_arrays([pa.array([v], x) for v, x in zip(row, types, strict=True)], names=[c.split()[0] for c in MANIFEST.split(", ")])
+
         for batch in batches:
             for k, text_ in zip(batch.column("k").to_pylist(), batch.column("t").to_pylist(), strict=True):
                 if writer is None:
                     fs.create_dir(root, recursive=True)
+                    name = f"part-{part:06d}-{n:06d}-{attempt}.sst"
                     out, first = fs.open_output_stream(f"{root}/{name}"), k
                     writer = ShardWriter(out)
                 writer.add(key_of(k), np.concatenate((enc.encode(text_), end)))
+                if writer.at >= shard_bytes:
+                    yield close()
+                    writer, n = None, n + 1
         if writer is not None:
-            size = writer.close()
-            out.close()
-            row = [shard, f"{out_dir}/{name}", len(writer.keys), writer.tokens, first, id_of(writer.last), size]
-            types = [pa.int32(), pa.string(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array([v], x) for v, x in zip(row, types, strict=True)], names=[c.split()[0] for c in MANIFEST.split(", ")])
+            yield close()
 
     manifest = f"{out_dir}/manifest"
     rows.mapInArrow(run, MANIFEST).write.parquet(manifest)
     return docs.sparkSession.read.schema(MANIFEST).parquet(manifest)
 
 
+def _told(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
+
+
 def read_shards(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and shard of every document, read back from the files.
 
@@ -326,10 +342,13 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 for doc_id, ids in open_shard(row["path"]).scan():
                     out.append((doc_id, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), row["shard"]))
                     at += len(ids)
-                types = [pa.int64()] * 4 + [pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*out, strict=True), types, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
+                    if len(out) == READ_ROWS:
+                        yield _told(out)
+                        out = []
+                if out:
+                    yield _told(out)
 
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int")
+    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard long")
 
 
 def lookup(manifest: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:

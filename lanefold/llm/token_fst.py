@@ -19,7 +19,6 @@ last token of every prefix unique, hence the machine deterministic.
 
 from __future__ import annotations
 
-import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, short_batches
+from lanefold.llm._common import byte_level_spec, load, short_batches
 
 #: Character classes of the byte-level splitting pattern.
 LETTER, NUMBER, OTHER, BLANK, SPACE = range(5)
@@ -145,8 +144,7 @@ class TokenCounter:
     """The counting transducer of one byte-level BPE file."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = byte_level_spec(path)
         letter = _byte_letters()
         self.special = [t["content"] for t in spec["added_tokens"]]
         vocab = {k: v for k, v in spec["model"]["vocab"].items() if all(c in letter for c in k)}
@@ -154,7 +152,7 @@ class TokenCounter:
         self.single = {b[0]: v for v, b in self.bytes.items() if len(b) == 1}
         self.merge, self.made = {}, {}
         self.whole = np.full(max(self.bytes) + 1, -1, np.int8)
-        self.memo: dict[int, int] = {}
+        self.memo: dict[bytes, int] = {}
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             self.merge[vocab[a], vocab[b]] = (rank, vocab[a + b])
@@ -255,6 +253,8 @@ class TokenCounter:
         token, count = found
         window = tuple((n, p, r - count) for n, p, r in grown) + ((0, token, 0),)
         to = self._intern(window)
+        if not -32 <= count < 32 or to >= 1 << 25:
+            raise OverflowError(f"a transition changes the count by {count}; six bits hold it")
         self.delta[state, byte] = to << 6 | (count + 32)
 
     def run(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -288,17 +288,34 @@ class TokenCounter:
         first[code[::-1]] = short[::-1]
         if len(self.memo) > MAX_MEMO:
             self.memo.clear()
-        keys = keys.tolist()
-        known = np.fromiter(map(self.memo.get, keys, repeat(0)), np.int64, len(keys))
+        raw = data.tobytes()
+        words = [raw[a : a + n] for a, n in zip(start[first].tolist(), size[first].tolist(), strict=True)]
+        known = np.fromiter(map(self.memo.get, words, repeat(0)), np.int64, len(words))
         new = np.flatnonzero(known == 0)
         known[new] = self.run(data, start[first[new]], size[first[new]])
-        self.memo.update((keys[k], n) for k, n in zip(new.tolist(), known[new].tolist(), strict=True))
+        self.memo.update((words[k], n) for k, n in zip(new.tolist(), known[new].tolist(), strict=True))
         out[short] = known[code]
-        long = np.flatnonzero(size > MEMO_BYTES)
-        out[long] = self.run(data, start[long], size[long])
+        # what is not the very pre-token that stands for its hash runs itself, like all long ones
+        rest = np.concatenate((short[_differ(raw, start[short], size[short], start[first[code]], size[first[code]])], np.flatnonzero(size > MEMO_BYTES)))
+        out[rest] = self.run(data, start[rest], size[rest])
         return out
 
 
+def _differ(raw: bytes, a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether slice a:a+n isn't equal to slice b:b+m, of at most ``MEMO_BYTES`` bytes each; eight bytes at a time."""
+    eight = np.ndarray((len(raw) + 1,), "<u8", raw + bytes(8), strides=(1,))
+    bad = n != m
+    todo = np.flatnonzero(~bad & (a != b))
+    k = 0
+    while len(todo):
+        drop = np.uint64(8) * np.maximum(8 - (n[todo] - k), 0).astype(np.uint64)  # bits beyond the end
+        ok = (eight[a[todo] + k] ^ eight[b[todo] + k]) << drop == 0
+        bad[todo[~ok]] = True
+        k += 8
+        todo = todo[ok & (n[todo] > k)]
+    return bad
+
+
 def _hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """A 64-bit polynomial hash of each slice, from one running sum."""
     base, back = _powers(len(data))

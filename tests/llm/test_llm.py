@@ -354,3 +354,32 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     kept = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in kept} == set(range(60)) - {7}
     assert len(corpus_pipeline.STAGES) == 5 and sha256
+
+
+def test_shards_roll_over(spark, library):
+    texts = [f"{k} " + "some words here " * 4000 for k in range(40)]
+    df = docs(spark, texts).coalesce(1)
+    manifest = sstable.write_shards(df, shared_dir(spark, "t"), TOKENIZER, shard_bytes=1)
+    assert manifest.count() > 5
+    got = sstable.read_shards(manifest).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == list(range(40))
+    assert [r["n_tokens"] for r in got] == [len(library.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+
+
+def test_odd_tokenizer_files_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(TOKENIZER, encoding="utf-8"))
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [{"content": "x", "lstrip": True}]}):
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="byte-level"):
+            token_fst.TokenCounter(str(path))
+        with pytest.raises(ValueError, match="byte-level"):
+            sstable.UnitEncoder(str(path))
+
+
+def test_equal_hashes_of_pretokens_do_no_harm(library, monkeypatch):
+    monkeypatch.setattr(token_fst, "_hashes", lambda data, start, size: np.zeros(len(start), np.uint64))
+    token_fst.counter(TOKENIZER).memo.clear()
+    assert token_fst.count_tokens(HARD, TOKENIZER) == [len(library.encode(t, add_special_tokens=False).ids) for t in HARD]
