@@ -12,7 +12,7 @@ score, 1 - prod(1 - p); tokens at 0.5 or more are the offending offsets.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, short_batches
+from lanefold.llm._common import load, short_batches, written
 from lanefold.llm._folds import held_out, labelled_sample
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
+#: Kinds of evidence that a token can carry.
+KINDS = 1 + len(PREFIXES)
 CONTEXT = 5
 MOST_KNOWN = 400_000
 
@@ -49,33 +51,50 @@ class ToxicField:
 
     # -- learning ----------------------------------------------------------------------------------
 
-    def fit(self, feats: np.ndarray, gold: np.ndarray, rounds: int = 150, rate: float = 0.2, decay: float = 1e-3) -> None:
-        """Gradient ascent on the likelihood of equally long token windows: feats (n, length, evidence ids or -1), gold (n, length)."""
+    def gradients(self, feats: np.ndarray, gold: np.ndarray, size: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean log-likelihood of token windows, and its gradients.
+
+        feats (n, length, evidence ids or -1) and gold (n, length) are filled up behind each window's ``size`` tokens; what is
+        behind them doesn't count. ``weight`` says how often a window occurs.
+        """
         n, length, _ = feats.shape
         on = feats >= 0
         at = np.where(on, feats, 0)
+        real = np.arange(length) < size[:, None]
+        emit = np.zeros((n, length, 2))
+        emit[:, :, 1] = self.bias + (self.w[at] * on).sum(2)
+        fwd, bwd = np.empty_like(emit), np.zeros_like(emit)
+        fwd[:, 0] = self.start + emit[:, 0]
+        for k in range(1, length):
+            step = np.logaddexp(fwd[:, k - 1, :1] + self.trans[0], fwd[:, k - 1, 1:] + self.trans[1]) + emit[:, k]
+            fwd[:, k] = np.where(real[:, k, None], step, fwd[:, k - 1])
+        for k in range(length - 2, -1, -1):
+            nxt = emit[:, k + 1] + bwd[:, k + 1]
+            step = np.logaddexp(self.trans[:, 0] + nxt[:, :1], self.trans[:, 1] + nxt[:, 1:])
+            bwd[:, k] = np.where(real[:, k + 1, None], step, bwd[:, k + 1])
+        logz = np.logaddexp(fwd[:, -1, 0], fwd[:, -1, 1])
+        p = np.exp(fwd + bwd - logz[:, None, None])
+        share = weight / weight.sum()
+        gold = gold.astype(int)
+        d = (gold - p[:, :, 1]) * real * share[:, None]
+        pair = fwd[:, :-1, :, None] + self.trans + (emit + bwd)[:, 1:, None, :] - logz[:, None, None, None]
+        both = real[:, 1:] * share[:, None]
+        expected = (np.exp(np.minimum(pair, 0)) * both[:, :, None, None]).sum((0, 1))
+        seen = np.bincount((gold[:, :-1] * 2 + gold[:, 1:]).ravel(), both.ravel(), 4).reshape(2, 2)
+        first = np.array([((gold[:, 0] == s) - p[:, 0, s]) @ share for s in (0, 1)])
+        said = self.start[gold[:, 0]] + (np.take_along_axis(emit, gold[:, :, None], 2)[:, :, 0] * real).sum(1) + (self.trans[gold[:, :-1], gold[:, 1:]] * real[:, 1:]).sum(1)
+        g = {"w": np.bincount(at[on], np.broadcast_to(d[:, :, None], at.shape)[on], len(self.w)), "bias": np.array(d.sum()), "trans": seen - expected, "start": first}
+        return float((said - logz) @ share), g
+
+    def fit(self, feats: np.ndarray, gold: np.ndarray, size: np.ndarray, rounds: int = 150, rate: float = 0.2, decay: float = 1e-3) -> None:
+        """Gradient ascent (Adam) on the likelihood of the windows; equal windows are computed once."""
+        rows, weight = np.unique(np.concatenate((feats.reshape(len(feats), -1), gold.astype(int), size[:, None]), 1), axis=0, return_counts=True)
+        n, length = len(rows), gold.shape[1]
+        feats, gold, size = rows[:, : -length - 1].reshape(n, length, -1), rows[:, -length - 1 : -1], rows[:, -1]
         m: dict[str, np.ndarray] = {}
         for t in range(1, rounds + 1):
-            emit = np.zeros((n, length, 2))
-            emit[:, :, 1] = self.bias + (self.w[at] * on).sum(2)
-            fwd = np.empty_like(emit)
-            bwd = np.zeros_like(emit)
-            fwd[:, 0] = self.start + emit[:, 0]
-            for k in range(1, length):
-                fwd[:, k] = np.logaddexp(fwd[:, k - 1, :1] + self.trans[0], fwd[:, k - 1, 1:] + self.trans[1]) + emit[:, k]
-            for k in range(length - 2, -1, -1):
-                nxt = emit[:, k + 1] + bwd[:, k + 1]
-                bwd[:, k] = np.logaddexp(self.trans[:, 0] + nxt[:, :1], self.trans[:, 1] + nxt[:, 1:])
-            logz = np.logaddexp(fwd[:, -1, 0], fwd[:, -1, 1])
-            p = np.exp(fwd + bwd - logz[:, None, None])
-            d = gold - p[:, :, 1]
-            g_w = np.bincount(at[on], np.broadcast_to(d[:, :, None], at.shape)[on], len(self.w)) / n - decay * self.w
-            pair = fwd[:, :-1, :, None] + self.trans + (emit + bwd)[:, 1:, None, :] - logz[:, None, None, None]
-            expected = np.exp(pair).sum((0, 1))
-            seen = np.bincount((gold[:, :-1] * 2 + gold[:, 1:]).ravel().astype(int), minlength=4).reshape(2, 2)
-            g_t = (seen - expected) / n - decay * self.trans
-            g_s = np.array([(gold[:, 0] == s).mean() - p[:, 0, s].mean() for s in (0, 1)]) - decay * self.start
-            for name, g in (("w", g_w), ("bias", np.array(d.sum() / n - decay * self.bias)), ("trans", g_t), ("start", g_s)):
+            for name, g in self.gradients(feats, gold, size, weight)[1].items():
+                g = g - decay * getattr(self, name)
                 v1, v2 = m.get(name + "1", 0.0), m.get(name + "2", 0.0)
                 m[name + "1"], m[name + "2"] = v1, v2 = 0.9 * v1 + 0.1 * g, 0.999 * v2 + 0.001 * g * g
                 setattr(self, name, getattr(self, name) + rate * (v1 / (1 - 0.9**t)) / (np.sqrt(v2 / (1 - 0.999**t)) + 1e-8))
@@ -144,57 +163,101 @@ class ToxicField:
         return {**self.__dict__, "known": {}}
 
 
-def learn(texts: list[str], toxic: list[int], surprise: float = 25.0, times: float = 8.0, most_windows: int = 60_000, seed: int = 42) -> ToxicField | None:
-    """The field from labelled texts; None without both kinds or without any evidence."""
-    split = [TOKEN.findall(t) for t in texts]
-    n = Counter(toxic)
-    if not n[1] or not n[0]:
-        return None
-    seen = {0: Counter(), 1: Counter()}
-    for tokens, y in zip(split, toxic, strict=True):
-        seen[y].update({e for t in set(tokens) for e in evidence_of(t)})
-    ratio = lambda e: (seen[1][e] + 0.5) / (n[1] + 1) / ((seen[0][e] + 0.5) / (n[0] + 1))
-    share = n[1] / (n[0] + n[1])
-
-    def gain(e: str) -> float:
-        """Twice the log-likelihood that separate rates gain over one rate: chance alone rarely gives much."""
-        a, b = seen[1][e], seen[0][e]
-        return 2 * (a * np.log(a / (a + b) / share) + (b * np.log(b / (a + b) / (1 - share)) if b else 0.0))
-
-    strong = sorted(e for e, k in seen[1].items() if k > 2 and ratio(e) >= times and gain(e) >= surprise)
+def strong_evidence(sample: DataFrame, surprise: float, times: float) -> list[str]:
+    """Words and beginnings of words in far more toxic documents of the sample (text, y) than chance would give.
+
+    The rates must differ by the factor ``times``, and twice the log-likelihood that separate rates gain over one rate be
+    ``surprise`` or more. Documents in which the evidence first stands between the same two words count once: what only
+    copies of a document have is no evidence. Counts are summed on Spark; only what passes comes back.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, ys, where = [], [], []
+            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = ["", *TOKEN.findall(t), ""]
+                first: dict[str, int] = {}
+                for k in range(1, len(words) - 1):
+                    if words[k] not in first:
+                        first[words[k]] = k
+                seen: dict[str, int] = {}
+                for w, k in first.items():
+                    for e in evidence_of(w):
+                        seen.setdefault(e, k)
+                names += seen
+                ys += [y] * len(seen)
+                where += [zlib.crc32(f"{words[k - 1]} {words[k]} {words[k + 1]}".encode("utf-8", "surrogatepass")) for k in seen.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32()), pa.array(where, pa.int64())], names=["e", "y", "at"])
+
+    kinds = sample.agg(F.count_if(F.col("y") == 0).alias("all0"), F.count_if(F.col("y") == 1).alias("all1")).first()
+    all0, all1 = kinds["all0"], kinds["all1"]
+    if not all0 or not all1:
+        return []
+    seen = sample.select("text", "y").mapInArrow(run, "e string, y int, at long").distinct().groupBy("e").agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"))
+    share, n = all1 / (all0 + all1), F.col("n0") + F.col("n1")
+    part = lambda c, rate: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / n / F.lit(rate))).otherwise(0.0)
+    ratio = (F.col("n1") + 0.5) / (all1 + 1) / ((F.col("n0") + 0.5) / (all0 + 1))
+    found = seen.filter((F.col("n1") > 2) & (ratio >= times) & (2 * (part("n1", share) + part("n0", 1 - share)) >= surprise))
+    return sorted(r["e"] for r in found.select("e").collect())
+
+
+def training_windows(sample: DataFrame, evidence: dict[str, int], seed: int) -> DataFrame:
+    """h (a seeded hash), feats, gold and size: the tokens around each one with evidence and around two others of each text.
+
+    A window has ``2 * CONTEXT + 1`` tokens, of texts with fewer all there are.
+    """
+    width = 2 * CONTEXT + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                tokens = TOKEN.findall(t)
+                if not tokens:
+                    continue
+                has = [[evidence[e] for e in evidence_of(w) if e in evidence] for w in tokens]
+                rng = np.random.default_rng([seed, zlib.crc32(t.encode("utf-8", "surrogatepass"))])
+                centres = [k for k, h in enumerate(has) if h] + rng.integers(0, len(tokens), 2).tolist()
+                feats, gold, size = [], [], []
+                for c in centres:
+                    a = max(0, min(c - CONTEXT, len(tokens) - width))
+                    part = has[a : a + width]
+                    size.append(len(part))
+                    part += [[]] * (width - len(part))
+                    feats.append([x for h in part for x in (h + [-1] * KINDS)[:KINDS]])
+                    gold.append([int(bool(h) and y == 1) for h in part])
+                cols = [pa.array(rng.integers(0, 1 << 62, len(size))), pa.array(feats, pa.list_(pa.int32())), pa.array(gold, pa.list_(pa.int32())), pa.array(size, pa.int32())]
+                yield pa.RecordBatch.from_arrays(cols, names=["h", "feats", "gold", "size"])
+
+    return sample.select("text", "y").mapInArrow(run, "h long, feats array<int>, gold array<int>, size int")
+
+
+def learn(sample: DataFrame, surprise: float = 25.0, times: float = 8.0, most_windows: int = 60_000, seed: int = 42) -> ToxicField | None:
+    """The field from labelled texts (text, y); None without both kinds or without any evidence.
+
+    The driver gets the evidence that passed the test and ``most_windows`` windows at most, those with the smallest
+    seeded hashes; texts stay in the tasks.
+    """
+    strong = strong_evidence(sample, surprise, times)
     if not strong:
         return None
     field = ToxicField({e: k for k, e in enumerate(strong)})
-    rng = np.random.default_rng(seed)
-    width, feats, gold = 2 * CONTEXT + 1, [], []
-    for tokens, y in zip(split, toxic, strict=True):
-        has = [[field.evidence[e] for e in evidence_of(t) if e in field.evidence] for t in tokens]
-        centres = [k for k, h in enumerate(has) if h]
-        centres += rng.integers(0, len(tokens), 2).tolist() if tokens else []
-        for c in centres:
-            a = max(0, min(c - CONTEXT, len(tokens) - width))
-            part = has[a : a + width]
-            if len(part) == width:
-                feats.append([(h + [-1] * 3)[:3] for h in part])
-                gold.append([int(bool(h) and y == 1) for h in part])
-    if not feats:
-        return None
-    pick = rng.permutation(len(feats))[:most_windows]
-    field.fit(np.array(feats)[pick], np.array(gold, float)[pick])
+    rows = training_windows(sample, field.evidence, seed).orderBy("h").limit(most_windows).collect()
+    feats, gold, size = (np.array([r[c] for r in rows]) for c in ("feats", "gold", "size"))
+    field.fit(feats.reshape(len(rows), 2 * CONTEXT + 1, KINDS), gold, size)
     return field.prepare()
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicField | None:
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, id: str = "doc_id", text: str = "text", label: str = "toxic", **params) -> ToxicField | None:
     """Learns from about ``per_label`` documents of each label outside the held-out fold; labels other than 0 and 1 don't count.
 
     A document with several labels is toxic if any of them says so. Only the picked identifiers are broadcast, about
-    2 ``per_label`` of them, so texts aren't shuffled.
+    2 ``per_label`` of them, so the texts of the table aren't shuffled; the picked texts are written once.
     """
+    short_batches(docs.sparkSession)
     marks = labels.groupBy(F.col(id).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     picked = labelled_sample(marks.filter(F.col("y").isin(0, 1)), "y", per_label)
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
-    found = sorted(((r["doc_id"], r["text"] or "", int(r["y"])) for r in rows.toLocalIterator()), key=lambda r: (r[0], r[1]))
-    return learn([r[1] for r in found], [r[2] for r in found])
+    rows = docs.select(F.col(id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    return learn(written(rows.select("text", "y"), "labelled"), **params)
 
 
 def score(docs: DataFrame, field: ToxicField | None, text: str = "text") -> DataFrame:
