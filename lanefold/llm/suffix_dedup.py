@@ -53,70 +53,95 @@ class _Induction:
         count = np.bincount(t, minlength=sigma)
         self.end = np.cumsum(count)
         self.start = self.end - count
-        self.lms = np.flatnonzero(self.small[1:] & ~self.small[:-1]) + 1
+        #: Whether the suffix one symbol longer is a larger, or a smaller one.
+        self.after_large, self.after_small = np.zeros(n, bool), np.zeros(n, bool)
+        self.after_large[1:], self.after_small[1:] = ~self.small[:-1], self.small[:-1]
+        self.count = np.arange(n, dtype=np.int32)
+        self.lms = (np.flatnonzero(self.small[1:] & ~self.small[:-1]) + 1).astype(np.int32)
 
     def _put(self, sa: np.ndarray, edge: np.ndarray, j: np.ndarray, sign: int) -> None:
         """Append suffixes to their buckets in the order given, at the front (1) or from the back (-1)."""
         key = self.t[j]
-        order = np.argsort(key, kind="stable")
+        order = key.argsort(kind="stable")
         key = key[order]
         size = np.bincount(key, minlength=self.sigma)
-        first = np.cumsum(size) - size
+        first = size.cumsum()
+        first -= size
         if sign > 0:
-            sa[(edge - first)[key] + np.arange(len(key))] = j[order]
+            sa[(edge - first)[key] + self.count[: len(key)]] = j[order]
             edge += size
         else:
-            sa[(edge - 1 + first)[key] - np.arange(len(key))] = j[order]
+            sa[(edge - 1 + first)[key] - self.count[: len(key)]] = j[order]
             edge -= size
 
     def run(self, lms: np.ndarray) -> np.ndarray:
-        """The order of all suffixes induced from ``lms`` in the order given."""
-        sa = np.full(len(self.t), -1, np.int64)
+        """The order of all suffixes induced from ``lms`` in the order given.
+
+        A bucket is read once: what it induces in itself is appended at once, all else goes to the other buckets together.
+        """
+        sa = np.full(len(self.t), -1, np.int32)
         tail = self.end.copy()
         self._put(sa, tail, lms[::-1], -1)
         head = self.start.copy()
+        large, small = self.after_large, self.after_small
         for c in range(self.sigma):  # larger suffixes, left to right
-            done = self.start[c]
-            while done < head[c]:
-                part, done = sa[done : head[c]], head[c]
-                j = part[part > 0] - 1
-                j = j[~self.small[j]]
+            done, stop, found = self.start[c], head[c], []
+            while done < stop:
+                part, done = sa[done:stop], stop
+                j = part[large[part]] - 1
+                own = self.t[j] == c
+                if own.any():
+                    n = np.count_nonzero(own)
+                    sa[stop : stop + n] = j[own]
+                    stop += n
+                    j = j[~own]
+                found.append(j)
+            head[c] = stop
+            if tail[c] < self.end[c]:
+                part = sa[tail[c] : self.end[c]]
+                found.append(part[large[part]] - 1)
+            if found:
+                j = np.concatenate(found) if len(found) > 1 else found[0]
                 if len(j):
                     self._put(sa, head, j, 1)
-            part = sa[tail[c] : self.end[c]]
-            j = part[part > 0] - 1
-            j = j[~self.small[j]]
-            if len(j):
-                self._put(sa, head, j, 1)
         tail = self.end.copy()
         for c in range(self.sigma - 1, -1, -1):  # smaller suffixes, right to left
-            done = self.end[c]
-            while done > tail[c]:
-                part, done = sa[tail[c] : done][::-1], tail[c]
-                j = part[part > 0] - 1
-                j = j[self.small[j]]
+            done, stop, found = self.end[c], tail[c], []
+            while done > stop:
+                part, done = sa[stop:done][::-1], stop
+                j = part[small[part]] - 1
+                own = self.t[j] == c
+                if own.any():
+                    n = np.count_nonzero(own)
+                    sa[stop - n : stop] = j[own][::-1]
+                    stop -= n
+                    j = j[~own]
+                found.append(j)
+            tail[c] = stop
+            if self.start[c] < head[c]:
+                part = sa[self.start[c] : head[c]][::-1]
+                found.append(part[small[part]] - 1)
+            if found:
+                j = np.concatenate(found) if len(found) > 1 else found[0]
                 if len(j):
                     self._put(sa, tail, j, -1)
-            part = sa[self.start[c] : head[c]][::-1]
-            j = part[part > 0] - 1
-            j = j[self.small[j]]
-            if len(j):
-                self._put(sa, tail, j, -1)
         sa[0] = len(self.t) - 1  # the end mark is the smallest suffix
         return sa
 
 
 def _digits(t: np.ndarray, sigma: int) -> tuple[np.ndarray, int, _Induction] | None:
-    """Two digits a symbol, which keeps the order of suffixes; None if no base leaves few enough smaller substrings."""
-    root = int(np.ceil(np.sqrt(sigma)))
-    for base in (root, root + root // 3, root - root // 4, root * 2):
-        digits = np.empty(2 * len(t) - 1, np.int64)
+    """Two digits a symbol, which keeps the order of suffixes; None if no base leaves fewer smaller substrings than symbols."""
+    root, best = int(np.ceil(np.sqrt(sigma))), None
+    for base in (root, root + root // 3, root - root // 4, root * 2, root // 2 + 1):
+        digits = np.empty(2 * len(t) - 1, np.int32)
         digits[0::2], digits[1::2] = t // base + 1, (t % base + 1)[:-1]
         digits[-1] = 0
         work = _Induction(digits, max(base, -(-sigma // base)) + 2)
-        if len(work.lms) <= 0.8 * len(t):
-            return digits, work.sigma, work
-    return None
+        if best is None or len(work.lms) < len(best[2].lms):
+            best = digits, work.sigma, work
+        if len(work.lms) <= 0.7 * len(t):
+            break
+    return best if len(best[2].lms) <= 0.92 * len(t) else None
 
 
 def suffix_array(t: np.ndarray, sigma: int, work: _Induction | None = None) -> np.ndarray:
@@ -126,7 +151,7 @@ def suffix_array(t: np.ndarray, sigma: int, work: _Induction | None = None) -> n
     """
     n = len(t)
     if n == 1:
-        return np.zeros(1, np.int64)
+        return np.zeros(1, np.int32)
     if work is None and sigma > WIDE and (split := _digits(t, sigma)):
         sa = suffix_array(*split)
         return sa[sa % 2 == 0] // 2
@@ -137,27 +162,43 @@ def suffix_array(t: np.ndarray, sigma: int, work: _Induction | None = None) -> n
     is_lms[lms] = True
     order = sa[is_lms[sa]]  # sorted by leftmost-smaller substrings
     # Names: equal neighbours have equal length and content.
-    stop = np.zeros(n, np.int64)
+    stop = np.zeros(n, np.int32)
     stop[lms[:-1]], stop[lms[-1]] = lms[1:], n - 1
     size = stop[order] - order + 1
-    new = np.concatenate(([0], np.cumsum(~_equal_neighbours(t, order, size))))
-    if new[-1] < len(order) - 1:
-        name = np.zeros(n, np.int64)
-        name[order] = new
-        order = lms[suffix_array(name[lms], int(new[-1]) + 1)]
+    new = np.concatenate(([0], np.cumsum(~_equal_neighbours(work.t, order, size))))
+    if new[-1] == len(order) - 1:
+        return work.run(order)
+    # A name that occurs once decides every comparison that reaches it, so of a run of such names only the first is kept.
+    many = np.bincount(new)[new] > 1
+    name, several = np.zeros(n, np.int32), np.zeros(n, bool)
+    name[order], several[order] = new, many
+    several = several[lms]
+    stay = several.copy()
+    stay[1:] |= several[:-1]
+    stay[-1] = True  # the end mark
+    used = np.zeros(int(new[-1]) + 1, bool)
+    kept = name[lms[stay]]
+    used[kept] = True
+    inner = suffix_array((np.cumsum(used) - 1)[kept].astype(np.int32), int(used.sum()))
+    inner = np.flatnonzero(stay)[inner]
+    order[many] = lms[inner[several[inner]]]
     return work.run(order)
 
 
 def _equal_neighbours(t: np.ndarray, order: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether the substring of ``size`` symbols at each place of ``order`` is the same as at the place before it."""
+    """Whether the substring of ``size`` symbols at each place of ``order`` is the same as at the place before it; 8 bytes at a time."""
+    width = t.itemsize
+    step = 8 // width
+    words = np.ndarray((len(t),), "<u8", np.append(t, np.zeros(step, t.dtype)).tobytes(), strides=(width,))
     same = size[1:] == size[:-1]
     todo, k = np.flatnonzero(same), 0
     while len(todo):
-        ok = t[order[todo + 1] + k] == t[order[todo] + k]
+        left = size[todo] - k
+        beyond = (np.maximum(step - left, 0) * (8 * width)).astype(np.uint64)
+        ok = (words[order[todo + 1] + k] ^ words[order[todo] + k]) << beyond == 0
         same[todo[~ok]] = False
-        k += 1
-        todo = todo[ok]
-        todo = todo[size[todo] > k]
+        k += step
+        todo = todo[ok & (left > step)]
     return same
 
 
@@ -179,7 +220,7 @@ def permuted_lcp(raw: np.ndarray, sa: np.ndarray, most: int) -> tuple[np.ndarray
     that of the place before less one.
     """
     n = len(raw)
-    phi = np.empty(n, np.int64)
+    phi = np.empty(n, np.int32)
     phi[sa[1:]], phi[sa[0]] = sa[:-1], -1
     pad = np.concatenate((raw, np.zeros(most + 16, np.uint8)))
     eight = np.ndarray((n + most + 8,), "<u8", pad.tobytes(), strides=(1,))
