@@ -8,23 +8,30 @@ from pyspark.sql import functions as F
 from lanefold.functions.sequences import count_of, reverse_complement
 
 ACTIONS = ("EXCLUDE", "TRIM", "REVIEW")
+#: Fixed value: unmapped, secondary, failed and duplicate alignments.
+BAD_FLAGS = 4 + 256 + 512 + 1024
 POLICIES = ("exclude", "short-only", "keep")
 
 
+#: Contigs are named by assemblers alike in every sample: sample and name identify one.
+KEY = ["sample", "contig"]
+
+
 def action_summary(actions: DataFrame) -> DataFrame:
-    """Per kind of action: different contigs and bases; 0 where there are none."""
-    kinds = actions.sparkSession.createDataFrame([(a,) for a in ACTIONS], "action string")
-    t = actions.groupBy("action").agg(F.countDistinct("contig").alias("contigs"), F.sum(F.col("a_end") - F.col("a_start") + 1).alias("bp"))
-    return kinds.join(t, "action", "left").select("action", F.coalesce("contigs", F.lit(0)).alias("contigs"), F.coalesce("bp", F.lit(0)).cast("long").alias("bp"))
+    """Per sample and kind of action: different contigs and bases; 0 where a sample with any action has none. Null ends count as no bases."""
+    kinds = actions.select("sample").distinct().select("sample", F.explode(F.array(*map(F.lit, ACTIONS))).alias("action"))
+    t = actions.groupBy("sample", "action").agg(F.countDistinct("contig").alias("contigs"), F.sum(F.col("a_end") - F.col("a_start") + 1).alias("bp"))
+    return kinds.join(t, ["sample", "action"], "left").select("sample", "action", F.coalesce("contigs", F.lit(0)).alias("contigs"), F.coalesce("bp", F.lit(0)).cast("long").alias("bp"))
 
 
 def apply_actions(contigs: DataFrame, actions: DataFrame) -> DataFrame:
     """The clean pieces: excluded contigs go, trimmed intervals (1-based, closed) are cut out; piece counts from 1.
 
-    Intervals of a contig are merged in order of their start; a cut at an end shortens, one inside splits.
+    Intervals of a contig are merged in order of their start; a cut at an end shortens, one inside splits. Actions of one
+    sample don't touch contigs of the same name in another; actions of unknown contigs do nothing.
     """
-    cuts = actions.filter("action = 'TRIM'").groupBy("contig").agg(F.array_sort(F.collect_list(F.struct("a_start", "a_end"))).alias("cuts"))
-    kept = contigs.join(actions.filter("action = 'EXCLUDE'").select("contig").distinct(), "contig", "left_anti").join(cuts, "contig", "left")
+    cuts = actions.filter("action = 'TRIM'").groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("a_start", "a_end"))).alias("cuts"))
+    kept = contigs.join(actions.filter("action = 'EXCLUDE'").select(*KEY).distinct(), KEY, "left_anti").join(cuts, KEY, "left")
     start = F.struct(F.lit(1).cast("long").alias("at"), F.array().cast("array<struct<s:bigint,e:bigint>>").alias("out"))
     step = lambda acc, x: F.struct(
         F.greatest(acc["at"], (x["a_end"] + 1).cast("long")).alias("at"),
@@ -33,20 +40,21 @@ def apply_actions(contigs: DataFrame, actions: DataFrame) -> DataFrame:
     close = lambda acc: F.array_append(acc["out"], F.struct(acc["at"].alias("s"), F.length("seq").cast("long").alias("e")))
     spans = F.filter(F.aggregate(F.coalesce("cuts", F.array().cast("array<struct<a_start:bigint,a_end:bigint>>")), start, step, close), lambda x: x["e"] >= x["s"])
     pieces = kept.select("sample", "contig", "seq", F.posexplode(spans).alias("n", "x"))
-    return pieces.select("sample", "contig", (F.col("n") + 1).alias("piece"), F.substr("seq", F.col("x.s").cast("int"), (F.col("x.e") - F.col("x.s") + 1).cast("int")).alias("seq"))
+    return pieces.select("sample", "contig", (F.col("n") + 1).alias("piece"), F.substr("seq", F.col("x.s").cast("int"), (F.least(F.col("x.e"), F.length("seq")) - F.col("x.s") + 1).cast("int")).alias("seq"))
 
 
 def review_names(actions: DataFrame, policy: str, short: int = 1000) -> DataFrame:
-    """Contigs under review that the policy removes: all, those no longer than ``short``, or none."""
+    """sample and contig of those under review that the policy removes: all, those no longer than ``short``, or none."""
     if policy not in POLICIES:
         raise ValueError(f"unknown review policy {policy!r}")
     rows = actions.filter("action = 'REVIEW'")
     rows = rows.filter(F.col("a_end") <= short) if policy == "short-only" else rows.filter(F.lit(policy == "exclude"))
-    return rows.select("contig").distinct()
+    return rows.select(*KEY).distinct()
 
 
 def drop_named(contigs: DataFrame, names: DataFrame) -> DataFrame:
-    return contigs.join(names, "contig", "left_anti")
+    """Contigs that ``names`` (sample, contig) doesn't hold; null names drop nothing, repeated ones drop once."""
+    return contigs.join(names.select(*KEY), KEY, "left_anti")
 
 
 def length_floor(contigs: DataFrame, least: int = 500) -> tuple[DataFrame, DataFrame]:
@@ -56,23 +64,57 @@ def length_floor(contigs: DataFrame, least: int = 500) -> tuple[DataFrame, DataF
 
 
 def filter_hits(hits: DataFrame, span: int = 200, identity: float = 98) -> DataFrame:
+    """Hits longer than ``span`` and more alike than ``identity``; a null in any of them drops the hit, repeated rows stay."""
     return hits.filter((F.col("q_end") - F.col("q_start") > span) & (F.col("identity") > identity))
 
 
-def decontaminate(contigs: DataFrame, actions: DataFrame, policy: str = "exclude", least: int = 500) -> DataFrame:
-    """Actions, then review by policy, then the length floor."""
+def adaptor_actions(report: DataFrame) -> DataFrame:
+    """sample, contig, action, a_start, a_end from an adaptor report (sample, contig, length, action, ranges).
+
+    ``ACTION_EXCLUDE`` drops the contig, ``ACTION_TRIM`` cuts every interval of ``ranges`` (``12..40,90..100``, 1-based and
+    closed); other actions and unreadable ranges give no row.
+    """
+    trim = F.filter(F.split("ranges", ","), lambda x: x.rlike(r"^\s*\d+\.\.\d+\s*$"))
+    spans = F.transform(trim, lambda x: F.struct(*(F.regexp_extract(x, r"(\d+)\.\.(\d+)", k).cast("long").alias(n) for k, n in ((1, "s"), (2, "e")))))
+    whole = F.array(F.struct(F.lit(1).cast("long").alias("s"), F.col("length").cast("long").alias("e")))
+    t = report.withColumn("action", F.regexp_extract("action", r"^(?:ACTION_)?(EXCLUDE|TRIM)$", 1))
+    t = t.select(*KEY, "action", F.explode(F.when(F.col("action") == "EXCLUDE", whole).when(F.col("action") == "TRIM", spans)).alias("x"))
+    return t.select(*KEY, "action", F.col("x.s").alias("a_start"), F.col("x.e").alias("a_end"))
+
+
+def decontaminate(contigs: DataFrame, actions: DataFrame, policy: str = "exclude", least: int = 500, adaptors: DataFrame | None = None, classes: DataFrame | None = None) -> DataFrame:
+    """Actions, review by policy, adaptor actions (see ``adaptor_actions``), the length floor, then removal by domain (lines of ``classes``).
+
+    Adaptor places are those of the pieces that the first actions leave, named by contig for a single piece, and by
+    contig and number (``c.2``) for the others.
+    """
     clean = drop_named(apply_actions(contigs, actions), review_names(actions, policy))
-    return length_floor(clean, least)[0]
+    if adaptors is not None:
+        named = F.when(F.col("piece") == 1, F.col("contig").cast("string")).otherwise(F.concat_ws(".", "contig", "piece"))
+        again = apply_actions(clean.select("sample", named.alias("contig"), "seq"), adaptors.withColumn("contig", F.col("contig").cast("string")))
+        clean = again.select("sample", "contig", "piece", "seq")
+    clean = length_floor(clean, least)[0]
+    if classes is not None:
+        gone = domain_removal(classes)
+        clean = clean.join(gone.select("sample", F.col("contig").alias("_c")), (clean["sample"] == gone["sample"]) & (clean["contig"].cast("string") == F.col("_c")), "left_anti")
+    return clean
 
 
 def seq_stats(contigs: DataFrame) -> DataFrame:
-    """Number, lengths with quartiles, gaps and GC of each sample's contigs."""
+    """Number, lengths with quartiles, N50, gaps and GC of each sample's contigs; null sequences are left out, rates of no bases are null."""
     n = F.length("seq")
-    return contigs.groupBy("sample").agg(
+    t = contigs.filter("seq IS NOT NULL").groupBy("sample").agg(
         F.count("*").alias("num_seqs"), F.sum(n).alias("sum_len"), F.min(n).alias("min_len"), F.avg(n).alias("avg_len"), F.max(n).alias("max_len"),
         *[F.percentile(n, q).alias(f"q{k}") for k, q in ((1, 0.25), (2, 0.5), (3, 0.75))], F.sum(count_of(F.col("seq"), "N")).alias("n_bases"),
-        (F.sum(count_of(F.col("seq"), "GC")) * 100.0 / F.sum(n)).alias("gc_pct"),
+        F.try_divide(F.sum(count_of(F.col("seq"), "GC")) * 100.0, F.sum(n)).alias("gc_pct"),
     )
+    return t.join(nstar(contigs.select("sample", n.alias("length")), (50,)).select("sample", F.col("n").alias("n50")), "sample", "left")
+
+
+def scaffold_and_contig_stats(contigs: DataFrame) -> DataFrame:
+    """``seq_stats`` of the scaffolds (kind ``scaffold``) and of their parts between gaps (kind ``contig``)."""
+    both = [seq_stats(t).withColumn("kind", F.lit(kind)) for kind, t in (("scaffold", contigs), ("contig", split_scaffolds(contigs)))]
+    return both[0].unionByName(both[1])
 
 
 def nstar(lengths: DataFrame, fractions: tuple[int, ...] = (10, 20, 30, 40, 50, 60, 70, 80, 90, 100), sizes: DataFrame | None = None) -> DataFrame:
@@ -108,19 +150,28 @@ def split_scaffolds(contigs: DataFrame) -> DataFrame:
 
 
 def gene_regions(genes: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Complete genes on known contigs as 0-based half-open regions, ends in order and clipped to the contig."""
-    t = genes.filter("status = 'Complete'").join(contigs.select("contig", "length"), "contig")
-    t = t.select("gene", "contig", (F.greatest(F.least("g_start", "g_end"), F.lit(1)) - 1).alias("start"), F.least(F.greatest("g_start", "g_end"), F.col("length")).alias("end"))
+    """sample, gene, contig, start, end: complete genes on known contigs as 0-based half-open regions, ends in order and clipped to the contig."""
+    t = genes.filter("status = 'Complete'").join(contigs.select(*KEY, "length"), KEY)
+    t = t.select("sample", "gene", "contig", (F.greatest(F.least("g_start", "g_end"), F.lit(1)) - 1).alias("start"), F.least(F.greatest("g_start", "g_end"), F.col("length")).alias("end"))
     return t.filter("end > start")
 
 
+def region_counts(genes: DataFrame, contigs: DataFrame) -> DataFrame:
+    """sample, kept and skipped complete genes: skipped are those on unknown contigs or with nothing left inside theirs."""
+    kept = gene_regions(genes, contigs).groupBy("sample").agg(F.count("*").alias("kept"))
+    complete = genes.groupBy("sample").agg(F.count_if(F.col("status") == "Complete").alias("complete"))
+    t = complete.join(kept, "sample", "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
+    return t.select("sample", "kept", (F.col("complete") - F.col("kept")).alias("skipped"))
+
+
 def gene_sequences(genes: DataFrame, contigs: DataFrame) -> DataFrame:
-    """gene and sequence of all found genes; the minus strand is reverse-complemented."""
-    t = genes.filter("status <> 'Missing'").join(contigs.select("contig", "seq"), "contig")
+    """sample, gene, contig, strand, header (``>gene|contig:start-end(strand)``) and sequence of all found genes; the minus strand is reverse-complemented."""
+    t = genes.filter("status <> 'Missing'").join(contigs.select(*KEY, "seq"), KEY)
     lo = F.greatest(F.least("g_start", "g_end"), F.lit(1))
     hi = F.greatest(F.greatest("g_start", "g_end"), lo + 1)
     part = F.substr("seq", lo.cast("int"), (hi - lo + 1).cast("int"))
-    return t.select("gene", "contig", "strand", F.when(F.col("strand") == "-", reverse_complement(part)).otherwise(part).alias("seq"))
+    header = F.concat(F.lit(">"), "gene", F.lit("|"), "contig", F.lit(":"), lo, F.lit("-"), hi, F.lit("("), "strand", F.lit(")"))
+    return t.select("sample", "gene", "contig", "strand", header.alias("header"), F.when(F.col("strand") == "-", reverse_complement(part)).otherwise(part).alias("seq"))
 
 
 def region_depth(alignments: DataFrame, regions: DataFrame, min_mapq: int = 20, bin_size: int = 1000) -> DataFrame:
@@ -130,26 +181,42 @@ def region_depth(alignments: DataFrame, regions: DataFrame, min_mapq: int = 20,
     that shares several bins counts in the first one only. Flags unmapped, secondary, failed and duplicate are left out.
     """
     bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_size), F.floor((F.col(b) - 1) / bin_size)))
-    good = alignments.filter((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(4 + 256 + 512 + 1024) == 0) & (F.col("a_end") > F.col("a_start")))
-    good = good.select("contig", "a_start", "a_end", bins("a_start", "a_end").alias("bin"))
-    dealt = regions.select("gene", "contig", "start", "end", bins("start", "end").alias("bin"))
-    hit = good.join(dealt, ["contig", "bin"]).filter((F.col("a_start") < F.col("end")) & (F.col("start") < F.col("a_end")))
+    good = alignments.filter((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(BAD_FLAGS) == 0) & (F.col("a_end") > F.col("a_start")))
+    good = good.select(*KEY, "a_start", "a_end", bins("a_start", "a_end").alias("bin"))
+    dealt = regions.select(*KEY, "gene", "start", "end", bins("start", "end").alias("bin"))
+    hit = good.join(dealt, [*KEY, "bin"]).filter((F.col("a_start") < F.col("end")) & (F.col("start") < F.col("a_end")))
     hit = hit.filter(F.col("bin") == F.floor(F.greatest("a_start", "start") / bin_size))
-    over = hit.groupBy("contig", "gene").agg(F.sum(F.least("a_end", "end") - F.greatest("a_start", "start")).alias("depth_sum"))
-    return regions.join(over, ["contig", "gene"], "left").withColumn("depth_sum", F.coalesce("depth_sum", F.lit(0)))
+    over = hit.groupBy(*KEY, "gene").agg(F.sum(F.least("a_end", "end") - F.greatest("a_start", "start")).alias("depth_sum"))
+    return regions.join(over, [*KEY, "gene"], "left").withColumn("depth_sum", F.coalesce("depth_sum", F.lit(0)))
+
+
+def region_status(regions: DataFrame, samples: DataFrame, least: int = 20) -> DataFrame:
+    """sample, regions and status of every row of ``samples``: ``too_few_busco_regions`` below ``least``, else ``ok``."""
+    t = samples.select("sample").distinct().join(regions.groupBy("sample").agg(F.count("*").alias("regions")), "sample", "left")
+    t = t.withColumn("regions", F.coalesce("regions", F.lit(0)))
+    return t.withColumn("status", F.when(F.col("regions") < least, "too_few_busco_regions").otherwise("ok"))
 
 
 def contig_depth(alignments: DataFrame, contigs: DataFrame, min_mapq: int = 0) -> DataFrame:
-    """Mean depth of each contig: aligned bases inside it by its length; 0 without alignments."""
-    good = alignments.filter((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(4 + 256 + 512 + 1024) == 0))
-    t = contigs.join(good, "contig", "left").groupBy("contig", "length")
-    got = t.agg(F.sum(F.greatest(F.least("a_end", "length") - F.greatest("a_start", F.lit(0)), F.lit(0))).alias("bases"))
-    return got.select("contig", "length", (F.coalesce("bases", F.lit(0)) / F.col("length")).alias("meandepth"))
+    """Mean depth of each contig: aligned bases inside it by its length; 0 without alignments, null without bases.
+
+    Alignments are summed by contig and by where they end before they meet the contigs, so a contig with most of the
+    alignments doesn't crowd a task: only those that reach beyond ``length`` differ, and they are few ends.
+    """
+    good = alignments.filter((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(BAD_FLAGS) == 0))
+    ends = good.groupBy(*KEY, F.greatest("a_start", F.lit(0)).alias("a"), F.col("a_end").alias("b")).agg(F.count("*").alias("k"))
+    inside = F.greatest(F.least("b", "length") - F.col("a"), F.lit(0)) * F.col("k")
+    got = contigs.join(ends, KEY, "left").groupBy(*KEY, "length").agg(F.sum(inside).alias("bases"))
+    return got.select(*KEY, "length", F.try_divide(F.coalesce("bases", F.lit(0)), F.col("length")).alias("meandepth"))
 
 
 def mapping_summary(alignments: DataFrame) -> DataFrame:
+    """Per sample: alignments, mapped, reverse, secondary, properly paired and duplicate ones and the mean quality; null flags count in the total only."""
     flag = lambda bit: F.count_if(F.col("flag").bitwiseAND(bit) > 0)
-    return alignments.agg(F.count("*").alias("total"), F.count_if(F.col("flag").bitwiseAND(4) == 0).alias("mapped"), flag(16).alias("reverse"), flag(256).alias("secondary"), F.avg("mapq").alias("mean_mapq"))
+    return alignments.groupBy("sample").agg(
+        F.count("*").alias("total"), F.count_if(F.col("flag").bitwiseAND(4) == 0).alias("mapped"), flag(16).alias("reverse"), flag(256).alias("secondary"),
+        flag(2).alias("paired"), flag(1024).alias("duplicates"), F.avg("mapq").alias("mean_mapq"),
+    )
 
 
 #: Domain categories in the order of their report.

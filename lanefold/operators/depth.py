@@ -37,8 +37,9 @@ def depth_mode(depths: DataFrame, least: int = 500, width: float = 0.25) -> Data
     """The depth at the middle of the heaviest bin of log2 depth; of equal bins that with the first contig."""
     bins = depths.filter((F.col("length") >= least) & (F.col("meandepth") > 0)).withColumn("bin", F.floor(F.log2("meandepth") / width))
     bins = bins.groupBy("sample", "bin").agg(F.sum("length").alias("size"), F.min("contig").alias("first"))
-    best = bins.groupBy("sample").agg(F.max(F.struct("size", (-F.col("first")).alias("minus"), "bin")).alias("best"), F.sum("size").alias("total"))
-    return best.select("sample", F.pow(F.lit(2.0), (F.col("best.bin") + 0.5) * width).alias("depth_mode"), (F.col("best.size") / F.col("total")).alias("mode_fraction"))
+    # min_by on (-size, first) needs no negated name, so contigs may be named by text or number
+    best = bins.groupBy("sample").agg(F.min_by("bin", F.struct(-F.col("size"), F.col("first"))).alias("bin"), F.max("size").alias("top"), F.sum("size").alias("total"))
+    return best.select("sample", F.pow(F.lit(2.0), (F.col("bin") + 0.5) * width).alias("depth_mode"), F.try_divide(F.col("top"), F.col("total")).alias("mode_fraction"))
 
 
 def confidence(regions: Column, anchor: Column, mode: Column, fraction: Column, window: float = 2.0, least_regions: int = 50, least_fraction: float = 0.4) -> Column:

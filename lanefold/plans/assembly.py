@@ -10,17 +10,18 @@ from lanefold.plans.registry import query
 from lanefold.sources.adapters import domain, with_domain
 
 
-@query(with_domain("actions", """SELECT k.action, count(DISTINCT a.contig) AS contigs, coalesce(sum(a.a_end - a.a_start + 1), 0)::BIGINT AS bp
-FROM (VALUES ('EXCLUDE'), ('TRIM'), ('REVIEW')) k(action) LEFT JOIN actions a ON a.action = k.action GROUP BY k.action"""))
+@query(with_domain("actions", """SELECT s.sample, k.action, count(DISTINCT a.contig) AS contigs, coalesce(sum(a.a_end - a.a_start + 1), 0)::BIGINT AS bp
+FROM (SELECT DISTINCT sample FROM actions) s CROSS JOIN (VALUES ('EXCLUDE'), ('TRIM'), ('REVIEW')) k(action) LEFT JOIN actions a ON a.action = k.action AND a.sample = s.sample GROUP BY s.sample, k.action"""))
 def e1_action_summary(spark, sf_dir):
     return C.action_summary(domain(spark, sf_dir, "actions"))
 
 
-_CLEAN = """one AS (SELECT contig, max(a_start) AS s, max(a_end) AS e FROM actions WHERE action = 'TRIM' GROUP BY contig),
-base AS (SELECT c.*, s, e FROM contigs c LEFT JOIN one ON one.contig = c.contig WHERE c.contig NOT IN (SELECT contig FROM actions WHERE action = 'EXCLUDE')),
+_CLEAN = """one AS (SELECT sample, contig, max(a_start) AS s, max(a_end) AS e FROM actions WHERE action = 'TRIM' GROUP BY sample, contig),
+base AS (SELECT c.*, s, e FROM contigs c LEFT JOIN one ON one.contig = c.contig AND one.sample = c.sample WHERE NOT EXISTS (SELECT 1 FROM actions x WHERE x.action = 'EXCLUDE' AND x.sample = c.sample AND x.contig = c.contig)),
 raw AS (SELECT sample, contig, 1 AS side, CASE WHEN s IS NULL THEN seq ELSE substr(seq, 1, (s - 1)::INT) END AS seq FROM base
   UNION ALL SELECT sample, contig, 2, substr(seq, (e + 1)::INT) FROM base WHERE s IS NOT NULL),
 clean AS (SELECT sample, contig, row_number() OVER (PARTITION BY sample, contig ORDER BY side) AS piece, seq FROM raw WHERE length(seq) > 0)"""
+_UNREVIEWED = "NOT EXISTS (SELECT 1 FROM actions x WHERE x.action = 'REVIEW' AND x.sample = {t}.sample AND x.contig = {t}.contig)"
 
 
 @query(with_domain("actions contigs", f"WITH {_CLEAN} SELECT * FROM clean"))
@@ -28,12 +29,12 @@ def e2_apply_actions(spark, sf_dir):
     return C.apply_actions(domain(spark, sf_dir, "contigs"), domain(spark, sf_dir, "actions"))
 
 
-@query(with_domain("actions", "SELECT DISTINCT contig FROM actions WHERE action = 'REVIEW' AND a_end <= 1000"))
+@query(with_domain("actions", "SELECT DISTINCT sample, contig FROM actions WHERE action = 'REVIEW' AND a_end <= 1000"))
 def e3_review_names(spark, sf_dir):
     return C.review_names(domain(spark, sf_dir, "actions"), "short-only")
 
 
-@query(with_domain("actions contigs", "SELECT sample, contig, length FROM contigs WHERE contig NOT IN (SELECT contig FROM actions WHERE action = 'REVIEW')"))
+@query(with_domain("actions contigs", f"SELECT sample, contig, length FROM contigs c WHERE {_UNREVIEWED.format(t='c')}"))
 def e4_drop_named(spark, sf_dir):
     names = C.review_names(domain(spark, sf_dir, "actions"), "exclude")
     return C.drop_named(domain(spark, sf_dir, "contigs"), names).select("sample", "contig", "length")
@@ -44,9 +45,18 @@ def e5_length_floor(spark, sf_dir):
     return C.length_floor(domain(spark, sf_dir, "contigs"))[1]
 
 
-@query(with_domain("actions contigs", f"WITH {_CLEAN} SELECT sample, count(*) AS pieces, sum(length(seq))::BIGINT AS bases FROM clean WHERE length(seq) >= 500 AND contig NOT IN (SELECT contig FROM actions WHERE action = 'REVIEW') GROUP BY sample"))
+_ADAPT = """named AS (SELECT sample, CASE WHEN piece = 1 THEN contig::VARCHAR ELSE concat(contig, '.', piece) END AS contig, seq FROM clean c WHERE {r}),
+two AS (SELECT n.*, a.action, CAST(split_part(a.ranges, '..', 1) AS INT) AS s, CAST(split_part(a.ranges, '..', 2) AS INT) AS e FROM named n LEFT JOIN (SELECT * FROM adaptor_report WHERE action = 'ACTION_TRIM') a ON a.sample = n.sample AND a.contig::VARCHAR = n.contig
+  WHERE NOT EXISTS (SELECT 1 FROM adaptor_report x WHERE x.action = 'ACTION_EXCLUDE' AND x.sample = n.sample AND x.contig::VARCHAR = n.contig)),
+pieces AS (SELECT sample, contig, CASE WHEN s IS NULL THEN seq ELSE substr(seq, 1, s - 1) END AS seq FROM two UNION ALL SELECT sample, contig, substr(seq, e + 1) FROM two WHERE s IS NOT NULL),
+bad AS (SELECT DISTINCT sample, string_split_regex(trim(line), '\\s+')[1] AS contig FROM classes WHERE regexp_matches(line, '\\b(archaea|bacteria|organelle|mitochondrion|plastid|prokarya)\\b'))"""
+
+
+@query(with_domain("actions contigs adaptor_report contig_classes", f"""WITH {_CLEAN}, {_ADAPT.format(r=_UNREVIEWED.format(t="c")).replace("classes", "contig_classes")}
+SELECT sample, count(*) AS pieces, sum(length(seq))::BIGINT AS bases FROM pieces p WHERE length(seq) >= 500 AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.sample = p.sample AND bad.contig = p.contig) GROUP BY sample"""))
 def e8_decontaminate(spark, sf_dir):
-    clean = C.decontaminate(domain(spark, sf_dir, "contigs"), domain(spark, sf_dir, "actions"))
+    t = {n: domain(spark, sf_dir, n) for n in ("contigs", "actions", "adaptor_report", "contig_classes")}
+    clean = C.decontaminate(t["contigs"], t["actions"], adaptors=C.adaptor_actions(t["adaptor_report"]), classes=t["contig_classes"])
     return clean.groupBy("sample").agg(F.count("*").alias("pieces"), F.sum(F.length("seq")).alias("bases"))
 
 
@@ -59,7 +69,10 @@ _STATS = """SELECT sample, count(*) AS num_seqs, sum(length)::BIGINT AS sum_len,
   quantile_cont(length, 0.75) AS q3, sum(length(regexp_replace(seq, '[^N]', '', 'g')))::BIGINT AS n_bases, sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) * 100.0::DOUBLE / sum(length) AS gc_pct FROM {t} GROUP BY sample"""
 
 
-@query(with_domain("contigs", _STATS.format(t="contigs")))
+_N50 = "nx AS (SELECT sample, max(length) AS n50 FROM (SELECT sample, length, sum(length) OVER (PARTITION BY sample ORDER BY length DESC, n) AS run, sum(length) OVER (PARTITION BY sample) AS total FROM (SELECT sample, length, row_number() OVER () AS n FROM {t}) y) x WHERE run * 2 >= total GROUP BY sample)"
+
+
+@query(with_domain("contigs", f"WITH {_N50.format(t='contigs')}, st AS ({_STATS.format(t='contigs')}) SELECT st.*, n50 FROM st LEFT JOIN nx ON nx.sample = st.sample"))
 def f1_seq_stats(spark, sf_dir):
     return C.seq_stats(domain(spark, sf_dir, "contigs"))
 
@@ -82,65 +95,74 @@ def f2_ngstar(spark, sf_dir):
     return C.nstar(contigs, sizes=sizes)
 
 
-@query(with_domain("contigs", "WITH parts AS (SELECT sample, contig, unnest(string_split_regex(seq, 'N+')) AS seq FROM contigs), p AS (SELECT *, length(seq) AS length FROM parts WHERE seq <> '') " + _STATS.format(t="p")))
+_PARTS = "parts AS (SELECT sample, contig, unnest(string_split_regex(seq, 'N+')) AS seq FROM contigs), p AS (SELECT *, length(seq) AS length FROM parts WHERE seq <> '')"
+
+
+@query(with_domain("contigs", f"""WITH {_PARTS}, {_N50.format(t='contigs')}, {_N50.format(t='p').replace("nx AS", "np AS")}, st AS ({_STATS.format(t='contigs')}), sp AS ({_STATS.format(t='p')})
+SELECT st.*, n50, 'scaffold' AS kind FROM st LEFT JOIN nx ON nx.sample = st.sample UNION ALL SELECT sp.*, n50, 'contig' FROM sp LEFT JOIN np ON np.sample = sp.sample"""))
 def f3_scaffold_parts(spark, sf_dir):
-    return C.seq_stats(C.split_scaffolds(domain(spark, sf_dir, "contigs")))
+    return C.scaffold_and_contig_stats(domain(spark, sf_dir, "contigs"))
 
 
-_REGIONS = """regions AS (SELECT gene, g.contig, greatest(least(g_start, g_end), 1) - 1 AS start_, least(greatest(g_start, g_end), length) AS end_
-  FROM gene_table g JOIN supplier_contigs c ON c.contig = g.contig WHERE status = 'Complete' AND least(greatest(g_start, g_end), length) > greatest(least(g_start, g_end), 1) - 1)"""
+_REGIONS = """regions AS (SELECT g.sample, gene, g.contig, greatest(least(g_start, g_end), 1) - 1 AS start_, least(greatest(g_start, g_end), length) AS end_
+  FROM gene_table g JOIN supplier_contigs c ON c.contig = g.contig AND c.sample = g.sample WHERE status = 'Complete' AND least(greatest(g_start, g_end), length) > greatest(least(g_start, g_end), 1) - 1)"""
 
 
 def _regions(spark, sf_dir):
     return C.gene_regions(domain(spark, sf_dir, "gene_table"), domain(spark, sf_dir, "supplier_contigs"))
 
 
-@query(with_domain("gene_table supplier_contigs", f"WITH {_REGIONS} SELECT gene, contig, start_ AS start, end_ AS \"end\" FROM regions"))
+@query(with_domain("gene_table supplier_contigs", f"WITH {_REGIONS} SELECT sample, gene, contig, start_ AS start, end_ AS \"end\" FROM regions"))
 def f4_gene_regions(spark, sf_dir):
     return _regions(spark, sf_dir)
 
 
-@query(with_domain("gene_table contigs", """WITH p AS (SELECT gene, g.contig, strand, substr(seq, greatest(least(g_start, g_end), 1)::INT, (greatest(greatest(g_start, g_end), greatest(least(g_start, g_end), 1) + 1) - greatest(least(g_start, g_end), 1) + 1)::INT) AS s
-  FROM gene_table g JOIN contigs c ON c.contig = g.contig WHERE status <> 'Missing')
-SELECT gene, contig, strand, CASE WHEN strand = '-' THEN reverse(translate(s, 'ACGTN', 'TGCAN')) ELSE s END AS seq FROM p"""))
+@query(with_domain("gene_table supplier_contigs", f"""WITH {_REGIONS}, k AS (SELECT sample, count(*) AS kept FROM regions GROUP BY sample)
+SELECT g.sample, coalesce(any_value(kept), 0) AS kept, count(*) FILTER (status = 'Complete') - coalesce(any_value(kept), 0) AS skipped FROM gene_table g LEFT JOIN k ON k.sample = g.sample GROUP BY g.sample"""))
+def f4_region_counts(spark, sf_dir):
+    return C.region_counts(domain(spark, sf_dir, "gene_table"), domain(spark, sf_dir, "supplier_contigs"))
+
+
+@query(with_domain("gene_table gene_contigs", """WITH p AS (SELECT g.sample, gene, g.contig, strand, greatest(least(g_start, g_end), 1) AS lo, greatest(greatest(g_start, g_end), greatest(least(g_start, g_end), 1) + 1) AS hi, seq AS s
+  FROM gene_table g JOIN gene_contigs c ON c.contig = g.contig AND c.sample = g.sample WHERE status <> 'Missing'), q AS (SELECT *, substr(s, lo::INT, (hi - lo + 1)::INT) AS x FROM p)
+SELECT sample, gene, contig, strand, concat('>', gene, '|', contig, ':', lo, '-', hi, '(', strand, ')') AS header, CASE WHEN strand = '-' THEN reverse(translate(x, 'ACGTN', 'TGCAN')) ELSE x END AS seq FROM q"""))
 def f5_gene_sequences(spark, sf_dir):
-    return C.gene_sequences(domain(spark, sf_dir, "gene_table"), domain(spark, sf_dir, "contigs"))
+    return C.gene_sequences(domain(spark, sf_dir, "gene_table"), domain(spark, sf_dir, "gene_contigs"))
 
 
 _GOOD = "mapq >= {q} AND (flag & 1796) = 0"
+_ON = "a.contig = r.contig AND a.sample = r.sample AND a_start < end_ AND start_ < a_end"
 
 
-@query(with_domain("gene_table supplier_contigs alignments", f"""WITH {_REGIONS} SELECT r.gene, r.contig, any_value(start_) AS start, any_value(end_) AS "end", coalesce(sum(least(a_end, end_) - greatest(a_start, start_)), 0)::BIGINT AS depth_sum
-FROM regions r LEFT JOIN (SELECT * FROM alignments WHERE {_GOOD.format(q=20)} AND a_end > a_start) a ON a.contig = r.contig AND a_start < end_ AND start_ < a_end GROUP BY r.gene, r.contig"""))
+@query(with_domain("gene_table supplier_contigs alignments", f"""WITH {_REGIONS} SELECT r.sample, r.gene, r.contig, any_value(start_) AS start, any_value(end_) AS "end", coalesce(sum(least(a_end, end_) - greatest(a_start, start_)), 0)::BIGINT AS depth_sum
+FROM regions r LEFT JOIN (SELECT * FROM alignments WHERE {_GOOD.format(q=20)} AND a_end > a_start) a ON {_ON} GROUP BY r.sample, r.gene, r.contig"""))
 def f6_region_depth(spark, sf_dir):
-    return C.region_depth(domain(spark, sf_dir, "alignments"), _regions(spark, sf_dir)).select("gene", "contig", "start", "end", "depth_sum")
+    return C.region_depth(domain(spark, sf_dir, "alignments"), _regions(spark, sf_dir)).select("sample", "gene", "contig", "start", "end", "depth_sum")
 
 
-@query(with_domain("supplier_contigs alignments", f"""SELECT c.contig, length, coalesce(sum(greatest(least(a_end, length) - greatest(a_start, 0), 0)), 0) / length AS meandepth
-FROM supplier_contigs c LEFT JOIN (SELECT * FROM alignments WHERE {_GOOD.format(q=0)}) a ON a.contig = c.contig GROUP BY c.contig, length"""))
+@query(with_domain("supplier_contigs alignments", f"""SELECT c.sample, c.contig, length, coalesce(sum(greatest(least(a_end, length) - greatest(a_start, 0), 0)), 0) / length AS meandepth
+FROM supplier_contigs c LEFT JOIN (SELECT * FROM alignments WHERE {_GOOD.format(q=0)}) a ON a.contig = c.contig AND a.sample = c.sample GROUP BY c.sample, c.contig, length"""))
 def f7_contig_depth(spark, sf_dir):
     return C.contig_depth(domain(spark, sf_dir, "alignments"), domain(spark, sf_dir, "supplier_contigs"))
 
 
-@query(with_domain("gene_table supplier_contigs", f"WITH {_REGIONS} SELECT c.contig, count(r.gene) AS regions, CASE WHEN count(r.gene) < 20 THEN 'too_few_busco_regions' ELSE 'ok' END AS status FROM supplier_contigs c LEFT JOIN regions r ON r.contig = c.contig GROUP BY c.contig"))
+@query(with_domain("gene_table supplier_contigs", f"WITH {_REGIONS} SELECT c.sample, count(r.gene) AS regions, CASE WHEN count(r.gene) < 20 THEN 'too_few_busco_regions' ELSE 'ok' END AS status FROM (SELECT DISTINCT sample FROM supplier_contigs) c LEFT JOIN regions r ON r.sample = c.sample GROUP BY c.sample"))
 def f8_region_status(spark, sf_dir):
-    t = domain(spark, sf_dir, "supplier_contigs").join(_regions(spark, sf_dir), "contig", "left").groupBy("contig").agg(F.count("gene").alias("regions"))
-    return t.withColumn("status", F.when(F.col("regions") < 20, "too_few_busco_regions").otherwise("ok"))
+    return C.region_status(_regions(spark, sf_dir), domain(spark, sf_dir, "supplier_contigs"))
 
 
-@query(with_domain("alignments", "SELECT count(*) AS total, count(*) FILTER ((flag & 4) = 0) AS mapped, count(*) FILTER ((flag & 16) > 0) AS reverse, count(*) FILTER ((flag & 256) > 0) AS secondary, avg(mapq) AS mean_mapq FROM alignments"))
+@query(with_domain("alignments", "SELECT sample, count(*) AS total, count(*) FILTER ((flag & 4) = 0) AS mapped, count(*) FILTER ((flag & 16) > 0) AS reverse, count(*) FILTER ((flag & 256) > 0) AS secondary, count(*) FILTER ((flag & 2) > 0) AS paired, count(*) FILTER ((flag & 1024) > 0) AS duplicates, avg(mapq) AS mean_mapq FROM alignments GROUP BY sample"))
 def f9_mapping_summary(spark, sf_dir):
     return C.mapping_summary(domain(spark, sf_dir, "alignments"))
 
 
-_SAMPLES = """gr AS (SELECT contig % 10 AS sample, r.gene, start_, end_, coalesce(d, 0) AS depth_sum FROM regions r LEFT JOIN (
-  SELECT r.gene AS g, sum(least(a_end, end_) - greatest(a_start, start_)) AS d FROM regions r JOIN alignments a ON a.contig = r.contig AND a_start < end_ AND start_ < a_end WHERE mapq >= 20 AND (flag & 1796) = 0 AND a_end > a_start GROUP BY r.gene) x ON x.g = r.gene),
+_SAMPLES = f"""gr AS (SELECT r.sample, r.gene, start_, end_, coalesce(d, 0) AS depth_sum FROM regions r LEFT JOIN (
+  SELECT r.gene AS g, sum(least(a_end, end_) - greatest(a_start, start_)) AS d FROM regions r JOIN alignments a ON {_ON} WHERE {_GOOD.format(q=20)} AND a_end > a_start GROUP BY r.gene) x ON x.g = r.gene),
 weighted AS (SELECT sample, sum(depth_sum) / sum(end_ - start_) AS mean_depth, count(*) AS regions FROM gr GROUP BY sample)"""
 
 
 def _weighted(spark, sf_dir):
-    t = C.region_depth(domain(spark, sf_dir, "alignments"), _regions(spark, sf_dir)).withColumn("sample", F.col("contig") % 10)
-    return D.weighted_depth(t)
+    return D.weighted_depth(C.region_depth(domain(spark, sf_dir, "alignments"), _regions(spark, sf_dir)))
 
 
 @query(with_domain("gene_table supplier_contigs alignments", f"WITH {_REGIONS}, {_SAMPLES} SELECT * FROM weighted"))

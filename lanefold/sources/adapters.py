@@ -23,14 +23,14 @@ ADAPTERS = {
           FROM (SELECT source AS sample, doc_id, s, {{EACH}}(0, CAST(floor((length(s) - 1) / 400) AS BIGINT))) AS i
             FROM (SELECT source, doc_id, {_SEQ} AS s FROM {{documents}}) a WHERE length(s) > 0) b) c CROSS JOIN (SELECT 1 AS mate UNION ALL SELECT 2 AS mate) m
         WHERE length(substr(piece, 1 + (mate - 1) * 200, 200)) > 0""",
-    "alignments": """SELECT l_suppkey AS contig, (l_orderkey * 7 + l_linenumber * 13) % 5000 AS a_start,
+    "alignments": """SELECT CAST(floor((l_suppkey % 100) / 10) AS BIGINT) AS sample, l_suppkey % 10 AS contig, (l_orderkey * 7 + l_linenumber * 13) % 5000 AS a_start,
           (l_orderkey * 7 + l_linenumber * 13) % 5000 + CAST(l_quantity AS BIGINT) AS a_end, l_linenumber * 8 AS mapq,
-          CASE WHEN l_returnflag = 'R' THEN 256 WHEN l_returnflag = 'A' THEN 0 ELSE 16 END AS flag FROM {lineitem}""",
-    "gene_table": """SELECT p_partkey AS gene, CASE p_size % 5 WHEN 0 THEN 'Missing' WHEN 1 THEN 'Fragmented' WHEN 2 THEN 'Duplicated' ELSE 'Complete' END AS status,
-          p_partkey % 100 AS contig, CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 4000 + 300 ELSE p_partkey * 3 % 4000 END AS g_start,
+          CASE WHEN l_returnflag = 'R' THEN 256 WHEN l_returnflag = 'A' THEN 2 ELSE 16 END AS flag FROM {lineitem}""",
+    "gene_table": """SELECT CAST(floor((p_partkey % 100) / 10) AS BIGINT) AS sample, p_partkey AS gene, CASE p_size % 5 WHEN 0 THEN 'Missing' WHEN 1 THEN 'Fragmented' WHEN 2 THEN 'Duplicated' ELSE 'Complete' END AS status,
+          p_partkey % 10 AS contig, CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 4000 + 300 ELSE p_partkey * 3 % 4000 END AS g_start,
           CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 4000 ELSE p_partkey * 3 % 4000 + 300 END AS g_end,
           CASE WHEN p_size % 2 = 0 THEN '-' ELSE '+' END AS strand FROM {part}""",
-    "supplier_contigs": "SELECT s_suppkey % 100 AS contig, max(3500 + s_suppkey % 900) AS length FROM {supplier} GROUP BY s_suppkey % 100",
+    "supplier_contigs": """SELECT sample, contig, max(length) AS length FROM (SELECT CAST(floor((s_suppkey % 100) / 10) AS BIGINT) AS sample, s_suppkey % 10 AS contig, 3500 + s_suppkey % 900 AS length FROM {supplier}) a GROUP BY sample, contig""",
     "contig_depth": """SELECT l_partkey % 20 AS sample, l_partkey AS contig, CAST(sum(CAST(l_quantity AS BIGINT)) * 3 AS BIGINT) AS length,
           CAST(7 + l_partkey * 37 % 200 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS meandepth FROM {lineitem} GROUP BY l_partkey""",
     "hist": """SELECT sample, cov, CAST(noise + floor(80000000 / (cov * cov * cov))
@@ -66,13 +66,17 @@ ADAPTERS = {
           CASE WHEN event_id % 3 = 0 THEN 'remote' ELSE 'local' END AS side FROM {events}""",
     "hits": """SELECT l_orderkey AS query, l_suppkey AS subject, CAST(95 + l_discount * 100 - floor(l_discount * 20) AS DOUBLE) AS identity,
           CAST(l_linenumber * 100 AS BIGINT) AS q_start, CAST(l_linenumber * 100 + l_quantity * 8 AS BIGINT) AS q_end FROM {lineitem}""",
-    "actions": """SELECT doc_id AS contig, CASE doc_id % 4 WHEN 0 THEN 'EXCLUDE' WHEN 1 THEN 'TRIM' ELSE 'REVIEW' END AS action,
+    "actions": """SELECT source AS sample, doc_id AS contig, CASE doc_id % 4 WHEN 0 THEN 'EXCLUDE' WHEN 1 THEN 'TRIM' ELSE 'REVIEW' END AS action,
           CASE WHEN doc_id % 4 = 1 THEN 1 + n_chars % 50 ELSE 1 END AS a_start, CASE WHEN doc_id % 4 = 1 THEN 40 + n_chars % 50 ELSE n_chars END AS a_end
         FROM {documents} WHERE doc_id % 5 < 2 AND n_chars > 100""",
+    "gene_contigs": f"""SELECT CAST(doc_id % 10 AS BIGINT) AS sample, CAST(floor(doc_id / 10) AS BIGINT) AS contig, seq FROM (SELECT doc_id, {_SEQ} AS seq FROM {{documents}}) a WHERE doc_id < 100 AND length(seq) > 0""",
+    "adaptor_report": """SELECT source AS sample, doc_id AS contig, n_chars AS length, CASE WHEN doc_id % 3 = 0 THEN 'ACTION_TRIM' WHEN doc_id % 7 = 0 THEN 'ACTION_EXCLUDE' ELSE 'FOUND' END AS action,
+          CASE WHEN doc_id % 3 = 0 THEN concat(CAST(5 + doc_id % 20 AS VARCHAR), '..', CAST(30 + doc_id % 20 AS VARCHAR)) ELSE '' END AS ranges FROM {documents} WHERE doc_id % 4 = 2 AND n_chars > 100""",
     "fastq_files": """SELECT concat('/in/OG', CAST(user_id % 200 AS VARCHAR), CASE event_id % 7 WHEN 0 THEN '.R1.fastq.gz' WHEN 1 THEN '.ilmn_R2.fq.gz'
           WHEN 2 THEN concat('.a_R1_', CAST(event_id % 3 AS VARCHAR), '.fq') WHEN 3 THEN '.R2.fastq' WHEN 4 THEN '.R1.txt' ELSE '.plain.fq' END) AS path FROM {events}""",
     "classes": """SELECT coalesce(source, '?') AS sample, concat('c', CAST(doc_id AS VARCHAR), ' len=', CAST(coalesce(n_chars, 0) AS VARCHAR), chr(9), CASE doc_id % 7 WHEN 0 THEN 'eukarya' WHEN 1 THEN concat('organelle', chr(9), 'mitochondrion')
           WHEN 2 THEN 'bacteria' WHEN 3 THEN 'archaea' WHEN 4 THEN 'prokarya' WHEN 5 THEN concat('organelle', chr(9), 'plastid') ELSE 'notbacteria' END) AS line FROM {documents}""",
+    "contig_classes": """SELECT source AS sample, concat(CAST(doc_id AS VARCHAR), ' len=', CAST(coalesce(n_chars, 0) AS VARCHAR), chr(9), CASE doc_id % 9 WHEN 1 THEN 'bacteria' WHEN 4 THEN concat('organelle', chr(9), 'plastid') ELSE 'eukarya' END) AS line FROM {documents}""",
     "curated": """SELECT CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_partkey END AS taxid, p_type AS class, concat(p_name, ' ', p_brand) AS species,
           concat(p_brand, ', syn ', CAST(p_partkey % 50 AS VARCHAR)) AS synonym, split_part(p_name, ' ', 1) AS genus, concat(p_type, 'idae') AS family, concat(p_type, 'iformes') AS order_name FROM {part}""",
     "asked": """SELECT id, raw, raw AS clean, split_part(raw, ' ', 1) AS genus FROM (SELECT c_custkey AS id, CASE c_custkey % 9 WHEN 0 THEN concat('COLD widget Brand#', CAST(c_custkey % 30 AS VARCHAR))

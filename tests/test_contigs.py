@@ -14,3 +14,32 @@ def test_nstar_of_long_contigs(spark):
     ng = {(r["sample"], r["pct"]): (r["n"], r["l"]) for r in C.nstar(df, (20, 50, 90), sizes).collect()}
     assert ng["a", 20] == (50_000, 1) and ng["a", 50] == (50_000, 2) and ng["a", 90] == (None, None) and ng["b", 50] == (2_000_000_000, 1)
     assert C.nstar(df.limit(0)).collect() == []
+
+
+def test_samples_share_contig_names(spark):
+    seq = "ACGT" * 200
+    contigs = spark.createDataFrame([(s, c, seq, len(seq)) for s in "AB" for c in ("k1", "k2", "k3")], "sample string, contig string, seq string, length int")
+    actions = spark.createDataFrame([("A", "k1", "EXCLUDE", 1, 800), ("B", "k2", "TRIM", 1, 300), ("A", "k3", "REVIEW", 1, 800), (None, "k2", "EXCLUDE", 1, 2)], "sample string, contig string, action string, a_start long, a_end long")
+    pieces = {(r["sample"], r["contig"]): len(r["seq"]) for r in C.apply_actions(contigs, actions).collect()}
+    assert pieces == {("A", "k2"): 800, ("A", "k3"): 800, ("B", "k1"): 800, ("B", "k2"): 500, ("B", "k3"): 800}
+    adaptors = C.adaptor_actions(spark.createDataFrame([("B", "k1", 800, "ACTION_TRIM", "1..100, 700..800"), ("A", "k2", 800, "ACTION_EXCLUDE", ""), ("B", "k3", 800, "FIX", "x")], "sample string, contig string, length int, action string, ranges string"))
+    classes = spark.createDataFrame([("B", "k3 len=800\tbacteria"), ("A", "k2 len=800\teukarya"), ("B", "k1 len=3\tnone")], "sample string, line string")
+    clean = {(r["sample"], r["contig"]): len(r["seq"]) for r in C.decontaminate(contigs, actions, adaptors=adaptors, classes=classes).collect()}
+    assert clean == {("B", "k1"): 599, ("B", "k2"): 500}
+    summary = {(r["sample"], r["action"]): (r["contigs"], r["bp"]) for r in C.action_summary(actions.filter("sample is not null")).collect()}
+    assert summary["A", "EXCLUDE"] == (1, 800) and summary["B", "EXCLUDE"] == (0, 0) and summary["B", "TRIM"] == (1, 300)
+    genes = spark.createDataFrame([("A", 1, "Complete", "k1", 10, 20, "+"), ("B", 2, "Complete", "k9", 10, 20, "+"), ("B", 3, "Complete", "k1", 900, 950, "+")], "sample string, gene int, status string, contig string, g_start int, g_end int, strand string")
+    assert [(r["sample"], r["gene"]) for r in C.gene_regions(genes, contigs).collect()] == [("A", 1)]
+    assert {r["sample"]: (r["kept"], r["skipped"]) for r in C.region_counts(genes, contigs).collect()} == {"A": (1, 0), "B": (0, 2)}
+    reads = spark.createDataFrame([("A", "k1", 0, 400, 60, 0), ("B", "k1", 700, 900, 60, 0)], "sample string, contig string, a_start long, a_end long, mapq int, flag int")
+    depth = {(r["sample"], r["contig"]): r["meandepth"] for r in C.contig_depth(reads, contigs.withColumn("length", contigs["length"])).collect()}
+    assert depth["A", "k1"] == 0.5 and depth["B", "k1"] == 0.125 and depth["A", "k2"] == 0
+    assert {r["sample"]: r["status"] for r in C.region_status(C.gene_regions(genes, contigs), contigs, 1).collect()} == {"A": "ok", "B": "too_few_busco_regions"}
+
+
+def test_depth_mode_of_contigs_named_by_text(spark):
+    from lanefold.operators.depth import depth_mode
+
+    df = spark.createDataFrame([("s", "b", 1000, 8.1), ("s", "a", 1000, 40.0), ("s", "c", 400, 90.0)], "sample string, contig string, length long, meandepth double")
+    got = depth_mode(df).collect()
+    assert len(got) == 1 and 35 < got[0]["depth_mode"] < 45 and got[0]["mode_fraction"] == 0.5
