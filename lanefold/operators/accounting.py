@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,22 +18,40 @@ def duration_seconds(c: Column) -> Column:
     return F.round(days * 86400 + clock, 3)
 
 
-def memory_gb(c: Column, default_unit: str = "M") -> Column:
-    """GB (1024-based) of ``1000Kc`` or ``10.5G``; a trailing n or c (per node, per core) is ignored here."""
-    value = F.regexp_extract(c, r"^([0-9.]+)", 1)
-    unit = F.upper(F.regexp_extract(c, r"^[0-9.]+([KMGTkmgt]?)", 1))
-    unit = F.when(unit == "", default_unit).otherwise(unit)
+def duration_hours(c: Column) -> Column:
+    """Hours of ``D-HH:MM:SS`` or ``HH:MM:SS``; minutes and seconds are cut, not rounded, to four decimals each. Null without three parts."""
+    t = F.regexp_replace(c, r"\s", "")
+    days = F.when(F.contains(t, F.lit("-")), F.substring_index(t, "-", 1).try_cast("double")).otherwise(0.0)
+    parts = F.split(F.substring_index(t, "-", -1), ":")
+    x = lambda i: F.get(parts, F.lit(i)).try_cast("decimal(18,6)")
+    cut = lambda v, by: (F.floor(v * 10_000 / by) / 10_000).cast("double")
+    return F.when(F.size(parts) == 3, F.round(days * 24 + x(0).cast("double") + cut(x(1), 60) + cut(x(2), 3600), 4))
+
+
+def memory_gb(c: Column, default_unit: str = "M", cpus: Column | None = None, nodes: Column | None = None) -> Column:
+    """GB (1024-based) of ``1000Kc``, ``10.5G`` or ``16GBn``; B is bytes, no unit ``default_unit`` (of K, M, G, T, B).
+
+    A closing c or n (per core, per node) multiplies by ``cpus`` or ``nodes`` where they are given and above 0. Null
+    without a number.
+    """
+    t = F.upper(F.regexp_replace(c, r"\s", ""))
+    value, unit, scope = (F.regexp_extract(t, r"^([0-9]+(?:\.[0-9]+)?)([KMGT]?I?B?)([CN]?)$", k) for k in (1, 2, 3))
+    unit = F.when(unit == "", default_unit.upper()[:1]).otherwise(F.left(unit, F.lit(1)))
     factor = F.when(unit == "K", 1 / 1024**2).when(unit == "M", 1 / 1024).when(unit == "G", 1.0).when(unit == "T", 1024.0).otherwise(1 / 1024**3)
-    return F.when(value != "", value.cast("double") * factor)
+    times = F.lit(1.0)
+    for letter, n in (("C", cpus), ("N", nodes)):
+        if n is not None:
+            times = F.when((scope == letter) & (n > 0), n.cast("double")).otherwise(times)
+    return F.when(value != "", value.try_cast("double") * factor * times)
 
 
 def service_units(jobs: DataFrame) -> DataFrame:
     """``su``: charge rate of the partition times the larger share of a node (cores, or memory up to 1) times nodes times hours."""
     p = F.col("job_partition")
     of = lambda gpu, high, copy, other: F.when(p.contains("gpu"), gpu).when(p.contains("highmem"), high).when(p.contains("copy"), copy).otherwise(other)
-    per_node = F.col("cores") / F.col("nodes")
+    per_node = F.try_divide(F.col("cores"), F.col("nodes"))
     cores = F.round(per_node / of(8.0, 128.0, 64.0, 128.0), 6)
-    mem = F.round(F.least(F.col("mem_gb") / F.col("nodes") / of(1e18, 980.0, 115.0, 230.0), F.lit(1.0)), 6)
+    mem = F.round(F.least(F.try_divide(F.col("mem_gb"), F.col("nodes")) / of(1e18, 980.0, 115.0, 230.0), F.lit(1.0)), 6)
     share = F.when(p.contains("gpu"), cores).otherwise(F.greatest(cores, mem))
     return jobs.withColumn("su", F.round(of(512.0, 128.0, 0.0, 128.0) * share * F.col("nodes") * F.col("elapsed_s") / 3600, 4))
 
@@ -52,18 +72,47 @@ def run_summary(jobs: DataFrame) -> DataFrame:
 
 
 def by_process(jobs: DataFrame) -> DataFrame:
+    """Jobs, SU and median CPU efficiency by the last part of the process name; a null name is a group of its own."""
     last = F.element_at(F.split("process", ":"), -1)
     return jobs.groupBy(last.alias("process")).agg(F.count("*").alias("jobs"), F.round(F.sum("su"), 2).alias("su"), F.round(F.percentile("cpu_eff", 0.5), 6).alias("cpu_eff_median"))
 
 
 def cost_per_sample(jobs: DataFrame) -> DataFrame:
-    """SU of jobs tagged with a sample, and an even share of all others; one row for these if no job has a sample."""
-    direct = jobs.filter(F.col("tag").rlike("^OG[0-9]+")).groupBy(F.col("tag").alias("sample")).agg(F.sum("su").alias("direct_su"))
-    rest = jobs.agg(F.sum(F.when(F.col("tag").rlike("^OG[0-9]+"), 0.0).otherwise(F.col("su"))).alias("rest"))
-    n = direct.agg(F.count("*").alias("n"))
-    both = rest.crossJoin(n)  # one row each
-    shared = direct.crossJoin(both).select("sample", F.round("direct_su", 2).alias("direct_su"), F.round(F.col("rest") / F.col("n"), 2).alias("shared_su"))
-    return shared.unionByName(both.filter("n = 0").select(F.lit("_UNATTRIBUTED").alias("sample"), F.lit(0.0).alias("direct_su"), F.round("rest", 2).alias("shared_su")))
+    """sample_id, n_jobs, direct_su, overhead_su_share, total_su, n_failed_jobs, dearest first.
+
+    A job belongs to the sample that its tag starts with (``OG`` and digits: OG1.a and OG1.b are both OG1's); all other
+    SU are shared evenly. Without any sample they stand as direct SU of ``_UNATTRIBUTED``, with no share. Null tags and
+    SU count as untagged and 0; null states as failed.
+    """
+    t = jobs.select(F.nullif(F.regexp_extract(F.coalesce("tag", F.lit("")), "^OG[0-9]+", 0), F.lit("")).alias("sample_id"), F.coalesce("su", F.lit(0.0)).alias("su"), (F.coalesce("state", F.lit("")) != "COMPLETED").alias("failed"))
+    each = t.groupBy("sample_id").agg(F.count("*").alias("n_jobs"), F.sum("su").alias("direct"), F.count_if("failed").alias("n_failed_jobs"))
+    known = each.filter("sample_id IS NOT NULL")
+    rest = each.agg(F.sum(F.when(F.col("sample_id").isNull(), F.col("direct"))).alias("rest"), F.sum(F.when(F.col("sample_id").isNull(), F.col("n_jobs"))).alias("rest_jobs"), F.count("sample_id").alias("n"))
+    share = F.coalesce(F.try_divide("rest", "n"), F.lit(0.0))
+    row = lambda df: df.select("sample_id", "n_jobs", F.round("direct", 4).alias("direct_su"), F.round("share", 4).alias("overhead_su_share"), F.round(F.col("direct") + F.col("share"), 4).alias("total_su"), "n_failed_jobs")
+    shared = known.crossJoin(rest.select(share.alias("share")))  # one row
+    lonely = rest.filter("n = 0 AND rest_jobs > 0").select(F.lit("_UNATTRIBUTED").alias("sample_id"), F.col("rest_jobs").alias("n_jobs"), F.col("rest").alias("direct"), F.lit(0.0).alias("share"), F.lit(0).cast("long").alias("n_failed_jobs"))
+    return row(shared).unionByName(row(lonely)).orderBy(F.desc("direct_su"), "sample_id")
+
+
+def expected_files(samples: DataFrame, files: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """sample, pattern and state of every sample and pattern: ``Found`` and the first path, or ``Missing``.
+
+    ``files`` has sample and path; a pattern is a glob (``*`` and ``?``) over the whole path. Samples without any file
+    are all missing; null paths match nothing.
+    """
+    glob = lambda g: "^" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in g) + "$"
+    hits = F.array_compact(F.array(*[F.when(F.col("path").rlike(glob(g)), n) for n, g in patterns.items()]))
+    found = files.select("sample", "path", F.explode(hits).alias("pattern")).groupBy("sample", "pattern").agg(F.min("path").alias("first"))
+    every = samples.select("sample").distinct().select("sample", F.explode(F.array(*map(F.lit, patterns))).alias("pattern"))
+    t = every.join(found, ["sample", "pattern"], "left")
+    return t.select("sample", "pattern", F.coalesce(F.concat(F.lit("Found "), "first"), F.lit("Missing")).alias("state"))
+
+
+def file_matrix(states: DataFrame, patterns: list[str]) -> DataFrame:
+    """One row a sample with a column for each pattern, and ``gaps``, how many are missing."""
+    t = states.groupBy("sample").pivot("pattern", patterns).agg(F.first("state"))
+    return t.withColumn("gaps", sum(((F.col(f"`{p}`") == "Missing").cast("int") for p in patterns), F.lit(0)))
 
 
 def _bands(c: Column, bands: tuple[tuple[float, str], ...], last: str | None = None) -> Column:

@@ -50,3 +50,45 @@ def confidence(regions: Column, anchor: Column, mode: Column, fraction: Column,
         .when((anchor / mode > window) | (mode / anchor > window), "anchor_off_mode")
         .otherwise("high")
     )
+
+
+def depth_record(samples: DataFrame, depths: DataFrame, window: float = 2.0, least: int = 500, least_regions: int = 50, least_fraction: float = 0.4, k: int = 21) -> DataFrame:
+    """One row for every row of ``samples``: the measured coverage, and what of the assembly lies at the host's depth.
+
+    ``samples`` has sample, status, busco_regions, busco_mean_depth, read_length, total_bases, assembly_size and kmercov (all
+    but the first may be null), ``depths`` sample, contig, length and meandepth. Without contigs or without a host depth
+    the sizes are null and partition_status says why. The size at the mode of the depth is given only where the mode is
+    dominant (its band holds ``least_fraction`` of what is partitioned) and the host depth is off it by more than ``window``.
+    """
+    c = F.col
+    s = samples.select(
+        "sample", F.coalesce("status", F.lit("ok")).alias("_status"), F.coalesce("busco_regions", F.lit(0)).alias("busco_regions"), c("busco_mean_depth").cast("double").alias("busco_mean_depth"),
+        c("read_length").cast("double").alias("read_length"), c("total_bases").cast("double").alias("_bases"), c("assembly_size").cast("long").alias("assembly_size"), c("kmercov").cast("double").alias("genomescope_kmercov"),
+    )
+    there = depths.groupBy("sample").agg(F.lit(True).alias("_there"))
+    host = F.nullif("busco_mean_depth", F.lit(0.0))
+    at = partition(depths.join(s.select("sample", host.alias("host_depth")), "sample"), window, least)
+    at = at.select("sample", *[c(f"{n}_size").alias(f"_{n}") for n in ("host", "host_collapsed", "host_haplotig", "below", "above")], c("host_contigs").alias("_contigs"))
+    mode = depth_mode(depths, least).select("sample", "depth_mode")
+    there_mode = partition(depths.join(mode.withColumnRenamed("depth_mode", "host_depth"), "sample"), window, least).select("sample", c("host_size").alias("_at_mode"))
+    t = s.join(there, "sample", "left").join(at, "sample", "left").join(mode, "sample", "left").join(there_mode, "sample", "left")
+    lam = lambda_of(c("busco_mean_depth"), c("read_length"), k)
+    mean = F.try_divide(F.nullif("_bases", F.lit(0.0)), F.nullif("assembly_size", F.lit(0)))
+    state = F.when(c("_there").isNull(), "no_contig_depth").when(host.isNull(), "no_host_depth").otherwise("ok")
+    t = t.withColumns({"lambda_depth": lam, "assembly_mean_depth": mean, "partition_status": state, "_ok": state == "ok"})
+    ok = lambda x: F.when(c("_ok"), x)
+    partitioned = c("_host") + c("_above") + c("_below")
+    fraction = ok(F.try_divide(c("_at_mode").cast("double"), partitioned))
+    off = ok(F.try_divide(c("busco_mean_depth"), c("depth_mode")))
+    note = confidence(c("busco_regions"), c("busco_mean_depth"), c("depth_mode"), fraction, window, least_regions, least_fraction)
+    anchored = (fraction >= least_fraction) & ((off > window) | (off < 1 / window))
+    return t.select(
+        c("sample").alias("sample_id"), F.when(c("lambda_depth").isNull() & (c("_status") == "ok"), "no_measurement").otherwise(c("_status")).alias("status"), "busco_regions", "busco_mean_depth", "read_length",
+        "lambda_depth", "assembly_mean_depth", F.try_divide(host, c("assembly_mean_depth")).alias("busco_depth_over_assembly_depth"), "assembly_size", "genomescope_kmercov",
+        F.try_divide(F.nullif("genomescope_kmercov", F.lit(0.0)), c("lambda_depth")).alias("kmercov_over_lambda_depth"), ok(c("_host")).alias("host_assembly_size"),
+        ok(F.try_divide(c("_host").cast("double"), partitioned)).alias("host_assembly_fraction"), ok(c("_above")).alias("symbiont_assembly_size"), ok(c("_below")).alias("low_depth_assembly_size"),
+        ok(c("_contigs")).alias("host_contig_count"), "partition_status", ok(c("_host_collapsed")).alias("host_collapsed_size"), ok(c("_host_haplotig")).alias("host_haplotig_size"),
+        ok(F.expr("_host_collapsed + _host_haplotig div 2")).alias("host_haploid_size"), ok(c("depth_mode")).alias("depth_mode"), off.alias("anchor_over_mode"),
+        ok(F.when(note == "high", "high").otherwise("low")).alias("partition_confidence"), ok(F.nullif(note, F.lit("high"))).alias("partition_note"),
+        F.when(anchored, c("_at_mode")).alias("host_assembly_size_mode_anchored"),
+    )

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanefold.functions.sequences import kmers
+from lanefold.functions.sequences import packed_kmers
 
 
 def count_kmers(seqs: DataFrame, k: int = 21) -> DataFrame:
-    """sample, kmer, cnt of canonical k-mers. Counting is a partial aggregate, so frequent k-mers don't crowd one task."""
-    return seqs.select("sample", F.explode(kmers(F.col("seq"), k)).alias("kmer")).groupBy("sample", "kmer").agg(F.count("*").alias("cnt"))
+    """sample, kmer, cnt of canonical k-mers, packed into whole numbers (see ``kmer_text``); k is 31 at most.
+
+    Counting is a partial aggregate, so frequent k-mers don't crowd one task; the shuffle carries two numbers a k-mer.
+    """
+    return seqs.select("sample", F.explode(packed_kmers(F.col("seq"), k)).alias("kmer")).groupBy("sample", "kmer").agg(F.count("*").alias("cnt"))
 
 
 def union_sum(*tables: DataFrame) -> DataFrame:
@@ -63,12 +66,18 @@ def assembly_qv(assembly: DataFrame, reads: DataFrame, k: int = 21) -> DataFrame
     return t.withColumn("qv", F.when(F.col("error") > 0, -10 * F.log10("error")))
 
 
-def kmer_completeness(reads: DataFrame, assembly: DataFrame, solid: int = 2) -> DataFrame:
-    """sample, solid and found k-mers of the reads, and the percentage found in the assembly."""
+def kmer_completeness(reads: DataFrame, assembly: DataFrame, solid: int | None = None) -> DataFrame:
+    """sample, solid and found k-mers of the reads, and the percentage found in the assembly.
+
+    Solid are k-mers at or above ``solid``; None takes the trough of each sample's histogram, 2 where it has none.
+    """
+    if solid is None:
+        least = find_kmer_peak(kmer_histogram(reads)).select("sample", F.coalesce("trough_cov", F.lit(2)).alias("least"))
+        reads, solid = reads.join(least, "sample").filter(F.col("cnt") >= F.col("least")).drop("least"), 1
     have = assembly.select("sample", "kmer", F.lit(1).alias("seen"))
     t = reads.filter(F.col("cnt") >= solid).join(have, ["sample", "kmer"], "left")
     t = t.groupBy("sample").agg(F.count("*").alias("solid_kmers"), F.count("seen").alias("found_kmers"))
-    return t.withColumn("completeness", F.col("found_kmers") * 100.0 / F.col("solid_kmers"))
+    return t.withColumn("completeness", F.try_divide(F.col("found_kmers") * 100.0, F.col("solid_kmers")))
 
 
 def spectra_cn(reads: DataFrame, assembly: DataFrame, most: int = 5) -> DataFrame:

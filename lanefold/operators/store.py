@@ -102,3 +102,32 @@ def merge_records(parts: list[DataFrame], group: str, identity: list[str]) -> tu
     """Records of all ``parts`` joined on group and identity, and the groups whose parts don't share one identity."""
     keys = [group, *identity]
     return keyed_join(keys, *parts), mixed_identities(reduce(DataFrame.unionByName, [p.select(*keys) for p in parts]), group, identity)
+
+
+def family_tables(record: DataFrame, families: dict[str, dict[str, str | tuple[str, str]]], keys: list[str]) -> dict[str, DataFrame]:
+    """The rows of each typed table that a record table (keys and legacy columns) supplies.
+
+    ``families`` maps a family's columns to their table, or to (table, stored name); columns that the record lacks are
+    left out. A row exists only where a process gave a value, so rows of nulls are dropped. Raises if a family has no
+    column in the record, or if keys repeat.
+    """
+    assert_unique(record, keys)
+    tables: dict[str, list[tuple[str, str]]] = {}
+    for family, columns in families.items():
+        have = {c: t for c, t in columns.items() if c in record.columns}
+        if not have:
+            raise ValueError(f"{family}: the record has none of its columns")
+        for c, target in have.items():
+            table, name = target if isinstance(target, tuple) else (target, c)
+            tables.setdefault(table, []).append((c, name))
+    out = {}
+    for table, pairs in tables.items():
+        rows = record.select(*keys, *[F.col(c).alias(name) for c, name in pairs])
+        out[table] = rows.filter(F.coalesce(*[F.col(name).cast("string") for _, name in pairs]).isNotNull())
+    return out
+
+
+def upsert_families(stored: dict[str, DataFrame], record: DataFrame, families: dict[str, dict[str, str | tuple[str, str]]], keys: list[str]) -> dict[str, DataFrame]:
+    """Every stored table with what the record supplies for it: its columns are replaced, also by null, others kept."""
+    new = family_tables(record, families, keys)
+    return stored | {table: upsert(stored[table], rows, keys, [c for c in rows.columns if c not in keys]) if table in stored else rows for table, rows in new.items()}

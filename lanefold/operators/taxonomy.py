@@ -19,8 +19,12 @@ def clean_species(name: Column) -> Column:
 
 
 def _written(df: DataFrame) -> DataFrame:
-    """Written below ``spark.checkpoint.dir``, or a temporary folder on one machine, and read back."""
-    base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "lanefold-shared")
+    """Written below ``spark.checkpoint.dir``, or on a local master a temporary folder, and read back."""
+    base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if df.sparkSession.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = os.path.join(tempfile.gettempdir(), "lanefold-shared")
     path = f"{base.rstrip('/')}/closure-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -48,6 +52,7 @@ def closure(nodes: DataFrame) -> DataFrame:
 
 
 def in_clade(closed: DataFrame, clade: int) -> DataFrame:
+    """taxid of the clade itself and of everything below it; an unknown clade has none."""
     return closed.filter(F.col("ancestor") == clade).select("taxid")
 
 
@@ -57,9 +62,10 @@ def name_index(nodes: DataFrame) -> DataFrame:
 
 
 def lineage(closed: DataFrame, nodes: DataFrame, ranks: tuple[str, ...] = ("class", "order", "family")) -> DataFrame:
-    """The name of the nearest ancestor of each wanted rank."""
+    """The name of the nearest ancestor of each wanted rank that has one; a class that is wanted falls back to the phylum."""
     up = closed.join(nodes.select(F.col("taxid").alias("ancestor"), "rank", "name"), "ancestor")
-    near = [F.min(F.when(F.col("rank") == r, F.struct("depth", "name")))["name"].alias(f"{r}_name") for r in ranks]
+    of = lambda r: F.min(F.when((F.col("rank") == r) & (F.col("name") != ""), F.struct("depth", "name")))["name"]
+    near = [(F.coalesce(of(r), of("phylum")) if r == "class" else of(r)).alias(f"{r}_name") for r in ranks]
     return up.groupBy("taxid").agg(*near)
 
 

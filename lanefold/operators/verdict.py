@@ -29,6 +29,14 @@ class Thresholds:
     min_busco: float = 10.0
 
 
+#: What each grade of coverage recommends.
+RECOMMENDATIONS = {
+    "EXCELLENT": "Suitable for high-quality genome assembly and variant calling.",
+    "GOOD": "Suitable for genome assembly and most downstream analyses.",
+    "ADEQUATE": "Suitable for basic genome assembly.",
+    "LOW": "Draft assembly may be possible, but additional sequencing may help.",
+    "INSUFFICIENT": "Additional sequencing is strongly recommended.",
+}
 UNRELIABLE = "UNRELIABLE_GENOME_SIZE_ESTIMATE"
 GRADES = ((50, "EXCELLENT"), (30, "GOOD"), (20, "ADEQUATE"), (10, "LOW"))
 
@@ -68,7 +76,18 @@ def provisional(fits: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
     cover = lambda bases: F.coalesce(F.try_divide(F.col(bases), size), F.lit(0.0))
     t = t.withColumns({"estimated_genome_size": size.cast("long"), "coverage_before": cover("bases_before"), "coverage": cover("bases_after")})
     kept = F.coalesce(F.try_divide(F.col("bases_after") * 100.0, F.col("bases_before")), F.lit(0.0))
-    return t.withColumns({"retention_pct": kept, "reliable": F.size("flags") == 0, "coverage_status": grade(F.col("coverage"), F.col("flags"))})
+    removed = F.coalesce(F.try_divide((F.col("bases_before") - F.col("bases_after")) * 100.0, F.col("bases_before")), F.lit(0.0))
+    t = t.withColumns({"retention_pct": kept, "removed_pct": removed, "reliable": F.size("flags") == 0, "coverage_status": grade(F.col("coverage"), F.col("flags"))})
+    told = F.create_map(*[F.lit(x) for pair in RECOMMENDATIONS.items() for x in pair])[F.col("coverage_status")]
+    doubtful = F.concat(F.lit("no coverage figure can be relied on: "), F.array_join("flags", ", "))
+    return t.withColumn("recommendation", F.when(F.size("flags") > 0, doubtful).otherwise(told))
+
+
+def chosen_fit(choices: DataFrame) -> DataFrame:
+    """sample, winner and every field of the fit that won (``new_`` of a refit): always one row; fields no refit has stay the original's."""
+    won = F.col("winner") == "reseeded"
+    fields = [F.when(won, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if f"new_{c}" in choices.columns else F.col(c) for c in FIT_FIELDS if c in choices.columns]
+    return choices.select("sample", "winner", *fields)
 
 
 def reseed_plan(verdicts: DataFrame, th: Thresholds = Thresholds(), enabled: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lanefold.operators import contigs as C
 from lanefold.operators import depth as D
+from lanefold.operators import flows
 from lanefold.plans.registry import query
 from lanefold.sources.adapters import domain, with_domain
 
@@ -215,14 +216,54 @@ def g6_mode_anchored(spark, sf_dir):
     return D.partition(t.join(modes, "sample")).select("sample", F.col("host_size").alias("host_size_mode_anchored"))
 
 
-@query(with_domain("contig_depth", f"""WITH {_PART}, p AS (SELECT sample, {_SUMS} FROM kinds GROUP BY sample), t AS (SELECT sample, sum(length) AS asm, sum(length * meandepth) AS bases FROM contig_depth GROUP BY sample)
-SELECT t.sample, round(bases / asm, 6) AS assembly_mean_depth, round((61.0 + t.sample) / (bases / asm), 6) AS host_ratio, host_size AS host_assembly_size, host_collapsed_size + host_haplotig_size // 2 AS host_haploid_size,
-  CASE WHEN host_size = 0 THEN 'no_host_depth' ELSE 'ok' END AS status FROM t LEFT JOIN p ON p.sample = t.sample"""))
+#: Samples of the depth record; 20 to 22 have no contigs, some no host depth or a reason why nothing was measured.
+SAMPLES_SQL = """SELECT sample, CASE WHEN sample % 11 = 5 THEN 'too_few_busco_regions' ELSE 'ok' END AS status, 40 + sample * 3 AS busco_regions,
+  CASE WHEN sample % 7 = 3 OR sample % 11 = 5 THEN NULL WHEN sample % 5 = 1 THEN 9.5 + sample ELSE 61.5 + sample END AS busco_mean_depth, CASE WHEN sample = 4 THEN 20 ELSE 146 END AS read_length,
+  CASE WHEN sample = 2 THEN 0 ELSE 5000000 + sample * 1000 END AS total_bases, CASE WHEN sample = 6 THEN NULL ELSE 30000 + sample * 7 END AS assembly_size, CASE WHEN sample % 8 = 0 THEN NULL ELSE 20.0 + sample END AS kmercov
+FROM (SELECT DISTINCT sample FROM contig_depth UNION ALL SELECT 20 UNION ALL SELECT 21 UNION ALL SELECT 22) x"""
+_RECORD = f"""s AS ({SAMPLES_SQL}), d AS (SELECT c.*, s.busco_mean_depth AS h FROM contig_depth c JOIN s ON s.sample = c.sample),
+k AS (SELECT *, CASE WHEN length < 500 THEN 'excluded' WHEN meandepth < h / 2 THEN 'below' WHEN meandepth > h * 2 THEN 'above' WHEN meandepth < greatest(h / 2, h * 0.75) THEN 'haplotig' ELSE 'collapsed' END AS kind FROM d WHERE h > 0),
+p AS (SELECT sample, coalesce(sum(length) FILTER (kind IN ('haplotig', 'collapsed')), 0)::BIGINT AS host, coalesce(sum(length) FILTER (kind = 'above'), 0)::BIGINT AS above, coalesce(sum(length) FILTER (kind = 'below'), 0)::BIGINT AS below,
+  count(*) FILTER (kind IN ('haplotig', 'collapsed')) AS n, coalesce(sum(length) FILTER (kind = 'collapsed'), 0)::BIGINT AS col, coalesce(sum(length) FILTER (kind = 'haplotig'), 0)::BIGINT AS hap FROM k GROUP BY sample),
+{_MODE},
+am AS (SELECT c.sample, coalesce(sum(length) FILTER (length >= 500 AND meandepth >= depth_mode / 2 AND meandepth <= depth_mode * 2), 0)::BIGINT AS at_mode FROM contig_depth c JOIN modes m ON m.sample = c.sample GROUP BY c.sample),
+j AS (SELECT s.*, p.* EXCLUDE (sample), m.depth_mode AS mode, at_mode, cd.sample IS NOT NULL AS there, CASE WHEN busco_mean_depth <> 0 AND read_length > 21 THEN busco_mean_depth * (read_length - 20) / read_length / 2 END AS lam, nullif(total_bases, 0) / nullif(assembly_size, 0) AS mean
+  FROM s LEFT JOIN p ON p.sample = s.sample LEFT JOIN modes m ON m.sample = s.sample LEFT JOIN am ON am.sample = s.sample LEFT JOIN (SELECT DISTINCT sample FROM contig_depth) cd ON cd.sample = s.sample),
+q AS (SELECT *, CASE WHEN NOT there THEN 'no_contig_depth' WHEN busco_mean_depth IS NULL THEN 'no_host_depth' ELSE 'ok' END AS ps FROM j),
+r AS (SELECT *, CASE WHEN ps = 'ok' THEN at_mode / (host + above + below) END AS frac, CASE WHEN ps = 'ok' THEN busco_mean_depth / mode END AS off FROM q),
+n AS (SELECT *, CASE WHEN ps = 'ok' THEN CASE WHEN busco_regions < 50 THEN 'few_busco_regions' WHEN mode IS NULL OR frac IS NULL OR frac < 0.4 THEN 'no_dominant_mode' WHEN off > 2 OR 1 / off > 2 THEN 'anchor_off_mode' END END AS note FROM r)"""
+
+
+def _record(spark, sf_dir):
+    t = domain(spark, sf_dir, "contig_depth")
+    sql = SAMPLES_SQL.replace("contig_depth", "{contig_depth}")
+    got = D.depth_record(spark.sql(sql, contig_depth=t), t)
+    doubles = [c for c, kind in got.dtypes if kind == "double"]
+    return got.withColumns({c: F.round(c, 9) for c in doubles})
+
+
+@query(with_domain("contig_depth", f"""WITH {_RECORD} SELECT sample AS sample_id, CASE WHEN lam IS NULL AND status = 'ok' THEN 'no_measurement' ELSE status END AS status, busco_regions, round(busco_mean_depth::DOUBLE, 9) AS busco_mean_depth, read_length::DOUBLE AS read_length,
+  round(lam, 9) AS lambda_depth, round(mean, 9) AS assembly_mean_depth, round(busco_mean_depth / mean, 9) AS busco_depth_over_assembly_depth, assembly_size, kmercov::DOUBLE AS genomescope_kmercov, round(kmercov / lam, 9) AS kmercov_over_lambda_depth,
+  CASE WHEN ps = 'ok' THEN host END AS host_assembly_size, round(CASE WHEN ps = 'ok' THEN host / (host + above + below) END, 9) AS host_assembly_fraction, CASE WHEN ps = 'ok' THEN above END AS symbiont_assembly_size,
+  CASE WHEN ps = 'ok' THEN below END AS low_depth_assembly_size, CASE WHEN ps = 'ok' THEN n END AS host_contig_count, ps AS partition_status, CASE WHEN ps = 'ok' THEN col END AS host_collapsed_size, CASE WHEN ps = 'ok' THEN hap END AS host_haplotig_size,
+  CASE WHEN ps = 'ok' THEN col + hap // 2 END AS host_haploid_size, round(CASE WHEN ps = 'ok' THEN mode END, 9) AS depth_mode, round(off, 9) AS anchor_over_mode, CASE WHEN ps = 'ok' THEN CASE WHEN note IS NULL THEN 'high' ELSE 'low' END END AS partition_confidence,
+  note AS partition_note, CASE WHEN frac >= 0.4 AND (off > 2 OR off < 0.5) THEN at_mode END AS host_assembly_size_mode_anchored FROM n"""))
 def g7_kmer_depth_record(spark, sf_dir):
-    t = _depths(spark, sf_dir)
-    asm = t.groupBy("sample").agg((F.sum(F.col("length") * F.col("meandepth")) / F.sum("length")).alias("mean"))
-    j = asm.join(D.partition(t), "sample", "left")
-    return j.select(
-        "sample", F.round("mean", 6).alias("assembly_mean_depth"), F.round((F.lit(61.0) + F.col("sample")) / F.col("mean"), 6).alias("host_ratio"), F.col("host_size").alias("host_assembly_size"),
-        F.expr("host_collapsed_size + host_haplotig_size div 2").alias("host_haploid_size"), F.when(F.col("host_size") == 0, "no_host_depth").otherwise("ok").alias("status"),
-    )
+    return _record(spark, sf_dir)
+
+
+@query(with_domain("contig_depth", f"WITH {_RECORD} SELECT sample AS sample_id, CASE WHEN frac >= 0.4 AND (off > 2 OR off < 0.5) THEN at_mode END AS host_assembly_size_mode_anchored FROM n WHERE ps = 'ok'"))
+def g6_mode_rule(spark, sf_dir):
+    return _record(spark, sf_dir).filter("partition_status = 'ok'").select("sample_id", "host_assembly_size_mode_anchored")
+
+
+@query(with_domain("gene_table supplier_contigs alignments", f"""WITH {_REGIONS}, {_SAMPLES}, st AS (SELECT c.sample, count(r.gene) AS n FROM (SELECT DISTINCT sample FROM supplier_contigs) c LEFT JOIN regions r ON r.sample = c.sample GROUP BY c.sample),
+ asm AS (SELECT sample, sum(length)::BIGINT AS size FROM supplier_contigs GROUP BY sample)
+SELECT st.sample AS sample_id, CASE WHEN n < 20 THEN 'too_few_busco_regions' WHEN coalesce(mean_depth, 0) = 0 THEN 'no_measurement' ELSE 'ok' END AS status, coalesce(regions, 0) AS busco_regions,
+  round(CASE WHEN n >= 20 AND mean_depth <> 0 THEN mean_depth * (146 - 21 + 1) / 146 / 2 END, 9) AS lambda_depth, size AS assembly_size
+FROM st LEFT JOIN weighted w ON w.sample = st.sample AND n >= 20 LEFT JOIN asm ON asm.sample = st.sample"""))
+def h11_depth_only(spark, sf_dir):
+    t = {n: domain(spark, sf_dir, n) for n in ("gene_table", "supplier_contigs", "alignments")}
+    sheet = t["supplier_contigs"].groupBy("sample").agg(F.sum("length").alias("assembly_size")).withColumns({"read_length": F.lit(146), "total_bases": F.lit(1_000_000), "kmercov": F.lit(30.0)})
+    got = flows.depth_only(sheet, t["gene_table"], t["supplier_contigs"], t["alignments"])
+    return got.select("sample_id", "status", "busco_regions", F.round("lambda_depth", 9).alias("lambda_depth"), "assembly_size")

@@ -9,6 +9,7 @@ from lanefold.operators import store as S
 from lanefold.operators import taxonomy as X
 from lanefold.plans.registry import query
 from lanefold.sources.adapters import domain, with_domain
+from lanefold.sources.tables import ACCOUNTING, job_accounting, read_curated
 
 _CLOSED = "closed AS (WITH RECURSIVE c AS (SELECT taxid, taxid AS ancestor, 0 AS depth FROM tax_nodes UNION ALL SELECT c.taxid, t.parent, c.depth + 1 FROM c JOIN tax_nodes t ON t.taxid = c.ancestor JOIN tax_nodes p ON p.taxid = t.parent) SELECT * FROM c)"
 
@@ -125,6 +126,16 @@ def k2_memory(spark, sf_dir):
     return domain(spark, sf_dir, "jobs").select("job_id", text.alias("memory")).withColumn("gb", F.round(A.memory_gb(F.col("memory")), 9))
 
 
+@query(with_domain("jobs", """SELECT job_id, (job_id % 3) * 24 + job_id % 24 + floor(job_id % 60 * 10000 / 60.0) / 10000 + floor(job_id % 59 * 10000 / 3600.0) / 10000 AS hours,
+CASE job_id % 4 WHEN 0 THEN (job_id % 5000) / 1048576.0::DOUBLE * cores WHEN 1 THEN (job_id % 50 + 0.5::DOUBLE) * nodes WHEN 2 THEN (job_id % 4000) / 1073741824.0::DOUBLE ELSE (job_id % 900) / 1024.0::DOUBLE END AS gb FROM jobs"""))
+def k2_requests(spark, sf_dir):
+    j, s, two = F.col("job_id"), lambda c: c.cast("string"), lambda c: F.lpad(c.cast("string"), 2, "0")
+    took = F.concat(s(j % 3), F.lit("-"), two(j % 24), F.lit(":"), two(j % 60), F.lit(":"), two(j % 59))
+    asked = F.when(j % 4 == 0, F.concat(s(j % 5000), F.lit("Kc"))).when(j % 4 == 1, F.concat(s(j % 50), F.lit(".5Gn"))).when(j % 4 == 2, F.concat(s(j % 4000), F.lit("B"))).otherwise(s(j % 900))
+    t = domain(spark, sf_dir, "jobs")
+    return t.select("job_id", A.duration_hours(took).alias("hours"), A.memory_gb(asked, "M", F.col("cores"), F.col("nodes")).alias("gb"))
+
+
 _SU = """su AS (SELECT *, CASE WHEN contains(job_partition, 'gpu') THEN 512.0::DOUBLE WHEN contains(job_partition, 'copy') THEN 0 ELSE 128 END AS rate,
   round(cores / nodes / CASE WHEN contains(job_partition, 'gpu') THEN 8 WHEN contains(job_partition, 'copy') THEN 64 ELSE 128 END, 6) AS cs,
   round(least(mem_gb / nodes / CASE WHEN contains(job_partition, 'gpu') THEN 1e18 WHEN contains(job_partition, 'highmem') THEN 980 WHEN contains(job_partition, 'copy') THEN 115 ELSE 230 END, 1.0), 6) AS ms FROM jobs),
@@ -191,10 +202,13 @@ def k8_by_process(spark, sf_dir):
     return A.by_process(_costed(spark, sf_dir))
 
 
-@query(with_domain("jobs", f"""WITH {_SU}, d AS (SELECT tag AS sample, sum(su) AS s FROM costed WHERE regexp_matches(tag, '^OG[0-9]+') GROUP BY tag), r AS (SELECT sum(CASE WHEN regexp_matches(tag, '^OG[0-9]+') THEN 0 ELSE su END) AS rest FROM costed)
-SELECT sample, round(s, 2) AS direct_su, round(rest / (SELECT count(*) FROM d), 2) AS shared_su FROM d, r"""))
+@query(with_domain("jobs", f"""WITH {_SU}, t AS (SELECT CASE WHEN tag LIKE 'OG%' THEN regexp_extract(tag, '^OG[0-9]+') END AS sample_id, su, state FROM costed),
+d AS (SELECT sample_id, count(*) AS n_jobs, sum(su) AS direct, count(*) FILTER (state <> 'COMPLETED') AS n_failed_jobs FROM t WHERE sample_id IS NOT NULL GROUP BY sample_id),
+o AS (SELECT coalesce(sum(su), 0) / (SELECT count(*) FROM d) AS share FROM t WHERE sample_id IS NULL)
+SELECT sample_id, n_jobs, round(direct, 4) AS direct_su, round(share, 4) AS overhead_su_share, round(direct + share, 4) AS total_su, n_failed_jobs FROM d, o"""))
 def k9_cost_per_sample(spark, sf_dir):
-    return A.cost_per_sample(_costed(spark, sf_dir))
+    lanes = F.when(F.col("tag").startswith("OG") & (F.col("job_id") % 2 == 0), F.concat("tag", F.lit(".b"))).otherwise(F.col("tag"))
+    return A.cost_per_sample(_costed(spark, sf_dir).withColumn("tag", lanes))
 
 
 @query(with_domain("jobs", "SELECT job_id, tag FROM jobs WHERE tag IN (SELECT concat('OG', c_custkey::VARCHAR) FROM customer WHERE c_custkey % 3 = 1)"))
@@ -204,11 +218,27 @@ def k10_tag_filter(spark, sf_dir):
     return domain(spark, sf_dir, "jobs").join(wanted, "tag", "left_semi").select("job_id", "tag")
 
 
-@query(with_domain("files", """SELECT sample, component, count(*) AS n, CASE WHEN count(*) FILTER (bytes > 5000) > 0 THEN concat('Found ', (min(event_id) FILTER (bytes > 5000))::VARCHAR) ELSE 'Missing' END AS state
-FROM files GROUP BY sample, component"""))
+_GLOBS = {"views": "view/*.remote", "clicks": "click*/*1?.local", "all_local": "*.local", "never": "none/*"}
+_LIKES = {"views": "view/%.remote", "clicks": "click%/%1_.local", "all_local": "%.local", "never": "none/%"}
+_PATHS = "paths AS (SELECT sample, concat(component, '/f', event_id, '.', side) AS path FROM files)"
+_STATES = "states AS (SELECT s.sample, p.pattern, coalesce(concat('Found ', min(f.path)), 'Missing') AS state FROM (SELECT DISTINCT sample FROM files) s CROSS JOIN (VALUES " + ", ".join(f"('{n}', '{g}')" for n, g in _LIKES.items()) + ") p(pattern, pat) LEFT JOIN paths f ON f.sample = s.sample AND f.path LIKE p.pat GROUP BY s.sample, p.pattern)"
+_STATES = _STATES.replace("coalesce(concat('Found ', min(f.path)), 'Missing')", "CASE WHEN min(f.path) IS NULL THEN 'Missing' ELSE concat('Found ', min(f.path)) END")
+
+
+def _states(spark, sf_dir):
+    files = domain(spark, sf_dir, "files")
+    paths = files.select("sample", F.concat("component", F.lit("/f"), F.col("event_id").cast("string"), F.lit("."), "side").alias("path"))
+    return A.expected_files(files, paths, _GLOBS)
+
+
+@query(with_domain("files", f"WITH {_PATHS}, {_STATES} SELECT * FROM states"))
 def k12_expected_files(spark, sf_dir):
-    hit = F.min(F.when(F.col("bytes") > 5000, F.col("event_id")))
-    return domain(spark, sf_dir, "files").groupBy("sample", "component").agg(F.count("*").alias("n"), F.coalesce(F.concat(F.lit("Found "), hit.cast("string")), F.lit("Missing")).alias("state"))
+    return _states(spark, sf_dir)
+
+
+@query(with_domain("files", f"WITH {_PATHS}, {_STATES} SELECT sample, " + ", ".join(f"max(state) FILTER (pattern = '{n}') AS {n}" for n in _LIKES) + ", count(*) FILTER (state = 'Missing')::INT AS gaps FROM states GROUP BY sample"))
+def k12_file_matrix(spark, sf_dir):
+    return A.file_matrix(_states(spark, sf_dir), list(_GLOBS))
 
 
 @query(with_domain("files", """WITH t AS (SELECT sample, count(*) FILTER (side = 'local') AS local_objects, coalesce(sum(bytes) FILTER (side = 'local'), 0)::BIGINT AS local_bytes, count(*) FILTER (side = 'remote') AS remote_objects, coalesce(sum(bytes) FILTER (side = 'remote'), 0)::BIGINT AS remote_bytes FROM files GROUP BY sample)
@@ -221,3 +251,34 @@ def k13_copy_audit(spark, sf_dir):
 SELECT sample, sha256('1' || chr(10) || 'k 21' || chr(10) || string_agg(line, chr(10) ORDER BY line)) AS fingerprint FROM l GROUP BY sample"""))
 def k15_fingerprint(spark, sf_dir):
     return A.fingerprint(domain(spark, sf_dir, "files"), args="k   21 --threads=8")
+
+
+#: Columns of a record and where they are stored; one under another name.
+_FAMILIES = {"assembly": {"size_max": "draft_fit", "fit_full": "draft_fit", "absent": "draft_fit"}, "decontamination": {"num_contigs": ("draft_contamination", "num_contigs_lt_500bp")}}
+
+
+@query(with_domain("fits", """WITH r AS (SELECT sample, CASE WHEN sample % 4 = 0 THEN NULL ELSE size_max END AS size_max, CASE WHEN sample % 4 = 0 THEN NULL ELSE fit_full END AS fit_full, CASE WHEN sample % 3 = 0 THEN NULL ELSE sample % 40 END AS num_contigs FROM fits WHERE sample % 5 < 3),
+stored AS (SELECT sample, 1 AS size_max, CAST(0 AS DOUBLE) AS fit_full, 7 AS kept FROM fits WHERE sample % 2 = 0), n AS (SELECT * FROM r WHERE size_max IS NOT NULL OR fit_full IS NOT NULL)
+SELECT 'draft_fit' AS table_name, coalesce(s.sample, n.sample) AS sample, CASE WHEN n.sample IS NOT NULL THEN n.size_max ELSE s.size_max END AS a, CASE WHEN n.sample IS NOT NULL THEN n.fit_full ELSE s.fit_full END AS b, kept AS c FROM stored s FULL JOIN n ON n.sample = s.sample
+UNION ALL SELECT 'draft_contamination', sample, num_contigs, NULL, NULL FROM r WHERE num_contigs IS NOT NULL"""))
+def j10_family_upload(spark, sf_dir):
+    t, s = domain(spark, sf_dir, "fits"), F.col("sample")
+    record = t.filter(s % 5 < 3).select("sample", *[F.when(s % 4 != 0, F.col(c)).alias(c) for c in ("size_max", "fit_full")], F.when(s % 3 != 0, s % 40).alias("num_contigs"))
+    stored = t.filter(s % 2 == 0).select("sample", F.lit(1).cast("long").alias("size_max"), F.lit(0.0).alias("fit_full"), F.lit(7).alias("kept"))
+    got = S.upsert_families({"draft_fit": stored}, record, _FAMILIES, ["sample"])
+    rows = lambda name, a, b, c: got[name].select(F.lit(name).alias("table_name"), "sample", F.col(a).alias("a"), b.alias("b"), c.alias("c"))
+    return rows("draft_fit", "size_max", F.col("fit_full"), F.col("kept")).unionByName(rows("draft_contamination", "num_contigs_lt_500bp", F.lit(None).cast("double"), F.lit(None).cast("int")))
+
+
+@query(with_domain("steps", """SELECT jobid AS "JobID", split_part(jobid, '.', 1) AS job_id, NOT contains(jobid, '.') AS is_parent, state AS "State", alloc_cpus::VARCHAR AS "AllocCPUS", ave_rss::VARCHAR AS "AveRSS", ntasks::VARCHAR AS "NTasks",
+CASE WHEN alloc_cpus % 5 = 0 THEN 'N/A' ELSE '2025-01-31 10:00:00' END AS "Submit" FROM steps"""))
+def a25_job_accounting(spark, sf_dir):
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    given = {"JobID": text("jobid"), "State": text("state"), "AllocCPUS": text("alloc_cpus"), "AveRSS": text("ave_rss"), "NTasks": text("ntasks"), "Submit": F.when(F.col("alloc_cpus") % 5 == 0, "Unknown").otherwise("2025-01-31T10:00:00")}
+    lines = domain(spark, sf_dir, "steps").select(F.concat_ws("|", *[given.get(c, F.lit("")) for c in ACCOUNTING]).alias("value"))
+    return job_accounting(lines).select("JobID", "job_id", "is_parent", "State", "AllocCPUS", "AveRSS", "NTasks", "Submit")
+
+
+@query("SELECT p_partkey AS taxid, p_name AS species FROM part WHERE p_partkey % 9 <> 0")
+def a26_curated(spark, sf_dir):
+    return read_curated(spark, sf_dir, "part").filter("p_partkey % 9 <> 0").select(F.col("p_partkey").alias("taxid"), F.col("p_name").alias("species"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lanefold.functions.sequences import kmer_text
 from lanefold.operators import kmers as K
 from lanefold.operators import reads as R
 from lanefold.plans.registry import query
+from lanefold.plans.scratch import scratch
 from lanefold.sources.adapters import domain, with_domain
+from lanefold.sources.fastq import merge_lanes, read_fastq
 
 _PAIRS = """pairs AS (SELECT coalesce(a.sample, b.sample) AS sample, coalesce(a.read_id, b.read_id) AS read_id, a.seq AS seq1, b.seq AS seq2, a.qual AS qual1, b.qual AS qual2
   FROM (SELECT * FROM reads WHERE mate = 1) a FULL JOIN (SELECT * FROM reads WHERE mate = 2) b ON a.sample = b.sample AND a.read_id = b.read_id)"""
@@ -98,14 +101,18 @@ def _counts(spark, sf_dir, table):
     return K.count_kmers(domain(spark, sf_dir, table).select("sample", "seq"), 21)
 
 
+def _text(counts):
+    return counts.withColumn("kmer", kmer_text(F.col("kmer"), 21))
+
+
 @query(with_domain("reads", f"WITH {_READS} SELECT * FROM rk"))
 def d1_count_kmers(spark, sf_dir):
-    return _counts(spark, sf_dir, "reads")
+    return _text(_counts(spark, sf_dir, "reads"))
 
 
 @query(with_domain("reads contigs", f"WITH {_READS}, {_ASM} SELECT sample, kmer, sum(cnt)::BIGINT AS cnt FROM (SELECT * FROM rk UNION ALL SELECT * FROM ak) u GROUP BY sample, kmer"))
 def d2_union_sum(spark, sf_dir):
-    return K.union_sum(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs"))
+    return _text(K.union_sum(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs")))
 
 
 @query(with_domain("contigs", f"WITH {_ASM} SELECT sample, cnt AS cov, count(*) AS cnt FROM ak GROUP BY sample, cnt"))
@@ -138,10 +145,31 @@ def d5_assembly_qv(spark, sf_dir):
 @query(with_domain("reads contigs", f"""WITH {_READS}, {_ASM} SELECT rk.sample, count(*) AS solid_kmers, count(ak.kmer) AS found_kmers, count(ak.kmer) * 100.0::DOUBLE / count(*) AS completeness
 FROM rk LEFT JOIN ak ON ak.sample = rk.sample AND ak.kmer = rk.kmer WHERE rk.cnt >= 2 GROUP BY rk.sample"""))
 def d6_kmer_completeness(spark, sf_dir):
-    return K.kmer_completeness(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs"))
+    return K.kmer_completeness(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs"), 2)
 
 
 @query(with_domain("reads contigs", f"""WITH {_READS}, {_ASM} SELECT rk.sample, rk.cnt AS multiplicity, least(coalesce(ak.cnt, 0), 5) AS copies, count(*) AS n
 FROM rk LEFT JOIN ak ON ak.sample = rk.sample AND ak.kmer = rk.kmer GROUP BY ALL"""))
 def d7_spectra_cn(spark, sf_dir):
     return K.spectra_cn(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs"))
+
+
+def _fastq(spark, sf_dir):
+    """The reads as FASTQ files (gzip, and plain for every fourth sample name), read back."""
+    t = domain(spark, sf_dir, "reads")
+    record = F.concat(F.lit("@"), F.col("read_id").cast("string"), F.lit("/"), F.col("mate").cast("string"), F.lit(" run 1\n"), "seq", F.lit("\n+\n"), "qual")
+    rows = t.select(F.coalesce("sample", F.lit("none")).alias("sample"), (F.col("read_id") % 2).alias("lane"), "mate", record.alias("value"))
+    plain, path = F.length("sample") % 4 == 0, scratch(spark, "fastq")
+    for kind, keep in (("gzip", ~plain), ("none", plain)):
+        rows.filter(keep).write.partitionBy("sample", "lane", "mate").text(f"{path}/{kind}", compression=kind)
+    return read_fastq(spark, [f"{path}/{k}/*/*/*/part-*" for k in ("gzip", "none") if rows.filter(~plain if k == "gzip" else plain).limit(1).count()], r"sample=([^/]*)/lane=([^/]*)/mate=([12])/")
+
+
+@query(with_domain("reads", "SELECT coalesce(sample, 'none') AS sample, (read_id % 2)::VARCHAR AS lane, mate, read_id::VARCHAR AS read_id, seq, qual FROM reads"))
+def c1_read_fastq(spark, sf_dir):
+    return _fastq(spark, sf_dir)
+
+
+@query(with_domain("reads", "SELECT coalesce(sample, 'none') AS sample, mate, count(*) AS reads, sum(length(seq))::BIGINT AS bases FROM reads GROUP BY ALL"))
+def c2_merge_lanes(spark, sf_dir):
+    return merge_lanes(_fastq(spark, sf_dir)).groupBy("sample", "mate").agg(F.count("*").alias("reads"), F.sum(F.length("seq")).alias("bases"))

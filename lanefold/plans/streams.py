@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from lanefold.plans.registry import query
+from lanefold.plans.scratch import scratch
 from lanefold.streaming import ingest
 
 
-def _folder(spark, name):
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _events(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     return ingest.read_landing(spark, f"{sf_dir}/events.parquet*", schema)
@@ -23,7 +16,7 @@ def _events(spark, sf_dir):
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def st1_incremental_ingest(spark, sf_dir):
-    out = _folder(spark, "landed")
+    out = scratch(spark, "landed")
     rows = _events(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
     rows.writeStream.format("parquet").option("checkpointLocation", f"{out}-log").trigger(availableNow=True).start(out).awaitTermination()
     return spark.read.parquet(out)
@@ -33,7 +26,7 @@ def st1_incremental_ingest(spark, sf_dir):
 SELECT c_custkey AS user_id, l.event_id, CASE WHEN l.user_id IS NULL THEN c_acctbal ELSE l.value END AS value FROM customer c LEFT JOIN last l ON l.user_id = c_custkey
 UNION ALL SELECT user_id, event_id, value FROM last WHERE user_id NOT IN (SELECT c_custkey FROM customer)""")
 def st2_continuous_upsert(spark, sf_dir):
-    out = _folder(spark, "store")
+    out = scratch(spark, "store")
     start = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("user_id"), F.lit(None).cast("long").alias("event_id"), F.col("c_acctbal").alias("value"))
     start.write.parquet(f"{out}/-1")
     done = [-1]

@@ -27,6 +27,9 @@ cov AS (SELECT *, CASE WHEN estimated_genome_size = 0 THEN 0 ELSE bases_before /
 prov AS (SELECT *, {_GRADE} AS coverage_status, len(flags) = 0 AS reliable FROM cov)"""
 
 
+_TOLD = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.RECOMMENDATIONS.items())
+
+
 def _joined(t):
     return t.withColumn("flags", F.array_join("flags", "; "))
 
@@ -36,9 +39,10 @@ def h1_gate_flags(spark, sf_dir):
     return domain(spark, sf_dir, "fits").select("sample", F.array_join(V.gate_flags(), "; ").alias("flags"))
 
 
-@query(with_domain("fits", f"WITH {_PROV} SELECT sample, estimated_genome_size, coverage_before, coverage, retention_pct FROM prov"))
+@query(with_domain("fits", f"""WITH {_PROV} SELECT sample, estimated_genome_size, coverage_before, coverage, retention_pct, (bases_before - bases_after) * 100.0::DOUBLE / bases_before AS removed_pct,
+  CASE WHEN reliable THEN CASE coverage_status {_TOLD} END END AS recommendation FROM prov"""))
 def h2_provisional(spark, sf_dir):
-    return V.provisional(domain(spark, sf_dir, "fits")).select("sample", "estimated_genome_size", "coverage_before", "coverage", "retention_pct")
+    return V.provisional(domain(spark, sf_dir, "fits")).select("sample", "estimated_genome_size", "coverage_before", "coverage", "retention_pct", "removed_pct", F.when(F.col("reliable"), F.col("recommendation")).alias("recommendation"))
 
 
 @query(with_domain("fits", f"WITH {_PROV} SELECT sample, coverage_status, reliable FROM prov"))
@@ -74,10 +78,12 @@ def h5_reseed_choice(spark, sf_dir):
     return _choice(spark, sf_dir).select("sample", "reason", "winner")
 
 
-@query(with_domain("fits", f"WITH {_REFIT} SELECT sample, CASE WHEN reason IN ('better_and_closer', 'plausible_refit') THEN new_fit_full ELSE fit_full END AS fit_full, CASE WHEN reason IN ('better_and_closer', 'plausible_refit') THEN new_kmercov ELSE kmercov END AS kmercov FROM chosen"))
+_PICK = ", ".join(f"CASE WHEN reason IN ('better_and_closer', 'plausible_refit') THEN new_{c} ELSE {c} END AS {c}" for c in ("size_max", "fit_all", "fit_full", "het_max", "kmercov"))
+
+
+@query(with_domain("fits", f"WITH {_REFIT} SELECT sample, CASE WHEN reason IN ('better_and_closer', 'plausible_refit') THEN 'reseeded' ELSE 'original' END AS winner, {_PICK}, size_min, het_min, bias, peak_cov FROM chosen"))
 def h6_chosen_fit(spark, sf_dir):
-    won = F.col("winner") == "reseeded"
-    return _choice(spark, sf_dir).select("sample", F.when(won, F.col("new_fit_full")).otherwise(F.col("fit_full")).alias("fit_full"), F.when(won, F.col("new_kmercov")).otherwise(F.col("kmercov")).alias("kmercov"))
+    return V.chosen_fit(_choice(spark, sf_dir))
 
 
 _RECHECK = """ready AS (SELECT *, sample % 10 * 0.1::DOUBLE AS host_ratio, sample % 4 <> 0 AS depth_measured, CASE WHEN sample % 6 = 0 THEN 0 ELSE host_size - 1000 END AS host_haploid_size, CASE WHEN sample % 31 = 0 THEN NULL ELSE assembly_size END AS asm FROM prov),

@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed column orders of the sheets.
-SHEET = ("sample", "fastq_1", "fastq_2", "run", "date", "prefix", "taxid", "class", "nominal_species_id")
-RESOLUTION = ("sample", "nominal_species_id", "matched_name", "taxid", "class", "rank_used", "source")
+#: The columns of the sheets, in their order.
+SHEET = ("sample", "run", "date", "prefix", "nom_species_id", "taxon_id", "class", "fastq_1", "fastq_2")
+RESOLUTION = ("sample", "nominal_species_id", "taxon_id", "class", "source", "match_level", "taxdump_rank")
 
 
 def write_sheet(df: DataFrame, path: str, columns: tuple[str, ...] = SHEET, sep: str = ",") -> None:
@@ -17,6 +17,12 @@ def write_sheet(df: DataFrame, path: str, columns: tuple[str, ...] = SHEET, sep:
     df.select(*columns).write.mode("overwrite").csv(path, header=True, sep=sep, emptyValue="")
 
 
+def resolution_rows(resolved: DataFrame) -> DataFrame:
+    """What ``samples.resolve`` gives, under the names of the resolution sheet."""
+    named = {"og_id": "sample", "taxid": "taxon_id", "rank_used": "taxdump_rank"}
+    return resolved.withColumnsRenamed(named).select(*RESOLUTION)
+
+
 def run_table(tables: list[DataFrame], key: str = "sample_id") -> DataFrame:
     """Records of different shapes as one table: ``key`` first, the other columns by name.
 
@@ -40,7 +46,13 @@ def write_sorted(df: DataFrame, path: str, *order: str) -> None:
     df.orderBy(*order).write.mode("overwrite").csv(path, sep="\t", header=False)
 
 
-def write_audit(expected: DataFrame, mismatches: DataFrame, path: str) -> None:
-    """expected as JSON lines and the mismatches of a verification as a table with a header, beside each other."""
+def write_audit(expected: DataFrame, mismatches: DataFrame, path: str, inventory: DataFrame | None = None, upload: DataFrame | None = None, summary: DataFrame | None = None) -> None:
+    """The files of a backfill beside each other: expected as JSON lines; the mismatches of a verification, the inventory,
+    the uploaded rows and the summary (one row) as tables with a header. What isn't given isn't written."""
+    for name, df in (("inventory", inventory), ("upload", upload)):
+        if df is not None:
+            df.write.mode("overwrite").csv(f"{path}/{name}", sep="\t", header=True)
+    if summary is not None:
+        summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
     expected.write.mode("overwrite").json(f"{path}/expected")
     mismatches.write.mode("overwrite").csv(f"{path}/verification", sep="\t", header=True)

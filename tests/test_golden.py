@@ -85,7 +85,7 @@ def test_durations(spark):
 
 def test_actions_partition_the_sequence(spark):
     contigs = spark.createDataFrame([("s", 1, "ACGTACGTAC"), ("s", 2, "TTTT"), ("s", 3, "GGGG")], "sample string, contig int, seq string")
-    actions = spark.createDataFrame([(1, "TRIM", 3, 4), (1, "TRIM", 9, 10), (2, "EXCLUDE", 1, 4)], "contig int, action string, a_start long, a_end long")
+    actions = spark.createDataFrame([("s", 1, "TRIM", 3, 4), ("s", 1, "TRIM", 9, 10), ("s", 2, "EXCLUDE", 1, 4), ("other", 3, "EXCLUDE", 1, 4)], "sample string, contig int, action string, a_start long, a_end long")
     got = sorted((r["contig"], r["piece"], r["seq"]) for r in C.apply_actions(contigs, actions).collect())
     assert got == [(1, 1, "AC"), (1, 2, "ACGT"), (3, 1, "GGGG")]
 
