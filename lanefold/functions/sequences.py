@@ -15,27 +15,6 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTN", "TGCAN"))
 
 
-def packed_kmers(seq: Column, k: int) -> Column:
-    """Array of canonical k-mers (k up to 31) as whole numbers of two bits a letter, in the order of the letters.
-
-    The sequence is cut once at other letters; each part and its reverse complement become strings of digits 0-3, and
-    window i of one pairs with window n-k+1-i of the other. Null gives null, a sequence below k letters an empty array.
-    """
-    if not 0 < k < 32:
-        raise ValueError("k must be 1 to 31")
-    digits = lambda s: F.translate(s, "ACGT", "0123")
-    number = lambda s, i: F.conv(F.substr(s, i, F.lit(k)), 4, 10).cast("bigint")
-
-    def of(part: Column) -> Column:
-        two = F.struct(digits(part).alias("f"), digits(reverse_complement(part)).alias("r"))
-        n = F.length(part)
-        # the one-element array gives both strings a name, so they are computed once a part
-        return F.flatten(F.transform(F.array(two), lambda x: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.least(number(x["f"], i), number(x["r"], n - k + 2 - i)))))
-
-    parts = F.filter(F.split(seq, "[^ACGT]+"), lambda p: F.length(p) >= k)
-    return F.flatten(F.transform(parts, of))
-
-
 def kmer_text(packed: Column, k: int) -> Column:
     """The letters of a packed k-mer."""
     return F.translate(F.lpad(F.conv(packed.cast("string"), 10, 4), k, "0"), "0123", "ACGT")

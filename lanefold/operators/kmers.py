@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanefold.functions.sequences import packed_kmers
+
+def packed_kmers(seqs: DataFrame, k: int = 21) -> DataFrame:
+    """sample, kmer: each canonical k-mer of ``seq`` as a whole number of two bits a letter; k is 31 at most.
+
+    A sequence is cut once at other letters; each part and its reverse complement become digits 0-3, and window i of one
+    pairs with window n-k+2-i of the other. Windows are rows, not array elements, so that the work on them is compiled;
+    the smaller of two strings of equal length is the smaller number, so one number a window is made. Null sequences and
+    parts below k letters give no rows.
+    """
+    if not 0 < k < 32:
+        raise ValueError("k must be 1 to 31")
+    parts = seqs.select("sample", F.explode(F.split("seq", "[^ACGT]+")).alias("part")).filter(F.length("part") >= k)
+    both = parts.select("sample", F.translate("part", "ACGT", "0123").alias("f"), F.translate(F.reverse("part"), "ACGT", "3210").alias("r"), F.length("part").alias("n"))
+    windows = both.select("*", F.explode(F.sequence(F.lit(1), F.col("n") - k + 1)).alias("i"))
+    least = F.least(F.substr("f", F.col("i"), F.lit(k)), F.substr("r", F.col("n") - F.col("i") - k + 2, F.lit(k)))
+    return windows.select("sample", F.conv(least, 4, 10).cast("bigint").alias("kmer"))
 
 
 def count_kmers(seqs: DataFrame, k: int = 21) -> DataFrame:
@@ -13,7 +28,7 @@ def count_kmers(seqs: DataFrame, k: int = 21) -> DataFrame:
 
     Counting is a partial aggregate, so frequent k-mers don't crowd one task; the shuffle carries two numbers a k-mer.
     """
-    return seqs.select("sample", F.explode(packed_kmers(F.col("seq"), k)).alias("kmer")).groupBy("sample", "kmer").agg(F.count("*").alias("cnt"))
+    return packed_kmers(seqs, k).groupBy("sample", "kmer").agg(F.count("*").alias("cnt"))
 
 
 def union_sum(*tables: DataFrame) -> DataFrame:

@@ -106,10 +106,22 @@ ADAPTERS = {
 _TABLE = re.compile(r"\{(\w+)\}")
 
 
+def _spread(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """Texts dealt to all cores where their files have fewer partitions than these; work on texts outweighs that shuffle.
+
+    Larger inputs have more partitions than cores and are read where they are.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return documents.repartition(cores) if documents.rdd.getNumPartitions() < cores else documents
+
+
 def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One domain table."""
     sql = ADAPTERS[name].replace("{G}", "").replace("{EACH}", "explode(sequence")
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_TABLE.findall(sql))}
+    if "documents" in tables and "text" in sql:
+        used = [c for c in ("doc_id", "source", "n_chars", "lang", "text") if re.search(rf"\b{c}\b", sql)]
+        tables["documents"] = _spread(spark, tables["documents"].select(*used))
     return spark.sql(sql.replace("VARCHAR", "STRING"), **tables)
 
 
