@@ -30,7 +30,7 @@ def c4_filter_length(spark, sf_dir):
     return R.filter_length(_pairs(spark, sf_dir), 100, 150).select("sample", "read_id", "seq1", "seq2")
 
 
-@query(with_domain("reads", f"WITH {_PAIRS} SELECT sample, seq1, seq2, min(read_id) AS read_id, count(*) AS copies FROM pairs GROUP BY sample, seq1, seq2"))
+@query(with_domain("reads", f"WITH {_PAIRS} SELECT sample, seq1, seq2, min(read_id) AS read_id, arg_min(qual1, read_id) AS qual1, arg_min(qual2, read_id) AS qual2, count(*) AS copies FROM pairs GROUP BY sample, seq1, seq2"))
 def c5_dedup_pairs(spark, sf_dir):
     return R.dedup_pairs(_pairs(spark, sf_dir))
 
@@ -54,6 +54,22 @@ def c7_read_summary(spark, sf_dir):
     return R.read_summary(domain(spark, sf_dir, "reads"))
 
 
+_JUDGED = f"""{_PAIRS}, lows AS (SELECT *, length(regexp_replace(qual1, '[0-~]', '', 'g')) AS low1, length(regexp_replace(qual2, '[0-~]', '', 'g')) AS low2 FROM pairs),
+codes AS (SELECT *, CASE WHEN coalesce(low1, 0) * 100 > length(seq1) * 26 THEN 20 WHEN coalesce(length(seq1), 0) < 60 THEN 16 ELSE 0 END AS c1,
+  CASE WHEN coalesce(low2, 0) * 100 > length(seq2) * 26 THEN 20 WHEN coalesce(length(seq2), 0) < 60 THEN 16 ELSE 0 END AS c2 FROM lows),
+judged AS (SELECT sample, CASE greatest(c1, c2) WHEN 20 THEN 'low_quality' WHEN 16 THEN 'too_short' ELSE 'passed' END AS reason, unnest([1, 2]) AS mate, unnest([seq1, seq2]) AS seq, unnest([qual1, qual2]) AS qual FROM codes),
+whole AS (SELECT *, length(seq) AS len, length(regexp_replace(qual, '[!-4]', '', 'g')) AS q20, length(regexp_replace(qual, '[!->]', '', 'g')) AS q30, length(regexp_replace(seq, '[^GC]', '', 'g')) AS gc, reason = 'passed' AS ok FROM judged WHERE seq IS NOT NULL)"""
+_PART = """count(*) {f} AS {p}total_reads, coalesce(sum(len) {f}, 0)::BIGINT AS {p}total_bases, coalesce(sum(q20) {f}, 0)::BIGINT AS {p}q20_bases, coalesce(sum(q30) {f}, 0)::BIGINT AS {p}q30_bases,
+  coalesce(floor(avg(len) FILTER (mate = 1{a})), 0)::BIGINT AS {p}read1_mean_length, coalesce(floor(avg(len) FILTER (mate = 2{a})), 0)::BIGINT AS {p}read2_mean_length,
+  coalesce(sum(q20) {f} / sum(len) {f}, 0) AS {p}q20_rate, coalesce(sum(q30) {f} / sum(len) {f}, 0) AS {p}q30_rate, coalesce(sum(gc) {f} / sum(len) {f}, 0) AS {p}gc_content"""
+
+
+@query(with_domain("reads", f"""WITH {_JUDGED} SELECT sample, count(*) FILTER (ok) AS passed_filter_reads, 0::BIGINT AS too_many_n_reads, count(*) FILTER (reason = 'too_short') AS too_short_reads, 0::BIGINT AS too_long_reads,
+  count(*) FILTER (reason = 'low_quality') AS low_quality_reads, {_PART.format(f='', p='raw_', a='')}, {_PART.format(f='FILTER (ok)', p='', a=' AND ok')} FROM whole GROUP BY sample"""))
+def c7_filter_summary(spark, sf_dir):
+    return R.filter_summary(R.filter_reasons(_pairs(spark, sf_dir), shortest=60, low_pct=26))
+
+
 @query(with_domain("tax_nodes reads", """
 , assigned AS (SELECT sample, read_id, 1000000 + read_id % 150 AS taxid FROM reads WHERE mate = 1 AND read_id % 7 <> 0),
 below AS (WITH RECURSIVE b AS (SELECT taxid FROM tax_nodes WHERE taxid IN (11, 12) UNION ALL SELECT t.taxid FROM tax_nodes t JOIN b ON t.parent = b.taxid) SELECT taxid FROM b)
@@ -67,20 +83,33 @@ def c8_exclude_clades(spark, sf_dir):
     return R.exclude_clades(reads, assigned, closed, [11, 12]).select("sample", "read_id", "mate")
 
 
-@query("""
-WITH report AS (SELECT s_suppkey % 7 AS sample, n_nationkey AS taxid, CASE WHEN n_nationkey = 0 THEN 'U' ELSE 'S' END AS rank, count(*) * 100 + n_nationkey AS clade_reads
+_REPORT = """WITH report AS (SELECT s_suppkey % 7 AS sample, n_nationkey AS taxid, CASE WHEN n_nationkey = 0 THEN 'U' ELSE 'S' END AS rank, count(*) * 100 + n_nationkey AS clade_reads
   FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY s_suppkey % 7, n_nationkey),
-t AS (SELECT sample, sum(CASE WHEN rank = 'U' OR taxid = 1 THEN clade_reads ELSE 0 END)::BIGINT AS total_reads, sum(CASE WHEN taxid IN (0, 5) THEN clade_reads ELSE 0 END)::BIGINT AS removed_reads FROM report GROUP BY sample)
-SELECT *, total_reads - removed_reads AS kept_reads, CASE WHEN total_reads = 0 THEN 0 ELSE round((total_reads - removed_reads) * 100.0::DOUBLE / total_reads, 2) END AS retention_pct FROM t""")
-def c9_retention(spark, sf_dir):
+t AS (SELECT sample, sum(CASE WHEN rank = 'U' OR taxid = 1 THEN clade_reads ELSE 0 END)::BIGINT AS total_reads, sum(CASE WHEN taxid IN (0, 5) THEN clade_reads ELSE 0 END)::BIGINT AS removed_reads FROM report GROUP BY sample)"""
+
+
+def _report(spark, sf_dir):
     s, n = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("supplier", "nation"))
     report = s.join(n, s["s_nationkey"] == n["n_nationkey"]).groupBy((F.col("s_suppkey") % 7).alias("sample"), F.col("n_nationkey").alias("taxid")).agg(F.count("*").alias("n"))
     report = report.select("sample", "taxid", F.when(F.col("taxid") == 0, "U").otherwise("S").alias("rank"), (F.col("n") * 100 + F.col("taxid")).alias("clade_reads"))
-    return R.retention(report, [0, 5])
+    return report
+
+
+@query(f"{_REPORT} SELECT *, total_reads - removed_reads AS kept_reads, CASE WHEN total_reads = 0 THEN 0 ELSE round((total_reads - removed_reads) * 100.0::DOUBLE / total_reads, 2) END AS retention_pct FROM t")
+def c9_retention(spark, sf_dir):
+    return R.retention(_report(spark, sf_dir), [0, 5])
+
+
+@query(f"""{_REPORT} SELECT r.sample, taxid, clade_reads::BIGINT AS removed_reads, CASE WHEN total_reads = 0 THEN 0 ELSE round(clade_reads * 100.0::DOUBLE / total_reads, 2) END AS share_pct
+FROM report r JOIN t ON r.sample = t.sample WHERE taxid IN (0, 5)""")
+def c9_taxon_shares(spark, sf_dir):
+    return R.retention_shares(_report(spark, sf_dir), [0, 5])
 
 
-@query(with_domain("reads", """SELECT sample, i AS pos, count(*) AS n, count(*) FILTER (substr(seq, i::INT, 1) IN ('G', 'C')) AS gc, sum(ascii(substr(qual, i::INT, 1)) - 33)::BIGINT AS quality_sum
-FROM reads, LATERAL (SELECT unnest(range(1, length(seq) + 1)) AS i) x GROUP BY sample, i"""))
+@query(with_domain("reads", """SELECT * EXCLUDE (p), p[1] AS q10, p[2] AS q25, p[3] AS q50, p[4] AS q75, p[5] AS q90 FROM (SELECT sample, i AS pos, count(*) AS n, count(*) FILTER (substr(seq, i::INT, 1) = 'A') AS n_a,
+  count(*) FILTER (substr(seq, i::INT, 1) = 'C') AS n_c, count(*) FILTER (substr(seq, i::INT, 1) = 'G') AS n_g, count(*) FILTER (substr(seq, i::INT, 1) = 'T') AS n_t, count(*) FILTER (substr(seq, i::INT, 1) NOT IN ('A', 'C', 'G', 'T')) AS n_other,
+  quantile_cont((ascii(substr(qual, i::INT, 1)) - 33)::DOUBLE, [0.1, 0.25, 0.5, 0.75, 0.9]) AS p, count(*) FILTER (substr(seq, i::INT, 1) IN ('G', 'C')) AS gc, sum(ascii(substr(qual, i::INT, 1)) - 33)::BIGINT AS quality_sum
+FROM reads, LATERAL (SELECT unnest(range(1, length(seq) + 1)) AS i) x GROUP BY sample, i) y"""))
 def c10_position_profile(spark, sf_dir):
     return R.position_profile(domain(spark, sf_dir, "reads"))
 
