@@ -90,6 +90,15 @@ def backfill_summary(samples: DataFrame) -> DataFrame:
     return t.withColumn("safe_to_rerun", F.col("mismatched") == 0)
 
 
+def safe_to_rerun(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys, once each, of the samples that can be run again without harm: not valid, or with an upload that wasn't committed.
+
+    A null ``valid`` or ``committed`` counts as no.
+    """
+    done = F.coalesce(F.col("valid"), F.lit(False)) & F.coalesce(F.col("committed"), F.lit(False))
+    return samples.filter(~done).select(*keys).distinct()
+
+
 def all_or_nothing(rows: DataFrame, error: str = "error") -> DataFrame:
     """``rows`` without their error column, or an error that counts the rows which have one: nothing is written then."""
     n = rows.filter(F.col(error).isNotNull()).count()

@@ -79,8 +79,11 @@ def provisional(fits: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
     removed = F.coalesce(F.try_divide((F.col("bases_before") - F.col("bases_after")) * 100.0, F.col("bases_before")), F.lit(0.0))
     t = t.withColumns({"retention_pct": kept, "removed_pct": removed, "reliable": F.size("flags") == 0, "coverage_status": grade(F.col("coverage"), F.col("flags"))})
     told = F.create_map(*[F.lit(x) for pair in RECOMMENDATIONS.items() for x in pair])[F.col("coverage_status")]
-    doubtful = F.concat(F.lit("no coverage figure can be relied on: "), F.array_join("flags", ", "))
-    return t.withColumn("recommendation", F.when(F.size("flags") > 0, doubtful).otherwise(told))
+    return t.withColumn("recommendation", F.when(F.size("flags") > 0, _doubtful("flags")).otherwise(told))
+
+
+def _doubtful(flags: str) -> Column:
+    return F.concat(F.lit("no coverage figure can be relied on: "), F.array_join(flags, ", "))
 
 
 def chosen_fit(choices: DataFrame) -> DataFrame:
@@ -145,7 +148,8 @@ def recheck(verdicts: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
     ]
     flags = F.array_distinct(F.concat(F.coalesce("flags", F.array().cast("array<string>")), F.array_compact(F.array(*more))))
     t = verdicts.withColumns({"_flags": flags, "assembly_ratio_basis": F.when(use_host, "host").otherwise("total"), "assembly_ratio_denominator": below, "_none": none})
-    return t.withColumns({
+    told = {"recommendation": F.when(F.size("_flags") > 0, _doubtful("_flags")).otherwise(c("recommendation"))} if "recommendation" in verdicts.columns else {}
+    return t.withColumns(told | {
         "flags": c("_flags"), "reliable": F.size("_flags") == 0, "estimated_genome_size": F.when(c("_none"), F.lit(0)).otherwise(size),
         "coverage": F.when(c("_none"), F.lit(0.0)).otherwise(c("coverage")), "coverage_before": F.when(c("_none"), F.lit(0.0)).otherwise(c("coverage_before")),
         "coverage_status": F.when(F.size("_flags") > 0, UNRELIABLE).otherwise(c("coverage_status")),
@@ -153,6 +157,65 @@ def recheck(verdicts: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
     }).drop("_flags", "_none")
 
 
+def report_lines(summary: DataFrame) -> DataFrame:
+    """sample, line_no (from 1) and line: the verdict of each sample as text, provisional or rechecked.
+
+    A column that ``summary`` lacks counts as null. Null numbers are ``NA``; sizes, peaks and coverages of 0 count as
+    not measured. A verdict is final once assembly_cross_check is there and isn't ``pending``; only then do the lines
+    on the assembly follow. One decimal is rounded half to even.
+    """
+    col = lambda n, kind: (F.col(n) if n in summary.columns else F.lit(None)).cast(kind)
+    shown = lambda v, fmt, no="NA": F.coalesce(F.when(v.isNotNull(), F.format_string(fmt, v)), F.lit(no))
+    whole = lambda n: shown(col(n, "long"), "%,d")
+    one = lambda v, fmt="%.1f", no="NA": shown(F.bround(v, 1), fmt, no)
+    real = lambda n: col(n, "double")
+    some = lambda n, kind="double": F.nullif(col(n, kind), F.lit(0).cast(kind))
+    flags = F.coalesce(F.col("flags"), F.array().cast("array<string>"))
+    cross = col("assembly_cross_check", "string")
+    final = F.coalesce(cross != "pending", F.lit(False))
+    size, low, high, cover = some("estimated_genome_size", "long"), some("size_min", "long"), some("size_max", "long"), one(F.coalesce(real("coverage"), F.lit(0.0)))
+    status = F.coalesce(col("coverage_status", "string"), F.lit("NA"))
+    say = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    fit = col("fit", "string")
+    # Titles and wording of the lines, in their order.
+    lines = [
+        "SEQUENCING COVERAGE ANALYSIS", "=" * 50, "",
+        say("Sample ID: ", F.coalesce(F.col("sample").cast("string"), F.lit("NA"))),
+        say("Verdict: ", F.when(final, "final (assembly cross-check done)").otherwise("PROVISIONAL (assembly cross-check not run yet)")), "",
+        "GENOME SIZE ESTIMATION (GenomeScope):",
+        F.when(fit == "reseeded", "  Fit: reseeded (refit seeded with the measured k-mer coverage, kept over the original)").when(fit == "original", "  Fit: original"),
+        say("  Estimated genome size: ", shown(size, "%,d bp", "none")),
+        F.when(low.isNotNull() & high.isNotNull(), F.format_string("  Genome size range: %,d - %,d bp", low, high)),
+        say("  Estimated heterozygosity: ", shown(real("het_min"), "%.4f%%"), " - ", shown(real("het_max"), "%.4f%%")),
+        say("  Model fit (full model): ", shown(real("fit_full"), "%.4f%%")),
+        say("  K-mers modelled (all k-mers): ", shown(real("fit_all"), "%.4f%%")), "",
+        "SEQUENCING STATISTICS (FastP):",
+        say("  Reads after filtering: ", whole("reads_after")),
+        say("  Bases after filtering: ", whole("bases_after"), " bp"),
+        say("  Data retention: ", one(real("retention_pct")), "%"),
+        say("  Theoretical coverage before filtering: ", one(real("coverage_before")), "x"),
+        say("  Theoretical coverage after filtering: ", cover, "x"), "",
+        "K-MER COVERAGE:",
+        say("  K-mer peak coverage: ", shown(some("peak_cov", "long"), "%dx", "none detected")),
+        say("  Fitted k-mer coverage (GenomeScope kmercov): ", one(some("kmercov"), "%.1fx")),
+        F.when(final, say("  Measured k-mer coverage (BUSCO read depth): ", one(some("lam"), "%.1fx"))), "",
+        *[F.when(final, F.lit(x) if isinstance(x, str) else x) for x in (
+            "ASSEMBLY CROSS-CHECK:",
+            say("  Decontaminated assembly size: ", whole("assembly_size"), " bp"),
+            say("  Compared against: ", F.coalesce(col("assembly_ratio_basis", "string"), F.lit("NA")), " assembly (", whole("assembly_ratio_denominator"), " bp)"),
+            say("  Host fraction of assembly (lower bound): ", one(real("host_fraction") * 100, "%.1f%%")),
+            say("  BUSCO complete: ", one(real("busco_complete")), "%"), "",
+        )],
+        "COVERAGE ASSESSMENT:",
+        say("  Genome size estimate reliable: ", F.when(F.coalesce(col("reliable", "boolean"), F.lit(False)), "yes").otherwise("no")),
+        F.when(F.size(flags) > 0, say("  Genome size warnings: ", F.array_join(flags, ", "))),
+        F.when(status == UNRELIABLE, say("  Status: ", status, " (theoretical coverage ", cover, "x, not trustworthy)")).otherwise(say("  Status: ", status, " coverage (", cover, "x)")),
+        say("  Recommendation: ", F.coalesce(F.nullif(col("recommendation", "string"), F.lit("")), F.lit("NA"))),
+    ]
+    every = F.array_compact(F.array(*[F.lit(x) if isinstance(x, str) else x for x in lines]))
+    return summary.select("sample", F.posexplode(every).alias("_n", "line")).select("sample", (F.col("_n") + 1).alias("line_no"), "line")
+
+
 FIT_FIELDS = ("size_min", "size_max", "fit_all", "fit_full", "het_min", "het_max", "bias", "kmercov", "peak_cov")
 
 

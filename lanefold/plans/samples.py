@@ -138,6 +138,12 @@ def j8_backfill_summary(spark, sf_dir):
     return S.backfill_summary(domain(spark, sf_dir, "fits").select("sample", (s % 5 != 0).alias("valid"), F.when(s % 7 == 0, 2).otherwise(0).alias("mismatches")))
 
 
+@query(with_domain("fits", "SELECT DISTINCT sample FROM fits WHERE sample % 5 = 0 OR peak_cov IS NULL OR peak_cov % 4 = 0"))
+def j8_safe_to_rerun(spark, sf_dir):
+    t = domain(spark, sf_dir, "fits").select("sample", (F.col("sample") % 5 != 0).alias("valid"), (F.col("peak_cov") % 4 != 0).alias("committed"))
+    return S.safe_to_rerun(t, ["sample"])
+
+
 @query("""SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS bal, c_mktsegment AS segment FROM customer WHERE c_custkey % 4 <> 0""")
 def j9_partial_upsert(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("bal"), F.col("c_mktsegment").alias("segment"))

@@ -116,13 +116,34 @@ def h8_recheck(spark, sf_dir):
     return _joined(_recheck(spark, sf_dir)).select("sample", "estimated_genome_size", "coverage", "coverage_status", "flags", "reliable", "assembly_ratio_basis", "assembly_ratio_denominator", "assembly_cross_check")
 
 
-@query(with_domain("fits", f"""WITH {_PROV}, {_RECHECK}, lines AS (SELECT sample, unnest([{{'n': 1, 'line': 'status: ' || CASE WHEN len(all_flags) > 0 THEN 'UNRELIABLE_GENOME_SIZE_ESTIMATE' ELSE coverage_status END}},
-  {{'n': 2, 'line': 'genome size: ' || CASE WHEN estimated_genome_size <= 1 THEN 0 ELSE estimated_genome_size END::BIGINT::VARCHAR}}, {{'n': 3, 'line': 'flags: ' || array_to_string(all_flags, ', ')}}]) AS x FROM final)
-SELECT sample, x.n AS line_no, x.line AS line FROM lines"""))
+def _one(value, close=""):
+    """SQL of a number with one decimal and what follows it."""
+    return f"coalesce(printf('%.1f', ({value})::DOUBLE) || '{close}', 'NA')"
+
+
+def _four(value):
+    return f"coalesce(printf('%.4f', ({value})::DOUBLE) || '%', 'NA')"
+
+
+_LINES = f"""said AS (SELECT *, estimated_genome_size <= 1 AS none, CASE WHEN estimated_genome_size <= 1 THEN 0 ELSE coverage END AS cover FROM final),
+lines AS (SELECT sample, list_filter(['SEQUENCING COVERAGE ANALYSIS', repeat('=', 50), '', 'Sample ID: ' || sample, 'Verdict: final (assembly cross-check done)', '', 'GENOME SIZE ESTIMATION (GenomeScope):',
+  '  Estimated genome size: ' || CASE WHEN none THEN 'none' ELSE format('{{:,}}', estimated_genome_size) || ' bp' END,
+  '  Genome size range: ' || format('{{:,}}', nullif(size_min, 0)) || ' - ' || format('{{:,}}', nullif(size_max, 0)) || ' bp',
+  '  Estimated heterozygosity: ' || {_four("het_min")} || ' - ' || {_four("het_max")}, '  Model fit (full model): ' || {_four("fit_full")}, '  K-mers modelled (all k-mers): ' || {_four("fit_all")}, '',
+  'SEQUENCING STATISTICS (FastP):', '  Reads after filtering: NA', '  Bases after filtering: ' || format('{{:,}}', bases_after) || ' bp', '  Data retention: ' || {_one("retention_pct")} || '%',
+  '  Theoretical coverage before filtering: ' || {_one("CASE WHEN none THEN 0 ELSE coverage_before END")} || 'x', '  Theoretical coverage after filtering: ' || {_one("cover")} || 'x', '',
+  'K-MER COVERAGE:', '  K-mer peak coverage: ' || coalesce(nullif(peak_cov, 0) || 'x', 'none detected'), '  Fitted k-mer coverage (GenomeScope kmercov): ' || {_one("nullif(kmercov, 0)", "x")},
+  '  Measured k-mer coverage (BUSCO read depth): ' || {_one("nullif(lam, 0)", "x")}, '',
+  'ASSEMBLY CROSS-CHECK:', '  Decontaminated assembly size: ' || coalesce(format('{{:,}}', asm), 'NA') || ' bp',
+  '  Compared against: ' || CASE WHEN use_host THEN 'host' ELSE 'total' END || ' assembly (' || coalesce(format('{{:,}}', below), 'NA') || ' bp)', '  Host fraction of assembly (lower bound): NA', '  BUSCO complete: ' || {_one("busco_complete")} || '%', '',
+  'COVERAGE ASSESSMENT:', '  Genome size estimate reliable: ' || CASE WHEN len(all_flags) = 0 THEN 'yes' ELSE 'no' END, CASE WHEN len(all_flags) > 0 THEN '  Genome size warnings: ' || array_to_string(all_flags, ', ') END,
+  CASE WHEN len(all_flags) > 0 THEN '  Status: {V.UNRELIABLE} (theoretical coverage ' || {_one("cover")} || 'x, not trustworthy)' ELSE '  Status: ' || coverage_status || ' coverage (' || {_one("cover")} || 'x)' END,
+  '  Recommendation: ' || CASE WHEN len(all_flags) > 0 THEN 'no coverage figure can be relied on: ' || array_to_string(all_flags, ', ') ELSE CASE coverage_status {_TOLD} END END], lambda x: x IS NOT NULL) AS l FROM said)"""
+
+
+@query(with_domain("fits", f"WITH {_PROV}, {_RECHECK}, {_LINES} SELECT sample, generate_subscripts(l, 1) AS line_no, unnest(l) AS line FROM lines"))
 def h10_report_lines(spark, sf_dir):
-    t = _recheck(spark, sf_dir)
-    lines = F.array(F.concat(F.lit("status: "), "coverage_status"), F.concat(F.lit("genome size: "), F.col("estimated_genome_size").cast("string")), F.concat(F.lit("flags: "), F.array_join("flags", ", ")))
-    return t.select("sample", F.posexplode(lines).alias("n", "line")).select("sample", (F.col("n") + 1).alias("line_no"), "line")
+    return V.report_lines(_recheck(spark, sf_dir))
 
 
 @query(with_domain("fits", f"WITH {_PROV}, {_RECHECK} SELECT f AS flag, count(*) AS samples FROM (SELECT unnest(all_flags) AS f FROM final) x GROUP BY f"))
