@@ -28,16 +28,11 @@ UNION ALL SELECT user_id, event_id, value FROM last WHERE user_id NOT IN (SELECT
 def st2_continuous_upsert(spark, sf_dir):
     out = scratch(spark, "store")
     start = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("user_id"), F.lit(None).cast("long").alias("event_id"), F.col("c_acctbal").alias("value"))
-    start.write.parquet(f"{out}/-1")
-    done = [-1]
-
-    def write(table, n):
-        table.write.mode("overwrite").parquet(f"{out}/{n}")
-        done.append(n)
-
+    store = ingest.BucketStore(spark, out, ["user_id"])
+    store.write(start, -1)
     stream = _events(spark, sf_dir).select("user_id", "event_id", "value")
-    ingest.continuous_upsert(stream, ["user_id"], ["event_id", "value"], "event_id", lambda n: spark.read.parquet(f"{out}/{n - 1}"), write, f"{out}-log").awaitTermination()
-    return spark.read.parquet(f"{out}/{done[-1]}")
+    ingest.continuous_upsert(stream, store, ["event_id", "value"], "event_id", f"{out}-log").awaitTermination()
+    return store.table()
 
 
 @query("SELECT user_id FROM (SELECT user_id, count(DISTINCT event_type) AS n FROM events WHERE event_type IN ('error', 'click') GROUP BY user_id) x WHERE n = 2")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,15 +21,57 @@ def latest_by_key(batch: DataFrame, keys: list[str], version: str) -> DataFrame:
     return best.select(*keys, *[F.col(f"x.{c}") for c in rest])
 
 
-def continuous_upsert(stream: DataFrame, keys: list[str], supplied: list[str], version: str, read: Callable[[int], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Applies every micro-batch to the stored table.
+class BucketStore:
+    """A table in ``buckets`` parts by a hash of its keys, of which a batch writes only those that it touches.
 
-    ``read`` gives the table as of before batch n and ``write`` stores it as of batch n; a batch that is run again
-    starts from the same table and so leaves the same one.
+    Batch n writes its parts to ``v=n`` and then lists them in ``parts``; a part's rows are those of the last batch that
+    lists it. A batch that was cut off isn't listed, and one that is run again starts from what was before it, so it
+    leaves the same rows. The driver sees one row a part and batch. Null keys match nothing, so their rows are added.
+    Earlier versions stay until the folder is removed.
     """
 
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], buckets: int = 64):
+        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), keys, buckets
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())
+
+    def write(self, rows: DataFrame, n: int, parts: list[int] | None = None) -> None:
+        """Stores ``rows`` as what batch n left in ``parts`` (the rows' own parts if not given)."""
+        parts = self.touched(rows) if parts is None else parts
+        t = rows.withColumn("_b", self.bucket())
+        t.repartition(min(len(parts), self.buckets) or 1, "_b").write.mode("overwrite").partitionBy("_b").parquet(f"{self.root}/data/v={n}")
+        self.spark.createDataFrame([(n, b) for b in parts], "n long, b int").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/parts/v={n}")
+
+    def table(self, before: int | None = None, parts: list[int] | None = None) -> DataFrame | None:
+        """The rows as of before batch ``before`` (all batches if not given), of ``parts`` or all; None if there is nothing."""
+        listed = self.spark.read.schema("n long, b int").parquet(f"{self.root}/parts/*")
+        known = listed if before is None else listed.filter(F.col("n") < before)
+        last = known.groupBy("b").agg(F.max("n").alias("n")).collect()
+        paths = [f"{self.root}/data/v={r.n}/_b={r.b}" for r in last if parts is None or r.b in parts]
+        return self.spark.read.parquet(*sorted(paths)) if paths else None
+
+    def upsert(self, new: DataFrame, n: int, supplied: list[str]) -> None:
+        """Applies batch n: one row a key in ``new``; supplied columns are replaced, also by null."""
+        parts = self.touched(new)
+        if parts:
+            stored = self.table(n, parts)
+            first = new.select(*self.keys, *supplied)
+            self.write(first if stored is None else upsert(stored, first, self.keys, supplied), n, parts)
+
+
+def continuous_upsert(stream: DataFrame, store: BucketStore, supplied: list[str], version: str, checkpoint: str) -> StreamingQuery:
+    """Applies every micro-batch to the store: the highest ``version`` of each key in the batch wins, later batches over earlier ones."""
+
     def apply(batch: DataFrame, n: int) -> None:
-        write(upsert(read(n), latest_by_key(batch, keys, version), keys, supplied), n)
+        new = latest_by_key(batch, store.keys, version).persist()
+        try:
+            store.upsert(new, n, supplied)
+        finally:
+            new.unpersist()
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
