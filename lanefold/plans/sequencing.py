@@ -11,6 +11,7 @@ from lanefold.plans.registry import query
 from lanefold.plans.scratch import scratch
 from lanefold.sources.adapters import domain, with_domain
 from lanefold.sources.fastq import merge_lanes, read_fastq
+from lanefold.sources.sheets import read_assignments
 
 _PAIRS = """pairs AS (SELECT coalesce(a.sample, b.sample) AS sample, coalesce(a.read_id, b.read_id) AS read_id, a.seq AS seq1, b.seq AS seq2, a.qual AS qual1, b.qual AS qual2
   FROM (SELECT * FROM reads WHERE mate = 1) a FULL JOIN (SELECT * FROM reads WHERE mate = 2) b ON a.sample = b.sample AND a.read_id = b.read_id)"""
@@ -83,6 +84,16 @@ def c8_exclude_clades(spark, sf_dir):
     return R.exclude_clades(reads, assigned, closed, [11, 12]).select("sample", "read_id", "mate")
 
 
+@query(with_domain("reads", f"""WITH {_PAIRS} SELECT sample, read_id % 7 <> 0 AS classified, read_id::VARCHAR AS read_id, CASE WHEN read_id % 7 = 0 THEN 0 ELSE 1000000 + read_id % 150 END AS taxid,
+  length(seq1) AS length1, length(seq2) AS length2 FROM pairs WHERE seq1 IS NOT NULL"""))
+def a23_read_assignments(spark, sf_dir):
+    t, found = _pairs(spark, sf_dir).filter("seq1 IS NOT NULL"), F.col("read_id") % 7 != 0
+    number = (F.lit(1000000) + F.col("read_id") % 150).cast("string")
+    taxon = F.when(~found, "0").when(F.col("read_id") % 2 == 0, F.concat(F.lit("some name (taxid "), number, F.lit(")"))).otherwise(number)
+    line = F.concat_ws("\t", F.when(found, "C").otherwise("U"), F.col("read_id").cast("string"), taxon, F.concat_ws("|", F.length("seq1").cast("string"), F.length("seq2").cast("string")), F.lit("0:12 9:3"))
+    return read_assignments(t.select("sample", line.alias("value")))
+
+
 _REPORT = """WITH report AS (SELECT s_suppkey % 7 AS sample, n_nationkey AS taxid, CASE WHEN n_nationkey = 0 THEN 'U' ELSE 'S' END AS rank, count(*) * 100 + n_nationkey AS clade_reads
   FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY s_suppkey % 7, n_nationkey),
 t AS (SELECT sample, sum(CASE WHEN rank = 'U' OR taxid = 1 THEN clade_reads ELSE 0 END)::BIGINT AS total_reads, sum(CASE WHEN taxid IN (0, 5) THEN clade_reads ELSE 0 END)::BIGINT AS removed_reads FROM report GROUP BY sample)"""

@@ -117,3 +117,19 @@ def clade_report(lines: DataFrame) -> DataFrame:
         F.trim(g(0)).try_cast("double").alias("percent"), F.trim(g(1)).try_cast("bigint").alias("clade_reads"), F.trim(g(2)).try_cast("bigint").alias("direct_reads"),
         F.trim(g(3)).alias("rank_code"), F.trim(g(4)).try_cast("bigint").alias("taxid"), F.trim(g(5)).alias("name"), F.floor(blanks / 2).cast("bigint").alias("depth"),
     ).filter("taxid is not null")
+
+
+def read_assignments(lines: DataFrame) -> DataFrame:
+    """Of the lines of a classifier's five-column output: classified, read_id, taxid and the lengths of both mates.
+
+    The taxon is a number or ``name (taxid number)``; a length without ``|`` is that of a single read, so length2 is
+    null. Lines without five columns or without a taxid are left out; columns of ``lines`` but ``value`` stay.
+    """
+    p = F.split("value", "\t")
+    g = lambda k: F.trim(F.get(p, F.lit(k)))
+    number = F.coalesce(F.nullif(F.regexp_extract(g(2), r"\(taxid (\d+)\)$", 1), F.lit("")), g(2)).try_cast("bigint")
+    sizes = F.split(g(3), r"\|")
+    size = lambda k: F.get(sizes, F.lit(k)).try_cast("bigint").alias(f"length{k + 1}")
+    rest = [c for c in lines.columns if c != "value"]
+    t = lines.filter(F.size(p) >= 5).select(*rest, (g(0) == "C").alias("classified"), g(1).alias("read_id"), number.alias("taxid"), size(0), size(1))
+    return t.filter("taxid IS NOT NULL")

@@ -1,6 +1,7 @@
 """Reasons of filtering, summaries, profiles and shares of reads on small cases."""
 
 from lanefold.operators import reads as R
+from lanefold.sources.sheets import read_assignments
 
 PAIR = "sample string, read_id long, seq1 string, seq2 string, qual1 string, qual2 string"
 
@@ -43,3 +44,9 @@ def test_profile_and_shares(spark):
     report = spark.createDataFrame([("a", 0, "U", 30), ("a", 1, "R", 70), ("a", 9, "D", 25), ("b", 9, "D", 0)], "sample string, taxid long, rank string, clade_reads long")
     got = {(r["sample"], r.taxid): (r.removed_reads, r.share_pct) for r in R.retention_shares(report, [9, 10]).collect()}
     assert got == {("a", 9): (25, 25.0), ("b", 9): (0, 0.0)}
+
+
+def test_read_assignments(spark):
+    lines = ["C\tr1\t562\t150|149\t562:10 |:| 0:3", "U\tr2\t0\t80\t0:4", "C\tr3\tSome name (taxid 9606)\t7|\tA:1", "C\tr4\tx\t1\t", "short\tline", "", None]
+    got = [tuple(r) for r in read_assignments(spark.createDataFrame([(x, "s") for x in lines], "value string, sample string")).collect()]
+    assert got == [("s", True, "r1", 562, 150, 149), ("s", False, "r2", 0, 80, None), ("s", True, "r3", 9606, 7, None)]
