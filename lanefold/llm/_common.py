@@ -75,3 +75,14 @@ def text_key(text: str = "text") -> list:
     """Two 64-bit hashes that identify a text (null as empty): equal texts share every result that depends on text alone."""
     t = F.coalesce(F.col(text), F.lit(""))
     return [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(7), t).alias("t2")]
+
+
+def own_columns(docs: DataFrame, made: list[str], needed: list[str]) -> DataFrame:
+    """``docs`` without the columns that an operator makes (names compare without case, as Spark's do).
+
+    Raises ValueError if the operator would replace a column that it reads.
+    """
+    new = {name.lower() for name in made}
+    if taken := sorted(c for c in needed if c.lower() in new):
+        raise ValueError(f"columns {taken} are read and made; rename them first")
+    return docs.drop(*[c for c in docs.columns if c.lower() in new])
