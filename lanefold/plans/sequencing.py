@@ -141,6 +141,11 @@ def _counts(spark, sf_dir, table):
     return K.count_kmers(domain(spark, sf_dir, table).select("sample", "seq"), 21)
 
 
+def _spectrum(spark, sf_dir):
+    reads, contigs = (domain(spark, sf_dir, t).select("sample", "seq") for t in ("reads", "contigs"))
+    return K.joint_spectrum(reads, contigs, 21)
+
+
 def _text(counts):
     return counts.withColumn("kmer", kmer_text(F.col("kmer"), 21))
 
@@ -178,20 +183,20 @@ def d4_kmer_peak(spark, sf_dir):
   FROM ak LEFT JOIN rk ON ak.sample = rk.sample AND ak.kmer = rk.kmer GROUP BY ak.sample), e AS (SELECT *, 1 - pow(1 - only_kmers / total_kmers, 1.0::DOUBLE / 21) AS err FROM t)
 SELECT sample, only_kmers, total_kmers, round(err, 9) AS error, round(CASE WHEN err > 0 THEN -10 * log10(err) END, 6) AS qv FROM e"""))
 def d5_assembly_qv(spark, sf_dir):
-    t = K.assembly_qv(_counts(spark, sf_dir, "contigs"), _counts(spark, sf_dir, "reads"))
+    t = K.qv_of(_spectrum(spark, sf_dir))
     return t.withColumns({"error": F.round("error", 9), "qv": F.round("qv", 6)})
 
 
 @query(with_domain("reads contigs", f"""WITH {_READS}, {_ASM} SELECT rk.sample, count(*) AS solid_kmers, count(ak.kmer) AS found_kmers, count(ak.kmer) * 100.0::DOUBLE / count(*) AS completeness
 FROM rk LEFT JOIN ak ON ak.sample = rk.sample AND ak.kmer = rk.kmer WHERE rk.cnt >= 2 GROUP BY rk.sample"""))
 def d6_kmer_completeness(spark, sf_dir):
-    return K.kmer_completeness(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs"), 2)
+    return K.completeness_of(_spectrum(spark, sf_dir), 2)
 
 
 @query(with_domain("reads contigs", f"""WITH {_READS}, {_ASM} SELECT rk.sample, rk.cnt AS multiplicity, least(coalesce(ak.cnt, 0), 5) AS copies, count(*) AS n
 FROM rk LEFT JOIN ak ON ak.sample = rk.sample AND ak.kmer = rk.kmer GROUP BY ALL"""))
 def d7_spectra_cn(spark, sf_dir):
-    return K.spectra_cn(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs"))
+    return K.copies_of(_spectrum(spark, sf_dir))
 
 
 def _fastq(spark, sf_dir):
