@@ -43,6 +43,27 @@ def apply_actions(contigs: DataFrame, actions: DataFrame) -> DataFrame:
     return pieces.select("sample", "contig", (F.col("n") + 1).alias("piece"), F.substr("seq", F.col("x.s").cast("int"), (F.least(F.col("x.e"), F.length("seq")) - F.col("x.s") + 1).cast("int")).alias("seq"))
 
 
+def removed_pieces(contigs: DataFrame, actions: DataFrame) -> DataFrame:
+    """sample, contig, a_start, a_end, seq of what ``apply_actions`` takes away: excluded contigs as a whole, else each merged trimmed interval inside the contig.
+
+    Intervals that touch or overlap are one piece; empty contigs and intervals outside give no row.
+    """
+    n = F.length("seq").cast("long")
+    gone = actions.filter("action = 'EXCLUDE'").select(*KEY).distinct()
+    whole = contigs.join(gone, KEY, "left_semi").filter(n > 0).select(*KEY, F.lit(1).cast("long").alias("a_start"), n.alias("a_end"), "seq")
+    trims = actions.filter("action = 'TRIM'").join(gone, KEY, "left_anti").groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct(F.greatest(F.col("a_start").cast("long"), F.lit(1)).alias("s"), F.col("a_end").cast("long").alias("e")))).alias("cuts"))
+    cut = contigs.join(trims, KEY).withColumn("cuts", F.filter(F.transform("cuts", lambda x: F.struct(x["s"].alias("s"), F.least(x["e"], n).alias("e"))), lambda x: x["e"] >= x["s"]))
+    span = "array<struct<s:bigint,e:bigint>>"
+    open_ = F.struct(F.lit(0).cast("long").alias("s"), F.lit(-1).cast("long").alias("e"), F.array().cast(span).alias("out"))
+    step = lambda acc, x: F.when(acc["e"] < 0, F.struct(x["s"].alias("s"), x["e"].alias("e"), acc["out"].alias("out"))).when(
+        x["s"] <= acc["e"] + 1, F.struct(acc["s"].alias("s"), F.greatest(acc["e"], x["e"]).alias("e"), acc["out"].alias("out"))
+    ).otherwise(F.struct(x["s"].alias("s"), x["e"].alias("e"), F.array_append(acc["out"], F.struct(acc["s"].alias("s"), acc["e"].alias("e"))).alias("out")))
+    close = lambda acc: F.when(acc["e"] < 0, acc["out"]).otherwise(F.array_append(acc["out"], F.struct(acc["s"].alias("s"), acc["e"].alias("e"))))
+    parts = cut.select(*KEY, "seq", F.explode(F.aggregate("cuts", open_, step, close)).alias("x"))
+    parts = parts.select(*KEY, F.col("x.s").alias("a_start"), F.col("x.e").alias("a_end"), F.substr("seq", F.col("x.s").cast("int"), (F.col("x.e") - F.col("x.s") + 1).cast("int")).alias("seq"))
+    return whole.unionByName(parts)
+
+
 def review_names(actions: DataFrame, policy: str, short: int = 1000) -> DataFrame:
     """sample and contig of those under review that the policy removes: all, those no longer than ``short``, or none."""
     if policy not in POLICIES:
@@ -83,17 +104,16 @@ def adaptor_actions(report: DataFrame) -> DataFrame:
 
 
 def decontaminate(contigs: DataFrame, actions: DataFrame, policy: str = "exclude", least: int = 500, adaptors: DataFrame | None = None, classes: DataFrame | None = None) -> DataFrame:
-    """Actions, review by policy, adaptor actions (see ``adaptor_actions``), the length floor, then removal by domain (lines of ``classes``).
+    """Actions, review by policy, the length floor, adaptor actions (see ``adaptor_actions``), then removal by domain (lines of ``classes``).
 
-    Adaptor places are those of the pieces that the first actions leave, named by contig for a single piece, and by
+    The floor holds for what the adaptor screen is given, so a piece may be shorter after its adaptors are cut. Adaptor places are those of the pieces that the first actions leave, named by contig for a single piece, and by
     contig and number (``c.2``) for the others.
     """
-    clean = drop_named(apply_actions(contigs, actions), review_names(actions, policy))
+    clean = length_floor(drop_named(apply_actions(contigs, actions), review_names(actions, policy)), least)[0]
     if adaptors is not None:
         named = F.when(F.col("piece") == 1, F.col("contig").cast("string")).otherwise(F.concat_ws(".", "contig", "piece"))
         again = apply_actions(clean.select("sample", named.alias("contig"), "seq"), adaptors.withColumn("contig", F.col("contig").cast("string")))
         clean = again.select("sample", "contig", "piece", "seq")
-    clean = length_floor(clean, least)[0]
     if classes is not None:
         gone = domain_removal(classes)
         clean = clean.join(gone.select("sample", F.col("contig").alias("_c")), (clean["sample"] == gone["sample"]) & (clean["contig"].cast("string") == F.col("_c")), "left_anti")
@@ -120,15 +140,15 @@ def scaffold_and_contig_stats(contigs: DataFrame) -> DataFrame:
 def nstar(lengths: DataFrame, fractions: tuple[int, ...] = (10, 20, 30, 40, 50, 60, 70, 80, 90, 100), sizes: DataFrame | None = None) -> DataFrame:
     """sample, pct, n (length at which the running sum crosses pct % of the total), l (contigs needed), aun.
 
-    ``sizes`` (sample, expected) puts a sample's expected size in the place of its total where that is positive (NG*);
-    a percentage never reached has nulls. Contigs are counted by length first, so the window runs over a sample's
+    ``sizes`` (sample, expected) puts a sample's expected size in the place of its total (NG*); a sample without a positive
+    size has no rows then, as its N* would pass for NG*. A percentage never reached has nulls. Contigs are counted by length first, so the window runs over a sample's
     different lengths, not its contigs; null lengths are left out, a sample of empty contigs has a null aun.
     """
     size = F.col("length").cast("long")
     t = lengths.filter("length IS NOT NULL").groupBy("sample", size.alias("length")).agg(F.count("*").alias("k"))
     totals = t.groupBy("sample").agg(F.sum(F.col("length") * F.col("k")).alias("total"), F.sum(F.col("length").cast("double") * F.col("length") * F.col("k")).alias("squares"))
     if sizes is not None:
-        totals = totals.join(sizes.select("sample", "expected"), "sample", "left").withColumn("total", F.when(F.col("expected") > 0, F.col("expected").cast("long")).otherwise(F.col("total")))
+        totals = totals.join(sizes.filter("expected >= 1").select("sample", "expected"), "sample").withColumn("total", F.col("expected").cast("long"))
     w = Window.partitionBy("sample").orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)
     t = t.select("sample", "length", "k", F.sum(F.col("length") * F.col("k")).over(w).alias("run"), F.sum("k").over(w).alias("rank")).join(totals, "sample")
     before = F.col("run") - F.col("length") * F.col("k")

@@ -30,6 +30,15 @@ def e2_apply_actions(spark, sf_dir):
     return C.apply_actions(domain(spark, sf_dir, "contigs"), domain(spark, sf_dir, "actions"))
 
 
+@query(with_domain("actions contigs", """WITH gone AS (SELECT DISTINCT sample, contig FROM actions WHERE action = 'EXCLUDE'),
+one AS (SELECT sample, contig, greatest(max(a_start), 1) AS s, max(a_end) AS e FROM actions WHERE action = 'TRIM' GROUP BY sample, contig)
+SELECT c.sample, c.contig, 1::BIGINT AS a_start, length(seq) AS a_end, seq FROM contigs c JOIN gone g ON g.sample = c.sample AND g.contig = c.contig
+UNION ALL SELECT c.sample, c.contig, s, least(e, length(seq)), substr(seq, s::INT, (least(e, length(seq)) - s + 1)::INT) FROM contigs c JOIN one o ON o.sample = c.sample AND o.contig = c.contig
+WHERE s <= length(seq) AND NOT EXISTS (SELECT 1 FROM gone g WHERE g.sample = c.sample AND g.contig = c.contig)"""))
+def e2_removed_pieces(spark, sf_dir):
+    return C.removed_pieces(domain(spark, sf_dir, "contigs"), domain(spark, sf_dir, "actions"))
+
+
 @query(with_domain("actions", "SELECT DISTINCT sample, contig FROM actions WHERE action = 'REVIEW' AND a_end <= 1000"))
 def e3_review_names(spark, sf_dir):
     return C.review_names(domain(spark, sf_dir, "actions"), "short-only")
@@ -46,7 +55,7 @@ def e5_length_floor(spark, sf_dir):
     return C.length_floor(domain(spark, sf_dir, "contigs"))[1]
 
 
-_ADAPT = """named AS (SELECT sample, CASE WHEN piece = 1 THEN contig::VARCHAR ELSE concat(contig, '.', piece) END AS contig, seq FROM clean c WHERE {r}),
+_ADAPT = """named AS (SELECT sample, CASE WHEN piece = 1 THEN contig::VARCHAR ELSE concat(contig, '.', piece) END AS contig, seq FROM clean c WHERE {r} AND length(seq) >= 500),
 two AS (SELECT n.*, a.action, CAST(split_part(a.ranges, '..', 1) AS INT) AS s, CAST(split_part(a.ranges, '..', 2) AS INT) AS e FROM named n LEFT JOIN (SELECT * FROM adaptor_report WHERE action = 'ACTION_TRIM') a ON a.sample = n.sample AND a.contig::VARCHAR = n.contig
   WHERE NOT EXISTS (SELECT 1 FROM adaptor_report x WHERE x.action = 'ACTION_EXCLUDE' AND x.sample = n.sample AND x.contig::VARCHAR = n.contig)),
 pieces AS (SELECT sample, contig, CASE WHEN s IS NULL THEN seq ELSE substr(seq, 1, s - 1) END AS seq FROM two UNION ALL SELECT sample, contig, substr(seq, e + 1) FROM two WHERE s IS NOT NULL),
@@ -54,7 +63,7 @@ bad AS (SELECT DISTINCT sample, string_split_regex(trim(line), '\\s+')[1] AS con
 
 
 @query(with_domain("actions contigs adaptor_report contig_classes", f"""WITH {_CLEAN}, {_ADAPT.format(r=_UNREVIEWED.format(t="c")).replace("classes", "contig_classes")}
-SELECT sample, count(*) AS pieces, sum(length(seq))::BIGINT AS bases FROM pieces p WHERE length(seq) >= 500 AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.sample = p.sample AND bad.contig = p.contig) GROUP BY sample"""))
+SELECT sample, count(*) AS pieces, sum(length(seq))::BIGINT AS bases FROM pieces p WHERE length(seq) > 0 AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.sample = p.sample AND bad.contig = p.contig) GROUP BY sample"""))
 def e8_decontaminate(spark, sf_dir):
     t = {n: domain(spark, sf_dir, n) for n in ("contigs", "actions", "adaptor_report", "contig_classes")}
     clean = C.decontaminate(t["contigs"], t["actions"], adaptors=C.adaptor_actions(t["adaptor_report"]), classes=t["contig_classes"])
@@ -89,7 +98,7 @@ def f2_nstar(spark, sf_dir):
     return C.nstar(domain(spark, sf_dir, "contigs"))
 
 
-@query(with_domain("contigs", "WITH one AS (SELECT 1)" + _NSTAR.format(t="contigs", more="").replace("sum(length) OVER (PARTITION BY sample) AS total", "CASE WHEN length(sample) % 3 = 0 THEN sum(length) OVER (PARTITION BY sample) ELSE 150000 * length(sample) END AS total")))
+@query(with_domain("contigs", "WITH one AS (SELECT 1)" + _NSTAR.format(t="contigs", more="").replace("sum(length) OVER (PARTITION BY sample) AS total", "150000 * length(sample) AS total").replace("FROM contigs WINDOW", "FROM contigs WHERE length(sample) % 3 > 0 WINDOW")))
 def f2_ngstar(spark, sf_dir):
     contigs = domain(spark, sf_dir, "contigs")
     sizes = contigs.select("sample").distinct().withColumn("expected", F.when(F.length("sample") % 3 > 0, F.length("sample") * 150_000))
@@ -124,11 +133,11 @@ def f4_region_counts(spark, sf_dir):
     return C.region_counts(domain(spark, sf_dir, "gene_table"), domain(spark, sf_dir, "supplier_contigs"))
 
 
-@query(with_domain("gene_table gene_contigs", """WITH p AS (SELECT g.sample, gene, g.contig, strand, greatest(least(g_start, g_end), 1) AS lo, greatest(greatest(g_start, g_end), greatest(least(g_start, g_end), 1) + 1) AS hi, seq AS s
-  FROM gene_table g JOIN gene_contigs c ON c.contig = g.contig AND c.sample = g.sample WHERE status <> 'Missing'), q AS (SELECT *, substr(s, lo::INT, (hi - lo + 1)::INT) AS x FROM p)
+@query(with_domain("doc_genes gene_contigs", """WITH p AS (SELECT g.sample, gene, g.contig, strand, greatest(least(g_start, g_end), 1) AS lo, greatest(greatest(g_start, g_end), greatest(least(g_start, g_end), 1) + 1) AS hi, seq AS s
+  FROM doc_genes g JOIN gene_contigs c ON c.contig = g.contig AND c.sample = g.sample WHERE status <> 'Missing'), q AS (SELECT *, substr(s, lo::INT, (hi - lo + 1)::INT) AS x FROM p)
 SELECT sample, gene, contig, strand, concat('>', gene, '|', contig, ':', lo, '-', hi, '(', strand, ')') AS header, CASE WHEN strand = '-' THEN reverse(translate(x, 'ACGTN', 'TGCAN')) ELSE x END AS seq FROM q"""))
 def f5_gene_sequences(spark, sf_dir):
-    return C.gene_sequences(domain(spark, sf_dir, "gene_table"), domain(spark, sf_dir, "gene_contigs"))
+    return C.gene_sequences(domain(spark, sf_dir, "doc_genes"), domain(spark, sf_dir, "gene_contigs"))
 
 
 _GOOD = "mapq >= {q} AND (flag & 1796) = 0"

@@ -30,6 +30,9 @@ ADAPTERS = {
           p_partkey % 10 AS contig, CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 4000 + 300 ELSE p_partkey * 3 % 4000 END AS g_start,
           CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 4000 ELSE p_partkey * 3 % 4000 + 300 END AS g_end,
           CASE WHEN p_size % 2 = 0 THEN '-' ELSE '+' END AS strand FROM {part}""",
+    "doc_genes": """SELECT p_partkey % 10 AS sample, p_partkey AS gene, CASE p_size % 5 WHEN 0 THEN 'Missing' WHEN 1 THEN 'Fragmented' WHEN 2 THEN 'Duplicated' ELSE 'Complete' END AS status, CAST(floor(p_partkey / 10) AS BIGINT) AS contig,
+          CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 400 + 300 ELSE p_partkey * 3 % 400 END AS g_start, CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 400 ELSE p_partkey * 3 % 400 + 300 END AS g_end,
+          CASE WHEN p_size % 2 = 0 THEN '-' ELSE '+' END AS strand FROM {part}""",
     "supplier_contigs": """SELECT sample, contig, max(length) AS length FROM (SELECT CAST(floor((s_suppkey % 100) / 10) AS BIGINT) AS sample, s_suppkey % 10 AS contig, 3500 + s_suppkey % 900 AS length FROM {supplier}) a GROUP BY sample, contig""",
     "contig_depth": """SELECT l_partkey % 20 AS sample, l_partkey AS contig, CAST(sum(CAST(l_quantity AS BIGINT)) * 3 AS BIGINT) AS length,
           CAST(7 + l_partkey * 37 % 200 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS meandepth FROM {lineitem} GROUP BY l_partkey""",
@@ -69,7 +72,7 @@ ADAPTERS = {
     "actions": """SELECT source AS sample, doc_id AS contig, CASE doc_id % 4 WHEN 0 THEN 'EXCLUDE' WHEN 1 THEN 'TRIM' ELSE 'REVIEW' END AS action,
           CASE WHEN doc_id % 4 = 1 THEN 1 + n_chars % 50 ELSE 1 END AS a_start, CASE WHEN doc_id % 4 = 1 THEN 40 + n_chars % 50 ELSE n_chars END AS a_end
         FROM {documents} WHERE doc_id % 5 < 2 AND n_chars > 100""",
-    "gene_contigs": f"""SELECT CAST(doc_id % 10 AS BIGINT) AS sample, CAST(floor(doc_id / 10) AS BIGINT) AS contig, seq FROM (SELECT doc_id, {_SEQ} AS seq FROM {{documents}}) a WHERE doc_id < 100 AND length(seq) > 0""",
+    "gene_contigs": f"""SELECT CAST(doc_id % 10 AS BIGINT) AS sample, CAST(floor(doc_id / 10) AS BIGINT) AS contig, seq FROM (SELECT doc_id, {_SEQ} AS seq FROM {{documents}}) a WHERE length(seq) > 0""",
     "adaptor_report": """SELECT source AS sample, doc_id AS contig, n_chars AS length, CASE WHEN doc_id % 3 = 0 THEN 'ACTION_TRIM' WHEN doc_id % 7 = 0 THEN 'ACTION_EXCLUDE' ELSE 'FOUND' END AS action,
           CASE WHEN doc_id % 3 = 0 THEN concat(CAST(5 + doc_id % 20 AS VARCHAR), '..', CAST(30 + doc_id % 20 AS VARCHAR)) ELSE '' END AS ranges FROM {documents} WHERE doc_id % 4 = 2 AND n_chars > 100""",
     "fastq_files": """SELECT concat('/in/OG', CAST(user_id % 200 AS VARCHAR), CASE event_id % 7 WHEN 0 THEN '.R1.fastq.gz' WHEN 1 THEN '.ilmn_R2.fq.gz'

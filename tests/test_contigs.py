@@ -12,7 +12,7 @@ def test_nstar_of_long_contigs(spark):
     assert aun == {"a": (2 * 50_000**2 + 3_000**2 + 400) / 103_020, "b": 2e9, "c": None}
     sizes = spark.createDataFrame([("a", 200_000), ("b", -1)], "sample string, expected long")
     ng = {(r["sample"], r["pct"]): (r["n"], r["l"]) for r in C.nstar(df, (20, 50, 90), sizes).collect()}
-    assert ng["a", 20] == (50_000, 1) and ng["a", 50] == (50_000, 2) and ng["a", 90] == (None, None) and ng["b", 50] == (2_000_000_000, 1)
+    assert ng["a", 20] == (50_000, 1) and ng["a", 50] == (50_000, 2) and ng["a", 90] == (None, None) and {k[0] for k in ng} == {"a"}  # no usable size, no NG*
     assert C.nstar(df.limit(0)).collect() == []
 
 
@@ -37,6 +37,24 @@ def test_samples_share_contig_names(spark):
     assert {r["sample"]: r["status"] for r in C.region_status(C.gene_regions(genes, contigs), contigs, 1).collect()} == {"A": "ok", "B": "too_few_busco_regions"}
 
 
+def test_floor_comes_before_adaptors(spark):
+    contigs = spark.createDataFrame([("s", "c1", "ACGTA" * 104), ("s", "c2", "ACGTA" * 99)], "sample string, contig string, seq string")
+    none = spark.createDataFrame([], "sample string, contig string, action string, a_start long, a_end long")
+    cut = C.adaptor_actions(spark.createDataFrame([("s", "c1", 520, "ACTION_TRIM", "1..40")], "sample string, contig string, length int, action string, ranges string"))
+    assert [(r["contig"], len(r["seq"])) for r in C.decontaminate(contigs, none, adaptors=cut).collect()] == [("c1", 480)]
+
+
+def test_removed_pieces_complete_the_clean_ones(spark):
+    contigs = spark.createDataFrame([("s", "a", "ACGTACGTAC"), ("s", "b", "TTTT"), ("s", "e", ""), ("t", "a", "GGGG"), ("s", "n", None)], "sample string, contig string, seq string")
+    rows = [("s", "a", "TRIM", 1, 2), ("s", "a", "TRIM", 3, 4), ("s", "a", "TRIM", 4, 5), ("s", "a", "TRIM", 8, 99), ("s", "a", "TRIM", 50, 60), ("s", "b", "EXCLUDE", 1, 4), ("s", "b", "TRIM", 1, 1), ("s", "e", "EXCLUDE", 1, 1), ("s", "n", "EXCLUDE", 1, 1)]
+    actions = spark.createDataFrame(rows, "sample string, contig string, action string, a_start long, a_end long")
+    gone = sorted(tuple(r) for r in C.removed_pieces(contigs, actions).collect())
+    assert gone == [("s", "a", 1, 5, "ACGTA"), ("s", "a", 8, 10, "TAC"), ("s", "b", 1, 4, "TTTT")]
+    kept = sum(len(r["seq"]) for r in C.apply_actions(contigs, actions).filter("seq is not null").collect())
+    assert kept + sum(len(r[4]) for r in gone) == 18
+    assert C.removed_pieces(contigs.limit(0), actions).collect() == []
+
+
 def test_depth_mode_of_contigs_named_by_text(spark):
     from lanefold.operators.depth import depth_mode
 
