@@ -6,15 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanefold.functions.sequences import count_of, reverse_complement
+from lanefold.operators.coverage import KEY, alignment_blocks, good_alignments
 
 ACTIONS = ("EXCLUDE", "TRIM", "REVIEW")
-#: Fixed value: unmapped, secondary, failed and duplicate alignments.
-BAD_FLAGS = 4 + 256 + 512 + 1024
 POLICIES = ("exclude", "short-only", "keep")
 
 
-#: Contigs are named by assemblers alike in every sample: sample and name identify one.
-KEY = ["sample", "contig"]
+# Contigs are named by assemblers alike in every sample: sample and name (KEY) identify one.
 
 
 def action_summary(actions: DataFrame) -> DataFrame:
@@ -198,10 +196,13 @@ def region_depth(alignments: DataFrame, regions: DataFrame, min_mapq: int = 20,
     """Bases of good alignments over each region; regions without any stay with 0.
 
     Both sides are dealt to bins of the contig, so the join is on equality and spreads a long contig; a pair
-    that shares several bins counts in the first one only. Flags unmapped, secondary, failed and duplicate are left out.
+    that shares several bins counts in the first one only. Flags unmapped, secondary, failed and duplicate are left out. With a
+    ``cigar`` the bases are those of its blocks, deletions counted and skips not. ``depth_in_regions`` does the same from a sweep,
+    which suits deep coverage.
     """
     bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_size), F.floor((F.col(b) - 1) / bin_size)))
-    good = alignments.filter((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(BAD_FLAGS) == 0) & (F.col("a_end") > F.col("a_start")))
+    good = good_alignments(alignments, min_mapq)
+    good = (alignment_blocks(good) if "cigar" in alignments.columns else good).filter("a_end > a_start")
     good = good.select(*KEY, "a_start", "a_end", bins("a_start", "a_end").alias("bin"))
     dealt = regions.select(*KEY, "gene", "start", "end", bins("start", "end").alias("bin"))
     hit = good.join(dealt, [*KEY, "bin"]).filter((F.col("a_start") < F.col("end")) & (F.col("start") < F.col("a_end")))
@@ -220,13 +221,17 @@ def region_status(regions: DataFrame, samples: DataFrame, least: int = 20) -> Da
 def contig_depth(alignments: DataFrame, contigs: DataFrame, min_mapq: int = 0) -> DataFrame:
     """Mean depth of each contig: aligned bases inside it by its length; 0 without alignments, null without bases.
 
-    Alignments are summed by contig and by where they end before they meet the contigs, so a contig with most of the
-    alignments doesn't crowd a task: only those that reach beyond ``length`` differ, and they are few ends.
+    With a ``cigar`` the bases are those of M, = and X, as deleted ones have no read base; without one, those from a_start to
+    a_end. Lengths are joined to the alignments, a join that can be split where a contig has most of them, and each task sums
+    what it has before the shuffle.
     """
-    good = alignments.filter((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(BAD_FLAGS) == 0))
-    ends = good.groupBy(*KEY, F.greatest("a_start", F.lit(0)).alias("a"), F.col("a_end").alias("b")).agg(F.count("*").alias("k"))
-    inside = F.greatest(F.least("b", "length") - F.col("a"), F.lit(0)) * F.col("k")
-    got = contigs.join(ends, KEY, "left").groupBy(*KEY, "length").agg(F.sum(inside).alias("bases"))
+    good = good_alignments(alignments, min_mapq)
+    if "cigar" in alignments.columns:
+        good = alignment_blocks(good, "M=X")
+    long = contigs.select(*KEY, F.col("length").alias("most"))
+    inside = F.greatest(F.least("a_end", "most") - F.greatest("a_start", F.lit(0)), F.lit(0))
+    sums = good.select(*KEY, "a_start", "a_end").join(long, KEY).groupBy(*KEY).agg(F.sum(inside).alias("bases"))
+    got = contigs.select(*KEY, "length").join(sums, KEY, "left")
     return got.select(*KEY, "length", F.try_divide(F.coalesce("bases", F.lit(0)), F.col("length")).alias("meandepth"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanefold.operators import contigs as C
+from lanefold.operators import coverage as V
 from lanefold.operators import depth as D
 from lanefold.operators import flows
 from lanefold.plans.registry import query
@@ -166,6 +167,41 @@ def f9_mapping_summary(spark, sf_dir):
     return C.mapping_summary(domain(spark, sf_dir, "alignments"))
 
 
+_OPS = """ops AS (SELECT n, sample, contig, a_start, i, regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 1)[i]::BIGINT AS size, regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 2)[i] AS kind
+    FROM (SELECT row_number() OVER () AS n, * FROM cigars WHERE mapq >= {q} AND (flag & 1796) = 0) c, unnest(range(1, len(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 0)) + 1)) AS x(i)),
+places AS (SELECT *, a_start + coalesce(sum(CASE WHEN kind IN ('M', '=', 'X', 'D', 'N') THEN size ELSE 0 END) OVER (PARTITION BY n ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM ops),
+covered AS (SELECT sample, contig, s, s + size AS e FROM places WHERE kind IN ({k}))"""
+_DEEP, _READ = _OPS.format(q=20, k="'M', '=', 'X', 'D'"), _OPS.format(q=0, k="'M', '=', 'X'")
+
+
+@query(with_domain("cigars", f"""WITH {_DEEP}, steps AS (SELECT sample, contig, pos, sum(d) AS d FROM (SELECT sample, contig, s AS pos, 1 AS d FROM covered UNION ALL SELECT sample, contig, e, -1 FROM covered) y GROUP BY ALL HAVING sum(d) <> 0),
+runs AS (SELECT sample, contig, pos AS start, lead(pos) OVER w AS "end", sum(d) OVER w AS depth FROM steps WINDOW w AS (PARTITION BY sample, contig ORDER BY pos))
+SELECT sample, contig, start::BIGINT AS start, "end"::BIGINT AS "end", depth::BIGINT AS depth FROM runs WHERE depth > 0"""))
+def f6_depth_runs(spark, sf_dir):
+    return V.depth_runs(V.alignment_blocks(V.good_alignments(domain(spark, sf_dir, "cigars"), 20)))
+
+
+@query(with_domain("gene_table supplier_contigs cigars", f"""WITH {_REGIONS}, {_DEEP} SELECT r.sample, r.gene, r.contig, start_ AS start, end_ AS "end", coalesce(sum(least(e, end_) - greatest(s, start_)), 0)::BIGINT AS depth_sum
+FROM regions r LEFT JOIN covered a ON a.contig = r.contig AND a.sample = r.sample AND s < end_ AND start_ < e GROUP BY ALL"""))
+def f6_cigar_region_depth(spark, sf_dir):
+    runs = V.depth_runs(V.alignment_blocks(V.good_alignments(domain(spark, sf_dir, "cigars"), 20)))
+    return V.depth_in_regions(runs, _regions(spark, sf_dir)).select("sample", "gene", "contig", "start", "end", "depth_sum")
+
+
+@query(with_domain("supplier_contigs cigars", f"""WITH {_READ} SELECT c.sample, c.contig, length, coalesce(sum(greatest(least(e, length) - greatest(s, 0), 0)), 0) / length AS meandepth
+FROM supplier_contigs c LEFT JOIN covered a ON a.contig = c.contig AND a.sample = c.sample GROUP BY c.sample, c.contig, length"""))
+def f7_cigar_contig_depth(spark, sf_dir):
+    return C.contig_depth(domain(spark, sf_dir, "cigars"), domain(spark, sf_dir, "supplier_contigs"))
+
+
+@query(with_domain("cigars", """WITH t AS (SELECT sample, (flag & 260) = 0 AS ok, nm, list_sum([x::BIGINT for x in regexp_extract_all(cigar, '([0-9]+)[MI=X]', 1)]) AS b, list_sum([x::BIGINT for x in regexp_extract_all(cigar, '([0-9]+)D', 1)]) AS d,
+  list_sum([x::BIGINT for x in regexp_extract_all(cigar, '([0-9]+)[SH]', 1)]) AS c FROM cigars),
+u AS (SELECT sample, coalesce(sum(b) FILTER (ok), 0)::BIGINT AS mapped_bases, coalesce(sum(nm) FILTER (ok), 0)::BIGINT AS mismatches, coalesce(sum(d) FILTER (ok), 0)::BIGINT AS deleted_bases, coalesce(sum(c) FILTER (ok), 0)::BIGINT AS clipped_bases FROM t GROUP BY sample)
+SELECT *, mismatches / mapped_bases AS error_rate FROM u"""))
+def f9_mapping_errors(spark, sf_dir):
+    return V.mapping_errors(domain(spark, sf_dir, "cigars"))
+
+
 _SAMPLES = f"""gr AS (SELECT r.sample, r.gene, start_, end_, coalesce(d, 0) AS depth_sum FROM regions r LEFT JOIN (
   SELECT r.gene AS g, sum(least(a_end, end_) - greatest(a_start, start_)) AS d FROM regions r JOIN alignments a ON {_ON} WHERE {_GOOD.format(q=20)} AND a_end > a_start GROUP BY r.gene) x ON x.g = r.gene),
 weighted AS (SELECT sample, sum(depth_sum) / sum(end_ - start_) AS mean_depth, count(*) AS regions FROM gr GROUP BY sample)"""

@@ -26,6 +26,10 @@ ADAPTERS = {
     "alignments": """SELECT CAST(floor((l_suppkey % 100) / 10) AS BIGINT) AS sample, l_suppkey % 10 AS contig, (l_orderkey * 7 + l_linenumber * 13) % 5000 AS a_start,
           (l_orderkey * 7 + l_linenumber * 13) % 5000 + CAST(l_quantity AS BIGINT) AS a_end, l_linenumber * 8 AS mapq,
           CASE WHEN l_returnflag = 'R' THEN 256 WHEN l_returnflag = 'A' THEN 2 ELSE 16 END AS flag FROM {lineitem}""",
+    "cigars": """SELECT CAST(floor((l_suppkey % 100) / 10) AS BIGINT) AS sample, l_suppkey % 10 AS contig, (l_orderkey * 7 + l_linenumber * 13) % 5000 AS a_start, l_linenumber * 8 AS mapq,
+          CASE WHEN l_returnflag = 'R' THEN 256 WHEN l_returnflag = 'A' THEN 2 ELSE 16 END + CASE WHEN l_partkey % 50 = 0 THEN 4 ELSE 0 END AS flag, CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE l_partkey % 6 END AS nm,
+          CASE WHEN l_partkey % 50 = 0 THEN '*' ELSE concat(CASE WHEN l_linenumber % 3 = 0 THEN '5S' ELSE '' END, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), 'M', CASE l_partkey % 5 WHEN 0 THEN '2D' WHEN 1 THEN '3I' WHEN 2 THEN '70N' WHEN 3 THEN '1P2D1I' ELSE '' END,
+            CAST(1 + l_linenumber AS VARCHAR), CASE WHEN l_partkey % 2 = 0 THEN '=' ELSE 'X' END, CASE WHEN l_suppkey % 4 = 0 THEN '4H' ELSE '' END) END AS cigar FROM {lineitem}""",
     "gene_table": """SELECT CAST(floor((p_partkey % 100) / 10) AS BIGINT) AS sample, p_partkey AS gene, CASE p_size % 5 WHEN 0 THEN 'Missing' WHEN 1 THEN 'Fragmented' WHEN 2 THEN 'Duplicated' ELSE 'Complete' END AS status,
           p_partkey % 10 AS contig, CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 4000 + 300 ELSE p_partkey * 3 % 4000 END AS g_start,
           CASE WHEN p_size % 2 = 0 THEN p_partkey * 3 % 4000 ELSE p_partkey * 3 % 4000 + 300 END AS g_end,
