@@ -39,8 +39,8 @@ HEAD, HEAD_BYTES = 1 << 18, 100
 WORDS, DIM, DRAWS, STEP, FIRST_TOKENS, FIRST_ROUNDS = 1983, 16, 64, 2048, 1 << 20, 3
 #: Shared classes, by a checksum of a word's last two bytes.
 SHARED = 64
-#: Groups of tasks whose weights are averaged first.
-GROUPS = 256
+#: Groups of tasks whose weights are averaged, one step after the other; the last is the mean of all.
+GROUPS = (4096, 256, 16, 1)
 END = ""
 
 
@@ -269,7 +269,7 @@ def train(docs: DataFrame, head: Head, text: str = "text", first_tokens: int = F
     """Weights learned from all of ``docs``; None if there is no token.
 
     The first rounds go over whole texts of about ``first_tokens`` tokens, chosen by a hash of their place, in one task.
-    Then each task learns from all its texts and the weights are averaged, weighted by tokens, in groups of tasks first.
+    Then each task learns from all its texts and the weights are averaged, weighted by tokens, group by group.
     """
     if not head.tokens:
         return None
@@ -297,9 +297,10 @@ def train(docs: DataFrame, head: Head, text: str = "text", first_tokens: int = F
     first = sample.mapInArrow(learner(None, FIRST_ROUNDS), schema).select("weights").head()
     start = np.array(first["weights"], np.float32) if first else None
     each = texts.mapInArrow(learner(start, 1), schema)
-    vector = each.select(F.pmod("part", F.lit(GROUPS)).alias("part"), "tokens", array_to_vector("weights").alias("v"))
-    sums = vector.groupBy("part").agg(Summarizer.mean(F.col("v"), F.col("tokens")).alias("v"), F.sum("tokens").alias("tokens"))
-    mean = sums.agg(vector_to_array(Summarizer.mean(F.col("v"), F.col("tokens"))).alias("w")).head()["w"]
+    mean = each.select("part", "tokens", array_to_vector("weights").alias("v"))
+    for groups in GROUPS:
+        mean = mean.groupBy(F.pmod("part", F.lit(groups)).alias("part")).agg(Summarizer.mean(F.col("v"), F.col("tokens")).alias("v"), F.sum("tokens").alias("tokens"))
+    mean = mean.select(vector_to_array("v").alias("w")).head()["w"]
     vocabulary.unpersist()
     return np.array(mean, np.float32)
 
