@@ -1,68 +1,190 @@
-"""Sequence files: FASTQ records as a table, and lanes put together."""
+"""Sequence files: FASTQ records as a table, and lanes put together.
+
+A line is the header of a record if it begins with ``@`` and the line after the next begins with ``+``: a line of qualities
+that begins with ``@`` is followed by a header and a sequence, and no sequence begins with ``+``. So every task finds
+the first record of its part of a file by itself. What lies before it and what is left after the last whole
+record are fragments, two a part at most; those of one gap are put together by file.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Sample, lane and mate in a file's path; the lane may be absent.
-NAME = r"([^/]+?)(?:[._]L(\d+))?[._]R?([12])(?:_\d+)?\.f(?:ast)?q(?:\.gz)?$"
+NAME = r"([^/]+?)(?:[._]L(\d+))?[._]R?([12])(?:_\d+)?\.f(?:ast)?q(?:\.gz|\.bgzf?)?$"
+#: Files of gzip members that tell their length, by name.
+BLOCKS = r"\.bgzf?$"
+#: Fixed values of block gzip: how a member begins, the field that tells its length, and how many bytes surround the deflated ones.
+MEMBER, LENGTH, AROUND = b"\x1f\x8b\x08\x04", "\x06\x00BC\x02\x00", 26
+_PARTS = "file string, part long, head string, seq string, plus string, qual string, side int, rest binary"
+_NAMES = ["file", "part", "head", "seq", "plus", "qual", "side", "rest"]
 
 
-def read_fastq(spark: SparkSession, paths: str | list[str], name: str = NAME) -> DataFrame:
-    """sample, lane, mate, read_id, seq, qual of every record of FASTQ files, gzip or plain.
+def inflated(line: bytes, file: str) -> bytes:
+    """The text of a block-gzip member from what stands between two length fields: its length, the deflated bytes, checksum and size, and the start of the next member."""
+    size = int.from_bytes(line[:2], "little") + 1 - AROUND
+    data, end = line[2 : 2 + size], line[2 + size : 10 + size]
+    if size < 0 or len(end) < 8 or len(line) - size - 10 not in (0, 10):
+        raise ValueError(f"{file}: a member of block gzip isn't whole; read the file with another split size or as plain gzip")
+    text = zlib.decompress(data, -15)
+    if zlib.crc32(text) != int.from_bytes(end[:4], "little") or len(text) != int.from_bytes(end[4:], "little"):
+        raise ValueError(f"{file}: a member of block gzip is damaged")
+    return text
 
-    ``name`` finds sample, lane and mate in a file's path (no match: null). The read_id is the first word of the header
-    without ``@`` and a closing /1 or /2. A plain file is read in several tasks: the lines of each part are counted first
-    (one row a part comes to the driver), so a task knows where records begin; what lies across the border of two parts is
-    put together by file and record. A gzip file is one task. Records cut off at the end of a file, and those whose
-    header lacks ``@`` or whose sequence and qualities differ in length, raise an error. Empty files give no rows.
-    """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"))
-    counts = sorted((r["file"], r["part"], r["n"]) for r in lines.groupBy("file", "part").agg(F.count("*").alias("n")).collect())
-    first, total = {}, {}
-    for file, part, n in counts:
-        first[file, part] = total.get(file, 0)
-        total[file] = total.get(file, 0) + n
-    if bad := [f for f, n in total.items() if n % 4]:
-        raise ValueError(f"{bad[0]}: its lines aren't whole records of four")
+
+def first_header(lines: pa.Array, since: int) -> int | None:
+    """Where the first record begins among ``lines``; None if they don't tell."""
+    heads, plus = (np.asarray(pc.starts_with(lines, x).fill_null(False)) for x in ("@", "+"))
+    found = np.flatnonzero(heads[since:-2] & plus[since + 2 :])
+    return int(found[0]) + since if len(found) else None
+
+
+class Part:
+    """The records of one part of a file, as its lines come."""
+
+    def __init__(self, file: str, part: int):
+        self.file, self.part, self.lines, self.synced = file, part, pa.array([], pa.binary()), False
+        self.since = 0  # the first line that may be a header
+
+    def add(self, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        lines = pa.concat_arrays([self.lines, lines])
+        if not self.synced:
+            at = first_header(lines, self.since)
+            if at is None:
+                self.lines = lines
+                return
+            self.synced = True
+            yield self.fragment(0, lines[:at])
+            lines = lines[at:]
+        n = len(lines) // 4
+        self.lines = lines[4 * n :]
+        if n:
+            four = [lines.take(pa.array(np.arange(k, 4 * n, 4))).cast(pa.string()) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([pa.array([self.file] * n), pa.array(np.full(n, self.part)), *four, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_NAMES)
+
+    def fragment(self, side: int, lines: pa.Array, more: bytes = b"") -> pa.RecordBatch:
+        """What is before the first record (0), after the last (1), or a part without any (2)."""
+        raw = b"".join(x + b"\n" for x in lines.to_pylist()) + more
+        return pa.RecordBatch.from_arrays([pa.array([self.file]), pa.array([self.part]), *[pa.nulls(1, pa.string())] * 4, pa.array([side], pa.int32()), pa.array([raw])], names=_NAMES)
+
+    def end(self, more: bytes = b"") -> Iterator[pa.RecordBatch]:
+        yield self.fragment(1 if self.synced else 2, self.lines, more)
+
+
+def _parts(start: Callable[[str, int], Part], feed: Callable[[Part, pa.Array], Iterator[pa.RecordBatch]], end: Callable[[Part], Iterator[pa.RecordBatch]]):
+    """A function over batches (value, file, part) that gives the rows of each part in turn to ``feed``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, at, held, out = None, 0, [None] * 4, []
+        now: Part | None = None
         for batch in batches:
-            for value, file, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (file, part) != where:
-                    if any(x is not None for x in held):
-                        out.append((where[0], at // 4, *held))
-                    where, at, held = (file, part), first[file, part], [None] * 4
-                held[at % 4] = value
-                at += 1
-                if at % 4 == 0:
-                    out.append((file, at // 4 - 1, *held))
-                    held = [None] * 4
-            yield _records(out)
-            out = []
-        if any(x is not None for x in held):
-            yield _records([(where[0], at // 4, *held)])
-
-    got = lines.mapInArrow(run, "file string, rec long, head string, seq string, plus string, qual string")
-    whole = F.col("head").isNotNull() & F.col("qual").isNotNull()
-    torn = got.filter(~whole).groupBy("file", "rec").agg(*[F.max(c).alias(c) for c in ("head", "seq", "plus", "qual")])
-    t = got.filter(whole).unionByName(torn)
-    fine = F.startswith("head", F.lit("@")) & (F.length("seq") == F.length("qual"))
-    t = t.withColumn("head", F.when(fine, F.col("head")).otherwise(F.raise_error(F.concat(F.lit("not a FASTQ record: "), "file", F.lit(" "), F.col("rec").cast("string")))))
+            if not batch.num_rows:
+                continue
+            file, part = batch.column(1).dictionary_encode(), np.asarray(batch.column(2))
+            code = np.asarray(file.indices)
+            cuts = [0, *(np.flatnonzero((np.diff(code) != 0) | (np.diff(part) != 0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                key = file.dictionary[int(code[a])].as_py(), int(part[a])
+                if now is None or (now.file, now.part) != key:
+                    if now is not None:
+                        yield from end(now)
+                    now = start(*key)
+                yield from feed(now, batch.column(0)[a:b])
+        if now is not None:
+            yield from end(now)
+
+    return run
+
+
+def _of_lines(lines: DataFrame) -> DataFrame:
+    return lines.mapInArrow(_parts(Part, lambda part, values: part.add(values), lambda part: part.end()), _PARTS)
+
+
+def _of_blocks(members: DataFrame) -> DataFrame:
+    """Records of block-gzip members; a part may begin and end inside a line."""
+
+    def start(file: str, part: int) -> Part:
+        now = Part(file, part)
+        now.open, now.since = b"", 1 if part else 0
+        return now
+
+    def feed(now: Part, values: pa.Array) -> Iterator[pa.RecordBatch]:
+        texts = []
+        for raw in values.to_pylist():
+            if not now.part and raw[:4] == MEMBER and len(raw) == 10:
+                continue  # what stands before a file's first length field
+            texts.append(inflated(raw, now.file))
+        *lines, now.open = (now.open + b"".join(texts)).replace(b"\r\n", b"\n").split(b"\n")
+        yield from now.add(pa.array(lines, pa.binary()))
+
+    return members.mapInArrow(_parts(start, feed, lambda now: now.end(now.open)), _PARTS)
+
+
+def _mended(rows: DataFrame) -> DataFrame:
+    """The records that the borders of parts cut."""
+    torn = rows.filter("side IS NOT NULL")
+    along = Window.partitionBy("file").orderBy("part", "side")
+    # what is before a part's first record ends a gap, what is after its last one begins the next
+    gap = F.count_if(F.col("side") == 1).over(along)
+    pieces = torn.withColumn("gap", gap).groupBy("file", "gap").agg(F.sort_array(F.collect_list(F.struct("part", "side", "rest"))).alias("x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for file, xs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = b"".join(x["rest"] for x in xs).replace(b"\r\n", b"\n")
+                lines = raw.removesuffix(b"\n").split(b"\n") if raw else []
+                if len(lines) % 4:
+                    raise ValueError(f"{file}: its lines aren't whole records of four")
+                out[0] += [file] * (len(lines) // 4)
+                for k in range(4):
+                    out[k + 1] += lines[k::4]
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *(pa.array(c, pa.binary()).cast(pa.string()) for c in out[1:])], names=["file", "head", "seq", "plus", "qual"])
+
+    return pieces.select("file", "x").mapInArrow(run, "file string, head string, seq string, plus string, qual string")
+
+
+def read_fastq(spark: SparkSession, paths: str | list[str], name: str = NAME, blocks: str = BLOCKS) -> DataFrame:
+    """sample, lane, mate, read_id, seq, qual of every record of FASTQ files: plain, gzip or block gzip.
+
+    ``name`` finds sample, lane and mate in a file's path (no match: null). The read_id is the first word of the header
+    without ``@`` and a closing /1 or /2. Plain files and those of block gzip (members of 64 KB at most that tell their
+    length; known by their name, ``blocks``, since Spark hands files called .gz to one task as a stream) are read in as
+    many tasks as they have parts; a gzip file is one task. Each file is read once, the driver sees none of it, and
+    rows don't depend on how files are cut. A record needs four lines. Records cut off at the end of a file, and those whose
+    header lacks ``@``, whose third line lacks ``+`` or whose sequence and qualities differ in length, raise an
+    error, as a damaged member does. Empty files give no rows.
+    """
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part")]
+    binary = F.col("value").cast("binary").alias("value")
+    plain = spark.read.text(paths).filter(~F.col("_metadata.file_path").rlike(blocks)).select(binary, *where)
+    # between two length fields lies a member without its first bytes, and the first bytes of the next one
+    raw = spark.read.option("lineSep", LENGTH).text(paths).filter(F.col("_metadata.file_path").rlike(blocks)).select(binary, *where)
+    got = _of_lines(plain).unionByName(_of_blocks(raw))
+    t = got.filter("side IS NULL").select("file", "head", "seq", "plus", "qual").unionByName(_mended(got))
+    fine = F.startswith("head", F.lit("@")) & F.startswith("plus", F.lit("+")) & (F.length("seq") == F.length("qual"))
+    t = t.withColumn("head", F.when(fine, F.col("head")).otherwise(F.raise_error(F.concat(F.lit("not a FASTQ record: "), "file", F.lit(" "), "head"))))
     part = lambda k: F.nullif(F.regexp_extract("file", name, k), F.lit(""))
     read = F.regexp_replace(F.substring_index(F.substr("head", F.lit(2)), " ", 1), "/[12]$", "")
     return t.select(part(1).alias("sample"), part(2).alias("lane"), part(3).cast("int").alias("mate"), read.alias("read_id"), "seq", "qual")
 
 
-def _records(rows: list[tuple]) -> pa.RecordBatch:
-    names = ["file", "rec", "head", "seq", "plus", "qual"]
-    kinds = [pa.string(), pa.int64(), *[pa.string()] * 4]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+def block_gzip(text: bytes, size: int = 65_280, end: bool = True) -> bytes:
+    """``text`` as members of block gzip of ``size`` bytes each, closed by an empty one; any gzip program reads it."""
+    out = []
+    for at in [*range(0, len(text), size), *([len(text)] if end else [])]:
+        part = text[at : at + size]
+        z = zlib.compressobj(6, zlib.DEFLATED, -15)
+        data = z.compress(part) + z.flush()
+        head = MEMBER + bytes([0, 0, 0, 0, 0, 255]) + LENGTH.encode() + (len(data) + AROUND - 1).to_bytes(2, "little")
+        out.append(head + data + zlib.crc32(part).to_bytes(4, "little") + len(part).to_bytes(4, "little"))
+    return b"".join(out)
 
 
 def merge_lanes(reads: DataFrame) -> DataFrame:
