@@ -5,9 +5,9 @@ backwards. A phrase is an interval of each index; the words beside its occurrenc
 Burrows-Wheeler transform of one index, which gives the intervals of all longer phrases at once, and
 their places in the other follow from the numbers of smaller words. Counts of shards are summed.
 
-Phrases are counted in three passes. The first counts words. In the second, words that are rare everywhere
-part the text, and pairs are counted by a 64-bit hash. In the third, rare pairs part it too, and phrases of
-all lengths are enumerated. What is frequent goes to the tasks as a bitmap of hashes, at most 2^27 bits
+Phrases are counted in four passes. The first counts words. In the second, words that are rare everywhere
+part the text, and pairs are counted; in the third, rare pairs part it too, and triples are counted. The last
+enumerates the longer phrases whose pairs and triples are frequent. What is frequent goes to the tasks as a bitmap of hashes, at most 2^27 bits
 (16 MB): a rare phrase that passes it by chance is counted in full and dropped by its count, so results are
 exact whatever the bitmap lets through.
 """
@@ -16,17 +16,20 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lanefold.llm._common import load, short_batches, written
 
 LEAST, LONGEST, TOP = 100, 5, 2000
+#: Phrases up to this length have a pass of their own.
+ALONE = 3
 #: Words of a shard, different words that are counted before they are given out, and bytes of text that are split at once.
 SHARD, DISTINCT, SLICE = 1 << 20, 1 << 18, 1 << 22
 UNKNOWN = "und"
@@ -99,31 +102,42 @@ class Shard:
     def backward(self) -> Index:
         return Index(self.text[::-1], self.depth)
 
-    def longer(self, low: tuple[np.ndarray, np.ndarray], size: np.ndarray, right: bool, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
-        """All phrases one word longer, on the right or on the left: the phrase each comes from, the word, the count and both intervals (none for the ``last``)."""
+    def longer(self, low: tuple[np.ndarray, np.ndarray], size: np.ndarray, right: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All phrases one word longer, on the right or on the left: the phrase each comes from, the word, the count, and the rows with smaller words."""
         mine, other = (self.backward, 1) if right else (self.forward, 0)
         whose, word, count, smaller = mine.beside(low[other], size, self.letters)
         real = word > 0
-        whose, word, count, smaller = whose[real], word[real], count[real], smaller[real]
-        if last:
-            return whose, word, count, ()
-        begin = np.searchsorted(mine.places, word * mine.n + low[other][whose])
-        beside = low[1 - other][whose] + smaller
-        return whose, word, count, (beside, begin) if right else (begin, beside)
+        return whose[real], word[real], count[real], smaller[real]
 
-    def phrases(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
-        """By length from 2: the phrase that each comes from (of one word: its number), the word added, the count, and whether it was added on the right.
+    def phrases(self, hashes: np.ndarray, known: dict[int, Bitmap]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool, np.ndarray]]:
+        """By length from 2: the phrase that each comes from (of one word: its number), the word added, the count, whether it was added on the right, and the hash.
 
-        The side alternates, so both indexes do half of the work.
+        The side alternates, so both indexes do half of the work. Phrases that ``known`` of their length, or of the length
+        below for the part without the oldest end, doesn't hold are left out, with all that would come from them.
         """
         sizes = np.bincount(self.text, minlength=self.letters)
         low = np.cumsum(sizes) - sizes
         low, size, right = (low, low), sizes.copy(), True
         size[0] = 0
+        h, ends = hashes, (np.arange(self.letters), np.arange(self.letters))
         for length in range(2, self.depth + 1):
-            whose, word, count, low = self.longer(low, size, right, length == self.depth)
-            yield whose, word, count, right
-            size, right = count, not right
+            whose, word, count, smaller = self.longer(low, size, right)
+            ends = (ends[0][whose], word) if right else (word, ends[1][whose])
+            with np.errstate(over="ignore"):
+                h = h[whose] + hashes[word] * ROLL[length - 1] if right else hashes[word] + h[whose] * ROLL[1]
+                inner = (h - hashes[ends[0]]) * BACK if right else h - hashes[ends[1]] * ROLL[length - 1]
+            keep = np.ones(len(h), bool)
+            if length in known:
+                keep &= known[length].has(mixed(h))
+            if length > 2 and length - 1 in known:  # words were tested when they were numbered
+                keep &= known[length - 1].has(mixed(inner))
+            whose, word, count, smaller, h, ends = whose[keep], word[keep], count[keep], smaller[keep], h[keep], (ends[0][keep], ends[1][keep])
+            yield whose, word, count, right, h
+            if length < self.depth:
+                mine, other = (self.backward, 1) if right else (self.forward, 0)
+                begin = np.searchsorted(mine.places, word * mine.n + low[other][whose])
+                beside = low[1 - other][whose] + smaller
+                low, size, right = (beside, begin) if right else (begin, beside), count, not right
 
 
 class Bitmap:
@@ -157,10 +171,34 @@ def word_hash(lang: str | Column, word: str | Column) -> Column:
     return F.xxhash64(lang, word)
 
 
-def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit hashes of pairs of word hashes."""
+#: The hash of a phrase is the sum of its words' hashes by powers of an odd number, so it grows on either side; the inverse takes the first word off.
+ODD = 0x9E3779B97F4A7C15
+ROLL = [np.uint64(pow(ODD, k, 1 << 64)) for k in range(64)]
+BACK = np.uint64(pow(ODD, -1, 1 << 64))
+
+
+def phrase_hashes(phrases: DataFrame) -> DataFrame:
+    """h, the hashes of phrases (lang and phrase) as the shards have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = []
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+                h.append(sum(xxhash.xxh64_intdigest(w, seed) * int(ROLL[k]) for k, w in enumerate(phrase.encode().split(b" "))) % (1 << 64))
+            yield pa.RecordBatch.from_arrays([pa.array(mixed(np.array(h, np.uint64)).view(np.int64))], names=["h"])
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "h long")
+
+
+def rolled(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of words."""
+    with np.errstate(over="ignore"):
+        return a + b * ROLL[1]
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x7F4A7C15))
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
         return h ^ (h >> np.uint64(32))
 
@@ -214,7 +252,7 @@ class Gatherer:
         """The text parted at rare pairs, without words that stand alone."""
         joined = (text[:-1] > 0) & (text[1:] > 0)
         if self.pairs is not None:
-            joined[joined] = self.pairs.has(pair_hash(hashes[text[:-1][joined]], hashes[text[1:][joined]]))
+            joined[joined] = self.pairs.has(mixed(rolled(hashes[text[:-1][joined]], hashes[text[1:][joined]])))
         after, before = np.append(joined, False), np.append(False, joined)
         kept = after | before
         ends = kept & ~after
@@ -223,27 +261,27 @@ class Gatherer:
         return out
 
 
-def _task(lang: str, text: str, frequent: Callable[[], Bitmap], pairs: Callable[[], Bitmap | None], shard: int, told: Callable[[str, Numbers, np.ndarray], Iterator[pa.RecordBatch]]):
+def _task(lang: str, text: str, known: dict[int, Broadcast], shard: int, told: Callable[[str, Numbers, np.ndarray, dict[int, Bitmap]], Iterator[pa.RecordBatch]]):
     """A function over batches that hands every shard of a task to ``told``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Gatherer] = {}
-        known, both = frequent(), pairs()
+        maps = {m: x.value for m, x in known.items()}
         for batch in batches:
             for name, raw in zip(batch.column(lang).to_pylist(), batch.column(text).cast(pa.binary()).to_pylist(), strict=True):
                 if name not in held:
-                    held[name] = Gatherer(name, known, both, shard)
+                    held[name] = Gatherer(name, maps[1], maps.get(2), shard)
                 mine = held[name]
                 for words in words_of(raw or b""):
                     for numbers, codes in mine.add(words):
-                        yield from told(name, numbers, codes)
+                        yield from told(name, numbers, codes, maps)
             if sum(x.held for x in held.values()) > 2 * shard:  # many languages: the fullest is given out
                 name, mine = max(held.items(), key=lambda x: x[1].held)
                 for numbers, codes in mine.give():
-                    yield from told(name, numbers, codes)
+                    yield from told(name, numbers, codes, maps)
         for name, mine in held.items():
             for numbers, codes in mine.give():
-                yield from told(name, numbers, codes)
+                yield from told(name, numbers, codes, maps)
 
     return run
 
@@ -285,28 +323,27 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", le
     words = written(count_words(rows), "words")
     sizes = words.groupBy("lang").agg(F.sum("c").alias("n"))
     single = words.filter(F.col("c") >= least)
-    known = spark.sparkContext.broadcast(bitmap(single.select(word_hash("lang", "word").alias("h")), most=bits))
-
-    def pairs_of(name: str, numbers: Numbers, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        hashes = np.array(numbers.hashes, np.uint64)
-        for first, word, count, _ in Shard(codes, 2).phrases():
-            yield pa.RecordBatch.from_arrays([pa.array(pair_hash(hashes[first], hashes[word]).view(np.int64)), pa.array(count)], names=["h", "c"])
-
-    pairs = rows.mapInArrow(_task("lang", "text", lambda: known.value, lambda: None, shard, pairs_of), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    both = spark.sparkContext.broadcast(bitmap(written(pairs.filter(F.col("c") >= least).select("h"), "pairs"), most=bits))
-
-    def phrases_of(name: str, numbers: Numbers, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        said, single = numbers.words, numbers.words
-        for length, (whose, word, count, right) in enumerate(Shard(codes, longest).phrases(), 2):
-            whose, word = whose.tolist(), word.tolist()
-            said = [said[a] + b" " + single[b] for a, b in zip(whose, word, strict=True)] if right else [single[b] + b" " + said[a] for a, b in zip(whose, word, strict=True)]
-            for k in range(0, len(said), 1 << 16):
-                own = said[k : k + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(own)), pa.array(own, pa.binary()).cast(pa.string()), pa.array(np.full(len(own), length, np.int32)), pa.array(count[k : k + len(own)])], names=["lang", "phrase", "length", "c"])
-
-    found = rows.mapInArrow(_task("lang", "text", lambda: known.value, lambda: both.value, shard, phrases_of), "lang string, phrase string, length int, c long")
-    found = found.groupBy("lang", "phrase", "length").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
-    return written(found.unionByName(single.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("length"), F.col("c").alias("f"))), "phrases"), sizes
+    send = lambda hashes: spark.sparkContext.broadcast(bitmap(hashes, most=bits))
+    known = {1: send(single.select(word_hash("lang", "word").alias("h")))}
+    often = [single.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("length"), F.col("c").alias("f"))]
+    steps = [(m, m) for m in range(2, min(longest, ALONE + 1))] + [(min(longest, ALONE + 1), longest)]
+    for first, last in steps if longest > 1 else []:
+
+        def phrases_of(name: str, numbers: Numbers, codes: np.ndarray, maps: dict[int, Bitmap], first: int = first, last: int = last) -> Iterator[pa.RecordBatch]:
+            said, single = numbers.words, numbers.words
+            for length, (whose, word, count, right, _) in enumerate(Shard(codes, last).phrases(np.array(numbers.hashes, np.uint64), maps), 2):
+                whose, word = whose.tolist(), word.tolist()
+                said = [said[a] + b" " + single[b] for a, b in zip(whose, word, strict=True)] if right else [single[b] + b" " + said[a] for a, b in zip(whose, word, strict=True)]
+                for k in range(0, len(said) if length >= first else 0, 1 << 16):
+                    own = said[k : k + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(own)), pa.array(own, pa.binary()).cast(pa.string()), pa.array(np.full(len(own), length, np.int32)), pa.array(count[k : k + len(own)])], names=["lang", "phrase", "length", "c"])
+
+        found = rows.mapInArrow(_task("lang", "text", dict(known), shard, phrases_of), "lang string, phrase string, length int, c long")
+        found = written(found.groupBy("lang", "phrase", "length").agg(F.sum("c").alias("f")).filter(F.col("f") >= least), f"often-{first}")
+        often.append(found)
+        if last < longest:
+            known[last] = send(phrase_hashes(found))
+    return reduce(DataFrame.unionByName, often), sizes
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST, top: int = TOP, **params: int) -> DataFrame:

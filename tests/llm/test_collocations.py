@@ -97,10 +97,11 @@ def test_shard_intervals():
         for i in range(400 - m + 1):
             if (text[i : i + m] > 0).all():
                 want[tuple(text[i : i + m].tolist())] += 1
-    said, got = [(k,) for k in range(4)], Counter()
-    for whose, word, count, right in co.Shard(text, 5).phrases():
+    said, got, hashes = [(k,) for k in range(4)], Counter(), RNG.integers(0, 2**63, 4).astype(np.uint64)
+    for whose, word, count, right, h in co.Shard(text, 5).phrases(hashes, {}):
         said = [said[a] + (b,) if right else (b,) + said[a] for a, b in zip(whose.tolist(), word.tolist(), strict=True)]
         assert len(set(said)) == len(said)
+        assert h.tolist() == [sum(int(hashes[w]) * pow(co.ODD, i, 2**64) for i, w in enumerate(p)) % 2**64 for p in said]
         got.update(dict(zip(said, count.tolist(), strict=True)))
     assert got == want
 
