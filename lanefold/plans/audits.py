@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from lanefold.operators import accounting as A
 from lanefold.operators import store as S
 from lanefold.operators import taxonomy as X
+from lanefold.operators.snapshots import Snapshots
 from lanefold.plans.registry import query
+from lanefold.plans.scratch import scratch
 from lanefold.sources.adapters import domain, with_domain
 from lanefold.sources.tables import ACCOUNTING, job_accounting, read_curated
 
@@ -270,6 +272,22 @@ def j10_family_upload(spark, sf_dir):
     return rows("draft_fit", "size_max", F.col("fit_full"), F.col("kept")).unionByName(rows("draft_contamination", "num_contigs_lt_500bp", F.lit(None).cast("double"), F.lit(None).cast("int")))
 
 
+@query(with_domain("fits", """WITH r AS (SELECT sample, CASE WHEN sample % 4 = 0 THEN NULL ELSE size_max END AS size_max, CASE WHEN sample % 4 = 0 THEN NULL ELSE fit_full END AS fit_full, CASE WHEN sample % 3 = 0 THEN NULL ELSE sample % 40 END AS num_contigs FROM fits WHERE sample % 5 < 3),
+stored AS (SELECT sample, 1 AS size_max, CAST(0 AS DOUBLE) AS fit_full, 7 AS kept FROM fits WHERE sample % 2 = 0), n AS (SELECT * FROM r WHERE size_max IS NOT NULL OR fit_full IS NOT NULL)
+SELECT 'draft_fit' AS table_name, coalesce(s.sample, n.sample) AS sample, CASE WHEN n.sample IS NOT NULL THEN n.size_max ELSE s.size_max END AS a, CASE WHEN n.sample IS NOT NULL THEN n.fit_full ELSE s.fit_full END AS b, kept AS c FROM stored s FULL JOIN n ON n.sample = s.sample
+UNION ALL SELECT 'draft_contamination', sample, num_contigs, NULL, NULL FROM r WHERE num_contigs IS NOT NULL"""))
+def j5_snapshot_commit(spark, sf_dir):
+    """The same upload as two commits over both tables, read back from the latest snapshot."""
+    t, s = domain(spark, sf_dir, "fits"), F.col("sample")
+    record = t.filter(s % 5 < 3).select("sample", *[F.when(s % 4 != 0, F.col(c)).alias(c) for c in ("size_max", "fit_full")], F.when(s % 3 != 0, s % 40).alias("num_contigs"))
+    stored = t.filter(s % 2 == 0).select("sample", F.lit(1).cast("long").alias("size_max"), F.lit(0.0).alias("fit_full"), F.lit(7).alias("kept"))
+    store = Snapshots(spark, scratch(spark, "snapshots"), {"draft_fit": ["sample"], "draft_contamination": ["sample"]}, 8)
+    store.commit({"draft_fit": stored}, base=0)
+    store.commit(S.family_tables(record, _FAMILIES, ["sample"]), base=1)
+    rows = lambda name, a, b, c: store.read(name).select(F.lit(name).alias("table_name"), "sample", F.col(a).alias("a"), b.alias("b"), c.alias("c"))
+    return rows("draft_fit", "size_max", F.col("fit_full"), F.col("kept")).unionByName(rows("draft_contamination", "num_contigs_lt_500bp", F.lit(None).cast("double"), F.lit(None).cast("int")))
+
+
 @query(with_domain("steps", """SELECT jobid AS "JobID", split_part(jobid, '.', 1) AS job_id, NOT contains(jobid, '.') AS is_parent, state AS "State", alloc_cpus::VARCHAR AS "AllocCPUS", ave_rss::VARCHAR AS "AveRSS", ntasks::VARCHAR AS "NTasks",
 CASE WHEN alloc_cpus % 5 = 0 THEN 'N/A' ELSE '2025-01-31 10:00:00' END AS "Submit" FROM steps"""))
 def a25_job_accounting(spark, sf_dir):

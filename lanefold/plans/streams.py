@@ -37,4 +37,12 @@ def st2_continuous_upsert(spark, sf_dir):
 
 @query("SELECT user_id FROM (SELECT user_id, count(DISTINCT event_type) AS n FROM events WHERE event_type IN ('error', 'click') GROUP BY user_id) x WHERE n = 2")
 def st3_complete_samples(spark, sf_dir):
+    out = scratch(spark, "complete")
+    found = ingest.completions(_events(spark, sf_dir), "user_id", "event_type", ["error", "click"]).select("user_id")
+    found.writeStream.format("parquet").option("checkpointLocation", f"{out}-log").trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("SELECT user_id FROM (SELECT user_id, count(DISTINCT event_type) AS n FROM events WHERE event_type IN ('error', 'click') GROUP BY user_id) x WHERE n = 2")
+def st3_complete_of_landed(spark, sf_dir):
     return ingest.complete_samples(st1_incremental_ingest(spark, sf_dir), "user_id", "event_type", ["error", "click"])

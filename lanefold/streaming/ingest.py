@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lanefold.operators.store import upsert
 
@@ -76,6 +81,50 @@ def continuous_upsert(stream: DataFrame, store: BucketStore, supplied: list[str]
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def completions(landed: DataFrame, key: str, kind: str, wanted: list[str], time: str | None = None, timeout_s: int | None = None) -> DataFrame:
+    """A stream of the samples whose last input lands: key, state and missing (kinds, comma-joined).
+
+    ``landed`` is a stream with a row an input. A sample is told once as ``complete``, in the micro-batch in which its last
+    wanted kind arrives; inputs that come again change nothing. With ``timeout_s`` a sample that isn't complete so many
+    seconds of event time (column ``time``, with a watermark) after its first input is told as ``expired``, with what it lacks, and as
+    ``late`` if it completes afterwards. What has arrived is kept as state by key, so a batch costs what lands in it, and
+    a query that starts again from its checkpoint tells nothing twice. Rows with a null key or another kind are ignored.
+    """
+    if timeout_s is not None and time is None:
+        raise ValueError("a timeout needs a time column")
+    order = sorted(set(wanted))
+    full = (1 << len(order)) - 1
+    out_kind = landed.schema[key].dataType
+
+    def step(keys: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        have, told, due = state.get if state.exists else (0, "", None)
+        says = None
+        if state.hasTimedOut:
+            says = told = "expired"
+        else:
+            first = None
+            for chunk in chunks:
+                for name in chunk[kind].unique():
+                    have |= 1 << order.index(name)
+                if timeout_s is not None:
+                    least = chunk[time].min()
+                    first = least if first is None or least < first else first
+            if have == full and told != "complete":
+                says, told = "late" if told else "complete", "complete"
+            if timeout_s is not None and due is None and not pd.isna(first):
+                due = (int(first.timestamp()) + timeout_s) * 1000
+        state.update((have, told, due))
+        if told == "" and due is not None:
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        if says:
+            missing = ",".join(k for i, k in enumerate(order) if not have >> i & 1)
+            yield pd.DataFrame({key: [keys[0]], "state": [says], "missing": [missing]})
+
+    schema = StructType([StructField(key, out_kind), StructField("state", StringType()), StructField("missing", StringType())])
+    rows = landed.filter(F.col(kind).isin(order) & F.col(key).isNotNull()).select(key, kind, *([time] if time else []))
+    return rows.groupBy(key).applyInPandasWithState(step, schema, "have long, told string, due long", "append", GroupStateTimeout.EventTimeTimeout if timeout_s is not None else GroupStateTimeout.NoTimeout)
+
+
 def complete_samples(landed: DataFrame, key: str, kind: str, wanted: list[str]) -> DataFrame:
     """Keys of which every wanted kind of input has arrived."""
     seen = landed.filter(F.col(kind).isin(wanted)).groupBy(key).agg(F.countDistinct(kind).alias("n"))

@@ -2,7 +2,9 @@
 
 import os
 
-from lanefold.streaming.ingest import BucketStore, continuous_upsert, read_landing
+import pytest
+
+from lanefold.streaming.ingest import BucketStore, completions, continuous_upsert, read_landing
 
 
 def test_store_by_batches(spark, tmp_path):
@@ -33,3 +35,36 @@ def test_empty_store(spark, tmp_path):
     assert store.table() is None
     store.upsert(spark.createDataFrame([(1, "x"), (None, "y")], "k long, v string"), 0, ["v"])
     assert sorted(map(tuple, store.table().collect()), key=repr) == [(1, "x"), (None, "y")]
+
+
+def _land(spark, tmp_path, rows):
+    spark.createDataFrame([(k, c, f"2025-01-01 {h:02}:00:00") for k, c, h in rows], "s string, c string, t string").selectExpr("s", "c", "cast(t as timestamp) t").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+
+def _run(spark, tmp_path, **params):
+    stream = read_landing(spark, f"{tmp_path}/in", "s string, c string, t timestamp", files_per_batch=1).withWatermark("t", "0 seconds")
+    completions(stream, "s", "c", ["a", "b"], **params).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/log").trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
+    return sorted(tuple(r) for r in spark.read.schema("s string, state string, missing string").parquet(f"{tmp_path}/out").collect())
+
+
+def test_completions_once_each_and_after_a_restart(spark, tmp_path):
+    _land(spark, tmp_path, [("x", "a", 1), ("x", "a", 1), ("y", "b", 1), (None, "a", 1), ("z", "other", 1), ("w", "a", 1), ("w", "b", 1)])
+    assert _run(spark, tmp_path) == [("w", "complete", "")]
+    _land(spark, tmp_path, [("x", "b", 2), ("w", "a", 2)])
+    _land(spark, tmp_path, [("x", "a", 3), ("x", "b", 3), ("y", "a", 3)])
+    want = [("w", "complete", ""), ("x", "complete", ""), ("y", "complete", "")]
+    assert _run(spark, tmp_path) == want
+    assert _run(spark, tmp_path) == want
+
+
+def test_completions_that_expire(spark, tmp_path):
+    _land(spark, tmp_path, [("x", "a", 1), ("y", "b", 1), ("w", "a", 1), ("w", "b", 1)])
+    _land(spark, tmp_path, [("y", "a", 2)])
+    _land(spark, tmp_path, [("v", "b", 9)])
+    hours = {"time": "t", "timeout_s": 4 * 3600}
+    want = [("w", "complete", ""), ("x", "expired", "b"), ("y", "complete", "")]
+    assert _run(spark, tmp_path, **hours) == want
+    _land(spark, tmp_path, [("x", "b", 10)])
+    assert _run(spark, tmp_path, **hours) == sorted([*want, ("x", "late", "")])
+    with pytest.raises(ValueError):
+        completions(spark.createDataFrame([], "s string, c string"), "s", "c", ["a"], timeout_s=1)
