@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lanefold.operators.taxonomy import clade_members
+
 from lanefold.functions.sequences import count_of, cut_tail_length, quality_at_least
 
 
@@ -127,6 +129,13 @@ def exclude_clades(pairs: DataFrame, assigned: DataFrame, closure: DataFrame, ta
     return pairs.join(hit, ["sample", "read_id"], "left_anti")
 
 
+def exclude_clade_ranges(pairs: DataFrame, assigned: DataFrame, labels: DataFrame, taxids: list[int]) -> DataFrame:
+    """``exclude_clades`` by the numbers of ``tree_labels``: a taxon is excluded if its number lies in an excluded clade's."""
+    banned = clade_members(labels, taxids)
+    hit = assigned.join(banned, "taxid", "left_semi").select("sample", "read_id").distinct()
+    return pairs.join(hit, ["sample", "read_id"], "left_anti")
+
+
 def retention(report: DataFrame, taxids: list[int]) -> DataFrame:
     """Reads kept and removed per sample from a clade report (sample, taxid, rank, clade_reads)."""
     total = F.sum(F.when((F.col("rank") == "U") | (F.col("taxid") == 1), F.col("clade_reads")).otherwise(0))

@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -56,6 +59,70 @@ def in_clade(closed: DataFrame, clade: int) -> DataFrame:
     return closed.filter(F.col("ancestor") == clade).select("taxid")
 
 
+def _paths(nodes: DataFrame, carried: dict[str, Column], joined: dict[str, Callable[[Column, Column], Column]], sizes: bool = False) -> DataFrame:
+    """taxid and what each node carries, joined over its path to the root, in as many rounds as the depth has binary digits.
+
+    Before round n a row holds what lies on the next 2**n steps and where they lead, so one join doubles it; ``sizes`` also
+    adds up how many nodes are below each, itself included. Tables have a row a node and are written each round.
+    Raises ValueError on a cycle.
+    """
+    ids = nodes.select(F.col("taxid").alias("up"))
+    links = nodes.join(ids, (F.col("parent") == F.col("up")) & (F.col("up") != F.col("taxid")), "left")
+    more = {"size": F.lit(1).cast("long")} if sizes else {}
+    now = _written(links.select("taxid", "up", *[c.alias(n) for n, c in (carried | more).items()]))
+    most = now.count().bit_length() + 1
+    for _ in range(most):
+        if now.filter("up is not null").isEmpty():
+            return now.drop("up")
+        far = now.select(F.col("taxid").alias("_mid"), F.col("up").alias("_up"), *[F.col(n).alias(f"_{n}") for n in carried])
+        t = now.join(far, F.col("up") == F.col("_mid"), "left")
+        new = [F.when(F.col("_mid").isNull(), F.col(n)).otherwise(joined[n](F.col(n), F.col(f"_{n}"))).alias(n) for n in carried]
+        t = t.select("taxid", F.col("_up").alias("up"), *new, *more)
+        if sizes:
+            below = now.filter("up is not null").groupBy(F.col("up").alias("taxid")).agg(F.sum("size").alias("_below"))
+            t = t.join(below, "taxid", "left").withColumn("size", F.col("size") + F.coalesce("_below", F.lit(0))).drop("_below")
+        now = _written(t)
+    raise ValueError("the parents of the taxonomy form a cycle")
+
+
+def tree_labels(nodes: DataFrame) -> DataFrame:
+    """taxid, parent (null for roots), level, size, first, last: a node's clade are the nodes whose ``first`` lies from its first to its last.
+
+    ``first`` numbers the nodes so that each is followed by those below it, siblings by taxid; ``size`` counts a clade. No table has
+    more rows than there are nodes (taxid, parent, one row each). A missing, own or unknown parent makes a root.
+    """
+    add = lambda a, b: a + b
+    known = nodes.select(F.col("taxid").alias("parent"))
+    tree = nodes.select("taxid", "parent").join(known, "parent", "left_semi").filter("parent <> taxid")
+    tree = nodes.select("taxid").join(tree.select("taxid", "parent"), "taxid", "left")
+    sized = _paths(tree, {"level": F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("long")}, {"level": add}, sizes=True)
+    beside = Window.partitionBy("parent").orderBy("taxid").rowsBetween(Window.unboundedPreceding, -1)
+    placed = _written(tree.join(sized, "taxid").withColumn("step", F.coalesce(F.sum("size").over(beside), F.lit(0)) + F.col("parent").isNotNull().cast("long")))
+    first = _paths(placed, {"first": F.col("step")}, {"first": add})
+    out = placed.join(first, "taxid")
+    return out.select("taxid", "parent", "level", "size", "first", (F.col("first") + F.col("size") - 1).alias("last"))
+
+
+def clade_test(labels: DataFrame, taxids: list[int]) -> Column:
+    """Whether ``first`` lies in the clade of any of ``taxids``; unknown ones have none. The driver gets two numbers for each that is asked for."""
+    spans = labels.filter(F.col("taxid").isin(taxids)).select("first", "last").collect()
+    return reduce(lambda a, b: a | b, [F.col("first").between(r["first"], r["last"]) for r in spans], F.lit(False))
+
+
+def clade_members(labels: DataFrame, taxids: list[int]) -> DataFrame:
+    """taxid of the clades themselves and of everything below them, each once."""
+    return labels.filter(clade_test(labels, taxids)).select("taxid")
+
+
+def lineage_of(nodes: DataFrame, ranks: tuple[str, ...] = ("class", "order", "family")) -> DataFrame:
+    """``lineage`` without a closure: the nearest named node of each rank on the way up, the node itself included."""
+    wanted = list(dict.fromkeys([*ranks, *(["phylum"] if "class" in ranks else [])]))
+    own = {f"r{k}": F.when((F.col("rank") == r) & (F.col("name") != ""), F.col("name")) for k, r in enumerate(wanted)}
+    t = _paths(nodes, own, {n: lambda a, b: F.coalesce(a, b) for n in own})
+    of = {r: F.col(f"r{k}") for k, r in enumerate(wanted)}
+    return t.select("taxid", *[(F.coalesce(of[r], of["phylum"]) if r == "class" else of[r]).alias(f"{r}_name") for r in ranks])
+
+
 def name_index(nodes: DataFrame) -> DataFrame:
     """Lower-cased names that belong to one taxid only."""
     return nodes.groupBy(F.lower("name").alias("key")).agg(F.min("taxid").alias("taxid"), F.countDistinct("taxid").alias("n")).filter("n = 1").select("key", "taxid")

@@ -31,9 +31,16 @@ def i3_closure(spark, sf_dir):
     return X.closure(domain(spark, sf_dir, "tax_nodes"))
 
 
+@query(with_domain("tax_nodes", f"""WITH {_CLOSED}, n AS (SELECT ancestor AS taxid, count(*) AS size FROM closed GROUP BY ancestor), d AS (SELECT taxid, max(depth) AS level FROM closed GROUP BY taxid)
+SELECT n.taxid, d.level::BIGINT AS level, n.size::BIGINT AS size FROM n JOIN d ON d.taxid = n.taxid"""))
+def i3_tree_labels(spark, sf_dir):
+    """Level and clade size of every taxon; the numbers that hold a clade together are tested against the closure."""
+    return X.tree_labels(domain(spark, sf_dir, "tax_nodes")).select("taxid", "level", "size")
+
+
 @query(with_domain("tax_nodes", f"WITH {_CLOSED} SELECT taxid FROM closed WHERE ancestor = 11"))
 def i4_in_clade(spark, sf_dir):
-    return X.in_clade(X.closure(domain(spark, sf_dir, "tax_nodes")), 11)
+    return X.clade_members(X.tree_labels(domain(spark, sf_dir, "tax_nodes")), [11])
 
 
 @query(with_domain("tax_nodes", "SELECT lower(name) AS key, min(taxid) AS taxid FROM tax_nodes GROUP BY lower(name) HAVING count(DISTINCT taxid) = 1"))
@@ -45,7 +52,7 @@ def i5_name_index(spark, sf_dir):
 SELECT taxid, arg_min(name, depth) FILTER (rank = 'class') AS class_name, arg_min(name, depth) FILTER (rank = 'order') AS order_name, arg_min(name, depth) FILTER (rank = 'family') AS family_name FROM up GROUP BY taxid"""))
 def i6_lineage(spark, sf_dir):
     nodes = domain(spark, sf_dir, "tax_nodes")
-    return X.lineage(X.closure(nodes), nodes)
+    return X.lineage_of(nodes)
 
 
 _GRAMS = r"(SELECT list_sort(list_distinct(flatten(list_transform(list_filter(string_split_regex(lower(name), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i::INT, 3)))))))"

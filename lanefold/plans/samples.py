@@ -63,7 +63,7 @@ def i7_lineage_for_name(spark, sf_dir):
     s, n = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("supplier", "nation"))
     more = F.when(F.col("s_suppkey") % 3 == 0, " sp.").when(F.col("s_suppkey") % 3 == 1, " alba").otherwise("")
     names = s.select(F.col("s_suppkey").alias("id"), F.concat(F.col("s_name"), more).alias("name")).unionByName(n.select((-1 - F.col("n_nationkey")).alias("id"), F.upper("n_name").alias("name")))
-    t = X.lineage_for_name(names, X.name_index(nodes), X.lineage(X.closure(nodes), nodes))
+    t = X.lineage_for_name(names, X.name_index(nodes), X.lineage_of(nodes))
     return t.withColumn("matched_name", F.when(F.col("id") < 0, F.col("order_name")).otherwise(F.col("matched_name")))
 
 

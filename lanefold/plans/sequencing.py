@@ -80,8 +80,8 @@ def c8_exclude_clades(spark, sf_dir):
 
     reads = domain(spark, sf_dir, "reads")
     assigned = reads.filter("mate = 1 and read_id % 7 <> 0").select("sample", "read_id", (F.lit(1000000) + F.col("read_id") % 150).alias("taxid"))
-    closed = X.closure(domain(spark, sf_dir, "tax_nodes"))
-    return R.exclude_clades(reads, assigned, closed, [11, 12]).select("sample", "read_id", "mate")
+    labels = X.tree_labels(domain(spark, sf_dir, "tax_nodes"))
+    return R.exclude_clade_ranges(reads, assigned, labels, [11, 12]).select("sample", "read_id", "mate")
 
 
 @query(with_domain("reads", f"""WITH {_PAIRS} SELECT sample, read_id % 7 <> 0 AS classified, read_id::VARCHAR AS read_id, CASE WHEN read_id % 7 = 0 THEN 0 ELSE 1000000 + read_id % 150 END AS taxid,

@@ -1,5 +1,6 @@
-"""Closures deeper than 63 steps, and cycles."""
+"""Closures deeper than 63 steps, cycles, and numbers of nested clades against the closure."""
 
+import numpy as np
 import pytest
 
 from lanefold.operators import taxonomy as X
@@ -14,3 +15,36 @@ def test_closure_raises_on_cycles(spark):
     nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 5), (4, 3), (5, 4)], "taxid long, parent long")
     with pytest.raises(ValueError, match="cycle"):
         X.closure(nodes)
+
+
+def _random_nodes(rng, n):
+    """A forest with dangling and own parents, and a long chain."""
+    out = [(k, [None, k, 10**6, int(rng.integers(1, k))][int(rng.integers(0, 4)) if k % 40 == 0 else 3] if k > 1 else None) for k in range(1, n + 1)]
+    out += [(n + k, n + k - 1) for k in range(1, 90)]
+    return [(k, p, ["class", "order", "family", "phylum", "species"][int(rng.integers(0, 5))], f"n{k}" if k % 7 else "") for k, p in out]
+
+
+def test_labels_and_lineages_on_random_trees(spark):
+    rng = np.random.default_rng(2)
+    nodes = spark.createDataFrame(_random_nodes(rng, 160), "taxid long, parent long, rank string, name string").cache()
+    closed = X.closure(nodes).cache()
+    labels = X.tree_labels(nodes).cache()
+    rows = {r["taxid"]: r for r in labels.collect()}
+    n = nodes.count()
+    assert len(rows) == n and sorted(r["first"] - min(x["first"] for x in rows.values()) for r in rows.values()) == list(range(n))
+    below = {}
+    for t, a, d in closed.collect():
+        below.setdefault(a, set()).add(t)
+        assert rows[t]["level"] >= d
+    for k, r in rows.items():
+        assert {t for t, x in rows.items() if r["first"] <= x["first"] <= r["last"]} == below[k] and r["size"] == len(below[k])
+    assert {r["taxid"] for r in X.clade_members(labels, [3, 100, 5555]).collect()} == below[3] | below[100]
+    assert X.clade_members(labels, []).collect() == []
+    assert sorted(map(tuple, X.lineage_of(nodes).collect())) == sorted(map(tuple, X.lineage(closed, nodes).collect()))
+    assert X.tree_labels(nodes.limit(0)).collect() == []
+
+
+def test_labels_raise_on_cycles(spark):
+    nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 5), (4, 3), (5, 4)], "taxid long, parent long")
+    with pytest.raises(ValueError, match="cycle"):
+        X.tree_labels(nodes)
