@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanefold.operators.quantiles import percentiles
+
 
 def duration_seconds(c: Column) -> Column:
     """Seconds of ``D-HH:MM:SS(.ms)``, ``HH:MM:SS``, ``MM:SS`` or plain seconds, to 3 decimals."""
@@ -57,24 +59,54 @@ def service_units(jobs: DataFrame) -> DataFrame:
 
 
 def efficiencies(jobs: DataFrame) -> DataFrame:
-    """CPU, memory (at most 100) and wall-time efficiency in percent."""
+    """CPU, memory (at most 100) and wall-time efficiency in percent.
+
+    The CPU time that was there is ``cpu_time_raw`` in seconds where it is above 0, else ``alloc_cpus`` (or ``cores`` without
+    that column) by the elapsed time: both count hardware threads, of which a core has two, while ``cores`` of a job
+    roll-up are whole cores.
+    """
+    cpus = F.coalesce("alloc_cpus", "cores") if "alloc_cpus" in jobs.columns else F.col("cores")
+    there = cpus * F.col("elapsed_s")
+    if "cpu_time_raw" in jobs.columns:
+        there = F.when(F.col("cpu_time_raw") > 0, F.col("cpu_time_raw")).otherwise(there)
     return jobs.withColumns({
-        "cpu_eff": F.round(F.try_divide(F.col("cpu_s") * 100.0, F.col("cores") * F.col("elapsed_s")), 4),
+        "cpu_eff": F.round(F.try_divide(F.col("cpu_s") * 100.0, there), 4),
         "mem_eff": F.round(F.least(F.try_divide(F.col("rss_gb") * 100.0, F.col("mem_gb")), F.lit(100.0)), 4),
         "wall_eff": F.round(F.try_divide(F.col("elapsed_s") * 100.0, F.col("limit_s")), 4),
     })
 
 
+EFFICIENCIES = ["cpu_eff", "mem_eff", "wall_eff"]
+
+
 def run_summary(jobs: DataFrame) -> DataFrame:
-    """Jobs, SU in all, of failed jobs and the median, and quartiles of the efficiencies."""
-    quart = [F.round(F.percentile(c, q), 6).alias(f"{c}_{n}") for c in ("cpu_eff", "mem_eff", "wall_eff") for n, q in (("min", 0.0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1.0))]
-    return jobs.agg(F.count("*").alias("jobs"), F.round(F.sum("su"), 2).alias("su_total"), F.round(F.sum(F.when(F.col("state") != "COMPLETED", F.col("su")).otherwise(0.0)), 2).alias("su_failed"), F.round(F.percentile("su", 0.5), 6).alias("su_median"), *quart)
+    """Jobs, SU in all, of failed jobs and the median, and quartiles of the efficiencies; a table without jobs has 0 and nulls."""
+    sums = jobs.agg(F.count("*").alias("jobs"), F.round(F.sum("su"), 2).alias("su_total"), F.round(F.sum(F.when(F.col("state") != "COMPLETED", F.col("su")).otherwise(0.0)), 2).alias("su_failed"))
+    names = ("min", "q1", "median", "q3", "max")
+    quarts = percentiles(jobs, [], ["su", *EFFICIENCIES], dict(zip(names, (0.0, 0.25, 0.5, 0.75, 1.0), strict=True)), 6)
+    return sums.crossJoin(quarts.select("su_median", *[f"{c}_{n}" for c in EFFICIENCIES for n in names]))  # one row each
+
+
+def state_counts(jobs: DataFrame) -> DataFrame:
+    """state and jobs, how many ended so; a null state is one of its own."""
+    return jobs.groupBy("state").agg(F.count("*").alias("jobs"))
 
 
 def by_process(jobs: DataFrame) -> DataFrame:
-    """Jobs, SU and median CPU efficiency by the last part of the process name; a null name is a group of its own."""
-    last = F.element_at(F.split("process", ":"), -1)
-    return jobs.groupBy(last.alias("process")).agg(F.count("*").alias("jobs"), F.round(F.sum("su"), 2).alias("su"), F.round(F.percentile("cpu_eff", 0.5), 6).alias("cpu_eff_median"))
+    """Jobs, SU and median efficiencies by the last part of the process name, dearest first; a null name is a group of its own.
+
+    ``rank`` is the place in that order, names deciding ties.
+    """
+    t = jobs.withColumn("process", F.element_at(F.split("process", ":"), -1))
+    sums = t.groupBy("process").agg(F.count("*").alias("jobs"), F.round(F.sum("su"), 2).alias("su"))
+    half = percentiles(t, ["process"], EFFICIENCIES, {"median": 0.5}, 6).withColumnRenamed("process", "_p")
+    rank = F.row_number().over(Window.orderBy(F.desc("su"), F.asc("process")))  # a row a process
+    return sums.join(half, F.col("process").eqNullSafe(F.col("_p")), "left").drop("_p").withColumn("rank", rank).orderBy("rank")
+
+
+def with_tags(jobs: DataFrame, tags: DataFrame) -> DataFrame:
+    """The jobs whose tag is in ``tags`` (tag), each once; null tags match nothing."""
+    return jobs.join(tags.select("tag").distinct(), "tag", "left_semi")
 
 
 def cost_per_sample(jobs: DataFrame) -> DataFrame:
@@ -144,11 +176,11 @@ def roll_up(steps: DataFrame) -> DataFrame:
     """One row a finished job: its own row and the largest memory of its steps.
 
     ``steps`` has jobid (``123``, ``123.batch``), state, alloc_cpus, ave_rss and ntasks. Cores are half the allocated
-    CPUs; memory is the largest ave_rss times ntasks, null where no row has it. Jobs without a row of their own go.
+    CPUs, which stay as ``alloc_cpus`` for the efficiencies; memory is the largest ave_rss times ntasks, null where no row has it. Jobs without a row of their own go.
     """
     own = ~F.col("jobid").contains(".")
     t = steps.groupBy(F.split("jobid", r"\.")[0].alias("job_id")).agg(F.max(F.when(own, F.struct("state", "alloc_cpus"))).alias("p"), F.max(F.col("ave_rss") * F.coalesce("ntasks", F.lit(1))).alias("used_rss"))
-    return t.select("job_id", "p.state", F.floor(F.col("p.alloc_cpus") / 2).alias("cores"), "used_rss").filter(F.col("state").rlike(FINISHED))
+    return t.select("job_id", "p.state", F.floor(F.col("p.alloc_cpus") / 2).alias("cores"), "p.alloc_cpus", "used_rss").filter(F.col("state").rlike(FINISHED))
 
 
 def with_metadata(jobs: DataFrame, meta: DataFrame) -> DataFrame:
@@ -184,19 +216,81 @@ def merge_versions(versions: DataFrame) -> DataFrame:
     return versions.groupBy("grp", "tool").agg(F.min(F.struct(late.alias("late"), "path", "version"))["version"].alias("version"))
 
 
-def copy_audit(files: DataFrame, key: str = "sample") -> DataFrame:
-    """Objects and bytes of both sides of a copy per sample, and whether they agree."""
+def copy_rules(path: Column, rules: list[str]) -> Column:
+    """Whether a path is copied: the first of ``rules`` whose glob fits it says so (``+ glob``) or not (``- glob``); without any it is.
+
+    In a glob ``**`` is anything, ``*`` anything but a slash and ``?`` one letter but a slash. It fits the whole path, or its end after a slash
+    unless it begins with one, as in the copying tool.
+    """
+    out = None
+    for rule in rules:
+        sign, _, glob = rule.partition(" ")
+        if sign not in ("+", "-") or not glob:
+            raise ValueError(f"{rule!r} isn't '+ glob' or '- glob'")
+        parts = re.split(r"(\*\*|\*|\?)", glob.lstrip("/"))
+        body = "".join({"**": ".*", "*": "[^/]*", "?": "[^/]"}.get(p, re.escape(p)) for p in parts)
+        fits = path.rlike(f"^{body}$" if glob.startswith("/") else f"(^|/){body}$")
+        out = F.when(fits, F.lit(sign == "+")) if out is None else out.when(fits, F.lit(sign == "+"))
+    return F.lit(True) if out is None else out.otherwise(F.lit(True))
+
+
+def copy_audit(files: DataFrame, key: str = "sample", rules: list[str] | None = None) -> DataFrame:
+    """Objects and bytes of both sides of a copy per sample, and whether they agree; ``rules`` (see ``copy_rules``) choose the files by their ``path``.
+
+    A sample of which no file is chosen stays, with zeros.
+    """
+    if rules:
+        files = files.withColumn("side", F.when(copy_rules(F.col("path"), rules), F.col("side")))
     part = lambda side: (F.count_if(F.col("side") == side).alias(f"{side}_objects"), F.coalesce(F.sum(F.when(F.col("side") == side, F.col("bytes"))), F.lit(0)).alias(f"{side}_bytes"))
     t = files.groupBy(key).agg(*part("local"), *part("remote"))
     yes = lambda c: F.when(c, "YES").otherwise("NO")
     return t.withColumns({"objects_match": yes(F.col("local_objects") == F.col("remote_objects")), "bytes_match": yes(F.col("local_bytes") == F.col("remote_bytes"))})
 
 
-def fingerprint(files: DataFrame, key: str = "sample", version: str = "1", args: str = "") -> DataFrame:
-    """SHA-256 over version, arguments and the sorted names and sizes of a sample's files: their order doesn't matter."""
-    clean = " ".join(w for w in args.split() if not w.startswith(("-t=", "-m=", "--threads=", "--memory=")))
-    lines = F.array_join(F.array_sort(F.collect_list(F.concat_ws("\t", "component", F.col("event_id").cast("string"), F.col("bytes").cast("string")))), "\n")
-    return files.groupBy(key).agg(F.sha2(F.concat(F.lit(f"{version}\n{clean}\n"), lines), 256).alias("fingerprint"))
+#: Options of resources, which don't change a result.
+RESOURCES = ("-m", "-t", "--memory", "--num-cpu-threads")
+
+
+def without_resources(args: str) -> str:
+    """Arguments without those of ``RESOURCES`` and their values, one blank between words."""
+    out, skip = [], False
+    for word in args.split():
+        if skip:
+            skip = False
+        elif word in RESOURCES:
+            skip = True
+        elif word.partition("=")[0] not in RESOURCES or "=" not in word:
+            out.append(word)
+    return " ".join(out)
+
+
+def checkpoint_key(reads: DataFrame, version: str, args: str = "", key: str = "sample") -> DataFrame:
+    """key and checkpoint_key: SHA-256 of the manifest of an assembly: version, arguments without resources, prefix, and names and sizes of its read files.
+
+    ``reads`` has key, prefix, path and bytes. The manifest is the one text that finished assemblies were keyed with, so
+    its lines are put together; an assembly has a few read files. Their order and folders don't matter. Null paths are left out.
+    """
+    line = F.concat(F.lit("read="), F.element_at(F.split("path", "/"), -1), F.lit("\t"), F.col("bytes").cast("string"))
+    t = reads.groupBy(key, "prefix").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    head = F.array(F.lit(f"megahit_version={version}"), F.lit(f"args={without_resources(args)}"), F.concat(F.lit("out_prefix="), F.coalesce("prefix", F.lit(""))))
+    return t.select(key, F.sha2(F.concat(F.array_join(F.concat(head, "lines"), "\n"), F.lit("\n")), 256).alias("checkpoint_key"))
+
+
+def fingerprint(files: DataFrame, key: str = "sample", version: str = "1", args: str = "", buckets: int = 256) -> DataFrame:
+    """key and fingerprint: SHA-256 over version, arguments and all names and sizes of a sample's files, for any number of files.
+
+    A digest of digests: each file's line is hashed, the hashes of a bucket (by the first byte of the hash) are added up by
+    halves, with their number, and the buckets in order give the fingerprint. So order and partitioning don't matter, sums are made before the
+    shuffle and no group is one string; repeated lines count. 8 words of 32 bits of each hash are summed apart, so a
+    bucket's sum is as hard to meet by chance as the hash.
+    """
+    line = F.sha2(F.concat_ws("\t", F.lit(version), "component", F.col("event_id").cast("string"), F.col("bytes").cast("string")), 256)
+    t = files.select(key, line.alias("h")).withColumn("b", F.conv(F.substr("h", F.lit(1), F.lit(4)), 16, 10).cast("int") % buckets)
+    words = [F.sum(F.conv(F.substr("h", F.lit(1 + 8 * k), F.lit(8)), 16, 10).cast("decimal(20,0)")).alias(f"w{k}") for k in range(8)]
+    t = t.groupBy(key, "b").agg(F.count("*").alias("n"), *words)
+    one = F.concat_ws(":", F.lpad(F.col("b").cast("string"), 8, "0"), F.col("n").cast("string"), *[F.col(f"w{k}").cast("string") for k in range(8)])
+    each = t.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(one)), "\n").alias("x"))
+    return each.select(key, F.sha2(F.concat(F.lit(f"{version}\n{without_resources(args)}\n"), "x"), 256).alias("fingerprint"))
 
 
 def raw_audit(local: DataFrame, remote: DataFrame, key: str = "og_id") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lanefold.functions.sequences import count_of, reverse_complement
 from lanefold.operators.coverage import KEY, alignment_blocks, good_alignments
+from lanefold.operators.quantiles import percentiles
 
 ACTIONS = ("EXCLUDE", "TRIM", "REVIEW")
 POLICIES = ("exclude", "short-only", "keep")
@@ -123,9 +124,12 @@ def seq_stats(contigs: DataFrame) -> DataFrame:
     n = F.length("seq")
     t = contigs.filter("seq IS NOT NULL").groupBy("sample").agg(
         F.count("*").alias("num_seqs"), F.sum(n).alias("sum_len"), F.min(n).alias("min_len"), F.avg(n).alias("avg_len"), F.max(n).alias("max_len"),
-        *[F.percentile(n, q).alias(f"q{k}") for k, q in ((1, 0.25), (2, 0.5), (3, 0.75))], F.sum(count_of(F.col("seq"), "N")).alias("n_bases"),
+        F.sum(count_of(F.col("seq"), "N")).alias("n_bases"),
         F.try_divide(F.sum(count_of(F.col("seq"), "GC")) * 100.0, F.sum(n)).alias("gc_pct"),
     )
+    quarts = percentiles(contigs.select("sample", n.alias("q")).filter("q is not null"), ["sample"], ["q"], {"1": 0.25, "2": 0.5, "3": 0.75})
+    quarts = quarts.select(F.col("sample").alias("s"), *[F.col(f"q_{k}").alias(f"q{k}") for k in "123"])
+    t = t.join(quarts, F.col("sample").eqNullSafe(F.col("s")), "left").drop("s")
     return t.join(nstar(contigs.select("sample", n.alias("length")), (50,)).select("sample", F.col("n").alias("n50")), "sample", "left")
 
 

@@ -11,12 +11,37 @@ from lanefold.operators import verdict as V
 from lanefold.operators.store import partial_upsert
 
 
+#: Columns that a depth-only upload writes, and the record's columns that they come from.
+DEPTH_COLUMNS = {
+    "lambda_depth": "lambda_depth", "busco_read_depth": "busco_mean_depth", "busco_regions": "busco_regions", "host_assembly_size": "host_assembly_size",
+    "host_assembly_fraction": "host_assembly_fraction", "host_haploid_size": "host_haploid_size", "partition_confidence": "partition_confidence", "partition_note": "partition_note",
+}
+
+
+def with_sizes(sheet: DataFrame, contigs: DataFrame) -> DataFrame:
+    """``sheet`` with null assembly sizes computed from the contigs of those samples only; samples without contigs keep null."""
+    wanted = sheet.filter("assembly_size is null").select("sample").distinct()
+    sums = contigs.join(wanted, "sample", "left_semi").groupBy("sample").agg(F.sum("length").alias("_size"))
+    return sheet.join(sums, "sample", "left").withColumn("assembly_size", F.coalesce("assembly_size", "_size")).drop("_size")
+
+
+def upload_depth(stored: DataFrame, record: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The store after a depth-only upload, and the rows refused because nothing is stored for their keys.
+
+    Of known rows the eight columns of the depth are replaced, also by null; fits and verdicts stay. Keys are columns of both.
+    """
+    new = record.select(*keys, *[F.col(c).alias(n) for n, c in DEPTH_COLUMNS.items()])
+    return partial_upsert(stored, new, keys, list(DEPTH_COLUMNS))
+
+
 def depth_only(sheet: DataFrame, genes: DataFrame, contigs: DataFrame, alignments: DataFrame, least_regions: int = 20, **params) -> DataFrame:
     """The depth record of every sample of ``sheet`` (sample, read_length, total_bases, assembly_size, kmercov).
 
     Gene regions, their depth and lambda, contig depths and the partition; a sample with fewer than ``least_regions``
-    regions keeps its row, with the reason as status and no measurement.
+    regions keeps its row, with the reason as status and no measurement. A null assembly_size is filled with the sum of the
+    sample's contigs.
     """
+    sheet = with_sizes(sheet, contigs)
     regions = C.gene_regions(genes, contigs)
     state = C.region_status(regions, sheet, least_regions)
     enough = regions.join(state.filter("status = 'ok'").select("sample"), "sample", "left_semi")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 
 from collections.abc import Callable
 from functools import reduce
@@ -12,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanefold.functions import shared
+
 
 def clean_species(name: Column) -> Column:
     """The first two words without brackets, quotes, open-nomenclature qualifiers and letters' neighbours."""
@@ -21,16 +20,8 @@ def clean_species(name: Column) -> Column:
     return F.array_join(F.slice(words, 1, 2), " ")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """Written below ``spark.checkpoint.dir``, or on a local master a temporary folder, and read back."""
-    base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if df.sparkSession.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = os.path.join(tempfile.gettempdir(), "lanefold-shared")
-    path = f"{base.rstrip('/')}/closure-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame) -> DataFrame:
+    return shared.written(df, "taxonomy")
 
 
 def closure(nodes: DataFrame) -> DataFrame:
@@ -41,16 +32,16 @@ def closure(nodes: DataFrame) -> DataFrame:
     """
     links = nodes.select("taxid", F.col("parent").alias("up")).join(nodes.select(F.col("taxid").alias("up")), "up", "left_semi").filter("up <> taxid")
     reach = nodes.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("depth"))
-    jump, step = _written(links.select("taxid", "up")), 1
+    jump, step = written(links.select("taxid", "up")), 1
     while True:
         far = reach.join(jump.withColumnRenamed("taxid", "mid"), F.col("ancestor") == F.col("mid"))
-        far = _written(far.select(reach["taxid"], F.col("up").alias("ancestor"), (F.col("depth") + step).alias("depth")))
+        far = written(far.select(reach["taxid"], F.col("up").alias("ancestor"), (F.col("depth") + step).alias("depth")))
         if far.isEmpty():
             return reach
         if not far.filter("taxid = ancestor").isEmpty():
             raise ValueError("the parents of the taxonomy form a cycle")
         reach = reach.unionByName(far)
-        jump = _written(jump.alias("a").join(jump.alias("b"), F.expr("a.up = b.taxid")).select("a.taxid", "b.up"))
+        jump = written(jump.alias("a").join(jump.alias("b"), F.expr("a.up = b.taxid")).select("a.taxid", "b.up"))
         step *= 2
 
 
@@ -69,7 +60,7 @@ def _paths(nodes: DataFrame, carried: dict[str, Column], joined: dict[str, Calla
     ids = nodes.select(F.col("taxid").alias("up"))
     links = nodes.join(ids, (F.col("parent") == F.col("up")) & (F.col("up") != F.col("taxid")), "left")
     more = {"size": F.lit(1).cast("long")} if sizes else {}
-    now = _written(links.select("taxid", "up", *[c.alias(n) for n, c in (carried | more).items()]))
+    now = written(links.select("taxid", "up", *[c.alias(n) for n, c in (carried | more).items()]))
     most = now.count().bit_length() + 1
     for _ in range(most):
         if now.filter("up is not null").isEmpty():
@@ -81,7 +72,7 @@ def _paths(nodes: DataFrame, carried: dict[str, Column], joined: dict[str, Calla
         if sizes:
             below = now.filter("up is not null").groupBy(F.col("up").alias("taxid")).agg(F.sum("size").alias("_below"))
             t = t.join(below, "taxid", "left").withColumn("size", F.col("size") + F.coalesce("_below", F.lit(0))).drop("_below")
-        now = _written(t)
+        now = written(t)
     raise ValueError("the parents of the taxonomy form a cycle")
 
 
@@ -97,7 +88,7 @@ def tree_labels(nodes: DataFrame) -> DataFrame:
     tree = nodes.select("taxid").join(tree.select("taxid", "parent"), "taxid", "left")
     sized = _paths(tree, {"level": F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("long")}, {"level": add}, sizes=True)
     beside = Window.partitionBy("parent").orderBy("taxid").rowsBetween(Window.unboundedPreceding, -1)
-    placed = _written(tree.join(sized, "taxid").withColumn("step", F.coalesce(F.sum("size").over(beside), F.lit(0)) + F.col("parent").isNotNull().cast("long")))
+    placed = written(tree.join(sized, "taxid").withColumn("step", F.coalesce(F.sum("size").over(beside), F.lit(0)) + F.col("parent").isNotNull().cast("long")))
     first = _paths(placed, {"first": F.col("step")}, {"first": add})
     out = placed.join(first, "taxid")
     return out.select("taxid", "parent", "level", "size", "first", (F.col("first") + F.col("size") - 1).alias("last"))
@@ -144,27 +135,34 @@ def trigrams(c: Column) -> Column:
 
 
 def trigram_matches(left: DataFrame, right: DataFrame, least: float = 0.65) -> DataFrame:
-    """left_id, right_id, similarity of pairs of names with set similarity ``least`` or more.
+    """left_id, right_id, similarity of pairs of names with set similarity ``least`` or more; identifiers are unique.
 
     Two such sets share a trigram among the first ``(1 - least) * size + 1`` of each in a common order, so only
-    those are joined; the common order is by rarity, which keeps frequent trigrams out of the join.
+    those are joined; the common order is by rarity, which keeps frequent trigrams out of the join. A joined row is an
+    identifier, the size of its set and the place of the trigram: sizes must be near each other, and what lies before the places and behind
+    them bounds how much the sets can share. Sets are fetched for the pairs that are left only. Names without letters match nothing.
     """
     # the trigrams are ASCII, so three characters are one whole number, which sets compare faster than text
     number = lambda g: F.ascii(g) * 16384 + F.ascii(F.substr(g, F.lit(2), F.lit(1))) * 128 + F.ascii(F.substr(g, F.lit(3), F.lit(1)))
     grams = lambda t: t.select("id", F.explode(trigrams(F.col("name"))).alias("g")).select("id", number(F.col("g")).alias("g"))
     every = grams(left).unionByName(grams(right)).groupBy("g").agg(F.count("*").alias("df"))
 
-    def prefixes(t: DataFrame, side: str) -> DataFrame:
-        sets = grams(t).join(every, "g").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("df", "g"))).alias("s")).select(F.col("id").alias(f"{side}_id"), F.col("s")["g"].alias(side))
-        n = F.size(side) - F.ceil(F.size(side) * least - 1e-9).cast("int") + 1
-        return sets.withColumn(f"{side}_first", F.slice(side, F.lit(1), F.greatest(n, F.lit(1)))).select("*", F.explode(f"{side}_first").alias("g"))
+    def sets(t: DataFrame, side: str) -> DataFrame:
+        s = grams(t).join(every, "g").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("df", "g"))).alias("s"))
+        return written(s.select(F.col("id").alias(f"{side}_id"), F.col("s")["g"].alias(side)))
+
+    def prefixes(s: DataFrame, side: str) -> DataFrame:
+        n = F.size(side)
+        first = F.slice(side, F.lit(1), F.greatest(n - F.ceil(n * least - 1e-9).cast("int") + 1, F.lit(1)))
+        return s.select(f"{side}_id", n.alias(f"{side}_n"), F.posexplode(first).alias(f"{side}_at", "g"))
 
-    pairs = prefixes(left, "left").join(prefixes(right, "right"), "g")
-    # sets of too different sizes can't be similar; a pair that shares several of the first trigrams is kept at the first it shares
-    small, large = F.least(F.size("left"), F.size("right")), F.greatest(F.size("left"), F.size("right"))
-    pairs = pairs.filter((small >= large * least - 1e-9) & (F.get(F.array_intersect("left_first", "right_first"), F.lit(0)) == F.col("g")))
+    a, b = sets(left, "left"), sets(right, "right")
+    n, m = F.col("left_n"), F.col("right_n")
+    wanted = F.ceil((n + m) * (least / (1 + least)) - 1e-9)  # what sets of these sizes share at least
+    pairs = prefixes(a, "left").join(prefixes(b, "right"), "g").filter((F.least(n, m) >= F.greatest(n, m) * least - 1e-9) & (F.least("left_at", "right_at") + F.least(n - F.col("left_at"), m - F.col("right_at")) >= wanted))
+    pairs = pairs.select("left_id", "right_id").distinct()
     common = F.size(F.array_intersect("left", "right"))
-    pairs = pairs.select("left_id", "right_id", (common / (F.size("left") + F.size("right") - common)).alias("similarity"))
+    pairs = pairs.join(a, "left_id").join(b, "right_id").select("left_id", "right_id", (common / (F.size("left") + F.size("right") - common)).alias("similarity"))
     return pairs.filter(F.col("similarity") >= least)
 
 

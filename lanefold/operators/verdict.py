@@ -37,6 +37,12 @@ RECOMMENDATIONS = {
     "LOW": "Draft assembly may be possible, but additional sequencing may help.",
     "INSUFFICIENT": "Additional sequencing is strongly recommended.",
 }
+#: Fixed text: the recommendation where an estimate isn't reliable, before and after the names of the reasons.
+UNFITTED = (
+    "GenomeScope could not fit this sample (",
+    "), so the genome size estimate and every coverage figure derived from it are unreliable. Assess coverage against the decontaminated assembly size instead.",
+)
+#: Status of such a sample; least coverage of each grade.
 UNRELIABLE = "UNRELIABLE_GENOME_SIZE_ESTIMATE"
 GRADES = ((50, "EXCELLENT"), (30, "GOOD"), (20, "ADEQUATE"), (10, "LOW"))
 
@@ -83,7 +89,8 @@ def provisional(fits: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
 
 
 def _doubtful(flags: str) -> Column:
-    return F.concat(F.lit("no coverage figure can be relied on: "), F.array_join(flags, ", "))
+    before, after = UNFITTED
+    return F.concat(F.lit(before), F.array_join(flags, ", "), F.lit(after))
 
 
 def chosen_fit(choices: DataFrame) -> DataFrame:
@@ -127,7 +134,8 @@ def recheck(verdicts: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
     """The verdict against assembly and read depth; doing it twice changes nothing.
 
     Needs flags, estimated_genome_size, coverage, coverage_before, coverage_status, kmercov, lam, host_ratio, host_haploid_size,
-    host_size, partition_status, partition_confidence, assembly_size, busco_complete and depth_measured.
+    host_size, partition_status, partition_confidence, assembly_size, busco_complete and depth_measured. Where kmercov is null or 0
+    and the depth was measured, ``genomescope_kmercov`` of the measurement (if the column is there) stands in for it.
     """
     c = F.col
     size = F.coalesce("estimated_genome_size", F.lit(0)).cast("long")
@@ -137,6 +145,8 @@ def recheck(verdicts: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
     below = F.when(use_host, host).otherwise(c("assembly_size"))
     ratio = F.try_divide(size.cast("double"), F.nullif(below, F.lit(0)))
     k, lam = F.nullif("kmercov", F.lit(0.0)), F.nullif("lam", F.lit(0.0))
+    if "genomescope_kmercov" in verdicts.columns:
+        k = F.coalesce(k, F.when(c("depth_measured"), F.nullif("genomescope_kmercov", F.lit(0.0))))
     fit_off = F.greatest(F.try_divide(k, lam), F.try_divide(lam, k))
     more = [
         _flag(none & ~F.array_contains("flags", "non_finite_genome_size"), "no_genome_size_estimate"),
@@ -147,7 +157,7 @@ def recheck(verdicts: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
         _flag(c("busco_complete") < th.min_busco, "assembly_lacks_host_gene_space"),
     ]
     flags = F.array_distinct(F.concat(F.coalesce("flags", F.array().cast("array<string>")), F.array_compact(F.array(*more))))
-    t = verdicts.withColumns({"_flags": flags, "assembly_ratio_basis": F.when(use_host, "host").otherwise("total"), "assembly_ratio_denominator": below, "_none": none})
+    t = verdicts.withColumns({"_flags": flags, "assembly_ratio_basis": F.when(use_host, "host").otherwise("total"), "assembly_ratio_denominator": below, "_none": none, "kmercov": F.coalesce(k, c("kmercov"))})
     told = {"recommendation": F.when(F.size("_flags") > 0, _doubtful("_flags")).otherwise(c("recommendation"))} if "recommendation" in verdicts.columns else {}
     return t.withColumns(told | {
         "flags": c("_flags"), "reliable": F.size("_flags") == 0, "estimated_genome_size": F.when(c("_none"), F.lit(0)).otherwise(size),
@@ -236,7 +246,7 @@ def apply_refit(verdicts: DataFrame, refits: DataFrame, th: Thresholds = Thresho
     return old.join(refits.select("sample"), "sample", "left_anti").select(*old.columns).unionByName(new.select(*old.columns))
 
 
-#: Columns of the run's coverage table and what they show.
+#: Columns of the run's coverage table and what they show.
 TABLE = {
     "sample": "Sample", "estimated_genome_size": "Genome Size (bp)", "coverage_before": "Coverage Before (x)", "coverage": "Coverage After (x)",
     "retention_pct": "Data Retention (%)", "removed_pct": "Bases Removed (%)", "het_max": "Het. Max (%)", "fit_full": "Model Fit, Full Model (%)",

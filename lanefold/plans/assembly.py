@@ -302,13 +302,29 @@ def g6_mode_rule(spark, sf_dir):
     return _record(spark, sf_dir).filter("partition_status = 'ok'").select("sample_id", "host_assembly_size_mode_anchored")
 
 
+def _depth_record(spark, sf_dir):
+    t = {n: domain(spark, sf_dir, n) for n in ("gene_table", "supplier_contigs", "alignments")}
+    sheet = t["supplier_contigs"].groupBy("sample").agg(F.sum("length").alias("assembly_size")).withColumn("assembly_size", F.when(F.col("sample") % 2 == 0, F.col("assembly_size"))).withColumns({"read_length": F.lit(146), "total_bases": F.lit(1_000_000), "kmercov": F.lit(30.0)})
+    return flows.depth_only(sheet, t["gene_table"], t["supplier_contigs"], t["alignments"])
+
+
 @query(with_domain("gene_table supplier_contigs alignments", f"""WITH {_REGIONS}, {_SAMPLES}, st AS (SELECT c.sample, count(r.gene) AS n FROM (SELECT DISTINCT sample FROM supplier_contigs) c LEFT JOIN regions r ON r.sample = c.sample GROUP BY c.sample),
  asm AS (SELECT sample, sum(length)::BIGINT AS size FROM supplier_contigs GROUP BY sample)
 SELECT st.sample AS sample_id, CASE WHEN n < 20 THEN 'too_few_busco_regions' WHEN coalesce(mean_depth, 0) = 0 THEN 'no_measurement' ELSE 'ok' END AS status, coalesce(regions, 0) AS busco_regions,
   round(CASE WHEN n >= 20 AND mean_depth <> 0 THEN mean_depth * (146 - 21 + 1) / 146 / 2 END, 9) AS lambda_depth, size AS assembly_size
 FROM st LEFT JOIN weighted w ON w.sample = st.sample AND n >= 20 LEFT JOIN asm ON asm.sample = st.sample"""))
 def h11_depth_only(spark, sf_dir):
-    t = {n: domain(spark, sf_dir, n) for n in ("gene_table", "supplier_contigs", "alignments")}
-    sheet = t["supplier_contigs"].groupBy("sample").agg(F.sum("length").alias("assembly_size")).withColumns({"read_length": F.lit(146), "total_bases": F.lit(1_000_000), "kmercov": F.lit(30.0)})
-    got = flows.depth_only(sheet, t["gene_table"], t["supplier_contigs"], t["alignments"])
+    got = _depth_record(spark, sf_dir)
     return got.select("sample_id", "status", "busco_regions", F.round("lambda_depth", 9).alias("lambda_depth"), "assembly_size")
+
+
+@query(with_domain("gene_table supplier_contigs alignments", f"""WITH {_REGIONS}, {_SAMPLES}, st AS (SELECT c.sample, count(r.gene) AS n FROM (SELECT DISTINCT sample FROM supplier_contigs) c LEFT JOIN regions r ON r.sample = c.sample GROUP BY c.sample)
+SELECT st.sample AS sample_id, 'fit' || st.sample AS verdict, round(CASE WHEN n >= 20 AND mean_depth <> 0 THEN mean_depth * (146 - 21 + 1) / 146 / 2 END, 9) AS lambda_depth, coalesce(regions, 0) AS busco_regions
+FROM st LEFT JOIN weighted w ON w.sample = st.sample AND n >= 20 WHERE st.sample % 3 < 2 UNION ALL SELECT 77, 'fit77', 0.5, 7"""))
+def h11_depth_upload(spark, sf_dir):
+    """The depth-only flow to its end: eight columns of known samples change, others are refused, what isn't measured stays."""
+    stored = domain(spark, sf_dir, "supplier_contigs").select(F.col("sample").alias("sample_id")).distinct().filter("sample_id % 3 < 2").unionByName(spark.range(77, 78).withColumnRenamed("id", "sample_id"))
+    stored = stored.withColumns({"verdict": F.concat(F.lit("fit"), F.col("sample_id").cast("string")), "lambda_depth": F.lit(0.5), "busco_regions": F.lit(7).cast("long"), "busco_read_depth": F.lit(0.0), "host_assembly_size": F.lit(1).cast("long"),
+                                 "host_assembly_fraction": F.lit(0.0), "host_haploid_size": F.lit(1).cast("long"), "partition_confidence": F.lit("x"), "partition_note": F.lit("x")})
+    kept, _ = flows.upload_depth(stored, _depth_record(spark, sf_dir), ["sample_id"])
+    return kept.select("sample_id", "verdict", F.round("lambda_depth", 9).alias("lambda_depth"), "busco_regions")

@@ -175,7 +175,7 @@ def k6_advice(spark, sf_dir):
     return A.advice(_costed(spark, sf_dir)).select("job_id", "mem_band", "mem_suggest_gb", "cpu_band", "wall_band", "wall_suggest_h")
 
 
-@query(with_domain("steps", """SELECT p.jobid AS job_id, p.state, p.alloc_cpus // 2 AS cores, max(s.ave_rss * coalesce(s.ntasks, 1)) AS used_rss FROM steps p LEFT JOIN steps s ON split_part(s.jobid, '.', 1) = p.jobid
+@query(with_domain("steps", """SELECT p.jobid AS job_id, p.state, p.alloc_cpus // 2 AS cores, p.alloc_cpus, max(s.ave_rss * coalesce(s.ntasks, 1)) AS used_rss FROM steps p LEFT JOIN steps s ON split_part(s.jobid, '.', 1) = p.jobid
 WHERE NOT contains(p.jobid, '.') AND p.state <> 'RUNNING' GROUP BY p.jobid, p.state, p.alloc_cpus"""))
 def k3_roll_up(spark, sf_dir):
     return A.roll_up(domain(spark, sf_dir, "steps"))
@@ -206,7 +206,20 @@ def k7_run_summary(spark, sf_dir):
     return A.run_summary(_costed(spark, sf_dir))
 
 
-@query(with_domain("jobs", f"WITH {_SU} SELECT string_split(process, ':')[-1] AS process, count(*) AS jobs, round(sum(su), 2) AS su, round(quantile_cont(cpu_eff, 0.5), 6) AS cpu_eff_median FROM costed GROUP BY string_split(process, ':')[-1]"))
+@query(with_domain("jobs", "SELECT state, count(*) AS jobs FROM jobs GROUP BY state"))
+def k7_state_counts(spark, sf_dir):
+    return A.state_counts(domain(spark, sf_dir, "jobs"))
+
+
+@query(with_domain("jobs", """SELECT job_id, round(cpu_s * 100.0::DOUBLE / CASE WHEN job_id % 3 = 0 THEN elapsed_s * 3 ELSE cores * 2 * elapsed_s END, 4) AS cpu_eff FROM jobs"""))
+def k4_raw_cpu_time(spark, sf_dir):
+    k = F.col("job_id")
+    jobs = domain(spark, sf_dir, "jobs").withColumns({"alloc_cpus": F.col("cores") * 2, "cpu_time_raw": F.when(k % 3 == 0, F.col("elapsed_s") * 3).when(k % 3 == 1, 0)})
+    return A.efficiencies(jobs).select("job_id", "cpu_eff")
+
+
+@query(with_domain("jobs", f"""WITH {_SU} SELECT string_split(process, ':')[-1] AS process, count(*) AS jobs, round(sum(su), 2) AS su, round(quantile_cont(cpu_eff, 0.5), 6) AS cpu_eff_median,
+round(quantile_cont(mem_eff, 0.5), 6) AS mem_eff_median, round(quantile_cont(wall_eff, 0.5), 6) AS wall_eff_median, row_number() OVER (ORDER BY round(sum(su), 2) DESC, string_split(process, ':')[-1])::INT AS rank FROM costed GROUP BY string_split(process, ':')[-1]"""))
 def k8_by_process(spark, sf_dir):
     return A.by_process(_costed(spark, sf_dir))
 
@@ -224,7 +237,7 @@ def k9_cost_per_sample(spark, sf_dir):
 def k10_tag_filter(spark, sf_dir):
     (c,) = _tables(spark, sf_dir, "customer")
     wanted = c.filter("c_custkey % 3 = 1").select(F.concat(F.lit("OG"), F.col("c_custkey").cast("string")).alias("tag"))
-    return domain(spark, sf_dir, "jobs").join(wanted, "tag", "left_semi").select("job_id", "tag")
+    return A.with_tags(domain(spark, sf_dir, "jobs"), wanted).select("job_id", "tag")
 
 
 _GLOBS = {"views": "view/*.remote", "clicks": "click*/*1?.local", "all_local": "*.local", "never": "none/*"}
@@ -256,10 +269,33 @@ def k13_copy_audit(spark, sf_dir):
     return A.copy_audit(domain(spark, sf_dir, "files"))
 
 
-@query(with_domain("files", r"""WITH l AS (SELECT sample, concat_ws(chr(9), component, event_id::VARCHAR, bytes::VARCHAR) AS line FROM files)
-SELECT sample, sha256('1' || chr(10) || 'k 21' || chr(10) || string_agg(line, chr(10) ORDER BY line)) AS fingerprint FROM l GROUP BY sample"""))
+_RULES = ["+ view/*.keep", "- click/**", "- /purchase/1*", "+ */?.x"]
+
+
+@query(with_domain("files", """WITH p AS (SELECT *, concat(component, '/', event_id, CASE WHEN event_id % 4 = 0 THEN '.keep' ELSE '.x' END) AS path FROM files),
+c AS (SELECT *, CASE WHEN regexp_matches(path, '(^|/)view/[^/]*\\.keep$') THEN true WHEN regexp_matches(path, '(^|/)click/.*$') THEN false WHEN regexp_matches(path, '^purchase/1[^/]*$') THEN false ELSE true END AS ok FROM p),
+t AS (SELECT sample, count(*) FILTER (side = 'local' AND ok) AS local_objects, coalesce(sum(bytes) FILTER (side = 'local' AND ok), 0)::BIGINT AS local_bytes, count(*) FILTER (side = 'remote' AND ok) AS remote_objects, coalesce(sum(bytes) FILTER (side = 'remote' AND ok), 0)::BIGINT AS remote_bytes FROM c GROUP BY sample)
+SELECT *, CASE WHEN local_objects = remote_objects THEN 'YES' ELSE 'NO' END AS objects_match, CASE WHEN local_bytes = remote_bytes THEN 'YES' ELSE 'NO' END AS bytes_match FROM t"""))
+def k13_filtered_copy_audit(spark, sf_dir):
+    path = F.concat("component", F.lit("/"), F.col("event_id").cast("string"), F.when(F.col("event_id") % 4 == 0, ".keep").otherwise(".x"))
+    return A.copy_audit(domain(spark, sf_dir, "files").withColumn("path", path), rules=_RULES)
+
+
+@query(with_domain("files", """WITH l AS (SELECT sample, component, string_agg(concat('read=', event_id, '.fq', chr(9), bytes), chr(10) ORDER BY concat('read=', event_id, '.fq', chr(9), bytes)) AS lines FROM files GROUP BY sample, component)
+SELECT concat(sample, '.', component) AS assembly, sha256(concat('megahit_version=1.2.9', chr(10), 'args=--k-list 21,29 --no-mercy', chr(10), 'out_prefix=', component, chr(10), lines, chr(10))) AS checkpoint_key FROM l"""))
+def k15_checkpoint_key(spark, sf_dir):
+    t = domain(spark, sf_dir, "files").select(F.concat_ws(".", F.col("sample").cast("string"), "component").alias("assembly"), F.col("component").alias("prefix"), F.concat(F.lit("/in/"), F.col("event_id").cast("string"), F.lit(".fq")).alias("path"), "bytes")
+    return A.checkpoint_key(t, "1.2.9", "--k-list 21,29  -t 32 --memory=0.9 --no-mercy -m 8", key="assembly")
+
+
+_WORDS = ", ".join(f"sum(('0x' || substr(h, {1 + 8 * k}, 8))::BIGINT)::VARCHAR AS w{k}" for k in range(8))
+
+
+@query(with_domain("files", f"""WITH l AS (SELECT sample, sha256(concat_ws(chr(9), '1', component, event_id::VARCHAR, bytes::VARCHAR)) AS h FROM files),
+b AS (SELECT sample, ('0x' || substr(h, 1, 4))::BIGINT % 256 AS b, count(*)::VARCHAR AS n, {_WORDS} FROM l GROUP BY sample, b), o AS (SELECT sample, concat_ws(':', lpad(b::VARCHAR, 8, '0'), n, {", ".join(f"w{k}" for k in range(8))}) AS x FROM b)
+SELECT sample, sha256('1' || chr(10) || 'k 21' || chr(10) || string_agg(x, chr(10) ORDER BY x)) AS fingerprint FROM o GROUP BY sample"""))
 def k15_fingerprint(spark, sf_dir):
-    return A.fingerprint(domain(spark, sf_dir, "files"), args="k   21 --threads=8")
+    return A.fingerprint(domain(spark, sf_dir, "files"), args="k   21 -t 8")
 
 
 #: Columns of a record and where they are stored; one under another name.

@@ -1,18 +1,3 @@
 """Folders for what queries write on their way."""
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; on a local master without that setting, below the temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from lanefold.functions.shared import shared_dir as scratch  # noqa: F401

@@ -109,6 +109,16 @@ def _recheck(spark, sf_dir):
     }))
 
 
+@query(with_domain("fits", """WITH k AS (SELECT sample, lam, sample % 4 <> 0 AS measured, CASE sample % 3 WHEN 1 THEN 0 WHEN 2 THEN kmercov END AS own, CASE WHEN sample % 5 > 0 THEN kmercov + 1 END AS file FROM fits),
+c AS (SELECT *, coalesce(nullif(own, 0), CASE WHEN measured THEN nullif(file, 0) END, own) AS kmercov FROM k)
+SELECT sample, kmercov, coalesce(measured AND kmercov <> 0 AND greatest(kmercov / lam, lam / kmercov) > 1.5, false) AS fit_off FROM c"""))
+def h8_measured_kmercov(spark, sf_dir):
+    s, k = F.col("sample"), F.col("kmercov")
+    t = V.provisional(domain(spark, sf_dir, "fits")).drop("assembly_size").join(domain(spark, sf_dir, "fits").select("sample", "assembly_size"), "sample")
+    t = t.withColumns({"host_ratio": F.lit(1.0), "host_haploid_size": F.col("host_size"), "depth_measured": s % 4 != 0, "genomescope_kmercov": F.when(s % 5 > 0, k + 1), "kmercov": F.when(s % 3 == 1, 0.0).when(s % 3 == 2, k)})
+    return V.recheck(t).select("sample", "kmercov", F.array_contains("flags", "fitted_coverage_disagrees_with_read_depth").alias("fit_off"))
+
+
 @query(with_domain("fits", f"""WITH {_PROV}, {_RECHECK} SELECT sample, CASE WHEN estimated_genome_size <= 1 THEN 0 ELSE estimated_genome_size END AS estimated_genome_size, CASE WHEN estimated_genome_size <= 1 THEN 0 ELSE coverage END AS coverage,
   CASE WHEN len(all_flags) > 0 THEN 'UNRELIABLE_GENOME_SIZE_ESTIMATE' ELSE coverage_status END AS coverage_status, array_to_string(all_flags, '; ') AS flags, len(all_flags) = 0 AS reliable,
   CASE WHEN use_host THEN 'host' ELSE 'total' END AS assembly_ratio_basis, below AS assembly_ratio_denominator, CASE WHEN coalesce(asm, 0) <> 0 THEN 'done' ELSE 'no_assembly_size' END AS assembly_cross_check FROM final"""))
@@ -138,7 +148,7 @@ lines AS (SELECT sample, list_filter(['SEQUENCING COVERAGE ANALYSIS', repeat('='
   '  Compared against: ' || CASE WHEN use_host THEN 'host' ELSE 'total' END || ' assembly (' || coalesce(format('{{:,}}', below), 'NA') || ' bp)', '  Host fraction of assembly (lower bound): NA', '  BUSCO complete: ' || {_one("busco_complete")} || '%', '',
   'COVERAGE ASSESSMENT:', '  Genome size estimate reliable: ' || CASE WHEN len(all_flags) = 0 THEN 'yes' ELSE 'no' END, CASE WHEN len(all_flags) > 0 THEN '  Genome size warnings: ' || array_to_string(all_flags, ', ') END,
   CASE WHEN len(all_flags) > 0 THEN '  Status: {V.UNRELIABLE} (theoretical coverage ' || {_one("cover")} || 'x, not trustworthy)' ELSE '  Status: ' || coverage_status || ' coverage (' || {_one("cover")} || 'x)' END,
-  '  Recommendation: ' || CASE WHEN len(all_flags) > 0 THEN 'no coverage figure can be relied on: ' || array_to_string(all_flags, ', ') ELSE CASE coverage_status {_TOLD} END END], lambda x: x IS NOT NULL) AS l FROM said)"""
+  '  Recommendation: ' || CASE WHEN len(all_flags) > 0 THEN 'GenomeScope could not fit this sample (' || array_to_string(all_flags, ', ') || '), so the genome size estimate and every coverage figure derived from it are unreliable. Assess coverage against the decontaminated assembly size instead.' ELSE CASE coverage_status {_TOLD} END END], lambda x: x IS NOT NULL) AS l FROM said)"""
 
 
 @query(with_domain("fits", f"WITH {_PROV}, {_RECHECK}, {_LINES} SELECT sample, generate_subscripts(l, 1) AS line_no, unnest(l) AS line FROM lines"))

@@ -36,6 +36,7 @@ BUSCO_NAMES = {
     "internal_stop_codon_count": ("internal_stop_codon_count",),
     "internal_stop_codon_percent": ("internal_stop_codon_percent",),
 }
+# Names of fields in the tools' JSON.
 _WHOLE_BUSCO = ("n_markers", "number_of_scaffolds", "number_of_contigs", "total_length", "contigs_n50", "internal_stop_codon_count")
 _COUNTS = ("total_reads", "total_bases", "q20_bases", "q30_bases", "read1_mean_length", "read2_mean_length")
 _RATES = ("q20_rate", "q30_rate", "gc_content")
