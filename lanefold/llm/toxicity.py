@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -163,17 +164,23 @@ class ToxicField:
         return {**self.__dict__, "known": {}}
 
 
-def strong_evidence(sample: DataFrame, surprise: float, times: float) -> list[str]:
-    """Words and beginnings of words in far more toxic documents of the sample (text, y) than chance would give.
+#: Thresholds that are compared: gains in log-likelihood and factors between rates. Parts of the sample, how many of them are
+#: judged, and windows that a field is learned from for that.
+GRID = ((25.0, 4.0), (25.0, 8.0), (25.0, 16.0))
+PARTS, JUDGED, TRIAL_WINDOWS = 4, 2, 12_000
 
-    The rates must differ by the factor ``times``, and twice the log-likelihood that separate rates gain over one rate be
-    ``surprise`` or more. Documents in which the evidence first stands between the same two words count once: what only
-    copies of a document have is no evidence. Counts are summed on Spark; only what passes comes back.
+
+def evidence_counts(sample: DataFrame) -> DataFrame:
+    """e, y, at and parts: the evidence in documents of each kind (text, y), the words around its first place in the text, and
+    the parts of the sample that have it there, as bits.
+
+    Documents in which the evidence first stands between the same two words count once: what only copies of a document
+    have is no evidence. A text's part is a checksum of it, so copies are in one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, ys, where = [], [], []
+            names, ys, where, parts = [], [], [], []
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = ["", *TOKEN.findall(t), ""]
                 first: dict[str, int] = {}
@@ -186,19 +193,88 @@ def strong_evidence(sample: DataFrame, surprise: float, times: float) -> list[st
                         seen.setdefault(e, k)
                 names += seen
                 ys += [y] * len(seen)
+                parts += [1 << part_of(t)] * len(seen)
                 where += [zlib.crc32(f"{words[k - 1]} {words[k]} {words[k + 1]}".encode("utf-8", "surrogatepass")) for k in seen.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32()), pa.array(where, pa.int64())], names=["e", "y", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32()), pa.array(where, pa.int64()), pa.array(parts, pa.int32())], names=["e", "y", "at", "parts"])
+
+    return sample.select("text", "y").mapInArrow(run, "e string, y int, at long, parts int").groupBy("e", "y", "at").agg(F.bit_or("parts").alias("parts"))
+
 
-    kinds = sample.agg(F.count_if(F.col("y") == 0).alias("all0"), F.count_if(F.col("y") == 1).alias("all1")).first()
-    all0, all1 = kinds["all0"], kinds["all1"]
-    if not all0 or not all1:
-        return []
-    seen = sample.select("text", "y").mapInArrow(run, "e string, y int, at long").distinct().groupBy("e").agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"))
-    share, n = all1 / (all0 + all1), F.col("n0") + F.col("n1")
-    part = lambda c, rate: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / n / F.lit(rate))).otherwise(0.0)
-    ratio = (F.col("n1") + 0.5) / (all1 + 1) / ((F.col("n0") + 0.5) / (all0 + 1))
-    found = seen.filter((F.col("n1") > 2) & (ratio >= times) & (2 * (part("n1", share) + part("n0", 1 - share)) >= surprise))
-    return sorted(r["e"] for r in found.select("e").collect())
+def part_of(text: str) -> int:
+    return zlib.crc32(b"part" + text.encode("utf-8", "surrogatepass")) % PARTS
+
+
+def strong_evidence(sample: DataFrame) -> tuple[dict[str, list[tuple[float, float]]], list[bool]]:
+    """Words and beginnings of words in more toxic documents of the sample than chance would give, by the least strict of ``GRID``.
+
+    For each its (surprise, factor) in the whole sample and in the sample without each part that is judged, and which of these have both
+    kinds. The rates of toxic and other documents differ by the factor, and twice the log-likelihood that separate rates gain
+    over one rate is the surprise. Counts are summed on Spark; only what passes comes back.
+    """
+    bits = [0] + [1 << k for k in range(JUDGED)]  # nothing left out, or one part
+    kinds = _kinds(sample)
+    seen = evidence_counts(sample)
+    left = lambda y, bit: F.count_if((F.col("y") == y) & (F.col("parts").bitwiseAND(((1 << PARTS) - 1) & ~bit) > 0))
+    seen = seen.groupBy("e").agg(*[left(y, bit).alias(f"n{y}_{k}") for k, bit in enumerate(bits) for y in (0, 1)]).filter("n1_0 > 2")
+    least_surprise, least_times = min(s for s, _ in GRID), min(t for _, t in GRID)
+    strength, passes = [], F.lit(False)
+    for k in range(len(bits)):
+        all0, all1 = kinds[k]
+        if not all0 or not all1:
+            continue
+        n0, n1 = F.col(f"n0_{k}"), F.col(f"n1_{k}")
+        gain = lambda c, rate, n=n0 + n1: F.when(c > 0, c * F.log(c / n / F.lit(rate))).otherwise(0.0)
+        share = all1 / (all0 + all1)
+        surprise, times = 2 * (gain(n1, share) + gain(n0, 1 - share)), (n1 + 0.5) / (all1 + 1) / ((n0 + 0.5) / (all0 + 1))
+        some = n1 > 2
+        strength += [F.when(some, surprise).otherwise(0.0).alias(f"s{k}"), F.when(some, times).otherwise(0.0).alias(f"t{k}")]
+        passes = passes | (some & (surprise >= least_surprise) & (times >= least_times))
+    usable = [bool(a and b) for a, b in kinds]
+    if not usable[0]:
+        return {}, usable
+    rows = seen.filter(passes).select("e", *strength).collect()
+    return {r["e"]: [(r[f"s{k}"], r[f"t{k}"]) if usable[k] else (0.0, 0.0) for k in range(len(bits))] for r in sorted(rows)}, usable
+
+
+def _kinds(sample: DataFrame) -> list[tuple[int, int]]:
+    """Documents without and with the label, in the whole sample and without each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([part_of(t) for t in batch.column(0).to_pylist()], pa.int32())], names=["y", "part"])
+
+    n = Counter({(r["y"], r["part"]): r["count"] for r in sample.select("text", "y").mapInArrow(run, "y int, part int").groupBy("y", "part").count().collect()})
+    total = [sum(v for (y, _), v in n.items() if y == kind) for kind in (0, 1)]
+    return [tuple(total), *[tuple(total[y] - n[y, k] for y in (0, 1)) for k in range(JUDGED)]]
+
+
+def chosen_thresholds(sample: DataFrame, strong: dict[str, list[tuple[float, float]]], usable: list[bool], seed: int) -> tuple[float, float]:
+    """The (surprise, times) of ``GRID`` by cross-validation: parts of the sample are scored by fields learned from the others.
+
+    The share of toxic texts found less that of others called toxic is compared; the strictest of the best.
+    """
+    n: Counter = Counter()
+    for k in range(JUDGED):
+        if not usable[k + 1]:
+            continue
+        mine = _part(sample, k)
+        for g, (surprise, times) in enumerate(GRID):
+            chosen = [e for e, x in strong.items() if x[k + 1][0] >= surprise and x[k + 1][1] >= times]
+            field = _fitted(_part(sample, k, rest=True), chosen, TRIAL_WINDOWS, seed)
+            for r in score(mine, field).groupBy("y", (F.col("score") >= 0.5).alias("hit")).count().collect():
+                n[g, r["y"], r["hit"]] += r["count"]
+    rate = lambda g, y: n[g, y, True] / max(1, n[g, y, True] + n[g, y, False])
+    return GRID[max(range(len(GRID)), key=lambda g: (round(rate(g, 1) - rate(g, 0), 6), GRID[g]))]
+
+
+def _part(sample: DataFrame, k: int, rest: bool = False) -> DataFrame:
+    """The texts of a part of the sample, or all others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([(part_of(t) == k) != rest for t in batch.column(0).to_pylist()], pa.bool_()))
+
+    return sample.select("text", "y").mapInArrow(run, "text string, y int")
 
 
 def training_windows(sample: DataFrame, evidence: dict[str, int], seed: int) -> DataFrame:
@@ -231,22 +307,35 @@ def training_windows(sample: DataFrame, evidence: dict[str, int], seed: int) ->
     return sample.select("text", "y").mapInArrow(run, "h long, feats array<int>, gold array<int>, size int")
 
 
-def learn(sample: DataFrame, surprise: float = 25.0, times: float = 8.0, most_windows: int = 60_000, seed: int = 42) -> ToxicField | None:
-    """The field from labelled texts (text, y); None without both kinds or without any evidence.
-
-    The driver gets the evidence that passed the test and ``most_windows`` windows at most, those with the smallest
-    seeded hashes; texts stay in the tasks.
-    """
-    strong = strong_evidence(sample, surprise, times)
+def _fitted(sample: DataFrame, strong: list[str], most_windows: int, seed: int) -> ToxicField | None:
     if not strong:
         return None
     field = ToxicField({e: k for k, e in enumerate(strong)})
-    rows = training_windows(sample, field.evidence, seed).orderBy("h").limit(most_windows).collect()
+    rows = written(training_windows(sample, field.evidence, seed), "windows")
+    share = min(1.0, most_windows / max(1, rows.count()))
+    rows = rows.filter(F.col("h") < int(share * (1 << 62))).collect()
+    rows.sort(key=lambda r: r["h"])
+    if not rows:
+        return None
     feats, gold, size = (np.array([r[c] for r in rows]) for c in ("feats", "gold", "size"))
     field.fit(feats.reshape(len(rows), 2 * CONTEXT + 1, KINDS), gold, size)
     return field.prepare()
 
 
+def learn(sample: DataFrame, surprise: float | None = None, times: float | None = None, most_windows: int = 60_000, seed: int = 42) -> ToxicField | None:
+    """The field from labelled texts (text, y); None without both kinds or without any evidence.
+
+    Thresholds that aren't given are chosen by cross-validation inside the sample; evidence below all of ``GRID`` doesn't count. The
+    driver gets the evidence that passed the test and about ``most_windows`` windows, those below a bound on their seeded
+    hashes; texts stay in the tasks.
+    """
+    found, usable = strong_evidence(sample)
+    if found and (surprise is None or times is None):
+        best = chosen_thresholds(sample, found, usable, seed)
+        surprise, times = best[0] if surprise is None else surprise, best[1] if times is None else times
+    return _fitted(sample, [e for e, x in found.items() if x[0][0] >= surprise and x[0][1] >= times], most_windows, seed)
+
+
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 3000, id: str = "doc_id", text: str = "text", label: str = "toxic", **params) -> ToxicField | None:
     """Learns from about ``per_label`` documents of each label outside the held-out fold; labels other than 0 and 1 don't count.
 

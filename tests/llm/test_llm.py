@@ -383,3 +383,15 @@ def test_equal_hashes_of_pretokens_do_no_harm(library, monkeypatch):
     monkeypatch.setattr(token_fst, "_hashes", lambda data, start, size: np.zeros(len(start), np.uint64))
     token_fst.counter(TOKENIZER).memo.clear()
     assert token_fst.count_tokens(HARD, TOKENIZER) == [len(library.encode(t, add_special_tokens=False).ids) for t in HARD]
+
+
+def test_toxicity_held_out(spark):
+    """Thresholds come from the learning folds only; the held-out fold is judged once."""
+    from pyspark.sql import functions as F
+
+    from lanefold.llm.queries import QUERIES
+
+    d = "/root/testdata/sf0.1"
+    got = QUERIES["op8_toxicity"](spark, d).filter("held_out").join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("rate")).collect()
+    rate = {r["toxic"]: r["rate"] for r in got}
+    assert rate[1] >= 0.9 and rate[0] <= 0.05
