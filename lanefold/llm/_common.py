@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanefold.functions.shared import shared_dir, written  # noqa: F401
+
 #: Rows of an Arrow batch that goes to Python: whole texts are long, so batches are kept short.
 BATCH_ROWS = 512
 
@@ -46,31 +46,6 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share.
-
-    It is the folder named by ``spark.checkpoint.dir``. Where that is unset a local temporary folder stands in on a
-    local master (tests on one machine); on a cluster, whose machines wouldn't see it, this raises.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = os.path.join(tempfile.gettempdir(), "lanefold-shared")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
-
-    The folder is the job's own scratch; whoever names ``spark.checkpoint.dir`` clears it after the job, since results
-    may still be read from it lazily.
-    """
-    path = shared_dir(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_key(text: str = "text") -> list:
     """Two 64-bit hashes that identify a text (null as empty): equal texts share every result that depends on text alone."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -86,3 +61,8 @@ def own_columns(docs: DataFrame, made: list[str], needed: list[str]) -> DataFram
     if taken := sorted(c for c in needed if c.lower() in new):
         raise ValueError(f"columns {taken} are read and made; rename them first")
     return docs.drop(*[c for c in docs.columns if c.lower() in new])
+
+
+def own_names(n: int) -> list[str]:
+    """Names for columns on the way, which no table has."""
+    return [f"_{uuid.uuid4().hex}" for _ in range(n)]

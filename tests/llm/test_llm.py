@@ -9,6 +9,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lanefold.llm import audio, chat, decontaminate, language, mixing, simhash, sstable, suffix_dedup, token_fst, toxicity
 from lanefold.llm._components import components
@@ -263,14 +264,13 @@ def test_components_chain(spark):
     assert components(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("block", [2_000_000, 20])
-def test_contamination(spark, block):
+def test_contamination(spark):
     rng = np.random.default_rng(8)
     words = lambda n: [f"t{x}" for x in rng.integers(0, 40, n)]
     items = [(1, " ".join(words(25))), (2, "Short ITEM here"), (3, None), (4, "..."), (None, " ".join(words(12))), (2, " ".join(words(11)))]
     texts = [" ".join(words(50)), None, "", "x short item. Here y", items[0][1].upper() + " z " + items[0][1][:60], "q " + items[4][1] + " r", items[5][1], items[5][1]]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {r["doc_id"]: r for r in decontaminate.contamination(docs(spark, texts), bench, block_words=block).collect()}
+    got = {r["doc_id"]: r for r in decontaminate.contamination(docs(spark, texts), bench).collect()}
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     win = {}
     for i, t in items:
@@ -286,7 +286,13 @@ def test_contamination(spark, block):
                     found |= names
         assert (got[n]["n_words"], got[n]["n_hit"], got[n]["items"]) == (len(w), len(hit), sorted(found))
         assert sum(s["end"] - s["start"] for s in got[n]["spans"]) == len(hit)
-    assert decontaminate.contamination(docs(spark, texts), bench.limit(0), block_words=block).filter("n_hit > 0").count() == 0
+    assert decontaminate.contamination(docs(spark, texts), bench.limit(0)).filter("n_hit > 0").count() == 0
+    clash = ["t1", "_t1", "r1", "_found", "items", "n_hit", "spans", "term", "_size", "found"]
+    wide = docs(spark, texts).withColumns({c: F.lit(c) for c in clash})
+    clean = decontaminate.decontaminated(wide, bench)
+    assert clean.columns == wide.columns and sorted(r["doc_id"] for r in clean.collect()) == sorted(k for k, r in got.items() if not r["n_hit"])
+    assert all(r[c] == c for r in clean.collect() for c in clash)
+    assert {r["doc_id"]: r["n_hit"] for r in decontaminate.contamination(wide, bench).collect()} == {k: r["n_hit"] for k, r in got.items()}
 
 
 def test_near_matches(spark):
