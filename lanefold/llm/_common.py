@@ -66,3 +66,15 @@ def own_columns(docs: DataFrame, made: list[str], needed: list[str]) -> DataFram
 def own_names(n: int) -> list[str]:
     """Names for columns on the way, which no table has."""
     return [f"_{uuid.uuid4().hex}" for _ in range(n)]
+
+
+def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names of its own, which clash with none that an operator uses on the way, and the new name of each column."""
+    names = dict(zip(docs.columns, own_names(len(docs.columns)), strict=True))
+    return docs.toDF(*names.values()), names
+
+
+def back(rows: DataFrame, names: dict[str, str], made: list[str] = []) -> DataFrame:  # noqa: B006
+    """``rows`` under the names that they had, with the columns that were made; those replace columns of equal names."""
+    new = {m.lower() for m in made}
+    return rows.select(*[F.col(k).alias(c) for c, k in names.items() if c.lower() not in new], *made)

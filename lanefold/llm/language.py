@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, short_batches
+from lanefold.llm._common import load, own_columns, own_names, short_batches
 from lanefold.llm._folds import held_out, labelled_sample
 
 WINDOW, OVERLAP = 256, 3
@@ -168,16 +168,16 @@ def train(docs: DataFrame, per_label: int = 500, windows_per_text: int = 4, epoc
     return labels, net.weights()
 
 
-def predict(docs: DataFrame, model: tuple[tuple[str, ...], bytes] | None, text: str = "text", batch_windows: int = 1024) -> DataFrame:
+def predict(docs: DataFrame, model: tuple[tuple[str, ...], bytes] | None, text: str = "text", batch_windows: int = 1024, made: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``docs`` with lang_pred and score (the mean window probability of that language, 0 for ``und``).
 
     Null texts and texts without a letter are ``und``, all texts if there is no model. Rows stay one for
-    one and equal texts get equal results; columns with the new names are replaced.
+    one and equal texts get equal results; columns with the new names (``made``) are replaced.
     """
     short_batches(docs.sparkSession)
-    kept = docs.drop("lang_pred", "score")
-    names = [*kept.columns, "lang_pred", "score"]
-    schema = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    kept = own_columns(docs, list(made), [text])
+    names = [*kept.columns, *made]
+    schema = kept.withColumns({made[0]: F.lit(""), made[1]: F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = unrolled(*model) if model else None
@@ -219,8 +219,8 @@ def recognised(docs: DataFrame, floor: float = 0.3, **params) -> DataFrame:
     Texts without a letter go, and those of which the network is as good as undecided: of held-out documents of the test
     tables whose language it finds, none scores below 0.5. Columns stay as they are; an empty table gives an empty table.
     """
-    kept = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).columns[: len(docs.columns)]
-    return predict(docs, train(docs, **params)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= floor)).select(*kept)
+    lang, score = own_names(2)
+    return predict(docs, train(docs, **params), made=(lang, score)).filter((F.col(lang) != UNKNOWN) & (F.col(score) >= floor)).drop(lang, score)
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,14 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, written
+from lanefold.llm._common import apart, back, load, written
 
 #: Fixed value: a word of the contract.
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_BLOCKS = 1 << 20
 #: Levels of the tree that every task walks down; below them a task has a subtree of its own.
 TOP_LEVELS = 8
-NAMES = ("_size", "_h", "_block")
 
 
 def word_count(c: Column) -> Column:
@@ -180,7 +179,13 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float
     alike and each counts. An empty table gives an empty table. Columns of ``docs`` with the
     new names are replaced; rows stay one for one. The seed decides the outcome, so reruns agree.
     """
-    kept = docs.drop("size", "source_size", "target", "shards", *NAMES)
+    safe, names = apart(docs)
+    made = ["size", "source_size", "target", "shards"]
+    return back(_planned(safe, weights, cap, block_words, shard_words, seed, names[id], names[source], names[text]), names, made)
+
+
+def _planned(kept: DataFrame, weights: tuple[float, ...], cap: float, block_words: int, shard_words: int, seed: int, id: str, source: str, text: str) -> DataFrame:
+    """``plan_mix`` of a table under names of its own."""
     slim = _marked(kept.select(F.col(id).alias("id"), F.col(source).cast("string").alias("source"), F.col(text).alias("text")), seed, "id", "text")
     slim = written(slim.select("source", "_size", "_h"), "slim")
     plan = plan_blocks(slim, weights, cap, block_words, shard_words, seed)
@@ -194,16 +199,25 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float
     return rows.select(*kept.columns, F.col("_size").alias("size"), F.col("_p_source_size").alias("source_size"), F.col("_p_target").alias("target"), drawn.alias("shards"))
 
 
-def mix(docs: DataFrame, seed: int = 42, id: str = "doc_id", text: str = "text", **params) -> DataFrame:
-    """The mixed documents, a row for each draw, with ``shard`` and ``position`` (order inside the shard) added.
+def _drawn(docs: DataFrame, seed: int = 42, id: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[float, ...] = (1, 2, 3), cap: float = 3, block_words: int = 100_000, shard_words: int = 4_000_000) -> tuple[DataFrame, dict[str, str]]:
+    safe, names = apart(docs)
+    rows = _planned(safe, weights, cap, block_words, shard_words, seed, names[id], names[source], names[text])
+    rows = rows.select(*names.values(), F.posexplode("shards").alias("_draw", "shard"))
+    rows = rows.withColumn("position", F.xxhash64(F.lit(seed), "_draw", F.col(names[id]), F.col(names[text]))).drop("_draw")
+    return rows.repartition("shard").sortWithinPartitions("shard", "position"), names
+
 
-    Documents that the mix doesn't take are missing, those taken twice are there twice.
+def mix(docs: DataFrame, **params) -> DataFrame:
+    """The mixed documents, a row for each draw, with ``shard`` and ``position`` (order inside the shard) added, which replace columns of these names.
+
+    Documents that the mix doesn't take are missing, those taken twice are there twice. For parameters see ``plan_mix``.
     """
-    plan = plan_mix(docs, seed=seed, id=id, text=text, **params)
-    kept = [c for c in docs.columns if c not in ("shard", "position", "size", "source_size", "target", "shards")]
-    rows = plan.select(*kept, F.posexplode("shards").alias("_draw", "shard"))
-    rows = rows.withColumn("position", F.xxhash64(F.lit(seed), "_draw", F.col(id), F.col(text))).drop("_draw")
-    return rows.repartition("shard").sortWithinPartitions("shard", "position")
+    return back(*_drawn(docs, **params), ["shard", "position"])
+
+
+def mixed(docs: DataFrame, **params) -> DataFrame:
+    """``mix`` in the documents' own columns."""
+    return back(*_drawn(docs, **params))
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

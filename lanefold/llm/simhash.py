@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, short_batches, text_key, written
+from lanefold.llm._common import load, own_names, short_batches, text_key, written
 from lanefold.llm._components import components
 
 #: Lower-casing of A-Z and the word separators of the contract.
@@ -303,7 +303,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, segments:
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """The documents with one of each near-duplicate group kept: the smallest identifier, of repeated ones
-    the smallest hash of the text, and one row where whole rows repeat. Columns stay as they are."""
+    the smallest hash of the text, and of rows that share both the one with the smallest hash of the whole row. Columns stay as they are."""
     found = near_duplicates(docs, id=id, text=text, **params)
     first = found.filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("_id")).distinct()
     # What stays is decided on identifiers and hashes; the texts are shuffled once, for the last join.
@@ -311,7 +311,11 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **params)
     slim = slim.join(first, slim["_id"].eqNullSafe(first["_id"]), "left_semi")
     keep = written(slim.groupBy("_id").agg(F.min(F.struct("_h", "_n")).alias("low")).select("_id", "low._h", "low._n"), "kept")
     rows = docs.join(keep, docs[id].eqNullSafe(keep["_id"]) & (F.struct(*text_key(text)) == keep["_h"]), "left_semi")
-    return rows.dropDuplicates([id, text]) if keep.filter("_n > 1").limit(1).count() else rows
+    if keep.filter("_n > 1").isEmpty():
+        return rows
+    (one,) = own_names(1)
+    low = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias(one)
+    return rows.groupBy(F.col(id), *text_key(text)).agg(low).select(f"{one}.*")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanefold.llm._common import load, short_batches, text_key, written
+from lanefold.llm._common import load, own_columns, own_names, short_batches, text_key, written
 
 GRAM = 100
 SHARD_BYTES = 1 << 20
@@ -444,17 +444,19 @@ def cut_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> DataF
         raise ValueError(f"length must be {2 * GRAM} or more")
     short_batches(docs.sparkSession)
     seen, found = repeated_segments(docs, length, text)
-    lists = seen.select("t1", "t2", "key", "seg").join(found, ["key", "seg"]).groupBy(F.col("t1").alias("r1"), F.col("t2").alias("r2")).agg(F.collect_set(F.struct("key", "seg", "ranges")).alias("_found"))
+    one, two, hits_of, k1, k2 = own_names(5)
+    lists = seen.select("t1", "t2", "key", "seg").join(found, ["key", "seg"]).groupBy(F.col("t1").alias(one), F.col("t2").alias(two)).agg(F.collect_set(F.struct("key", "seg", "ranges")).alias(hits_of))
     new = ["kept_text", "n_bytes", "n_removed", "n_spans"]
-    kept = docs.drop(*new)
-    rows = kept.withColumns({"_t1": text_key(text)[0], "_t2": text_key(text)[1]}).join(lists, F.expr("_t1 = r1 and _t2 = r2"), "left").select(*kept.columns, "_found")
+    kept = own_columns(docs, new, [text])
+    rows = kept.withColumns({k1: text_key(text)[0], k2: text_key(text)[1]})
+    rows = rows.join(lists, (F.col(k1) == F.col(one)) & (F.col(k2) == F.col(two)), "left").select(*kept.columns, hits_of)
     names = [*kept.columns, *new]
     schema = kept.withColumns({"kept_text": F.lit(b"")} | {c: F.lit(0).cast("long") for c in new[1:]}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t, hits in zip(batch.column(text).to_pylist(), batch.column("_found").to_pylist(), strict=True):
+            for t, hits in zip(batch.column(text).to_pylist(), batch.column(hits_of).to_pylist(), strict=True):
                 raw = _utf8(t)
                 mark = np.zeros(len(raw) + 1, np.int64)
                 ranges = {(x["key"], x["seg"]): x["ranges"] for x in hits or ()}
