@@ -33,7 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of all sources: a document is there as often as the mix takes it."""
-    return mixing.mix(docs).select(*docs.columns)
+    return mixing.mixed(docs)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
