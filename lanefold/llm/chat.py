@@ -41,28 +41,27 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
         F.col(conv).alias("c"),
         F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"),
     )
-    # Structs sort as (turn, role, text), nulls first. Running lengths come from a window on the same
-    # key as the grouping, so rows are shuffled once.
+    # Structs sort as (turn, role, text), nulls first. A change of the role begins a block. All windows and groups below
+    # hold the conversation, so rows are shuffled once.
     w = Window.partitionBy("c").orderBy("t")
-    shut = escape(F.col("t.text"))
-    head = F.when(F.lag("t.role").over(w) == F.col("t.role"), F.lit(PART)).otherwise(F.concat(F.lit(TURN), escape(F.col("t.role")), F.lit(TEXT)))
-    tail = F.when(F.lead("t.role").over(w) == F.col("t.role"), F.lit("")).otherwise(F.lit(END))
-    rows = rows.select("c", "t", F.row_number().over(w).alias("n"), F.length(head).alias("lead"), F.length(shut).alias("size"), F.length(tail).alias("rest"))
-    before = F.sum(F.col("lead") + F.col("size") + F.col("rest")).over(Window.partitionBy("c").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("at", F.coalesce(before, F.lit(0)) + F.col("lead") + 1)
-    packed = rows.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("n", "t", "at", "size"))).alias("all"))
-
-    def block(x: Column, i: Column) -> Column:
-        """One turn with what belongs before and after it, seen from its neighbours in the sorted array."""
-        mine = x["t"]["role"]
-        same_before = F.coalesce(F.get(F.col("all"), i - 1)["t"]["role"] == mine, F.lit(False))
-        same_after = F.coalesce(F.get(F.col("all"), i + 1)["t"]["role"] == mine, F.lit(False))
-        opening = F.when(same_before, F.lit(PART)).otherwise(F.concat(F.lit(TURN), escape(mine), F.lit(TEXT)))
-        return F.concat(opening, escape(x["t"]["text"]), F.when(same_after, F.lit("")).otherwise(F.lit(END)))
-
-    spoken = F.filter("all", lambda x: x["t"]["role"] == loss_role)
-    spans = F.transform(spoken, lambda x: F.struct(x["at"].cast("int").alias("start"), x["size"].cast("int").alias("length")))
-    return packed.select(F.col("c").alias(conv), F.array_join(F.transform("all", block), "").alias("formatted"), spans.alias("loss_spans"))
+    new = F.coalesce(F.lag("t.role").over(w) != F.col("t.role"), F.lit(True)).cast("int")
+    rows = rows.select("c", "t", F.row_number().over(w).alias("n"), new.alias("new"), F.length(escape(F.col("t.text"))).alias("size"))
+    up_to = Window.partitionBy("c").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("block", F.sum("new").over(up_to))
+    inside = Window.partitionBy("c", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum(F.col("size") + len(PART)).over(inside), F.lit(0)))
+    # Adjacent turns of a role are merged: their structs are collected and sorted, and their texts joined.
+    blocks = rows.groupBy("c", "block").agg(F.array_sort(F.collect_list(F.struct("n", "t", "at", "size"))).alias("turns"))
+    said = F.get("turns", F.lit(0))["t"]["role"]
+    head = F.concat(F.lit(TURN), escape(said), F.lit(TEXT))
+    body = F.array_join(F.transform("turns", lambda x: escape(x["t"]["text"])), PART)
+    blocks = blocks.select("c", "block", "turns", said.alias("said"), F.length(head).alias("lead"), F.concat(head, body, F.lit(END)).alias("string"))
+    before = F.coalesce(F.sum(F.length("string")).over(Window.partitionBy("c").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.withColumn("first", before + F.col("lead") + 1)
+    spans = F.when(F.col("said") == loss_role, F.transform("turns", lambda x: F.struct((F.col("first") + x["at"]).cast("int").alias("start"), x["size"].cast("int").alias("length"))))
+    spans = F.coalesce(spans, F.array().cast("array<struct<start:int,length:int>>"))
+    packed = blocks.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("block", "string", spans.alias("spans")))).alias("all"))
+    return packed.select(F.col("c").alias(conv), F.array_join(F.col("all")["string"], "").alias("formatted"), F.flatten(F.col("all")["spans"]).alias("loss_spans"))
 
 
 def read_chats(chats: DataFrame, conv: str = "conv_id") -> DataFrame:

@@ -401,3 +401,13 @@ def test_toxicity_held_out(spark):
     got = QUERIES["op8_toxicity"](spark, d).filter("held_out").join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("rate")).collect()
     rate = {r["toxic"]: r["rate"] for r in got}
     assert rate[1] >= 0.9 and rate[0] <= 0.05
+
+
+def test_long_runs_of_one_role(spark):
+    """Adjacent turns of a role share a block, however many; spans still cover each text."""
+    rows = [(1, k, "assistant", f"t{k} <[\\") for k in range(500)] + [(1, 500 + k, "user", "") for k in range(300)] + [(1, 900, "assistant", "end"), (1, 901, None, None), (1, 901, None, None)]
+    (r,) = chat.read_chats(chat.format_chats(spark.createDataFrame(rows[::-1], "conv_id long, turn int, role string, text string").repartition(5))).collect()
+    assert [(t["role"], t["text"]) for t in r["turns"]] == [(role or "", text or "") for _, _, role, text in rows]
+    assert r["loss_texts"] == [text for _, _, role, text in rows if role == "assistant"]
+    (f,) = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()
+    assert f["formatted"].count(chat.TURN) == 4 == f["formatted"].count(chat.END) and f["formatted"].count(chat.PART) == 499 + 299 + 1
