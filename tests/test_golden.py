@@ -92,6 +92,6 @@ def test_actions_partition_the_sequence(spark):
 
 def test_fingerprint_ignores_order(spark):
     t = spark.createDataFrame([("a", "r1", 1, 10), ("a", "r2", 2, 20)], "sample string, component string, event_id long, bytes long")
-    one = A.fingerprint(t, args="k 21 --threads=4").first()["fingerprint"]
+    one = A.fingerprint(t, args="k 21 -t 4 --num-cpu-threads=4 -m 8").first()["fingerprint"]
     assert one == A.fingerprint(t.orderBy(F.desc("event_id")), args="k   21").first()["fingerprint"]
     assert one != A.fingerprint(t, args="k 31").first()["fingerprint"]
