@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lanefold.functions.shared import written
 
 #: Bins of a range, and different values of a range that are ranked at once.
-BINS, MOST = 1 << 12, 1 << 16
+BINS, MOST = 1 << 12, 1 << 20
 
 
 def _same(a: str, b: str, names: list[str]) -> list[Column]:
