@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +81,12 @@ def back(rows: DataFrame, names: dict[str, str], made: list[str] = []) -> DataFr
     """``rows`` under the names that they had, with the columns that were made; those replace columns of equal names."""
     new = {m.lower() for m in made}
     return rows.select(*[F.col(k).alias(c) for c, k in names.items() if c.lower() not in new], *made)
+
+
+def give_back() -> None:
+    """Hands what a task has freed back to the system: Python workers live on, and stages that follow need the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

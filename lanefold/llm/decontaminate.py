@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lanefold.llm._bitmap import Bitmap, bitmap
-from lanefold.llm._common import load, own_columns, own_names, short_batches, text_key, written
+from lanefold.llm._common import give_back, load, own_columns, own_names, short_batches, text_key, written
 
 #: What the contract's words consist of, after lower-casing A-Z; all else separates.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -61,19 +61,26 @@ def signed(terms: Iterable[int]) -> pa.Array:
     return pa.array(np.fromiter(terms, np.uint64).view(np.int64))
 
 
-class Wanted(dict):
-    """Hashes of the words that a bitmap may hold, None for others; forgotten when there are many."""
+class Wanted:
+    """The words that a bitmap may hold, and their hashes; what was decided is forgotten when it is much."""
 
     def __init__(self, bits: Bitmap):
-        super().__init__()
-        self.bits = bits
-
-    def __missing__(self, word: bytes) -> int | None:
-        if len(self) > 300_000:
-            self.clear()
-        h = term_of(word)
-        self[word] = h = h if h in self.bits else None
-        return h
+        self.raw, self.mask = bits.bytes.tobytes(), (1 << bits.bits) - 1  # bytes are read faster than array elements
+        self.decided: set[bytes] = set()
+        self.hashes: dict[bytes, int] = {}
+
+    def among(self, words: Iterable[bytes]) -> dict[bytes, int]:
+        """The hashes of words that may be held, those of ``words`` included."""
+        if len(self.decided) > 200_000:
+            self.decided, self.hashes = set(), {}
+        new = set(words) - self.decided
+        for word in new:
+            h = term_of(word)
+            k = h & self.mask
+            if self.raw[k >> 3] >> (k & 7) & 1:
+                self.hashes[word] = h
+        self.decided |= new
+        return self.hashes
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -96,14 +103,18 @@ def count_terms(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataF
         total: Counter = Counter()
         known = Wanted(bits.value)
         for batch in batches:
+            said: Counter = Counter()
             for t in batch.column(0).to_pylist():
-                total.update(map(known.__getitem__, words_of(t)))
+                said.update(words_of(t))
+            hashes = known.among(said)
+            for word in said.keys() & hashes.keys():
+                total[hashes[word]] += said[word]
             if len(total) > 300_000:
-                total.pop(None, None)
                 yield pa.RecordBatch.from_arrays([signed(total), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
                 total.clear()
-        total.pop(None, None)
         yield pa.RecordBatch.from_arrays([signed(total), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
+        del total, known
+        give_back()
 
     return docs.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).join(wanted, "term", "left_semi")
 
@@ -126,14 +137,20 @@ def build_index(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataF
                     continue
                 if len(seen) < 200_000:
                     seen.add((a, b))
+                ws = words_of(t)
+                hashes = known.among(ws)
+                if hashes.keys().isdisjoint(ws):
+                    continue
                 at: dict[int, list[int]] = {}
-                for p, k in enumerate(map(known.__getitem__, words_of(t))):
-                    if k is not None:
-                        at.setdefault(k, []).append(p)
+                for p, w in enumerate(ws):
+                    if w in hashes:
+                        at.setdefault(hashes[w], []).append(p)
                 out += [(k, a, b, ps) for k, ps in at.items()]
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
             types = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([signed(cols[0]), *(pa.array(c, x) for c, x in zip(cols[1:], types, strict=True))], names=["term", "t1", "t2", "positions"])
+        del seen, known
+        give_back()
 
     rows = docs.select(F.col(text), *text_key(text)).mapInArrow(run, "term long, t1 long, t2 long, positions array<int>")
     return written(rows, "postings")

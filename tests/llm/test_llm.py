@@ -1,5 +1,6 @@
-"""The ten operators and the pipeline on small tables with nulls, empties, ties, repeats and clashing columns, against brute force."""
+"""The operators and the pipeline on small tables with nulls, empties, ties, repeats and clashing columns, against brute force."""
 
+import os
 import re
 import struct
 import zlib
@@ -398,6 +399,8 @@ def test_toxicity_held_out(spark):
     from lanefold.llm.queries import QUERIES
 
     d = "/root/testdata/sf0.1"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables")
     got = QUERIES["op8_toxicity"](spark, d).filter("held_out").join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("rate")).collect()
     rate = {r["toxic"]: r["rate"] for r in got}
     assert rate[1] >= 0.9 and rate[0] <= 0.05
