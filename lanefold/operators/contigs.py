@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanefold.functions.sequences import count_of, reverse_complement
-from lanefold.operators.coverage import KEY, alignment_blocks, good_alignments
+from lanefold.operators.coverage import BIN, KEY, alignment_blocks, good_alignments, sums_in_regions
 from lanefold.operators.quantiles import percentiles
 
 ACTIONS = ("EXCLUDE", "TRIM", "REVIEW")
@@ -196,23 +196,16 @@ def gene_sequences(genes: DataFrame, contigs: DataFrame) -> DataFrame:
     return t.select("sample", "gene", "contig", "strand", header.alias("header"), F.when(F.col("strand") == "-", reverse_complement(part)).otherwise(part).alias("seq"))
 
 
-def region_depth(alignments: DataFrame, regions: DataFrame, min_mapq: int = 20, bin_size: int = 1000) -> DataFrame:
+def region_depth(alignments: DataFrame, regions: DataFrame, min_mapq: int = 20, bin_size: int = BIN) -> DataFrame:
     """Bases of good alignments over each region; regions without any stay with 0.
 
-    Both sides are dealt to bins of the contig, so the join is on equality and spreads a long contig; a pair
-    that shares several bins counts in the first one only. Flags unmapped, secondary, failed and duplicate are left out. With a
-    ``cigar`` the bases are those of its blocks, deletions counted and skips not. ``depth_in_regions`` does the same from a sweep,
-    which suits deep coverage.
+    Flags unmapped, secondary, failed and duplicate are left out. With a ``cigar`` the bases are those of its blocks,
+    deletions counted and skips not. Alignments and regions meet as positions of a contig (see ``sums_in_regions``),
+    so deep coverage and crowded regions don't multiply.
     """
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_size), F.floor((F.col(b) - 1) / bin_size)))
     good = good_alignments(alignments, min_mapq)
-    good = (alignment_blocks(good) if "cigar" in alignments.columns else good).filter("a_end > a_start")
-    good = good.select(*KEY, "a_start", "a_end", bins("a_start", "a_end").alias("bin"))
-    dealt = regions.select(*KEY, "gene", "start", "end", bins("start", "end").alias("bin"))
-    hit = good.join(dealt, [*KEY, "bin"]).filter((F.col("a_start") < F.col("end")) & (F.col("start") < F.col("a_end")))
-    hit = hit.filter(F.col("bin") == F.floor(F.greatest("a_start", "start") / bin_size))
-    over = hit.groupBy(*KEY, "gene").agg(F.sum(F.least("a_end", "end") - F.greatest("a_start", "start")).alias("depth_sum"))
-    return regions.join(over, [*KEY, "gene"], "left").withColumn("depth_sum", F.coalesce("depth_sum", F.lit(0)))
+    good = alignment_blocks(good) if "cigar" in alignments.columns else good
+    return sums_in_regions(good.select(*KEY, "a_start", "a_end", F.lit(1).alias("depth")), regions, bin_size)
 
 
 def region_status(regions: DataFrame, samples: DataFrame, least: int = 20) -> DataFrame:

@@ -71,21 +71,33 @@ def depth_runs(blocks: DataFrame, bin_size: int = BIN) -> DataFrame:
     return t.filter("depth > 0")
 
 
-def depth_in_regions(runs: DataFrame, regions: DataFrame, bin_size: int = 2048) -> DataFrame:
+def sums_in_regions(blocks: DataFrame, regions: DataFrame, bin_size: int = BIN) -> DataFrame:
     """``regions`` (sample, contig, gene, start, end) with depth_sum, the sum of the depths of their bases; 0 where nothing lies.
 
-    Runs and regions are dealt to bins of the contig, where they meet; a run is dealt only to the bins that it
-    crosses, and what two share is counted bin by bin.
+    Blocks are a_start, a_end and depth. What lies before a position is one number of its contig, carried from bin to bin as in
+    ``depth_runs``, and a region is the difference of two: no block meets a region, and no table has more rows than both have ends.
     """
-    deal = lambda t, *more: t.filter("end > start").select(*KEY, *more, "start", "end", F.explode(F.sequence(F.floor(F.col("start") / bin_size), F.floor((F.col("end") - 1) / bin_size))).alias("bin"))
-    at, to = F.col("bin") * bin_size, (F.col("bin") + 1) * bin_size
-    cut = lambda t, s, e, *more: t.select(*KEY, "bin", *more, F.greatest("start", at).alias(s), F.least("end", to).alias(e))
-    hit = cut(deal(runs, "depth"), "s1", "e1", "depth").join(cut(deal(regions, "gene"), "s2", "e2", "gene"), [*KEY, "bin"])
-    shared = F.greatest(F.least("e1", "e2") - F.greatest("s1", "s2"), F.lit(0))
-    sums = hit.groupBy(*KEY, "gene").agg(F.sum(shared * F.col("depth")).alias("depth_sum"))
+    pair = lambda first, last, name, one: F.explode(F.array(F.struct(F.col(first).cast("long").alias("pos"), (-one).alias(name)), F.struct(F.col(last).cast("long").alias("pos"), one.alias(name))))
+    steps = blocks.filter("a_end > a_start").select(*KEY, pair("a_start", "a_end", "d", -F.col("depth").cast("long")).alias("x")).select(*KEY, "x.pos", "x.d")
+    wanted = regions.filter("end > start").select(*KEY, "gene", pair("start", "end", "sign", F.lit(1)).alias("x")).select(*KEY, "gene", "x.pos", "x.sign")
+    marks = steps.unionByName(wanted.select(*KEY, "pos", F.lit(0).cast("long").alias("d"))).groupBy(*KEY, "pos").agg(F.sum("d").alias("d"))
+    # a step adds its depth to each base behind it: up to x they are the sum of d * (x - pos)
+    marks = marks.withColumn("bin", F.floor(F.col("pos") / bin_size))
+    bins = marks.groupBy(*KEY, "bin").agg(F.sum("d").alias("net"), F.sum(F.col("d") * F.col("pos")).alias("far"))
+    along = Window.partitionBy(*KEY).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select(*KEY, "bin", *[F.coalesce(F.sum(c).over(along), F.lit(0)).alias(c) for c in ("net", "far")])
+    inside = Window.partitionBy(*KEY, "bin").orderBy("pos")
+    depth, far = F.col("net") + F.sum("d").over(inside), F.col("far") + F.sum(F.col("d") * F.col("pos")).over(inside)
+    at = marks.join(bins, [*KEY, "bin"]).select(*KEY, "pos", (depth * F.col("pos") - far).alias("before"))
+    sums = wanted.join(at, [*KEY, "pos"]).groupBy(*KEY, "gene").agg(F.sum(F.col("sign") * F.col("before")).alias("depth_sum"))
     return regions.join(sums, [*KEY, "gene"], "left").withColumn("depth_sum", F.coalesce("depth_sum", F.lit(0)))
 
 
+def depth_in_regions(runs: DataFrame, regions: DataFrame, bin_size: int = BIN) -> DataFrame:
+    """``regions`` with the depth_sum of ``runs`` of one depth (see ``depth_runs``)."""
+    return sums_in_regions(runs.select(*KEY, F.col("start").alias("a_start"), F.col("end").alias("a_end"), "depth"), regions, bin_size)
+
+
 def mapping_errors(alignments: DataFrame) -> DataFrame:
     """Per sample over mapped, not secondary alignments: mapped_bases (read bases on the reference by M, I, = and X), mismatches (sum of ``nm``), deletions, clipped bases and error_rate.
 

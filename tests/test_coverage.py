@@ -78,3 +78,15 @@ def test_errors_and_edges(spark):
     assert V.depth_runs(V.alignment_blocks(df.limit(0))).collect() == [] and V.mapping_errors(df.limit(0)).collect() == []
     with pytest.raises(ValueError):
         V.alignment_blocks(df, "MS")
+
+
+@pytest.mark.parametrize("bin_size", [1, 40, 1 << 16])
+def test_regions_meet_positions_not_alignments(spark, bin_size):
+    """Deep coverage of crowded regions: no table on the way is larger than both sides together."""
+    deep = spark.range(400).selectExpr("'a' as sample", "'k' as contig", "id % 50 as a_start", "id % 50 + 100 as a_end", "60 as mapq", "0 as flag")
+    crowded = spark.range(300).selectExpr("'a' as sample", "'k' as contig", "id as gene", "id % 60 as start", "id % 60 + 80 as end").unionByName(spark.sql("select 'a' as sample, 'empty' as contig, 1L as gene, 3L as start, 9L as end"))
+    got = C.region_depth(deep, crowded, bin_size=bin_size)
+    assert len(got.collect()) == 301
+    for r in got.collect():
+        assert r["depth_sum"] == (r["contig"] == "k") * sum(8 * max(0, min(r["end"], s + 100) - max(r["start"], s)) for s in range(50))
+    assert "sequence(" not in got._jdf.queryExecution().optimizedPlan().toString()  # nothing is dealt to bins
