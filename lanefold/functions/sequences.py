@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Letters that are scored at once.
+LETTERS = 1 << 20
+
 
 def count_of(seq: Column, letters: str) -> Column:
     """How many characters of ``seq`` are in ``letters``."""
@@ -34,9 +39,30 @@ def quality_at_least(qual: Column, q: int) -> Column:
 
 
 def cut_tail_length(qual: Column, window: int, q: int) -> Column:
-    """What remains of a read after dropping bases from the 3' end while the mean quality of the last ``window`` is below ``q``."""
-    n = F.length(qual)
-    scores = F.transform(F.sequence(F.lit(1), n), lambda i: F.ascii(F.substr(qual, i, F.lit(1))) - 33)
-    ends = F.sequence(n, F.lit(window), F.lit(-1))
-    good = F.filter(ends, lambda e: F.aggregate(F.slice(scores, e - window + 1, F.lit(window)), F.lit(0), lambda a, x: a + x) >= q * window)
-    return F.when(n >= window, F.coalesce(F.get(good, F.lit(0)), F.lit(0))).otherwise(n)
+    """What remains of a read after dropping bases from the 3' end while the mean quality of the last ``window`` is below ``q``.
+
+    Reads are scored together, some at a time, by one running sum.
+    """
+
+    def kept(quals: pa.Array) -> pa.Array:
+        out, held, size = [], [], 0
+        for text in quals.to_pylist():
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= LETTERS:
+                out.append(_tails(held, window, q))
+                held, size = [], 0
+        out.append(_tails(held, window, q))
+        return pa.array(np.concatenate(out), pa.int32(), mask=np.asarray(quals.is_null()))
+
+    return F.arrow_udf(kept, "int")(qual)
+
+
+def _tails(quals: list[str], window: int, q: int) -> np.ndarray:
+    size = np.array([len(x) for x in quals], np.int64)
+    last = np.cumsum(size)
+    run = np.concatenate([[0], np.cumsum(np.frombuffer("".join(quals).encode("utf-32-le"), "<u4").astype(np.int64) - 33)])
+    good = np.flatnonzero(run[window:] - run[:-window] >= q * window) + window  # where good windows end, those across two reads included
+    at = np.searchsorted(good, last, "right") - 1
+    inside = np.where(at >= 0, good[at] if len(good) else 0, 0) - (last - size)
+    return np.where(size < window, size, np.where(inside >= window, inside, 0)).astype(np.int32)

@@ -1,5 +1,9 @@
 """Reasons of filtering, summaries, profiles and shares of reads on small cases."""
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 from lanefold.operators import reads as R
 from lanefold.sources.sheets import read_assignments
 
@@ -50,3 +54,22 @@ def test_read_assignments(spark):
     lines = ["C\tr1\t562\t150|149\t562:10 |:| 0:3", "U\tr2\t0\t80\t0:4", "C\tr3\tSome name (taxid 9606)\t7|\tA:1", "C\tr4\tx\t1\t", "short\tline", "", None]
     got = [tuple(r) for r in read_assignments(spark.createDataFrame([(x, "s") for x in lines], "value string, sample string")).collect()]
     assert got == [("s", True, "r1", 562, 150, 149), ("s", False, "r2", 0, 80, None), ("s", True, "r3", 9606, 7, None)]
+
+
+@pytest.mark.parametrize("letters", [1, 50, 1 << 20])
+def test_tails_of_many_reads_at_once(spark, letters, monkeypatch):
+    from lanefold.functions import sequences
+
+    monkeypatch.setattr(sequences, "LETTERS", letters)
+    rng = np.random.default_rng(3)
+    quals = ["", "I", "!!!", "IIII", "!!!!", None, "I" * 4000 + "#" * 3000, "é" * 5, *("".join(rng.choice(list("I5#A!"), n)) for n in range(120))]
+
+    def kept(x, w=4, q=20):
+        if x is None or len(x) < w:
+            return x and len(x)
+        return next((e for e in range(len(x), w - 1, -1) if sum(ord(c) - 33 for c in x[e - w : e]) >= q * w), 0)
+
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(quals)], "i int, qual string").repartition(2)
+    got = rows.select("i", sequences.cut_tail_length(F.col("qual"), 4, 20).alias("n"))
+    assert {r["i"]: r["n"] for r in got.collect()} == {i: len(x) if x is not None and len(x) < 4 else kept(x) for i, x in enumerate(quals)}
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()  # no step a place and window
