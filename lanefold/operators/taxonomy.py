@@ -141,7 +141,15 @@ def trigram_matches(left: DataFrame, right: DataFrame, least: float = 0.65) -> D
     those are joined; the common order is by rarity, which keeps frequent trigrams out of the join. A joined row is an
     identifier, the size of its set and the place of the trigram: sizes must be near each other, and what lies before the places and behind
     them bounds how much the sets can share. Sets are fetched for the pairs that are left only. Names without letters match nothing.
+    Equal names of a side are compared once, by the least of their identifiers, and their pairs are written out at the end. No table
+    that grows is broadcast: packed files of sets look far smaller than they are in the driver.
     """
+    both = []
+    for t, side in ((left, "left"), (right, "right")):
+        one = t.filter("name IS NOT NULL").groupBy("name").agg(F.min("id").alias("id"))
+        of = t.select(F.col("id").alias(f"{side}_each"), "name").join(one.withColumnRenamed("id", f"{side}_id").hint("merge"), "name").drop("name")
+        both.append((one, of))
+    (left, of_left), (right, of_right) = both
     # the trigrams are ASCII, so three characters are one whole number, which sets compare faster than text
     number = lambda g: F.ascii(g) * 16384 + F.ascii(F.substr(g, F.lit(2), F.lit(1))) * 128 + F.ascii(F.substr(g, F.lit(3), F.lit(1)))
     grams = lambda t: t.select("id", F.explode(trigrams(F.col("name"))).alias("g")).select("id", number(F.col("g")).alias("g"))
@@ -159,11 +167,12 @@ def trigram_matches(left: DataFrame, right: DataFrame, least: float = 0.65) -> D
     a, b = sets(left, "left"), sets(right, "right")
     n, m = F.col("left_n"), F.col("right_n")
     wanted = F.ceil((n + m) * (least / (1 + least)) - 1e-9)  # what sets of these sizes share at least
-    pairs = prefixes(a, "left").join(prefixes(b, "right"), "g").filter((F.least(n, m) >= F.greatest(n, m) * least - 1e-9) & (F.least("left_at", "right_at") + F.least(n - F.col("left_at"), m - F.col("right_at")) >= wanted))
+    pairs = prefixes(a, "left").join(prefixes(b, "right").hint("merge"), "g").filter((F.least(n, m) >= F.greatest(n, m) * least - 1e-9) & (F.least("left_at", "right_at") + F.least(n - F.col("left_at"), m - F.col("right_at")) >= wanted))
     pairs = pairs.select("left_id", "right_id").distinct()
     common = F.size(F.array_intersect("left", "right"))
-    pairs = pairs.join(a, "left_id").join(b, "right_id").select("left_id", "right_id", (common / (F.size("left") + F.size("right") - common)).alias("similarity"))
-    return pairs.filter(F.col("similarity") >= least)
+    pairs = pairs.join(a.hint("merge"), "left_id").join(b.hint("merge"), "right_id").select("left_id", "right_id", (common / (F.size("left") + F.size("right") - common)).alias("similarity"))
+    pairs = pairs.filter(F.col("similarity") >= least).join(of_left.hint("merge"), "left_id").join(of_right.hint("merge"), "right_id")
+    return pairs.select(F.col("left_each").alias("left_id"), F.col("right_each").alias("right_id"), "similarity")
 
 
 #: Qualifiers that name no species.

@@ -48,3 +48,19 @@ def test_labels_raise_on_cycles(spark):
     nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 5), (4, 3), (5, 4)], "taxid long, parent long")
     with pytest.raises(ValueError, match="cycle"):
         X.tree_labels(nodes)
+
+
+def test_equal_names_are_compared_once_and_nothing_that_grows_is_broadcast(spark):
+    names = ["alpha beta", "alpha betas", "gamma 17", "gamma 18", "gamma 17", "alpha beta", None, "", "--"]
+    left, right = (spark.createDataFrame([(10 * i + o, n) for i, n in enumerate(names)], "id long, name string") for o in (1, 2))
+    grams = lambda n: {w[i : i + 3] for w in (f"  {x} " for x in (n or "").replace("-", " ").split()) for i in range(len(w) - 2)}
+    want = {}
+    for i, x in enumerate(names):
+        for j, y in enumerate(names):
+            a, b = grams(x), grams(y)
+            if a and b and len(a & b) >= 0.5 * len(a | b):
+                want[10 * i + 1, 10 * j + 2] = len(a & b) / len(a | b)
+    out = X.trigram_matches(left, right, 0.5)
+    got = out.collect()
+    assert len(got) == len(want) and {(r["left_id"], r["right_id"]): pytest.approx(r["similarity"]) for r in got} == want
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
