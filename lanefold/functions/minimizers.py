@@ -60,7 +60,7 @@ def buckets_of(digits: np.ndarray, k: int, buckets: int) -> np.ndarray:
 
 @dataclass
 class Packed:
-    """Runs of windows by key (sample and bucket): the number of windows of each run as a byte and its letters, four a byte; a key's letters fill whole bytes."""
+    """Runs of windows by key (sample and bucket): the number of windows of each run as a byte and its letters, four a byte; a run's letters fill whole bytes, so packed runs of a key can be joined."""
 
     keys: np.ndarray
     runs: np.ndarray  # runs of each key
@@ -119,15 +119,14 @@ def cut(digits: np.ndarray, owner: np.ndarray, k: int, buckets: int) -> tuple[Pa
         head = np.flatnonzero(np.concatenate([[True], np.diff(key) != 0]))
         runs = np.diff(np.append(head, len(key)))
     long = size + k - 1
-    total = np.add.reduceat(long, head)
-    padded = -(-total // 4) * 4
+    padded = -(-long // 4) * 4
     source = np.arange(long.sum()) + np.repeat(start - (np.cumsum(long) - long), long)
-    target = np.arange(long.sum()) + np.repeat(np.cumsum(padded) - padded - (np.cumsum(total) - total), total)
+    target = np.arange(long.sum()) + np.repeat(np.cumsum(padded) - padded - (np.cumsum(long) - long), long)
     out = np.zeros(padded.sum(), np.uint8)
     out[target] = clean[source]
     out = out.reshape(-1, 4)
     letters = out[:, 0] << 6 | out[:, 1] << 4 | out[:, 2] << 2 | out[:, 3]
-    return Packed(key[head], runs, size.astype(np.uint8), padded // 4, letters), counted
+    return Packed(key[head], runs, size.astype(np.uint8), np.add.reduceat(padded, head) // 4, letters), counted
 
 
 def windows_of(sizes: list[bytes], letters: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,13 +135,10 @@ def windows_of(sizes: list[bytes], letters: list[bytes], k: int) -> tuple[np.nda
     size = np.frombuffer(b"".join(sizes), np.uint8).astype(np.int64)
     flat = np.frombuffer(b"".join(letters), np.uint8)
     digits = np.stack([flat >> 6, flat >> 4 & 3, flat >> 2 & 3, flat & 3], 1).ravel()
-    padded = np.array([len(x) for x in letters], np.int64) * 4
     long = size + k - 1
+    padded = -(-long // 4) * 4
     row = np.repeat(np.arange(len(runs)), runs)
-    before = np.cumsum(long) - long
-    first = np.concatenate([[0], np.cumsum(np.bincount(row, long, len(runs)).astype(np.int64))[:-1]])
-    start = before - first[row] + (np.cumsum(padded) - padded)[row]
-    place = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+    place = np.arange(size.sum()) + np.repeat(np.cumsum(padded) - padded - (np.cumsum(size) - size), size)
     return np.minimum(*packed(digits, k))[place] if len(place) else np.empty(0, np.uint64), np.bincount(row, size, len(runs)).astype(np.int64)
 
 

@@ -18,8 +18,9 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from lanefold.functions import minimizers as M
 
-#: Buckets of a sample; letters of a piece of a long sequence; letters that are cut, and windows that are counted at once.
-BUCKETS, PIECE, SLICE, CHUNK = 4096, 1 << 14, 1 << 20, 1 << 20
+#: Buckets of a sample; letters of a piece of a long sequence; letters that are cut, and windows that are counted at once; bytes of packed letters that
+#: a task gathers, so that a bucket's row holds many runs; rows that are unpacked at once.
+BUCKETS, PIECE, SLICE, CHUNK, GATHERED, ROWS = 4096, 1 << 14, 1 << 20, 1 << 20, 1 << 24, 256
 
 
 def _pieces(seqs: DataFrame, k: int) -> DataFrame:
@@ -35,7 +36,7 @@ def _slices(batches: Iterator[pa.RecordBatch], k: int, number: dict) -> Iterator
     """Digits of some sequences, parted by a 4, and the number of the sample of each letter."""
     for batch in batches:
         held, size = [], 0
-        for sample, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for sample, raw in _rows(batch):
             held.append((number.setdefault(sample, len(number)), raw))
             size += len(raw) + 1
             if size >= SLICE:
@@ -45,6 +46,11 @@ def _slices(batches: Iterator[pa.RecordBatch], k: int, number: dict) -> Iterator
             yield _slice(held)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    for at in range(0, batch.num_rows, ROWS):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns), strict=True)
+
+
 def _slice(held: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     return M.DIGITS[np.frombuffer(b"\n".join(raw for _, raw in held) + b"\n", np.uint8)], np.repeat([n for n, _ in held], [len(raw) + 1 for _, raw in held])
 
@@ -84,9 +90,9 @@ def _runs(seqs: DataFrame, k: int, side: int, buckets: int) -> DataFrame:
     binary = [StructField(n, BinaryType()) for n in ("sizes", "letters", "kmers", "counts")]
     schema = StructType([rows.schema["sample"], StructField("side", IntegerType()), StructField("bucket", LongType()), *binary])
 
-    def batch(samples: pa.Array, keys: np.ndarray, *columns: list[bytes | None] | None) -> pa.RecordBatch:
+    def batch(samples: pa.Array, keys: np.ndarray, *columns: pa.Array | list[bytes] | None) -> pa.RecordBatch:
         n = len(keys)
-        made = [pa.array(c if c is not None else [None] * n, pa.binary()) for c in columns]
+        made = [c if isinstance(c, pa.Array) else pa.array(c if c is not None else [None] * n, pa.binary()) for c in columns]
         return pa.RecordBatch.from_arrays([samples.take(pa.array(keys // buckets)), pa.array(np.full(n, side, np.int32)), pa.array(keys % buckets), *made], names=schema.names)
 
     def split(raw: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -98,6 +104,16 @@ def _runs(seqs: DataFrame, k: int, side: int, buckets: int) -> DataFrame:
         number: dict = {}
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         holds = 0
+        gathered: list[M.Packed] = []
+        bytes_ = 0
+
+        def packed() -> pa.RecordBatch:
+            keys = np.concatenate([p.keys for p in gathered])
+            order = np.argsort(keys, kind="stable")
+            head = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
+            sizes = _joined([p.sizes for p in gathered], [p.runs for p in gathered], order, head)
+            letters = _joined([p.letters for p in gathered], [p.bytes for p in gathered], order, head)
+            return batch(pa.array(list(number), _arrow(schema["sample"])), keys[order][head], sizes, letters, None, None)
 
         def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             key, kmer, count = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -115,7 +131,11 @@ def _runs(seqs: DataFrame, k: int, side: int, buckets: int) -> DataFrame:
         for digits, owner in _slices(batches, k, number):
             runs, counted = M.cut(digits, owner, k, buckets)
             if len(runs.keys):
-                yield batch(pa.array(list(number), _arrow(schema["sample"])), runs.keys, split(runs.sizes, runs.runs), split(runs.letters, runs.bytes), None, None)
+                gathered.append(runs)
+                bytes_ += len(runs.letters)
+                if bytes_ >= GATHERED:
+                    yield packed()
+                    gathered, bytes_ = [], 0
             if len(counted[0]):
                 held.append(counted)
                 holds += len(counted[0])
@@ -125,6 +145,8 @@ def _runs(seqs: DataFrame, k: int, side: int, buckets: int) -> DataFrame:
                     if holds > CHUNK // 2:
                         yield from out()
                         held, holds = [], 0
+        if gathered:
+            yield packed()
         if held:
             held = [merged()]
             yield from out()
@@ -132,15 +154,24 @@ def _runs(seqs: DataFrame, k: int, side: int, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _joined(raw: list[np.ndarray], sizes: list[np.ndarray], order: np.ndarray, head: np.ndarray) -> pa.Array:
+    """``raw``, cut by ``sizes`` and put in order, with all from one head to the next as one value."""
+    value = lambda ends, data: pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), data])
+    ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    sorted_ = value(ends, pa.py_buffer(np.concatenate(raw))).take(pa.array(order))
+    ends = np.frombuffer(sorted_.buffers()[1], np.int32, len(order) + 1, sorted_.offset * 4)
+    return value(ends[np.append(head, len(order))], sorted_.buffers()[2])
+
+
 def _counted(runs: DataFrame, k: int, sides: int, schema: StructType, told) -> DataFrame:
     """``told(sample, kmers, counts by side)`` gives the columns after sample; each k-mer of a sample is told once.
 
     Rows come sorted by sample and bucket. Whole buckets are counted together up to a chunk; a larger one is summed
-    up as it comes, so a task holds different k-mers, not windows.
+    up as it comes, chunks with chunks of their size, so a task holds different k-mers, not windows, and each is sorted a few times only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: dict = {}  # sample: its k-mers and counts so far
+        done: dict[object, list] = {}  # sample: its k-mers and counts so far, larger parts first
         rows: list[tuple] = []
         last, size = None, 0
 
@@ -161,23 +192,29 @@ def _counted(runs: DataFrame, k: int, sides: int, schema: StructType, told) -> D
                         both[:, s] = c
                         kmers.append(x)
                         counts.append(both)
-                if sample in done:
-                    kmers.append(done[sample][0])
-                    counts.append(done[sample][1])
-                done[sample] = M.summed(np.concatenate(kmers), np.concatenate(counts))
+                parts = done.setdefault(sample, [])
+                parts.append(M.summed(np.concatenate(kmers), np.concatenate(counts)))
+                while len(parts) > 1 and len(parts[-2][0]) <= 2 * len(parts[-1][0]):
+                    join(parts)
             rows.clear()
 
+        def join(parts: list) -> None:
+            (x, m), (y, n) = parts.pop(), parts.pop()
+            parts.append(M.summed(np.concatenate([x, y]), np.concatenate([m, n])))
+
         def give() -> Iterator[pa.RecordBatch]:
             add()
-            for sample, (kmers, counts) in done.items():
-                columns = told(kmers, counts)
+            for sample, parts in done.items():
+                while len(parts) > 1:
+                    join(parts)
+                columns = told(*parts.pop())
                 for at in range(0, len(columns[0]), CHUNK):
                     part = [pa.array(c[at : at + CHUNK]) for c in columns]
                     yield pa.RecordBatch.from_arrays([pa.array([sample] * len(part[0]), _arrow(schema["sample"])), *part], names=schema.names)
             done.clear()
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in _rows(batch):
                 if size >= CHUNK:
                     if (row[0], row[2]) != last:
                         yield from give()
@@ -199,7 +236,14 @@ def count_kmers(seqs: DataFrame, k: int = 21, buckets: int = BUCKETS) -> DataFra
     Other letters than A, C, G and T part a sequence; null sequences and parts below k letters give no rows, a null sample
     is one like others. Repeated sequences count repeatedly.
     """
-    runs = _runs(seqs, k, 0, buckets)
+    return count_together(seqs, k=k, buckets=buckets)
+
+
+def count_together(*tables: DataFrame, k: int = 21, buckets: int = BUCKETS) -> DataFrame:
+    """``union_sum`` of the counts of several tables (sample and seq, samples of one type); k-mers of all meet in their buckets, counts aren't shuffled."""
+    runs = _runs(tables[0], k, 0, buckets)
+    for t in tables[1:]:
+        runs = runs.unionByName(_runs(t, k, 0, buckets))
     schema = StructType([runs.schema["sample"], StructField("kmer", LongType()), StructField("cnt", LongType())])
     return _counted(runs, k, 1, schema, lambda kmers, counts: (kmers.view(np.int64), np.ascontiguousarray(counts[:, 0])))
 
@@ -214,8 +258,10 @@ def joint_spectrum(reads: DataFrame, assembly: DataFrame, k: int = 21, buckets:
     schema = StructType([runs.schema["sample"], *(StructField(n, LongType()) for n in names)])
 
     def told(kmers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        both, n = np.unique(counts, axis=0, return_counts=True)
-        return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1]), n.astype(np.int64)
+        order = np.lexsort((counts[:, 1], counts[:, 0]))
+        both = counts[order]
+        new = np.flatnonzero(np.concatenate([[True], (both[1:] != both[:-1]).any(1)])) if len(both) else order
+        return np.ascontiguousarray(both[new, 0]), np.ascontiguousarray(both[new, 1]), np.diff(np.append(new, len(both)))
 
     return _counted(runs, k, 2, schema, told).groupBy("sample", "multiplicity", "copies").agg(F.sum("n").alias("n"))
 

@@ -157,7 +157,7 @@ def d1_count_kmers(spark, sf_dir):
 
 @query(with_domain("reads contigs", f"WITH {_READS}, {_ASM} SELECT sample, kmer, sum(cnt)::BIGINT AS cnt FROM (SELECT * FROM rk UNION ALL SELECT * FROM ak) u GROUP BY sample, kmer"))
 def d2_union_sum(spark, sf_dir):
-    return _text(K.union_sum(_counts(spark, sf_dir, "reads"), _counts(spark, sf_dir, "contigs")))
+    return _text(K.count_together(*(domain(spark, sf_dir, t).select("sample", "seq") for t in ("reads", "contigs"))))
 
 
 @query(with_domain("contigs", f"WITH {_ASM} SELECT sample, cnt AS cov, count(*) AS cnt FROM ak GROUP BY sample, cnt"))

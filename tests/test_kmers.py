@@ -79,3 +79,20 @@ def test_five_million_letters(spark):
 def test_k_is_bounded(spark):
     with pytest.raises(ValueError):
         K.count_kmers(spark.createDataFrame([], SCHEMA), 32)
+
+
+def test_counts_of_several_tables_meet_in_their_buckets(spark):
+    tables = [spark.createDataFrame([(s, "".join(RNG.choice(list("ACGTN"), 300, p=[0.3, 0.3, 0.2, 0.19, 0.01]))) for s in ("a", "b", None)] * 3, "sample string, seq string") for _ in range(2)]
+    got = K.count_together(*tables, k=5, buckets=7)
+    want = K.union_sum(*(K.count_kmers(t, 5) for t in tables))
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    assert all("cnt" not in line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Repartition" in line or "Aggregate" in line)  # no count is shuffled
+
+
+def test_packed_runs_of_a_bucket_are_gathered_into_one_row(spark):
+    df = spark.createDataFrame([("a", "".join(RNG.choice(list("ACGT"), 200))) for _ in range(20_000)], SCHEMA).coalesce(1)
+    rows = K._runs(df, 21, 0, 64).collect()
+    assert len(rows) == len({r["bucket"] for r in rows}) and sum(sum(r["sizes"]) for r in rows if r["sizes"]) == 20_000 * 180
+    text = spark.createDataFrame([(0,), (27,), (None,), (4**21 - 1,)], "kmer long").coalesce(1).select(kmer_text(F.col("kmer"), 21).alias("t"))
+    assert [r["t"] for r in text.collect()] == ["A" * 21, "A" * 18 + "CGT", None, "T" * 21]
+    assert "conv(" not in text._jdf.queryExecution().optimizedPlan().toString()
