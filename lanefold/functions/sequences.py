@@ -11,9 +11,26 @@ from pyspark.sql import functions as F
 LETTERS = 1 << 20
 
 
+def _counted(text: Column, wanted: np.ndarray) -> Column:
+    """How many bytes of each text ``wanted`` marks, for many texts at once."""
+
+    def count(texts: pa.Array) -> pa.Array:
+        texts = texts.cast(pa.large_string())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        out, some = np.zeros(len(texts), np.int32), np.flatnonzero(np.diff(ends))
+        if len(some):
+            hits = wanted[np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]]
+            out[some] = np.add.reduceat(hits, ends[some] - ends[0], dtype=np.int32)
+        return pa.array(out, mask=np.asarray(texts.is_null()))
+
+    return F.arrow_udf(count, "int")(text)
+
+
 def count_of(seq: Column, letters: str) -> Column:
-    """How many characters of ``seq`` are in ``letters``."""
-    return F.length(seq) - F.length(F.translate(seq, letters, ""))
+    """How many characters of ``seq`` are in ``letters``, which are ASCII."""
+    wanted = np.zeros(256, np.uint8)
+    wanted[list(letters.encode("ascii"))] = 1
+    return _counted(seq, wanted)
 
 
 def reverse_complement(seq: Column) -> Column:
@@ -42,9 +59,10 @@ def kmers(seq: Column, k: int) -> Column:
 
 
 def quality_at_least(qual: Column, q: int) -> Column:
-    """How many phred+33 qualities are ``q`` or more: the printable characters below are removed and counted."""
-    below = "".join(chr(c) for c in range(33, 33 + q))
-    return F.length(F.translate(qual, below, ""))
+    """How many phred+33 qualities are ``q`` or more: all characters but the printable ones below."""
+    wanted = np.ones(256, np.uint8)
+    wanted[33 : 33 + q] = wanted[0x80:0xC0] = 0  # a character beyond ASCII is counted by its first byte
+    return _counted(qual, wanted)
 
 
 def cut_tail_length(qual: Column, window: int, q: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanefold.functions.sequences import count_of, reverse_complement
+from lanefold.functions.shared import written
 from lanefold.operators.coverage import BIN, KEY, alignment_blocks, good_alignments, sums_in_regions
 from lanefold.operators.quantiles import percentiles
 
@@ -119,24 +120,40 @@ def decontaminate(contigs: DataFrame, actions: DataFrame, policy: str = "exclude
     return clean
 
 
-def seq_stats(contigs: DataFrame) -> DataFrame:
-    """Number, lengths with quartiles, N50, gaps and GC of each sample's contigs; null sequences are left out, rates of no bases are null."""
-    n = F.length("seq")
-    t = contigs.filter("seq IS NOT NULL").groupBy("sample").agg(
-        F.count("*").alias("num_seqs"), F.sum(n).alias("sum_len"), F.min(n).alias("min_len"), F.avg(n).alias("avg_len"), F.max(n).alias("max_len"),
-        F.sum(count_of(F.col("seq"), "N")).alias("n_bases"),
-        F.try_divide(F.sum(count_of(F.col("seq"), "GC")) * 100.0, F.sum(n)).alias("gc_pct"),
+def _lengths(contigs: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, length, how many sequences have it (k), and their Ns and GC: all that statistics need, from one pass; null sequences are left out."""
+    of = contigs.filter("seq IS NOT NULL").select(*by, F.length("seq").alias("length"), count_of(F.col("seq"), "N").alias("_n"), count_of(F.col("seq"), "GC").alias("_gc"))
+    return written(of.groupBy(*by, "length").agg(F.count("*").alias("k"), F.sum("_n").alias("_n"), F.sum("_gc").alias("_gc")), "lengths")
+
+
+def _stats(lengths: DataFrame, by: list[str]) -> DataFrame:
+    """The columns of ``seq_stats`` from counted lengths."""
+    total, n = F.sum(F.col("length") * F.col("k")), F.sum("k")
+    t = lengths.groupBy(*by).agg(
+        n.alias("num_seqs"), total.alias("sum_len"), F.min("length").alias("min_len"), (total.cast("double") / n).alias("avg_len"), F.max("length").alias("max_len"),
+        F.sum("_n").alias("n_bases"), F.try_divide(F.sum("_gc") * 100.0, total).alias("gc_pct"),
     )
-    quarts = percentiles(contigs.select("sample", n.alias("q")).filter("q is not null"), ["sample"], ["q"], {"1": 0.25, "2": 0.5, "3": 0.75})
-    quarts = quarts.select(F.col("sample").alias("s"), *[F.col(f"q_{k}").alias(f"q{k}") for k in "123"])
-    t = t.join(quarts, F.col("sample").eqNullSafe(F.col("s")), "left").drop("s")
-    return t.join(nstar(contigs.select("sample", n.alias("length")), (50,)).select("sample", F.col("n").alias("n50")), "sample", "left")
+    quarts = percentiles(lengths, by, ["length"], {"1": 0.25, "2": 0.5, "3": 0.75}, weight="k")
+    t = t.alias("t").join(quarts.alias("q"), [F.col(f"t.{c}").eqNullSafe(F.col(f"q.{c}")) for c in by], "left").select("t.*", *[F.col(f"q.length_{k}").alias(f"q{k}") for k in "123"])
+    return t.join(_crossings(lengths.select(*by, F.col("length").cast("long").alias("length"), "k"), by, (50,)).select(*by, F.col("n").alias("n50")), by, "left")
+
+
+def seq_stats(contigs: DataFrame) -> DataFrame:
+    """Number, lengths with quartiles, N50, gaps and GC of each sample's contigs; null sequences are left out, rates of no bases are null.
+
+    Sequences are read once, at the call; the rest works on a row for each different length.
+    """
+    return _stats(_lengths(contigs, ["sample"]), ["sample"])
 
 
 def scaffold_and_contig_stats(contigs: DataFrame) -> DataFrame:
-    """``seq_stats`` of the scaffolds (kind ``scaffold``) and of their parts between gaps (kind ``contig``)."""
-    both = [seq_stats(t).withColumn("kind", F.lit(kind)) for kind, t in (("scaffold", contigs), ("contig", split_scaffolds(contigs)))]
-    return both[0].unionByName(both[1])
+    """``seq_stats`` of the scaffolds (kind ``scaffold``) and of their parts between gaps (kind ``contig``), from one pass over the sequences."""
+    of = lambda kind, seq: F.struct(F.lit(kind).alias("kind"), seq.alias("seq"))
+    parts = F.filter(F.split("seq", "N+"), lambda x: x != "")
+    both = contigs.select("sample", F.inline(F.concat(F.array(of("scaffold", F.col("seq"))), F.transform(parts, lambda x: of("contig", x)))))
+    by = ["sample", "kind"]
+    t = _stats(_lengths(both, by), by)
+    return t.select(*[c for c in t.columns if c != "kind"], "kind")
 
 
 def nstar(lengths: DataFrame, fractions: tuple[int, ...] = (10, 20, 30, 40, 50, 60, 70, 80, 90, 100), sizes: DataFrame | None = None) -> DataFrame:
@@ -147,12 +164,16 @@ def nstar(lengths: DataFrame, fractions: tuple[int, ...] = (10, 20, 30, 40, 50,
     different lengths, not its contigs; null lengths are left out, a sample of empty contigs has a null aun.
     """
     size = F.col("length").cast("long")
-    t = lengths.filter("length IS NOT NULL").groupBy("sample", size.alias("length")).agg(F.count("*").alias("k"))
-    totals = t.groupBy("sample").agg(F.sum(F.col("length") * F.col("k")).alias("total"), F.sum(F.col("length").cast("double") * F.col("length") * F.col("k")).alias("squares"))
+    return _crossings(lengths.filter("length IS NOT NULL").groupBy("sample", size.alias("length")).agg(F.count("*").alias("k")), ["sample"], fractions, sizes)
+
+
+def _crossings(t: DataFrame, by: list[str], fractions: tuple[int, ...], sizes: DataFrame | None = None) -> DataFrame:
+    """``nstar`` by any columns, of counted lengths (length, k)."""
+    totals = t.groupBy(*by).agg(F.sum(F.col("length") * F.col("k")).alias("total"), F.sum(F.col("length").cast("double") * F.col("length") * F.col("k")).alias("squares"))
     if sizes is not None:
         totals = totals.join(sizes.filter("expected >= 1").select("sample", "expected"), "sample").withColumn("total", F.col("expected").cast("long"))
-    w = Window.partitionBy("sample").orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    t = t.select("sample", "length", "k", F.sum(F.col("length") * F.col("k")).over(w).alias("run"), F.sum("k").over(w).alias("rank")).join(totals, "sample")
+    w = Window.partitionBy(*by).orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    t = t.select(*by, "length", "k", F.sum(F.col("length") * F.col("k")).over(w).alias("run"), F.sum("k").over(w).alias("rank")).join(totals, by)
     before = F.col("run") - F.col("length") * F.col("k")
 
     def crossing(p: int) -> Column:
@@ -161,8 +182,8 @@ def nstar(lengths: DataFrame, fractions: tuple[int, ...] = (10, 20, 30, 40, 50,
         more = F.greatest(F.ceil(F.try_divide(lacking, F.col("length") * 100)), F.lit(1))
         return F.max(F.when(F.col("run") * 100 >= F.col("total") * p, F.struct("length", (F.col("rank") - F.col("k") + more).alias("l"))))
 
-    t = t.groupBy("sample").agg(F.array(*[F.struct(F.lit(p).alias("pct"), crossing(p).alias("at")) for p in fractions]).alias("xs"), F.first(F.try_divide("squares", "total")).alias("aun"))
-    return t.select("sample", "aun", F.explode("xs").alias("x")).select("sample", "x.pct", F.col("x.at.length").alias("n"), F.col("x.at.l").alias("l"), "aun")
+    t = t.groupBy(*by).agg(F.array(*[F.struct(F.lit(p).alias("pct"), crossing(p).alias("at")) for p in fractions]).alias("xs"), F.first(F.try_divide("squares", "total")).alias("aun"))
+    return t.select(*by, "aun", F.explode("xs").alias("x")).select(*by, "x.pct", F.col("x.at.length").alias("n"), F.col("x.at.l").alias("l"), "aun")
 
 
 def split_scaffolds(contigs: DataFrame) -> DataFrame:

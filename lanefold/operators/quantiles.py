@@ -35,19 +35,20 @@ def _ranked(ranges: DataFrame, parts: DataFrame, key: list[str], order: str) ->
     return ranges.alias("o").join(parts.alias("b"), [*_same("o", "b", [*key, "_lo", "_hi"]), (rank >= F.col("b._past")) & (rank < F.col("b._past") + F.col("b._m"))])
 
 
-def percentiles(rows: DataFrame, by: list[str], columns: list[str], shares: dict[str, float], digits: int | None = None, bins_of: int = BINS, most: int = MOST) -> DataFrame:
+def percentiles(rows: DataFrame, by: list[str], columns: list[str], shares: dict[str, float], digits: int | None = None, bins_of: int = BINS, most: int = MOST, weight: str | None = None) -> DataFrame:
     """``by`` and, for each column and share, ``<column>_<name>``: the percentile, interpolated between neighbours.
 
     Nulls and NaN are left out; a group without any value has nulls. Equal to Spark's ``percentile`` and to
-    ``quantile_cont``. ``digits`` rounds. Without ``by`` there is one row. Some jobs run at once: one that counts the values, and one or a
+    ``quantile_cont``. ``digits`` rounds; ``weight`` is a column that tells for how many rows a row stands. Without ``by`` there is one row. Some jobs run at once: one that counts the values, and one or a
     few that narrow the ranges (none for up to ``most`` different values, one or two for evenly spread ones).
     """
     if not all(0 <= q <= 1 for q in shares.values()):
         raise ValueError("shares lie between 0 and 1")
     key = [*by, "_c"]
     melted = F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns])).alias("_x")
-    values = rows.select(*by, melted).select(*by, "_x._c", "_x._v").filter("_v is not null and not isnan(_v)")
-    counted = written(values.groupBy(*key, "_v").agg(F.count("*").alias("_k")), "values")
+    times = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    values = rows.select(*by, times.alias("_w"), melted).select(*by, "_w", "_x._c", "_x._v").filter("_v is not null and not isnan(_v) and _w > 0")
+    counted = written(values.groupBy(*key, "_v").agg(F.sum("_w").alias("_k")), "values")
     ranges = counted.groupBy(*key).agg(F.sum("_k").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_d"))
     place = lambda q: (F.col("_n") - 1) * F.lit(float(q))
     ranks = F.explode(F.array_distinct(F.flatten(F.array(*[F.array(F.floor(place(q)), F.ceil(place(q))) for q in shares.values()])))).alias("_r")

@@ -3,13 +3,19 @@
 Each is one SELECT that Spark and DuckDB both understand, so a query and its oracle start from equal rows.
 ``{G}`` stands for the flag that makes DuckDB's regexp_replace global, ``{EACH}(a, b))`` for a row for each number from a to b.
 ``reads`` holds the whole text of a document in pieces of 400 letters, whose halves are the mates; read_id is doc_id and the piece's number.
+On Spark a text's letters are made once, for many texts together, and reads are cut from them in place.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SEQ = "regexp_replace(translate(lower(coalesce(text, '')), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), '[^ACGT]', ''{G})"
 
@@ -111,6 +117,13 @@ ADAPTERS = {
           CASE WHEN c_custkey % 4 > 0 THEN c_custkey * 100 END AS tax_taxid, CASE WHEN c_custkey % 4 > 1 THEN 'taxclass' END AS tax_class, CASE WHEN c_custkey % 4 > 0 THEN 'genus' END AS tax_rank FROM {customer}""",
 }
 _TABLE = re.compile(r"\{(\w+)\}")
+#: The base of each letter of either case, all other bytes, the two signs outside ASCII whose lower case has a letter, and qualities by base.
+_BASES = bytes.maketrans(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", b"ACGTACGTACGTACGTACGTACGTAC" * 2)
+_OTHERS = bytes(c for c in range(256) if not chr(c).isascii() or not chr(c).isalpha())
+_LOWERED = (("\u0130".encode(), b"i"), ("\u212a".encode(), b"k"))
+_QUALITIES = bytes.maketrans(b"ACGT", b"I5#A")
+#: Fixed value: letters of a mate. Letters that leave a task at once.
+MATE, LETTERS = 200, 1 << 22
 
 
 def _spread(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -122,13 +135,57 @@ def _spread(spark: SparkSession, documents: DataFrame) -> DataFrame:
     return documents.repartition(cores) if documents.rdd.getNumPartitions() < cores else documents
 
 
+def _letters(texts: pa.Array) -> list[bytes]:
+    """The letters of each text (null: none), as ``_SEQ`` has them."""
+    out = []
+    for raw in texts.cast(pa.binary()).to_pylist():
+        for sign, letter in _LOWERED:
+            raw = (raw or b"").replace(sign, letter)
+        out.append(raw.translate(_BASES, _OTHERS))
+    return out
+
+
+def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows with the letters of their last column, as many at once as have about ``LETTERS``."""
+    for batch in batches:
+        size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0), np.int64)) // LETTERS
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a < b:
+                rows = batch.slice(a, b - a)
+                yield rows, _letters(rows.column(rows.num_columns - 1))
+
+
+def _with_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, letters in _some(batches):
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(letters, pa.binary()).cast(pa.string())], names=["doc_id", "source", "letters"])
+
+
+def _reads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``reads``: a text's letters are cut every ``MATE``, two cuts are a piece."""
+    for rows, letters in _some(batches):
+        size = np.array([len(x) for x in letters], np.int64)
+        cuts = -(-size // MATE)
+        owner = np.repeat(np.arange(len(size)), cuts)
+        k = np.arange(len(owner)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+        ends = np.concatenate([[0], np.cumsum(np.minimum(MATE, size[owner] - k * MATE))]).astype(np.int32)
+        seq = b"".join(letters)
+        text = lambda raw: pa.Array.from_buffers(pa.string(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(raw)])  # noqa: B023, E731
+        at = pa.array(owner)
+        read = pc.add_checked(pc.multiply_checked(rows.column(0).take(at), 1_000_000), pa.array(k // 2))
+        yield pa.RecordBatch.from_arrays([rows.column(1).take(at), read, pa.array((k % 2 + 1).astype(np.int32)), text(seq), text(seq.translate(_QUALITIES))], names=["sample", "read_id", "mate", "seq", "qual"])
+
+
 def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One domain table."""
     sql = ADAPTERS[name].replace("{G}", "").replace("{EACH}", "explode(sequence")
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_TABLE.findall(sql))}
     if "documents" in tables and "text" in sql:
-        used = [c for c in ("doc_id", "source", "n_chars", "lang", "text") if re.search(rf"\b{c}\b", sql)]
-        tables["documents"] = _spread(spark, tables["documents"].select(*used))
+        texts = _spread(spark, tables["documents"].select(F.col("doc_id").cast("long"), "source", "text"))
+        if name == "reads":
+            return texts.mapInArrow(_reads, "sample string, read_id long, mate int, seq string, qual string")
+        tables["documents"] = texts.mapInArrow(_with_letters, "doc_id long, source string, letters string")
+        sql = sql.replace(_SEQ.replace("{G}", ""), "letters")
     return spark.sql(sql.replace("VARCHAR", "STRING"), **tables)
 
 

@@ -24,3 +24,18 @@ def test_reads_hold_whole_documents(spark, tmp_path):
     duck = duckdb.connect()
     duck.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert sorted(duck.sql(with_domain("reads", f"SELECT {cols} FROM reads")).fetchall()) == sorted(want)
+
+
+def test_letters_equal_those_of_the_sql(spark, tmp_path, monkeypatch):
+    from lanefold.sources import adapters
+
+    monkeypatch.setattr(adapters, "LETTERS", 50)
+    odd = ["\u0130stanbul", "300 \u212a", "\u00c5\u00df\ufb01\u017f \u0391\u03a3", "a\tB\nc\x00d", "[Z]`z{", "\u1e9e\U0001f600q"]
+    docs = [*DOCS, *((20 + k, x) for k, x in enumerate(odd))]
+    spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "if(doc_id % 3 = 0, null, 's') AS source").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    documents = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("contigs", "reads", "gene_contigs"):
+        sql = adapters.ADAPTERS[name].replace("{G}", "").replace("{EACH}", "explode(sequence").replace("VARCHAR", "STRING")
+        want, got = spark.sql(sql, documents=documents), domain(spark, str(tmp_path), name)
+        assert got.dtypes == want.dtypes and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr), name
+        assert "regexp_replace" not in got._jdf.queryExecution().toString()  # letters of many texts together, not sign by sign

@@ -61,3 +61,23 @@ def test_depth_mode_of_contigs_named_by_text(spark):
     df = spark.createDataFrame([("s", "b", 1000, 8.1), ("s", "a", 1000, 40.0), ("s", "c", 400, 90.0)], "sample string, contig string, length long, meandepth double")
     got = depth_mode(df).collect()
     assert len(got) == 1 and 35 < got[0]["depth_mode"] < 45 and got[0]["mode_fraction"] == 0.5
+
+
+def test_statistics_read_sequences_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("s", 1, "ACGNNGGTA"), ("s", 2, "NNN"), ("s", 3, "GGC"), ("s", 4, "ACT"), ("t", 1, ""), (None, 1, "GNA"), ("u", 1, None)]
+    contigs = spark.createDataFrame(rows, "sample string, contig int, seq string")
+    got = {(r["sample"], r["kind"]): r for r in C.scaffold_and_contig_stats(contigs.mapInArrow(told, contigs.schema)).collect()}
+    assert seen.value == len(rows)
+    assert got.keys() == {("s", "scaffold"), ("s", "contig"), ("t", "scaffold"), (None, "scaffold"), (None, "contig")}
+    values = lambda r: (r.num_seqs, r.sum_len, r.min_len, r.avg_len, r.max_len, r.n_bases, r.q1, r.q2, r.q3, r.n50)
+    assert values(got["s", "scaffold"]) == (4, 18, 3, 4.5, 9, 5, 3.0, 3.0, 4.5, 9) and values(got["s", "contig"]) == (4, 13, 3, 3.25, 4, 0, 3.0, 3.0, 3.25, 3)
+    assert got["s", "scaffold"].gc_pct == 800 / 18 and got["t", "scaffold"].gc_pct is None and values(got["t", "scaffold"])[:5] == (1, 0, 0, 0.0, 0)
+    assert values(got[None, "contig"])[:6] == (2, 2, 1, 1.0, 1, 0)
+    assert {r["sample"]: values(r) for r in C.seq_stats(contigs).collect()} == {s: values(got[s, "scaffold"]) for s in ("s", "t", None)}
