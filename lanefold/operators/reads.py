@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from lanefold.operators.taxonomy import clade_members
 
 from lanefold.functions.sequences import count_of, cut_tail_length, quality_at_least
+from lanefold.functions.shared import written
 
 
-def repair_pairs(reads: DataFrame) -> DataFrame:
-    """One row a (sample, read_id) with both mates, and ``single`` for those with one mate only."""
-    side = lambda m: reads.filter(F.col("mate") == m).select("sample", "read_id", F.col("seq").alias(f"seq{m}"), F.col("qual").alias(f"qual{m}"))
+def repair_pairs(reads: DataFrame, columns: tuple[str, ...] = ("seq", "qual")) -> DataFrame:
+    """One row a (sample, read_id) with both mates' ``columns``, and ``single`` for those with one mate only."""
+    side = lambda m: reads.filter(F.col("mate") == m).select("sample", "read_id", *[F.col(c).alias(f"{c}{m}") for c in columns])
     both = side(1).join(side(2), ["sample", "read_id"], "full")
-    return both.withColumn("single", F.col("seq1").isNull() | F.col("seq2").isNull())
+    return both.withColumn("single", F.col(f"{columns[0]}1").isNull() | F.col(f"{columns[0]}2").isNull())
 
 
 def filter_length(pairs: DataFrame, shortest: int = 100, longest: int = 300) -> DataFrame:
@@ -36,16 +37,36 @@ def dedup_pairs(pairs: DataFrame) -> DataFrame:
 REASONS = {"too_many_n": 12, "too_short": 16, "too_long": 17, "low_quality": 20}
 
 
+def _measures(seq: Column, qual: Column, q: int) -> dict[str, Column]:
+    return {"size_": F.length(seq), "n_": count_of(seq, "N"), "gc_": count_of(seq, "GC"), **{f"q{x}_": quality_at_least(qual, x) for x in sorted({q, 20, 30})}}
+
+
+def _measured(pairs: DataFrame, m: int, q: int = 20) -> dict[str, Column]:
+    """A mate's measures: those that the pairs have, else from its sequence and qualities."""
+    names = _measures(F.lit(""), F.lit(""), q)
+    return {c: F.col(f"{c}{m}") for c in names} if f"size_{m}" in pairs.columns else _measures(F.col(f"seq{m}"), F.col(f"qual{m}"), q)
+
+
+def measured_pairs(reads: DataFrame, q: int = 15) -> DataFrame:
+    """``repair_pairs`` with what filtering and its summary need of a mate (``q`` as in ``filter_reasons``) in the place of sequences and qualities.
+
+    Reads are measured once, at the call; a few numbers a read are shuffled, no letters.
+    """
+    names = _measures(F.col("seq"), F.col("qual"), q)
+    return repair_pairs(written(reads.select("sample", "read_id", "mate", *[v.alias(c) for c, v in names.items()]), "measures"), tuple(names))
+
+
 def filter_reasons(pairs: DataFrame, shortest: int = 15, longest: int = 0, q: int = 15, low_pct: int = 40, most_n: int = 5) -> DataFrame:
-    """``pairs`` with ``reason``: passed, low_quality, too_many_n, too_short or too_long.
+    """``pairs`` (or ``measured_pairs`` with the same ``q``) with ``reason``: passed, low_quality, too_many_n, too_short or too_long.
 
     A mate has low quality if more than ``low_pct`` percent of its bases are below ``q``; then come its Ns, then its
     length (``longest`` 0: no limit). A missing mate is too short, missing qualities count as good.
     """
     def code(m: int) -> Column:
-        seq, size = F.col(f"seq{m}"), F.coalesce(F.length(f"seq{m}"), F.lit(0))
-        low = size - F.coalesce(quality_at_least(F.col(f"qual{m}"), q), size)
-        out = F.when(low * 100 > size * low_pct, REASONS["low_quality"]).when(F.coalesce(count_of(seq, "N"), F.lit(0)) > most_n, REASONS["too_many_n"]).when(size < shortest, REASONS["too_short"])
+        of = _measured(pairs, m, q)
+        size = F.coalesce(of["size_"], F.lit(0))
+        low = size - F.coalesce(of[f"q{q}_"], size)
+        out = F.when(low * 100 > size * low_pct, REASONS["low_quality"]).when(F.coalesce(of["n_"], F.lit(0)) > most_n, REASONS["too_many_n"]).when(size < shortest, REASONS["too_short"])
         return (out.when(size > longest, REASONS["too_long"]) if longest else out).otherwise(0)
 
     worst, name = F.greatest(code(1), code(2)), F.lit("passed")
@@ -64,13 +85,13 @@ def filter_summary(judged: DataFrame) -> DataFrame:
     """One row a sample of pairs with ``reason``: reads by reason, and size, quality, GC and mean lengths before (``raw_``) and after.
 
     A pair counts as two reads under its reason, a lone mate as one. Mean lengths are whole numbers, cut. A sample
-    without a read left has zeros after. One pass and one shuffle of as many rows as there are samples.
+    without a read left has zeros after. One pass and one shuffle of as many rows as there are samples. ``judged`` may come from ``measured_pairs``.
     """
     per, size = [], []
     for m in (1, 2):
-        seq, qual = F.col(f"seq{m}"), F.col(f"qual{m}")
-        per.append((seq.isNotNull().cast("long"), F.length(seq), quality_at_least(qual, 20), quality_at_least(qual, 30), count_of(seq, "GC")))
-        size.append(F.length(seq))
+        of = _measured(judged, m)
+        per.append((of["size_"].isNotNull().cast("long"), of["size_"], of["q20_"], of["q30_"], of["gc_"]))
+        size.append(of["size_"])
     add = lambda k: sum((F.coalesce(p[k], F.lit(0)) for p in per), F.lit(0).cast("long"))
     kept, out = F.col("reason") == "passed", []
     for reason in ("passed", *REASONS):

@@ -68,7 +68,7 @@ _PART = """count(*) {f} AS {p}total_reads, coalesce(sum(len) {f}, 0)::BIGINT AS
 @query(with_domain("reads", f"""WITH {_JUDGED} SELECT sample, count(*) FILTER (ok) AS passed_filter_reads, 0::BIGINT AS too_many_n_reads, count(*) FILTER (reason = 'too_short') AS too_short_reads, 0::BIGINT AS too_long_reads,
   count(*) FILTER (reason = 'low_quality') AS low_quality_reads, {_PART.format(f='', p='raw_', a='')}, {_PART.format(f='FILTER (ok)', p='', a=' AND ok')} FROM whole GROUP BY sample"""))
 def c7_filter_summary(spark, sf_dir):
-    return R.filter_summary(R.filter_reasons(_pairs(spark, sf_dir), shortest=60, low_pct=26))
+    return R.filter_summary(R.filter_reasons(R.measured_pairs(domain(spark, sf_dir, "reads")), shortest=60, low_pct=26))
 
 
 @query(with_domain("tax_nodes reads", """

@@ -73,3 +73,34 @@ def test_tails_of_many_reads_at_once(spark, letters, monkeypatch):
     got = rows.select("i", sequences.cut_tail_length(F.col("qual"), 4, 20).alias("n"))
     assert {r["i"]: r["n"] for r in got.collect()} == {i: len(x) if x is not None and len(x) < 4 else kept(x) for i, x in enumerate(quals)}
     assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()  # no step a place and window
+
+
+def test_filter_summary_measures_reads_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rng = np.random.default_rng(5)
+    rows = [(None, 1, 1, "GC", "II"), (None, 1, 2, "AC", "I#"), ("a", 1, 1, "GNNA", None), ("a", 2, 2, "", ""), ("a", 3, 1, None, None)]
+    for k in range(400):  # lone mates, and some reads twice
+        n = int(rng.integers(0, 30))
+        rows.append((str(rng.choice(["a", "b"])), int(rng.integers(10, 200)), int(rng.integers(1, 3)), "".join(rng.choice(list("ACGTN"), n)), "".join(rng.choice(list("!#05?I"), n))))
+    reads = spark.createDataFrame(rows, "sample string, read_id long, mate int, seq string, qual string")
+    rules = {"shortest": 6, "q": 18, "low_pct": 50}
+    want = sorted(map(tuple, R.filter_summary(R.filter_reasons(R.repair_pairs(reads), **rules)).collect()), key=repr)
+    got = R.filter_summary(R.filter_reasons(R.measured_pairs(reads.mapInArrow(told, reads.schema), 18), **rules)).collect()
+    assert sorted(map(tuple, got), key=repr) == want and seen.value == len(rows)
+
+
+def test_counts_of_letters(spark):
+    from lanefold.functions.sequences import count_of, quality_at_least
+
+    texts = ["", None, "GATTACA", "", "é€😀G", "!" * 9 + "5I", "N" * 3000, "", "~\x7f\x1f 0"]
+    t = spark.createDataFrame(list(enumerate(texts)), "i int, x string").coalesce(1)
+    got = {r.i: (r.g, r.q, r.n) for r in t.select("i", count_of(F.col("x"), "GCN").alias("g"), quality_at_least(F.col("x"), 20).alias("q"), count_of(F.lit(None).cast("string"), "A").alias("n")).collect()}
+    below = {chr(c) for c in range(33, 53)}
+    assert got == {i: (None if x is None else sum(c in "GCN" for c in x), None if x is None else sum(c not in below for c in x), None) for i, x in enumerate(texts)}
+    assert "translate" not in t.select(count_of(F.col("x"), "GC"))._jdf.queryExecution().toString()
