@@ -176,12 +176,12 @@ def _reads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column(1).take(at), read, pa.array((k % 2 + 1).astype(np.int32)), text(seq), text(seq.translate(_QUALITIES))], names=["sample", "read_id", "mate", "seq", "qual"])
 
 
-def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One domain table."""
+def domain(spark: SparkSession, sf_dir: str, name: str, where: str = "true") -> DataFrame:
+    """One domain table, for a table of texts of those documents that meet ``where``."""
     sql = ADAPTERS[name].replace("{G}", "").replace("{EACH}", "explode(sequence")
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(_TABLE.findall(sql))}
     if "documents" in tables and "text" in sql:
-        texts = _spread(spark, tables["documents"].select(F.col("doc_id").cast("long"), "source", "text"))
+        texts = _spread(spark, tables["documents"].filter(where).select(F.col("doc_id").cast("long"), "source", "text"))
         if name == "reads":
             return texts.mapInArrow(_reads, "sample string, read_id long, mate int, seq string, qual string")
         tables["documents"] = texts.mapInArrow(_with_letters, "doc_id long, source string, letters string")

@@ -23,8 +23,8 @@ NAME = r"([^/]+?)(?:[._]L(\d+))?[._]R?([12])(?:_\d+)?\.f(?:ast)?q(?:\.gz|\.bgzf?
 BLOCKS = r"\.bgzf?$"
 #: Fixed values of block gzip: how a member begins, the field that tells its length, and how many bytes surround the deflated ones.
 MEMBER, LENGTH, AROUND = b"\x1f\x8b\x08\x04", "\x06\x00BC\x02\x00", 26
-_PARTS = "file string, part long, head string, seq string, plus string, qual string, side int, rest binary"
-_NAMES = ["file", "part", "head", "seq", "plus", "qual", "side", "rest"]
+_RECORDS, _TORN = "file string, head string, seq string, plus string, qual string", "file string, part long, side int, rest binary"
+_NAMES = ["file", "head", "seq", "plus", "qual"]
 
 
 def inflated(line: bytes, file: str) -> bytes:
@@ -47,10 +47,10 @@ def first_header(lines: pa.Array, since: int) -> int | None:
 
 
 class Part:
-    """The records of one part of a file, as its lines come."""
+    """The records of one part of a file, as its lines come, or (``torn``) its fragments; a ``whole`` file has none."""
 
-    def __init__(self, file: str, part: int):
-        self.file, self.part, self.lines, self.synced = file, part, pa.array([], pa.binary()), False
+    def __init__(self, file: str, part: int, whole: bool, torn: bool):
+        self.file, self.part, self.whole, self.torn, self.lines, self.synced = file, part, whole, torn, pa.array([], pa.binary()), whole
         self.since = 0  # the first line that may be a header
 
     def add(self, lines: pa.Array) -> Iterator[pa.RecordBatch]:
@@ -61,25 +61,31 @@ class Part:
                 self.lines = lines
                 return
             self.synced = True
-            yield self.fragment(0, lines[:at])
+            if self.torn:
+                yield self.fragment(0, lines[:at])
             lines = lines[at:]
         n = len(lines) // 4
         self.lines = lines[4 * n :]
-        if n:
+        if n and not self.torn:
             four = [lines.take(pa.array(np.arange(k, 4 * n, 4))).cast(pa.string()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([pa.array([self.file] * n), pa.array(np.full(n, self.part)), *four, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array([self.file] * n), *four], names=_NAMES)
 
     def fragment(self, side: int, lines: pa.Array, more: bytes = b"") -> pa.RecordBatch:
         """What is before the first record (0), after the last (1), or a part without any (2)."""
         raw = b"".join(x + b"\n" for x in lines.to_pylist()) + more
-        return pa.RecordBatch.from_arrays([pa.array([self.file]), pa.array([self.part]), *[pa.nulls(1, pa.string())] * 4, pa.array([side], pa.int32()), pa.array([raw])], names=_NAMES)
+        return pa.RecordBatch.from_arrays([pa.array([self.file]), pa.array([self.part]), pa.array([side], pa.int32()), pa.array([raw])], names=["file", "part", "side", "rest"])
 
     def end(self, more: bytes = b"") -> Iterator[pa.RecordBatch]:
-        yield self.fragment(1 if self.synced else 2, self.lines, more)
+        if self.torn:
+            yield self.fragment(1 if self.synced else 2, self.lines, more)
+        elif self.whole:
+            yield from self.add(pa.array([more] if more else [], pa.binary()))
+            if len(self.lines):
+                raise ValueError(f"{self.file}: its lines aren't whole records of four")
 
 
-def _parts(start: Callable[[str, int], Part], feed: Callable[[Part, pa.Array], Iterator[pa.RecordBatch]], end: Callable[[Part], Iterator[pa.RecordBatch]]):
-    """A function over batches (value, file, part) that gives the rows of each part in turn to ``feed``."""
+def _parts(start: Callable[[str, int, bool, bool], Part], feed: Callable[[Part, pa.Array], Iterator[pa.RecordBatch]], end: Callable[[Part], Iterator[pa.RecordBatch]], torn: bool):
+    """A function over batches (value, file, part, whole) that gives the rows of each part in turn to ``feed``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: Part | None = None
@@ -94,7 +100,7 @@ def _parts(start: Callable[[str, int], Part], feed: Callable[[Part, pa.Array], I
                 if now is None or (now.file, now.part) != key:
                     if now is not None:
                         yield from end(now)
-                    now = start(*key)
+                    now = start(*key, batch.column(3)[a].as_py(), torn)
                 yield from feed(now, batch.column(0)[a:b])
         if now is not None:
             yield from end(now)
@@ -102,15 +108,15 @@ def _parts(start: Callable[[str, int], Part], feed: Callable[[Part, pa.Array], I
     return run
 
 
-def _of_lines(lines: DataFrame) -> DataFrame:
-    return lines.mapInArrow(_parts(Part, lambda part, values: part.add(values), lambda part: part.end()), _PARTS)
+def _of_lines(lines: DataFrame, torn: bool) -> DataFrame:
+    return lines.mapInArrow(_parts(Part, lambda part, values: part.add(values), lambda part: part.end(), torn), _TORN if torn else _RECORDS)
 
 
-def _of_blocks(members: DataFrame) -> DataFrame:
-    """Records of block-gzip members; a part may begin and end inside a line."""
+def _of_blocks(members: DataFrame, torn: bool) -> DataFrame:
+    """Records or fragments of block-gzip members; a part may begin and end inside a line."""
 
-    def start(file: str, part: int) -> Part:
-        now = Part(file, part)
+    def start(file: str, part: int, whole: bool, torn: bool) -> Part:
+        now = Part(file, part, whole, torn)
         now.open, now.since = b"", 1 if part else 0
         return now
 
@@ -123,12 +129,11 @@ def _of_blocks(members: DataFrame) -> DataFrame:
         *lines, now.open = (now.open + b"".join(texts)).replace(b"\r\n", b"\n").split(b"\n")
         yield from now.add(pa.array(lines, pa.binary()))
 
-    return members.mapInArrow(_parts(start, feed, lambda now: now.end(now.open)), _PARTS)
+    return members.mapInArrow(_parts(start, feed, lambda now: now.end(now.open), torn), _TORN if torn else _RECORDS)
 
 
-def _mended(rows: DataFrame) -> DataFrame:
-    """The records that the borders of parts cut."""
-    torn = rows.filter("side IS NOT NULL")
+def _mended(torn: DataFrame) -> DataFrame:
+    """The records that the borders of parts cut, from all fragments."""
     along = Window.partitionBy("file").orderBy("part", "side")
     # what is before a part's first record ends a gap, what is after its last one begins the next
     gap = F.count_if(F.col("side") == 1).over(along)
@@ -150,24 +155,33 @@ def _mended(rows: DataFrame) -> DataFrame:
     return pieces.select("file", "x").mapInArrow(run, "file string, head string, seq string, plus string, qual string")
 
 
+def _lines(spark: SparkSession, paths: str | list[str], blocks: str) -> tuple[DataFrame, DataFrame]:
+    """The lines of files of text, and what stands between two length fields of block gzip, each with file, part and whether that is the whole file."""
+    m = lambda c: F.col(f"_metadata.{c}")
+    whole = (m("file_block_start") == 0) & (m("file_block_length") == m("file_size"))
+    columns = [F.col("value").cast("binary").alias("value"), m("file_path").alias("file"), m("file_block_start").alias("part"), whole.alias("whole")]
+    plain = spark.read.text(paths).filter(~m("file_path").rlike(blocks)).select(*columns)
+    # between two length fields lies a member without its first bytes, and the first bytes of the next one
+    return plain, spark.read.option("lineSep", LENGTH).text(paths).filter(m("file_path").rlike(blocks)).select(*columns)
+
+
+def _fragments(plain: DataFrame, raw: DataFrame) -> DataFrame:
+    return _of_lines(plain.filter(~F.col("whole")), True).unionByName(_of_blocks(raw.filter(~F.col("whole")), True))
+
+
 def read_fastq(spark: SparkSession, paths: str | list[str], name: str = NAME, blocks: str = BLOCKS) -> DataFrame:
     """sample, lane, mate, read_id, seq, qual of every record of FASTQ files: plain, gzip or block gzip.
 
     ``name`` finds sample, lane and mate in a file's path (no match: null). The read_id is the first word of the header
     without ``@`` and a closing /1 or /2. Plain files and those of block gzip (members of 64 KB at most that tell their
     length; known by their name, ``blocks``, since Spark hands files called .gz to one task as a stream) are read in as
-    many tasks as they have parts; a gzip file is one task. Each file is read once, the driver sees none of it, and
-    rows don't depend on how files are cut. A record needs four lines. Records cut off at the end of a file, and those whose
+    many tasks as they have parts; a gzip file is one task. Records are made in one pass; those at borders are found in a second one over
+    the lines of files that are cut. The driver sees none of it, and rows don't depend on how files are cut. A record needs four lines. Records cut off at the end of a file, and those whose
     header lacks ``@``, whose third line lacks ``+`` or whose sequence and qualities differ in length, raise an
     error, as a damaged member does. Empty files give no rows.
     """
-    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part")]
-    binary = F.col("value").cast("binary").alias("value")
-    plain = spark.read.text(paths).filter(~F.col("_metadata.file_path").rlike(blocks)).select(binary, *where)
-    # between two length fields lies a member without its first bytes, and the first bytes of the next one
-    raw = spark.read.option("lineSep", LENGTH).text(paths).filter(F.col("_metadata.file_path").rlike(blocks)).select(binary, *where)
-    got = _of_lines(plain).unionByName(_of_blocks(raw))
-    t = got.filter("side IS NULL").select("file", "head", "seq", "plus", "qual").unionByName(_mended(got))
+    plain, raw = _lines(spark, paths, blocks)
+    t = _of_lines(plain, False).unionByName(_of_blocks(raw, False)).unionByName(_mended(_fragments(plain, raw)))
     fine = F.startswith("head", F.lit("@")) & F.startswith("plus", F.lit("+")) & (F.length("seq") == F.length("qual"))
     t = t.withColumn("head", F.when(fine, F.col("head")).otherwise(F.raise_error(F.concat(F.lit("not a FASTQ record: "), "file", F.lit(" "), "head"))))
     part = lambda k: F.nullif(F.regexp_extract("file", name, k), F.lit(""))

@@ -80,3 +80,31 @@ def test_damaged_members(spark, tmp_path):
         read_fastq(spark, str(tmp_path)).collect()
     with pytest.raises(ValueError, match="whole"):
         inflated(raw[16:200], "f")
+
+
+def test_only_cut_files_are_read_again(spark, tmp_path):
+    from lanefold.sources import fastq as Q
+
+    rows = records(300)
+    raw = fastq(rows).encode()
+    (tmp_path / "x_R1.fq.gz").write_bytes(gzip.compress(raw))
+    (tmp_path / "y_R2.fq").write_bytes(raw)
+    (tmp_path / "z_R2.fq.bgz").write_bytes(block_gzip(raw[:-1], 700))
+    torn = lambda: {r["file"].rsplit("/", 1)[1] for r in Q._fragments(*Q._lines(spark, str(tmp_path), Q.BLOCKS)).collect()}
+    assert torn() == set() and read(spark, tmp_path) == sorted(rows * 3)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k, v in zip(old, ("997", "1"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        assert torn() == {"y_R2.fq", "z_R2.fq.bgz"} and read(spark, tmp_path) == sorted(rows * 3)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["gz", "bgz"])
+@pytest.mark.parametrize("text", ["@a\nAC\n+\n", "@a\nAC\n+\nII\n@b\nAC\n", "@a\nAC\n+\nI\n", "a\nAC\n+\nII\n", "x\n@a\nAC\n+\nII\n", "@a\nAC\n+\nII\n\n"])
+def test_bad_records_of_gzip_files(spark, tmp_path, text, kind):
+    (tmp_path / f"x_R1.fq.{kind}").write_bytes(gzip.compress(text.encode()) if kind == "gz" else block_gzip(text.encode(), 3))
+    with pytest.raises(Exception, match="FASTQ record|whole records"):
+        read_fastq(spark, str(tmp_path)).collect()
