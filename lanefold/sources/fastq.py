@@ -166,7 +166,8 @@ def _lines(spark: SparkSession, paths: str | list[str], blocks: str) -> tuple[Da
 
 
 def _fragments(plain: DataFrame, raw: DataFrame) -> DataFrame:
-    return _of_lines(plain.filter(~F.col("whole")), True).unionByName(_of_blocks(raw.filter(~F.col("whole")), True))
+    cut = ~F.col("file").rlike(r"\.gz$") & ~F.col("whole")  # files called .gz are never cut and aren't opened again
+    return _of_lines(plain.filter(cut), True).unionByName(_of_blocks(raw.filter(~F.col("whole")), True))
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str], name: str = NAME, blocks: str = BLOCKS) -> DataFrame:
@@ -176,7 +177,7 @@ def read_fastq(spark: SparkSession, paths: str | list[str], name: str = NAME, bl
     without ``@`` and a closing /1 or /2. Plain files and those of block gzip (members of 64 KB at most that tell their
     length; known by their name, ``blocks``, since Spark hands files called .gz to one task as a stream) are read in as
     many tasks as they have parts; a gzip file is one task. Records are made in one pass; those at borders are found in a second one over
-    the lines of files that are cut. The driver sees none of it, and rows don't depend on how files are cut. A record needs four lines. Records cut off at the end of a file, and those whose
+    the lines of all files not called .gz, which leaves Spark only for files that are cut. The driver sees none of it, and rows don't depend on how files are cut. A record needs four lines. Records cut off at the end of a file, and those whose
     header lacks ``@``, whose third line lacks ``+`` or whose sequence and qualities differ in length, raise an
     error, as a damaged member does. Empty files give no rows.
     """
