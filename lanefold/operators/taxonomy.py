@@ -134,45 +134,81 @@ def trigrams(c: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, grams)))
 
 
+#: Rows of one set that are written out together.
+TOGETHER = 64
+
+
+def _size_class(n: Column) -> Column:
+    """Sizes below 16 are their own class, then eight classes lie between a power of two and the next."""
+    steps = F.greatest(F.length(F.bin(n)) - 4, F.lit(0))
+    return steps * 8 + F.call_function("shiftright", n, steps)
+
+
+def _least_size(size_class: int) -> int:
+    steps = max(size_class // 8 - 1, 0)
+    return (size_class - 8 * steps) << steps
+
+
 def trigram_matches(left: DataFrame, right: DataFrame, least: float = 0.65) -> DataFrame:
     """left_id, right_id, similarity of pairs of names with set similarity ``least`` or more; identifiers are unique.
 
-    Two such sets share a trigram among the first ``(1 - least) * size + 1`` of each in a common order, so only
-    those are joined; the common order is by rarity, which keeps frequent trigrams out of the join. A joined row is an
-    identifier, the size of its set and the place of the trigram: sizes must be near each other, and what lies before the places and behind
-    them bounds how much the sets can share. Sets are fetched for the pairs that are left only. Names without letters match nothing.
-    Equal names of a side are compared once, by the least of their identifiers, and their pairs are written out at the end. No table
-    that grows is broadcast: packed files of sets look far smaller than they are in the driver.
+    Sets of n and m trigrams that are so similar share ``(n + m) * least / (1 + least)`` at least. So the first trigram that they share, in a common
+    order, has so many from it on in both. A set is listed under those of its trigrams for which that holds, once for each class of sizes
+    that the other side has and that is near enough, and meets the sets of that class that are listed there. The order is by rarity, which keeps frequent trigrams out
+    of the lists. Lists hold the sets themselves, as pairs grow faster than lists: a pair is compared where it meets, if the bits of the two sets don't
+    rule it out, and counts under the first trigram it shares only. Names without letters match nothing.
+    Names of equal sets are compared once, by the least of their identifiers, and their pairs are written out at the end, ``TOGETHER`` rows of a set at
+    a time. No table that grows is broadcast: packed files of sets look far smaller than they are in the driver.
     """
-    both = []
-    for t, side in ((left, "left"), (right, "right")):
-        one = t.filter("name IS NOT NULL").groupBy("name").agg(F.min("id").alias("id"))
-        of = t.select(F.col("id").alias(f"{side}_each"), "name").join(one.withColumnRenamed("id", f"{side}_id").hint("merge"), "name").drop("name")
-        both.append((one, of))
-    (left, of_left), (right, of_right) = both
+    spark = left.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    met = ["g", "left_class", "right_class"]
     # the trigrams are ASCII, so three characters are one whole number, which sets compare faster than text
     number = lambda g: F.ascii(g) * 16384 + F.ascii(F.substr(g, F.lit(2), F.lit(1))) * 128 + F.ascii(F.substr(g, F.lit(3), F.lit(1)))
-    grams = lambda t: t.select("id", F.explode(trigrams(F.col("name"))).alias("g")).select("id", number(F.col("g")).alias("g"))
-    every = grams(left).unionByName(grams(right)).groupBy("g").agg(F.count("*").alias("df"))
+    grams = lambda t: t.select("*", F.explode(trigrams(F.col("name"))).alias("g")).withColumn("g", number(F.col("g")))
+    named = lambda t: t.filter("name IS NOT NULL").repartition(tasks, "name").groupBy("name")
+    # a row for each trigram of 36 letters and digits and the blank, some 50,000 at most
+    every = written(grams(named(left.select("name").union(right.select("name"))).agg(F.count("*").alias("rows"))).groupBy("g").agg(F.count("*").alias("df")))
 
     def sets(t: DataFrame, side: str) -> DataFrame:
-        s = grams(t).join(every, "g").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("df", "g"))).alias("s"))
-        return written(s.select(F.col("id").alias(f"{side}_id"), F.col("s")["g"].alias(side)))
-
-    def prefixes(s: DataFrame, side: str) -> DataFrame:
+        """A row for each name: its set, the identifier that stands for it, whether that is its own, and how many rows it stands for."""
+        s = grams(named(t).agg(F.min("id").alias("id"), F.count("*").alias("rows"))).join(F.broadcast(every), "g")
+        s = s.groupBy("name", "id", "rows").agg(F.array_sort(F.collect_set(F.struct("df", "g")))["g"].alias(side))
+        equal = Window.partitionBy(side)
+        s = s.select("name", F.min("id").over(equal).alias(f"{side}_id"), "id", F.sum("rows").over(equal).alias("rows"), side)
+        bit = lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(g), F.lit(64)))
+        bits = F.aggregate(side, F.lit(0).cast("long"), lambda all_, g: all_.bitwiseOR(bit(g)))
+        return written(s.select("name", f"{side}_id", (F.col("id") == F.col(f"{side}_id")).alias("own"), "rows", side, bits.alias(f"{side}_bits"), _size_class(F.size(side)).alias(f"{side}_class")))
+
+    def lists(s: DataFrame, side: str, other: str, classes: list[int]) -> DataFrame:
         n = F.size(side)
-        first = F.slice(side, F.lit(1), F.greatest(n - F.ceil(n * least - 1e-9).cast("int") + 1, F.lit(1)))
-        return s.select(f"{side}_id", n.alias(f"{side}_n"), F.posexplode(first).alias(f"{side}_at", "g"))
+        spans = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(_least_size(c)).alias("first"), F.lit(_least_size(c + 1)).alias("end")) for c in classes])
+        near = F.explode(F.filter(spans, lambda x: (x["end"] > n * least - 1e-9) & (x["first"] <= n / least + 1e-9)))
+        s = s.filter("own").select(f"{side}_id", side, f"{side}_bits", f"{side}_class", near.alias("near"))
+        wanted = F.ceil((n + F.greatest(F.col("near.first"), n * least)) * (least / (1 + least)) - 1e-9).cast("int")
+        s = s.select(f"{side}_id", side, f"{side}_bits", f"{side}_class", F.col("near.class").alias(f"{other}_class"), F.explode(F.slice(side, F.lit(1), F.greatest(n - wanted + 1, F.lit(0)))).alias("g"))
+        return s.repartition(tasks, *met)  # a number of its own: lists are short beside the pairs that come of them
+
+    def rows(t: DataFrame, s: DataFrame, side: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / TOGETHER))
+        t = t.join(s.select("name", f"{side}_id", "rows").hint("merge"), "name").groupBy(f"{side}_id", part.alias("part"))
+        return t.agg(F.collect_list(F.struct("id")).alias(side)).drop("part").hint("merge")
 
     a, b = sets(left, "left"), sets(right, "right")
-    n, m = F.col("left_n"), F.col("right_n")
-    wanted = F.ceil((n + m) * (least / (1 + least)) - 1e-9)  # what sets of these sizes share at least
-    pairs = prefixes(a, "left").join(prefixes(b, "right").hint("merge"), "g").filter((F.least(n, m) >= F.greatest(n, m) * least - 1e-9) & (F.least("left_at", "right_at") + F.least(n - F.col("left_at"), m - F.col("right_at")) >= wanted))
-    pairs = pairs.select("left_id", "right_id").distinct()
-    common = F.size(F.array_intersect("left", "right"))
-    pairs = pairs.join(a.hint("merge"), "left_id").join(b.hint("merge"), "right_id").select("left_id", "right_id", (common / (F.size("left") + F.size("right") - common)).alias("similarity"))
-    pairs = pairs.filter(F.col("similarity") >= least).join(of_left.hint("merge"), "left_id").join(of_right.hint("merge"), "right_id")
-    return pairs.select(F.col("left_each").alias("left_id"), F.col("right_each").alias("right_id"), "similarity")
+    # a hundred classes or so at most, as there are some 50,000 trigrams
+    has = a.select(F.lit(0).alias("side"), F.col("left_class").alias("c")).union(b.select(F.lit(1), "right_class")).distinct().collect()
+    of_left, of_right = ([r["c"] for r in has if r["side"] == k] or [0] for k in (0, 1))
+    pairs = lists(a, "left", "right", of_right).join(lists(b, "right", "left", of_left).hint("merge"), met)
+    both = F.size("left") + F.size("right")
+    differ = F.bit_count(F.col("left_bits").bitwiseXOR(F.col("right_bits")))  # a bit that one set has alone stands for a trigram that it has alone
+    pairs = pairs.filter((both - differ) / 2 >= both * (least / (1 + least)) - 1e-9)
+    # exploded, so that it is made once and not in each place that uses it
+    pairs = pairs.select("left_id", "right_id", "g", both.alias("both"), F.explode(F.array(F.array_intersect("left", "right"))).alias("common"))
+    n = F.size("common")
+    pairs = pairs.filter(F.get("common", F.lit(0)) == F.col("g")).select("left_id", "right_id", (n / (F.col("both") - n)).alias("similarity")).filter(F.col("similarity") >= least)
+    pairs = pairs.join(rows(left, a, "left"), "left_id").join(rows(right, b, "right"), "right_id")
+    pairs = pairs.select(F.explode("left").alias("left"), "right", "similarity").select("left", F.explode("right").alias("right"), "similarity")
+    return pairs.select(F.col("left.id").alias("left_id"), F.col("right.id").alias("right_id"), "similarity")
 
 
 #: Qualifiers that name no species.

@@ -1,5 +1,7 @@
 """Closures deeper than 63 steps, cycles, and numbers of nested clades against the closure."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -64,3 +66,47 @@ def test_equal_names_are_compared_once_and_nothing_that_grows_is_broadcast(spark
     got = out.collect()
     assert len(got) == len(want) and {(r["left_id"], r["right_id"]): pytest.approx(r["similarity"]) for r in got} == want
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def _grams(name):
+    return {w[i : i + 3] for w in (f"  {x} " for x in re.split("[^a-z0-9]+", name.lower()) if x) for i in range(len(w) - 2)}
+
+
+def _alike(left, right, least):
+    out = {}
+    for i, a in enumerate(map(_grams, left)):
+        for j, b in enumerate(map(_grams, right)):
+            if a and b and len(a & b) / len(a | b) >= least:
+                out[i, j] = len(a & b) / len(a | b)
+    return out
+
+
+def _joined(plan):
+    """Rows that the joins of a finished plan have made."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _joined(plan.executedPlan())
+    below = [plan.plan()] if name.endswith("QueryStage") else [plan.children().apply(k) for k in range(plan.children().size())]
+    own = [plan.metrics().get("numOutputRows").get().value()] if "Join" in name else []
+    return own + [n for x in below for n in _joined(x)]
+
+
+@pytest.mark.parametrize("least", [0.3, 0.65, 0.8, 1.0])
+def test_trigram_matches_of_names_of_all_lengths(spark, least):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcd1"), int(rng.integers(1, 9))))
+    base = [[word() for _ in range(k)] for k in (1, 1, 2, 3, 5, 9, 20, 40)]
+    names = [" ".join([*w[: len(w) - int(rng.integers(0, len(w) // 4 + 1))], *[word()] * int(rng.integers(0, 2))]) for w in base * 5]
+    left, right = [*names[:24], "ab cd", "cd-AB", "ab  cd", *["same name"] * 70], [*names[16:], "CD ab", *["name same"] * 3, "..."]
+    want = _alike(left, right, least)
+    out = X.trigram_matches(*(spark.createDataFrame(list(enumerate(x)), "id long, name string") for x in (left, right)), least).collect()
+    assert len(out) == len(want) and {(r["left_id"], r["right_id"]): pytest.approx(r["similarity"]) for r in out} == want
+
+
+def test_frequent_trigrams_do_not_pair_all_names(spark):
+    left, right = ([f"Supplier#{k:09d}" for k in range(0, n, step)] for n, step in ((1000, 10), (15000, 50)))
+    out = X.trigram_matches(*(spark.createDataFrame(list(enumerate(x)), "id long, name string") for x in (left, right)))
+    want = _alike(left, right, 0.65)
+    assert {(r["left_id"], r["right_id"]): pytest.approx(r["similarity"]) for r in out.collect()} == want
+    joined = _joined(out._jdf.queryExecution().executedPlan())
+    assert joined and max(joined) <= 2 * max(len(want), len(left) + len(right)) < 0.5 * len(left) * len(right)
