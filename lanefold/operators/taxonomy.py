@@ -191,7 +191,7 @@ def trigram_matches(left: DataFrame, right: DataFrame, least: float = 0.65) -> D
 
     def rows(t: DataFrame, s: DataFrame, side: str) -> DataFrame:
         part = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / TOGETHER))
-        t = t.join(s.select("name", f"{side}_id", "rows").hint("merge"), "name").groupBy(f"{side}_id", part.alias("part"))
+        t = t.join(s.select("name", f"{side}_id", "rows").hint("merge"), "name").repartition(tasks, f"{side}_id").groupBy(f"{side}_id", part.alias("part"))
         return t.agg(F.collect_list(F.struct("id")).alias(side)).drop("part").hint("merge")
 
     a, b = sets(left, "left"), sets(right, "right")
